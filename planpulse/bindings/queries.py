@@ -165,6 +165,212 @@ def q_conversions(spark: SparkSession, d: str) -> DataFrame:
     return conversions(v, p, d1, yesterday, staff="staff")
 
 
+# ---------------------------------------------------------------- report inputs
+def _branch(col: str):
+    from planpulse.functions.text import recode
+    return recode(F.col(col), V.BRANCH_RECODE, null_label="Unknown").alias("branch")
+
+
+def _with_owner_names(df: DataFrame, spark: SparkSession, d: str) -> DataFrame:
+    s = V.staff_raw(spark, d)
+    a = s.select(F.col("staff_id").alias("_a"), F.col("staff_raw").alias("owner_a_name"))
+    b = s.select(F.col("staff_id").alias("_b"), F.col("staff_raw").alias("owner_b_name"))
+    return (df.join(a, df.owner_a == a._a, "left").join(b, df.owner_b == b._b, "left")
+              .drop("_a", "_b"))
+
+
+def report_inputs(spark: SparkSession, d: str, as_of: dt.date) -> dict[str, DataFrame]:
+    """The C1-C6 frames a report at ``as_of`` reads, bound to the stand-in views."""
+    ent = V.entities(spark, d)
+    plans_b = V.plans_with_branch(spark, d)
+    cut = _cut(plans_b, "start_date", as_of)
+    visits = _visits_c5(spark, d, as_of).join(V.staff_raw(spark, d), "staff_id", "left")
+    visits = visits.withColumn("branch", _branch("entity_branch"))
+    plans4 = plan_cycle_simple(_cut(V.plans(spark, d), "start_date", as_of), ent, V.visits(spark, d),
+                               V.terms(spark, d), as_of,
+                               excluded_sources=V.EXCLUDED_ENTITY_SOURCES, visit_keys=V.VISIT_KEYS)
+    plans4 = plans4.withColumn("branch", _branch("entity_branch"))
+    plans3 = plan_cycle(V.plans(spark, d), ent, V.visits(spark, d), as_of, type_rule=_type_rule)
+    active = active_snapshots(plans_b, V.assignments(spark, d), ent, V.terms(spark, d),
+                              V.BEST_FROM, as_of, excluded_sources=V.EXCLUDED_PLAN_SOURCES,
+                              expired_status=V.EXPIRED)
+    active = _with_owner_names(active.withColumn("branch", _branch("branch")), spark, d)
+    lapsed = lapsed_entities(cut, ent, V.terms(spark, d), as_of,
+                             excluded_sources=V.EXCLUDED_PLAN_SOURCES)
+    lapsed = _with_owner_names(lapsed.withColumn("branch", _branch("branch")), spark, d)
+    sessions = sessions_by_staff(V.roster(spark, d), V.roster_map(spark, d), ent,
+                                 V.SESSIONS_FROM, as_of, V.SESSION_TASK,
+                                 corporate_sources=V.CORPORATE_SEGMENTS)
+    return {"visits": visits, "plans4": plans4, "plans3": plans3, "active": active,
+            "lapsed": lapsed, "sessions": sessions, "assessments": V.assessments(spark, d)}
+
+
+def _facts(spark: SparkSession, d: str, as_of: dt.date) -> DataFrame:
+    from planpulse.plans.scorecards import metric_facts
+    r = report_inputs(spark, d, as_of)
+    return metric_facts(r["visits"], r["plans4"], r["active"], r["lapsed"], r["assessments"])
+
+
+def _period_metrics(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.plans.scorecards import period_metrics
+    r = report_inputs(spark, d, V.SCORE)
+    return period_metrics(r["visits"], r["plans4"], r["active"], r["lapsed"], r["assessments"],
+                          V.SCORE)
+
+
+def _best(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.plans.benchmarks import best_period
+    return best_period(_facts(spark, d, V.SCORE), V.SCORE, V.BEST_FROM)
+
+
+# ---------------------------------------------------------------- C8, U1, W9
+def _staff_scorecard(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.plans.scorecards import staff_scorecard
+    r = report_inputs(spark, d, V.SCORE)
+    y = V.SCORE - dt.timedelta(days=1)
+    return staff_scorecard(r["visits"], r["sessions"], r["plans3"], r["active"], r["lapsed"],
+                           V.staff_raw(spark, d), V.alias_map(spark, d), y.replace(day=1), y,
+                           role_cols=("owner_a_name", "owner_b_name"))
+
+
+def q_staff_scorecard(spark: SparkSession, d: str) -> DataFrame:
+    return _staff_scorecard(spark, d)
+
+
+def q_owner_counts(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.operators.grouping import group_count
+    from planpulse.operators.reshape import unpivot_roles
+    p = V.plans(spark, d).select("owner_a", "owner_b")
+    return group_count(unpivot_roles(p, ["owner_a", "owner_b"], "owner"), ["owner"], "n")
+
+
+def q_extreme_flags(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.operators.grouping import extreme_flags
+    from planpulse.plans.scorecards import SCORECARD_METRICS
+    return extreme_flags(_staff_scorecard(spark, d), list(SCORECARD_METRICS), reverse=["inactive"])
+
+
+# ---------------------------------------------------------------- C9-C16
+def q_period_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return _period_metrics(spark, d).select("scope", "period", "metric", "value", "amount")
+
+
+def q_scorecard_change(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.plans.scorecards import scorecard
+    return scorecard(_period_metrics(spark, d), V.targets(spark))
+
+
+def q_working_days(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.plans.calendar import working_calendar
+    return working_calendar(V.plans(spark, d), "start_date", nth=(0, 10, 30))
+
+
+def q_best_period(spark: SparkSession, d: str) -> DataFrame:
+    return _best(spark, d).select("scope", "metric", "span", "best_value", "best_month", "best_label")
+
+
+def q_target_vs_achieved(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.plans.benchmarks import target_vs_achieved
+    return target_vs_achieved(_period_metrics(spark, d), _best(spark, d), V.targets(spark), V.SCORE)
+
+
+def _branch_list(spark: SparkSession, d: str) -> list[str]:
+    """The report's branch labels: a bounded dimension (region names after recode)."""
+    from planpulse.functions.text import recode
+    r = V.table(spark, d, "region").select(
+        recode(F.col("r_name"), V.BRANCH_RECODE, null_label="Unknown").alias("b")).distinct()
+    return sorted(x.b for x in r.collect() if x.b and x.b != "Unknown")
+
+
+def q_duration_mix(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.plans.mixes import duration_mix
+    r = report_inputs(spark, d, V.SCORE)
+    return duration_mix(r["plans4"], V.SCORE, _branch_list(spark, d))
+
+
+def q_source_mix(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.plans.mixes import source_mix
+    r = report_inputs(spark, d, V.SCORE)
+    y = V.SCORE - dt.timedelta(days=1)
+    return source_mix(r["visits"], r["plans4"], y.replace(day=1), y)
+
+
+def q_branch_metric_table(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.plans.mixes import branch_metric_table
+    return branch_metric_table(_period_metrics(spark, d), _best(spark, d))
+
+
+# ---------------------------------------------------------------- expressions
+def q_json_list_join(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.functions.text import json_list_text
+    p = V.table(spark, d, "part")
+    words = F.regexp_replace(F.col("p_name"), " ", '\\n", "\\t')
+    arr = (F.when(F.col("p_size") % 10 == 0, F.lit("[]"))
+            .when(F.col("p_size") % 10 == 1, F.lit("[null]"))
+            .when(F.col("p_size") % 10 == 2, F.lit(None).cast("string"))
+            .otherwise(F.concat(F.lit('[" '), words, F.lit('\\r"]'))))
+    primary = F.when(F.col("p_size") % 7 == 0, F.col("p_brand"))
+    return p.select("p_partkey", F.coalesce(primary, json_list_text(arr)).alias("primary_diagnosis"))
+
+
+def q_name_canonical(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.operators.names import canonical_names
+    s = V.table(spark, d, "supplier")
+    raw = (F.when(F.col("s_suppkey") % 11 == 0, F.lit("  nan "))
+            .when(F.col("s_suppkey") % 13 == 0, F.lit(" \t "))
+            .otherwise(V.messy_staff()))
+    df = s.select(F.col("s_suppkey").alias("staff_id"), raw.alias("staff_raw"))
+    return canonical_names(df, "staff_raw", V.alias_map(spark, d), "staff") \
+        .select("staff_id", "staff")
+
+
+def q_source_normalise(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.functions.text import source_rule
+    docs = V.table(spark, d, "documents")
+    return docs.select("doc_id", "source",
+                       source_rule(F.col("source"), brand="src1", variant="5", brand_label="S1",
+                                   variant_label="S1-5").alias("norm_source"))
+
+
+def q_reject_test_names(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.functions.predicates import reject_affix
+    return V.table(spark, d, "part").filter(reject_affix("p_name", "red")).select("p_partkey", "p_name")
+
+
+def q_trailing_year(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.functions.dates import month_label, trailing_months
+    v = V.visits(spark, d).filter(trailing_months("visit_date", V.SNAP))
+    return v.groupBy(F.trunc("visit_date", "month").alias("month_start"),
+                     month_label("visit_date").alias("opd_month")) \
+        .agg(F.count(F.lit(1)).alias("visits"))
+
+
+def feed_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Feed pages derived from orders: one page per order, shapes varied by key."""
+    o = V.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    ts = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    offset = (F.when(k % 4 == 0, F.lit("Z")).when(k % 4 == 1, F.lit("+05:30"))
+               .when(k % 4 == 2, F.lit("-08:00")).otherwise(F.lit(".123Z")))
+    created = F.when(k % 17 == 0, F.lit("not-a-date")).otherwise(F.concat(ts, offset))
+    pkg = (F.when(k % 3 == 0, F.concat(F.lit('{"name": "'), F.col("o_orderstatus"), F.lit('-plan", "price": 10}')))
+            .when(k % 3 == 1, F.concat(F.lit('[{"title": "T'), (k % 5).cast("string"), F.lit('"}, "extra", ""]')))
+            .otherwise(F.concat(F.lit('"flat-'), F.col("o_orderstatus"), F.lit('"'))))
+    asg = F.when(k % 2 == 0, F.concat(F.lit('[{"label": "L'), (F.col("o_custkey") % 9).cast("string"),
+                                      F.lit('"}, {"other": 5}]'))).otherwise(F.lit("null"))
+    rec = F.concat(F.lit('{"leadSource": "'), F.col("o_orderpriority"), F.lit('", "createdAt": "'), created,
+                   F.lit('", "package": '), pkg, F.lit(', "assignments": '), asg,
+                   F.lit(', "monthsWithUs": "'), (F.lit(1) + k % 12).cast("string"), F.lit('"}'))
+    junk = F.when(k % 19 == 0, F.lit(', "junk"')).otherwise(F.lit(""))
+    doc = F.concat(F.lit('{"data": ['), rec, junk, F.lit('], "meta": {"hasNextPage": false}}'))
+    return o.select(doc.alias("doc"))
+
+
+def q_feed_records(spark: SparkSession, d: str) -> DataFrame:
+    from planpulse.plans.feed import feed_records
+    return feed_records(feed_pages(spark, d), V.SNAP)
+
+
 QUERIES = {
     "active_snapshots": q_active_snapshots,
     "live_flag": q_live_flag,
@@ -181,4 +387,21 @@ QUERIES = {
     "suggest_flag": q_suggest_flag,
     "sessions_by_staff": q_sessions_by_staff,
     "conversions": q_conversions,
+    "staff_scorecard": q_staff_scorecard,
+    "owner_counts": q_owner_counts,
+    "extreme_flags": q_extreme_flags,
+    "period_metrics": q_period_metrics,
+    "scorecard_change": q_scorecard_change,
+    "working_days": q_working_days,
+    "best_period": q_best_period,
+    "target_vs_achieved": q_target_vs_achieved,
+    "duration_mix": q_duration_mix,
+    "source_mix": q_source_mix,
+    "branch_metric_table": q_branch_metric_table,
+    "json_list_join": q_json_list_join,
+    "name_canonical": q_name_canonical,
+    "source_normalise": q_source_normalise,
+    "reject_test_names": q_reject_test_names,
+    "trailing_year": q_trailing_year,
+    "feed_records": q_feed_records,
 }

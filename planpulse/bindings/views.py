@@ -144,3 +144,47 @@ def roster_map(spark: SparkSession, d: str) -> DataFrame:
 def staff_names(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier")
     return s.select(F.col("s_suppkey").alias("staff_id"), F.col("s_name").alias("staff_name"))
+
+
+# --- report-level stand-ins ----------------------------------------------
+BRANCH_RECODE = {"MIDDLE EAST": "MIDEAST"}
+TARGET_ROWS = (
+    ("Overall", "New OPDs", 40), ("Overall", "New Plan", 6), ("Overall", "Revivals", 0),
+    ("Overall", "Revenue", 2000000), ("AMERICA", "New OPDs", 8), ("ASIA", "F/U OPDs", 30),
+    ("EUROPE", "Inactive", 5), ("AFRICA", "Revenue", 0),
+)
+
+
+def messy_staff(col: str = "s_name"):
+    """Supplier names as hand-typed staff names: padded, with a doubled space."""
+    return F.concat(F.lit("  "), F.regexp_replace(F.col(col), "#", "  #"), F.lit(" "))
+
+
+def staff_raw(spark: SparkSession, d: str) -> DataFrame:
+    s = table(spark, d, "supplier")
+    return s.select(F.col("s_suppkey").alias("staff_id"), messy_staff().alias("staff_raw"))
+
+
+def alias_map(spark: SparkSession, d: str) -> DataFrame:
+    """Alias table derived from supplier: staff of nations 1-2 merge into a team
+    name; nation 0 maps to '' (dropped)."""
+    s = table(spark, d, "supplier").filter(F.col("s_nationkey") < 3)
+    return s.select(F.regexp_replace("s_name", "#", " #").alias("tech_name"),
+                    F.when(F.col("s_nationkey") == 0, F.lit(""))
+                     .otherwise(F.concat(F.lit("Team "), F.col("s_nationkey").cast("string")))
+                     .alias("final_name")).distinct()
+
+
+def assessments(spark: SparkSession, d: str) -> DataFrame:
+    """Assessments from purchase events: region by user, count and cost from the event."""
+    ev = table(spark, d, "events").filter(F.col("event_type") == "purchase")
+    r = table(spark, d, "region").select("r_regionkey", "r_name")
+    j = ev.join(F.broadcast(r), (ev.user_id % 5) == r.r_regionkey, "left")
+    return j.select(F.add_months(F.col("ts").cast("date"), SESSION_SHIFT_MONTHS).alias("date"),
+                    F.col("r_name").alias("center"),
+                    (F.lit(1) + F.col("event_id") % 3).cast("double").alias("assess_no"),
+                    F.col("value").alias("cost"))
+
+
+def targets(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(TARGET_ROWS), "scope string, category string, target bigint")
