@@ -304,7 +304,7 @@ def q_branch_metric_table(spark: SparkSession, d: str) -> DataFrame:
 def q_json_list_join(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.functions.text import json_list_text
     p = V.table(spark, d, "part")
-    words = F.regexp_replace(F.col("p_name"), " ", '\\n", "\\t')
+    words = F.replace(F.col("p_name"), F.lit(" "), F.lit('\\n", "\\t'))
     arr = (F.when(F.col("p_size") % 10 == 0, F.lit("[]"))
             .when(F.col("p_size") % 10 == 1, F.lit("[null]"))
             .when(F.col("p_size") % 10 == 2, F.lit(None).cast("string"))

@@ -115,7 +115,7 @@ def visits(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("l_quantity") > 5, F.lit("S")).otherwise(F.lit("")).alias("slot"),
         F.col("l_linenumber").alias("status"),
         F.col("l_suppkey").alias("staff_id"),
-        F.col("l_extendedprice").alias("amount"))
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
 
 
 def prescriptions(spark: SparkSession, d: str) -> DataFrame:
@@ -183,7 +183,7 @@ def assessments(spark: SparkSession, d: str) -> DataFrame:
     return j.select(F.add_months(F.col("ts").cast("date"), SESSION_SHIFT_MONTHS).alias("date"),
                     F.col("r_name").alias("center"),
                     (F.lit(1) + F.col("event_id") % 3).cast("double").alias("assess_no"),
-                    F.col("value").alias("cost"))
+                    F.col("value").cast("decimal(18,2)").alias("cost"))
 
 
 def targets(spark: SparkSession) -> DataFrame:

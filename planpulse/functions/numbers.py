@@ -24,10 +24,18 @@ def default_zero(c, value=0) -> Column:
     return F.coalesce(_c(c), F.lit(value))
 
 
+MONEY = "decimal(18,2)"
+
+
+def money(c) -> Column:
+    """Tolerant money: unparsable or missing -> 0, as an exact DECIMAL(18,2)."""
+    return F.coalesce(_c(c).try_cast(MONEY), F.lit(0).cast(MONEY))
+
+
 def default_amount(c, value=K.DEFAULT_VISIT_AMOUNT) -> Column:
-    """Tolerant number: unparsable or missing -> 0, then 0 -> ``value``."""
-    x = F.coalesce(_c(c).try_cast("double"), F.lit(0.0))
-    return F.when(x == 0, F.lit(float(value))).otherwise(x)
+    """Tolerant money, then 0 -> ``value`` (P11).  Sums of money stay exact DECIMAL."""
+    x = money(c)
+    return F.when(x == 0, F.lit(value).cast(MONEY)).otherwise(x)
 
 
 def clamp_low(c, low=1) -> Column:

@@ -44,7 +44,7 @@ def best_period(facts: DataFrame, as_of: dt.date, best_from: dt.date) -> DataFra
     tags = F.array(F.when(in_range, F.concat(label, F.lit("|full"))),
                    F.when(in_range & same, F.concat(label, F.lit("|same"))))
     periods = F.array(*[F.lit(f"{m.isoformat()}|{s}") for m in months for s in ("same", "full")])
-    long = tagged_metrics(facts, tags, periods)
+    long = tagged_metrics(facts, tags, periods).filter(F.col("metric") != K.REVENUE_LABEL)
     long = long.withColumn("month", F.to_date(F.substring("period", 1, 10))) \
                .withColumn("span", F.substring_index("period", "|", -1)) \
                .withColumn("_order", F.datediff("month", F.lit("1970-01-01").cast("date")))

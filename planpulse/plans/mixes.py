@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from planpulse import constants as K
 from planpulse.functions.dates import as_date
-from planpulse.functions.numbers import clamp_low, ratio_pct, to_whole
+from planpulse.functions.numbers import clamp_low, money, ratio_pct, to_whole
 from planpulse.functions.text import duration_label, source_rule
 from planpulse.operators.grouping import ordered_labels
 from planpulse.plans.scorecards import report_periods
@@ -35,7 +35,7 @@ def duration_mix(plans: DataFrame, as_of: dt.date, branches: Sequence[str],
     listed = F.col("branch").isin(list(branches))
     facts = npd.select("duration_months", "branch",
                        F.explode(F.array_compact(tags)).alias("period"),
-                       F.coalesce(F.col("amount").try_cast("double"), F.lit(0.0)).alias("amount"))
+                       money("amount").alias("amount"))
     facts = facts.filter(listed)
     by_branch = facts.groupBy("duration_months", "period", "branch") \
         .agg(F.count(F.lit(1)).alias("plan_count"), F.sum("amount").alias("amount"))
@@ -51,7 +51,7 @@ def duration_mix(plans: DataFrame, as_of: dt.date, branches: Sequence[str],
     return out.select("duration_months", duration_label("duration_months").alias("duration_label"),
                       "label_rank", "period", "scope",
                       F.coalesce(F.col("plan_count"), F.lit(0)).cast("bigint").alias("plan_count"),
-                      to_whole(F.coalesce(F.col("amount"), F.lit(0.0))).alias("amount"))
+                      to_whole(F.coalesce(F.col("amount"), F.lit(0))).alias("amount"))
 
 
 def source_mix(visits: DataFrame, plans: DataFrame, d1: dt.date, d2: dt.date,

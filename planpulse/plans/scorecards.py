@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from planpulse import constants as K
 from planpulse.functions.dates import as_date, month_start
 from planpulse.functions.numbers import (
-    attainment, change_pct, change_pp, default_amount, derived_target, pending_pct, ratio_pct,
+    MONEY, attainment, change_pct, change_pp, default_amount, derived_target, money,
+    pending_pct, ratio_pct,
 )
 from planpulse.operators.grouping import scoped_agg
 from planpulse.operators.joins import spine_join
@@ -107,20 +108,20 @@ def metric_facts(visits: DataFrame, plans: DataFrame, active: DataFrame, lapsed:
         F.when(F.col("plan_type") == "New Plan", F.lit("New Plan"))
          .when(F.col("plan_type") == "Renewal", F.lit("Renewals"))
          .when(F.col("plan_type") == "Revival", F.lit("Revivals")).alias("metric"),
-        F.coalesce(F.col("amount").try_cast("double"), F.lit(0.0)).alias("amount"))
+        money("amount").alias("amount"))
     i = lapsed.select(F.col(branch_col).alias("branch"), F.col("inactive_date").alias("day"),
-                      F.lit("Inactive").alias("metric"), F.lit(None).cast("double").alias("amount"))
+                      F.lit("Inactive").alias("metric"), F.lit(None).cast(MONEY).alias("amount"))
     parts = [x.withColumn("month", F.lit(None).cast("date")).withColumn("n", F.lit(1.0))
              for x in (v, p, i)]
     a = active.select(F.col(branch_col).alias("branch"), F.lit(None).cast("date").alias("day"),
-                      F.lit("Active").alias("metric"), F.lit(None).cast("double").alias("amount"),
+                      F.lit("Active").alias("metric"), F.lit(None).cast(MONEY).alias("amount"),
                       F.col("active_date").alias("month"), F.lit(1.0).alias("n"))
     facts = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(a) \
         .withColumn("listed", F.lit(True))
     if assessments is not None:
         s = assessments.select(F.col("center").alias("branch"), F.col("date").alias("day"),
                                F.lit("Assessments").alias("metric"),
-                               F.col("cost").cast("double").alias("amount"),
+                               money("cost").alias("amount"),
                                F.lit(None).cast("date").alias("month"),
                                F.col("assess_no").cast("double").alias("n"),
                                F.lit(False).alias("listed"))
@@ -139,9 +140,10 @@ def _finish_metrics(agg: DataFrame, keys: Sequence[str]) -> DataFrame:
                        ratio_pct(F.coalesce(F.col("_np"), F.lit(0.0)),
                                  F.coalesce(F.col("_no"), F.lit(0.0))).alias("value"),
                        F.lit(None).cast("double").alias("amount"))
+    rev_amt = F.coalesce(F.col("_rev"), F.lit(0)).cast("double")
     rev = per.select(*ks, F.lit(K.REVENUE_LABEL).alias("metric"),
-                     F.coalesce(F.col("_rev"), F.lit(0.0)).alias("value"),
-                     F.coalesce(F.col("_rev"), F.lit(0.0)).alias("amount"))
+                     rev_amt.alias("value"), rev_amt.alias("amount"))
+    agg = agg.withColumn("amount", F.col("amount").cast("double"))
     return agg.unionByName(ratio).unionByName(rev)
 
 
@@ -177,7 +179,7 @@ def tagged_metrics(facts: DataFrame, tags: Column, periods: Column,
     full = grid.join(values, ["scope", "period", "metric"], "left") \
         .withColumn("value", F.coalesce(F.col("value"), F.lit(0.0))) \
         .withColumn("amount", F.when(F.col("metric").isin(list(K.AMOUNT_CATEGORIES)),
-                                     F.coalesce(F.col("amount"), F.lit(0.0))))
+                                     F.coalesce(F.col("amount"), F.lit(0))))
     return _finish_metrics(full, ["period"])
 
 
