@@ -179,48 +179,93 @@ def _with_owner_names(df: DataFrame, spark: SparkSession, d: str) -> DataFrame:
               .drop("_a", "_b"))
 
 
-def report_inputs(spark: SparkSession, d: str, as_of: dt.date) -> dict[str, DataFrame]:
-    """The C1-C6 frames a report at ``as_of`` reads, bound to the stand-in views."""
-    ent = V.entities(spark, d)
-    plans_b = V.plans_with_branch(spark, d)
-    cut = _cut(plans_b, "start_date", as_of)
-    visits = _visits_c5(spark, d, as_of).join(V.staff_raw(spark, d), "staff_id", "left")
-    visits = visits.withColumn("branch", _branch("entity_branch"))
-    plans4 = plan_cycle_simple(_cut(V.plans(spark, d), "start_date", as_of), ent, V.visits(spark, d),
-                               V.terms(spark, d), as_of,
-                               excluded_sources=V.EXCLUDED_ENTITY_SOURCES, visit_keys=V.VISIT_KEYS)
-    plans4 = plans4.withColumn("branch", _branch("entity_branch"))
-    plans3 = plan_cycle(V.plans(spark, d), ent, V.visits(spark, d), as_of, type_rule=_type_rule)
-    active = active_snapshots(plans_b, V.assignments(spark, d), ent, V.terms(spark, d),
-                              V.BEST_FROM, as_of, excluded_sources=V.EXCLUDED_PLAN_SOURCES,
-                              expired_status=V.EXPIRED)
-    active = _with_owner_names(active.withColumn("branch", _branch("branch")), spark, d)
-    lapsed = lapsed_entities(cut, ent, V.terms(spark, d), as_of,
-                             excluded_sources=V.EXCLUDED_PLAN_SOURCES)
-    lapsed = _with_owner_names(lapsed.withColumn("branch", _branch("branch")), spark, d)
-    sessions = sessions_by_staff(V.roster(spark, d), V.roster_map(spark, d), ent,
-                                 V.SESSIONS_FROM, as_of, V.SESSION_TASK,
+class _ReportInputs:
+    """The C1-C6 frames a report at ``as_of`` reads, bound to the stand-in views.
+
+    Each frame is built on first use and then shared, so a query builds only
+    the inputs it reads and two reports in one session share one subtree.
+    """
+
+    def __init__(self, spark: SparkSession, d: str, as_of: dt.date):
+        self.spark, self.d, self.as_of = spark, d, as_of
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = getattr(self, "_" + name)()
+        return self._built[name]
+
+    def _visits(self) -> DataFrame:
+        spark, d = self.spark, self.d
+        v = _visits_c5(spark, d, self.as_of).join(V.staff_raw(spark, d), "staff_id", "left")
+        return v.withColumn("branch", _branch("entity_branch"))
+
+    def _plans4(self) -> DataFrame:
+        spark, d = self.spark, self.d
+        p = plan_cycle_simple(_cut(V.plans(spark, d), "start_date", self.as_of), V.entities(spark, d),
+                              V.visits(spark, d), V.terms(spark, d), self.as_of,
+                              excluded_sources=V.EXCLUDED_ENTITY_SOURCES, visit_keys=V.VISIT_KEYS)
+        return p.withColumn("branch", _branch("entity_branch"))
+
+    def _plans3(self) -> DataFrame:
+        spark, d = self.spark, self.d
+        return plan_cycle(V.plans(spark, d), V.entities(spark, d), V.visits(spark, d), self.as_of,
+                          type_rule=_type_rule)
+
+    def _active(self) -> DataFrame:
+        spark, d = self.spark, self.d
+        a = active_snapshots(V.plans_with_branch(spark, d), V.assignments(spark, d),
+                             V.entities(spark, d), V.terms(spark, d), V.BEST_FROM, self.as_of,
+                             excluded_sources=V.EXCLUDED_PLAN_SOURCES, expired_status=V.EXPIRED)
+        return _with_owner_names(a.withColumn("branch", _branch("branch")), spark, d)
+
+    def _lapsed(self) -> DataFrame:
+        spark, d = self.spark, self.d
+        cut = _cut(V.plans_with_branch(spark, d), "start_date", self.as_of)
+        lapsed = lapsed_entities(cut, V.entities(spark, d), V.terms(spark, d), self.as_of,
+                                 excluded_sources=V.EXCLUDED_PLAN_SOURCES)
+        return _with_owner_names(lapsed.withColumn("branch", _branch("branch")), spark, d)
+
+    def _sessions(self) -> DataFrame:
+        spark, d = self.spark, self.d
+        return sessions_by_staff(V.roster(spark, d), V.roster_map(spark, d), V.entities(spark, d),
+                                 V.SESSIONS_FROM, self.as_of, V.SESSION_TASK,
                                  corporate_sources=V.CORPORATE_SEGMENTS)
-    return {"visits": visits, "plans4": plans4, "plans3": plans3, "active": active,
-            "lapsed": lapsed, "sessions": sessions, "assessments": V.assessments(spark, d)}
+
+    def _assessments(self) -> DataFrame:
+        return V.assessments(self.spark, self.d)
+
+
+_INPUTS: dict[tuple[int, str, dt.date], _ReportInputs] = {}
+
+
+def report_inputs(spark: SparkSession, d: str, as_of: dt.date) -> _ReportInputs:
+    key = (id(spark), d, as_of)
+    hit = _INPUTS.get(key)
+    if hit is None or hit.spark is not spark:
+        hit = _INPUTS[key] = _ReportInputs(spark, d, as_of)
+    return hit
 
 
 def _facts(spark: SparkSession, d: str, as_of: dt.date) -> DataFrame:
-    from planpulse.plans.scorecards import metric_facts
+    """Daily metric facts of the report inputs, checkpointed once and shared."""
+    from planpulse.plans.scorecards import daily_facts, metric_facts
+    from planpulse.session import materialize
     r = report_inputs(spark, d, as_of)
-    return metric_facts(r["visits"], r["plans4"], r["active"], r["lapsed"], r["assessments"])
+    return materialize(daily_facts(metric_facts(r["visits"], r["plans4"], r["active"],
+                                                r["lapsed"], r["assessments"])))
 
 
-def _period_metrics(spark: SparkSession, d: str) -> DataFrame:
-    from planpulse.plans.scorecards import period_metrics
-    r = report_inputs(spark, d, V.SCORE)
-    return period_metrics(r["visits"], r["plans4"], r["active"], r["lapsed"], r["assessments"],
-                          V.SCORE)
+def _period_metrics(spark: SparkSession, d: str, facts: DataFrame | None = None) -> DataFrame:
+    from planpulse.plans.scorecards import period_metrics_from_facts
+    facts = facts if facts is not None else _facts(spark, d, V.SCORE)
+    return period_metrics_from_facts(facts, V.SCORE)
 
 
-def _best(spark: SparkSession, d: str) -> DataFrame:
+def _best(spark: SparkSession, d: str, facts: DataFrame | None = None) -> DataFrame:
     from planpulse.plans.benchmarks import best_period
-    return best_period(_facts(spark, d, V.SCORE), V.SCORE, V.BEST_FROM)
+    facts = facts if facts is not None else _facts(spark, d, V.SCORE)
+    return best_period(facts, V.SCORE, V.BEST_FROM)
 
 
 # ---------------------------------------------------------------- C8, U1, W9
@@ -271,7 +316,9 @@ def q_best_period(spark: SparkSession, d: str) -> DataFrame:
 
 def q_target_vs_achieved(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.plans.benchmarks import target_vs_achieved
-    return target_vs_achieved(_period_metrics(spark, d), _best(spark, d), V.targets(spark), V.SCORE)
+    facts = _facts(spark, d, V.SCORE)
+    return target_vs_achieved(_period_metrics(spark, d, facts), _best(spark, d, facts),
+                              V.targets(spark), V.SCORE)
 
 
 def _branch_list(spark: SparkSession, d: str) -> list[str]:
@@ -297,7 +344,8 @@ def q_source_mix(spark: SparkSession, d: str) -> DataFrame:
 
 def q_branch_metric_table(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.plans.mixes import branch_metric_table
-    return branch_metric_table(_period_metrics(spark, d), _best(spark, d))
+    facts = _facts(spark, d, V.SCORE)
+    return branch_metric_table(_period_metrics(spark, d, facts), _best(spark, d, facts))
 
 
 # ---------------------------------------------------------------- expressions

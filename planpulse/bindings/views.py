@@ -24,6 +24,7 @@ Mapping (the DuckDB twin is ``planpulse.bindings.oracle``):
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +47,35 @@ VISIT_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 # ------------------------------------------------------------------------
 
 
+_TABLES: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
+
+
+def _shared(fn):
+    """Build a view once per (session, folder): every query that reads it shares
+    one logical subtree, which keeps plans small and lets Spark reuse exchanges."""
+    memo: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, d: str) -> DataFrame:
+        key = (id(spark), d)
+        hit = memo.get(key)
+        if hit is None or hit[0] is not spark:
+            hit = memo[key] = (spark, fn(spark, d))
+        return hit[1]
+    return wrapper
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """One DataFrame per (session, folder, table): repeated uses share one relation,
+    so the file listing happens once and Spark can reuse identical exchanges."""
+    key = (id(spark), d, name)
+    hit = _TABLES.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _TABLES[key] = (spark, spark.read.parquet(f"{d}/{name}.parquet"))
+    return hit[1]
 
 
+@_shared
 def branches(spark: SparkSession, d: str) -> DataFrame:
     """nation -> region name.  Both tables are fixed-size dimensions (25 and 5 rows
     by the schema's definition), so the broadcast is bounded."""
@@ -59,6 +85,7 @@ def branches(spark: SparkSession, d: str) -> DataFrame:
             .select(F.col("n_nationkey").alias("_nation"), F.col("r_name").alias("branch"))
 
 
+@_shared
 def entities(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
     e = c.select(
@@ -70,6 +97,7 @@ def entities(spark: SparkSession, d: str) -> DataFrame:
             .drop("_nation")
 
 
+@_shared
 def plans(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     start = F.col("o_orderdate").cast("date")
@@ -83,6 +111,7 @@ def plans(spark: SparkSession, d: str) -> DataFrame:
         (F.col("o_orderkey") % 25).alias("owner_a"), (F.col("o_orderkey") % 7).alias("owner_b"))
 
 
+@_shared
 def plans_with_branch(spark: SparkSession, d: str) -> DataFrame:
     """Plans with the entity's branch (the plan's own branch in the original)."""
     e = entities(spark, d).select(F.col("entity_id").alias("_eid"), "branch")
@@ -90,23 +119,27 @@ def plans_with_branch(spark: SparkSession, d: str) -> DataFrame:
     return p.join(e, p.entity_id == e._eid, "left").drop("_eid")
 
 
+@_shared
 def assignments(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     return li.select(F.col("l_orderkey").alias("plan_id"), F.col("l_linestatus").alias("status"))
 
 
+@_shared
 def terms(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     return li.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45)) \
              .select(F.col("l_orderkey").alias("plan_ref"), *VISIT_KEYS)
 
 
+@_shared
 def _lineitem_entity(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     o = table(spark, d, "orders").select(F.col("o_orderkey"), F.col("o_custkey").alias("entity_id"))
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner").drop("o_orderkey")
 
 
+@_shared
 def visits(spark: SparkSession, d: str) -> DataFrame:
     v = _lineitem_entity(spark, d)
     return v.select(
@@ -118,6 +151,7 @@ def visits(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
 
 
+@_shared
 def prescriptions(spark: SparkSession, d: str) -> DataFrame:
     v = _lineitem_entity(spark, d)
     return v.select("entity_id",
@@ -125,6 +159,7 @@ def prescriptions(spark: SparkSession, d: str) -> DataFrame:
                      .when(F.col("l_returnflag") == "A", F.lit(False)).alias("suggested"))
 
 
+@_shared
 def roster(spark: SparkSession, d: str) -> DataFrame:
     ev = table(spark, d, "events")
     return ev.select(
@@ -135,12 +170,14 @@ def roster(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("event_id") % 10 == 0, F.lit(0)).otherwise(F.lit(1)).alias("is_active"))
 
 
+@_shared
 def roster_map(spark: SparkSession, d: str) -> DataFrame:
     ev = table(spark, d, "events")
     return ev.select(F.col("event_id").alias("roster_id"),
                      F.get_json_object("props", "$.k").cast("bigint").alias("entity_id"))
 
 
+@_shared
 def staff_names(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier")
     return s.select(F.col("s_suppkey").alias("staff_id"), F.col("s_name").alias("staff_name"))
@@ -160,11 +197,13 @@ def messy_staff(col: str = "s_name"):
     return F.concat(F.lit("  "), F.regexp_replace(F.col(col), "#", "  #"), F.lit(" "))
 
 
+@_shared
 def staff_raw(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier")
     return s.select(F.col("s_suppkey").alias("staff_id"), messy_staff().alias("staff_raw"))
 
 
+@_shared
 def alias_map(spark: SparkSession, d: str) -> DataFrame:
     """Alias table derived from supplier: staff of nations 1-2 merge into a team
     name; nation 0 maps to '' (dropped)."""
@@ -175,6 +214,7 @@ def alias_map(spark: SparkSession, d: str) -> DataFrame:
                      .alias("final_name")).distinct()
 
 
+@_shared
 def assessments(spark: SparkSession, d: str) -> DataFrame:
     """Assessments from purchase events: region by user, count and cost from the event."""
     ev = table(spark, d, "events").filter(F.col("event_type") == "purchase")

@@ -35,22 +35,20 @@ def plan_history(plans: DataFrame, entity: str, start: str, due: str, tiebreak:
                       F.max_by(F.col(due), F.col(tiebreak)).alias("_last_due")))
     by_entity = Window.partitionBy(entity).orderBy(F.col(start).asc_nulls_last())
     before = by_entity.rowsBetween(Window.unboundedPreceding, -1)
-    days = (days.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-                .withColumn("_prev_day", F.lag(start).over(by_entity))
-                .withColumn("_prev_day_due", F.lag("_last_due").over(by_entity))
-                .select(F.col(entity).alias("_e"), F.col(start).alias("_s"),
-                        "_n", "_before", "_prev_day", "_prev_day_due"))
+    days = days.select(F.col(entity).alias("_e"), F.col(start).alias("_s"), "_n",
+                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                       F.lag(start).over(by_entity).alias("_prev_day"),
+                       F.lag("_last_due").over(by_entity).alias("_prev_day_due"))
     joined = plans.join(days, F.col(entity).eqNullSafe(F.col("_e"))
                         & F.col(start).eqNullSafe(F.col("_s")), "inner")
     within_day = Window.partitionBy("_e", "_s").orderBy(F.col(tiebreak).asc_nulls_last())
     k = F.row_number().over(within_day)
-    return (joined
-            .withColumn("_k", k)
-            .withColumn(prefix + "seq", (F.col("_before") + F.col("_k")).cast("bigint"))
-            .withColumn(prefix + "running_count", (F.col("_before") + F.col("_n")).cast("bigint"))
-            .withColumn(prefix + "prev_start",
-                        F.when(F.col("_k") > 1, F.col(start)).otherwise(F.col("_prev_day")))
-            .withColumn(prefix + "prev_due",
-                        F.when(F.col("_k") > 1, F.lag(due).over(within_day))
-                         .otherwise(F.col("_prev_day_due")))
-            .drop("_e", "_s", "_n", "_before", "_prev_day", "_prev_day_due", "_k"))
+    ranked = joined.withColumns({"_k": k, "_prev_in_day": F.lag(due).over(within_day)})
+    first_of_day = F.col("_k") == 1
+    return ranked.withColumns({
+        prefix + "seq": (F.col("_before") + F.col("_k")).cast("bigint"),
+        prefix + "running_count": (F.col("_before") + F.col("_n")).cast("bigint"),
+        prefix + "prev_start": F.when(first_of_day, F.col("_prev_day")).otherwise(F.col(start)),
+        prefix + "prev_due": F.when(first_of_day, F.col("_prev_day_due"))
+                              .otherwise(F.col("_prev_in_day")),
+    }).drop("_e", "_s", "_n", "_before", "_prev_day", "_prev_day_due", "_k", "_prev_in_day")

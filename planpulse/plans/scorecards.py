@@ -129,6 +129,18 @@ def metric_facts(visits: DataFrame, plans: DataFrame, active: DataFrame, lapsed:
     return facts.filter(F.col("metric").isNotNull())
 
 
+def daily_facts(facts: DataFrame) -> DataFrame:
+    """Pre-aggregate facts to one row per (branch, metric, day, month, listed).
+
+    Every report metric is a count or a sum over days, so this partial
+    aggregate loses nothing; its size is bounded by branches x metrics x
+    calendar days, not by the data volume.  Reports that share it should
+    checkpoint it once (``session.materialize``) and read it several times.
+    """
+    return facts.groupBy("branch", "metric", "day", "month", "listed") \
+        .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+
+
 def _finish_metrics(agg: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add NO2P % and Revenue rows to a long (scope, keys, metric, value, amount) table."""
     ks = ["scope", *keys]
@@ -194,8 +206,13 @@ def period_metrics(visits: DataFrame, plans: DataFrame, active: DataFrame, lapse
     OPDs; Revenue = the sum of the six amounts.  Every (scope, period,
     metric) is present, zero when empty.
     """
+    facts = daily_facts(metric_facts(visits, plans, active, lapsed, assessments, branch_col))
+    return period_metrics_from_facts(facts, as_of)
+
+
+def period_metrics_from_facts(facts: DataFrame, as_of: dt.date) -> DataFrame:
+    """``period_metrics`` over prepared (daily) facts."""
     periods = report_periods(as_of)
-    facts = metric_facts(visits, plans, active, lapsed, assessments, branch_col)
     tags = []
     for name, (d1, d2, month) in periods.items():
         hit = F.when(F.col("metric") == "Active", F.col("month") == as_date(month)) \
