@@ -103,7 +103,7 @@ def attainment(achieved, target) -> Column:
 def pending_pct(attained) -> Column:
     """``max(0, 100 - attained)`` to 1 decimal (F16)."""
     p = _c(attained)
-    return F.bround(F.greatest(F.lit(0.0), F.lit(100.0) - p), 1)
+    return F.when(p.isNotNull(), F.bround(F.greatest(F.lit(0.0), F.lit(100.0) - p), 1))
 
 
 def derived_target(active, share: float = K.RENEWAL_TARGET_SHARE) -> Column:

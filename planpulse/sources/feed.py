@@ -14,7 +14,7 @@ def load_feed(spark: SparkSession, path: str) -> DataFrame:
     Pages are the API's responses saved as files (one JSON document per
     file); the original fetched them in a paging loop on one machine.
     """
-    return spark.read.option("wholetext", True).text(path).select(F.col("value").alias("doc"))
+    return spark.read.text(path, wholetext=True).select(F.col("value").alias("doc"))
 
 
 def feed_rows(pages: DataFrame, doc_col: str = "doc") -> DataFrame:
