@@ -96,6 +96,12 @@ def source_mix(visits: DataFrame, plans: DataFrame, d1: dt.date, d2: dt.date,
                     "label_rank", "is_total")
 
 
+def order_source_mix(mix: DataFrame) -> DataFrame:
+    """Display order of the source mix (O3): rows by total visits descending, the label as
+    tie-break (the original's sort was unstable), the Total row pinned last."""
+    return mix.orderBy(F.col("is_total").asc(), F.col("total_visits").desc(), F.col("source").asc())
+
+
 GRAPH_METRICS = ("New OPDs", "F/U OPDs", "Suggest RPP", "New Plan", "Renewals", "Revivals",
                  "Assessments", "Active", "Inactive")
 

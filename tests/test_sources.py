@@ -48,8 +48,8 @@ def test_assessments_headers(spark, tmp_path):
 def test_write_report_and_registry(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
     out = str(tmp_path / "rep")
-    write_report(df, out, "parquet")
-    write_report(df.filter("v = 2"), out, "parquet")      # full replace
+    assert write_report(df, out, "parquet") == 2
+    assert write_report(df.filter("v = 2"), out, "parquet") == 1     # full replace
     assert rows(spark.read.parquet(out)) == [("b", 2)]
     write_report(df, str(tmp_path / "csv"), "csv", order_by=["k"])
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
@@ -60,6 +60,15 @@ def test_write_report_and_registry(spark, tmp_path):
         reg.get("y")
 
 
+def test_load_tables(spark, tmp_path):
+    from planpulse.schemas import PRESCRIPTIONS
+    from planpulse.sources import load_tables
+    spark.createDataFrame([("e1", True), ("e2", None)], PRESCRIPTIONS) \
+        .write.parquet(str(tmp_path / "prescriptions"))
+    t = load_tables(spark, str(tmp_path), ["prescriptions"])
+    assert rows(t["prescriptions"]) == [("e1", True), ("e2", None)]
+
+
 def test_load_feed_pages(spark, tmp_path):
     d = tmp_path / "pages"
     d.mkdir()
