@@ -292,7 +292,10 @@ def q_owner_counts(spark: SparkSession, d: str) -> DataFrame:
 def q_extreme_flags(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.operators.grouping import extreme_flags
     from planpulse.plans.scorecards import SCORECARD_METRICS
-    return extreme_flags(_staff_scorecard(spark, d), list(SCORECARD_METRICS), reverse=["inactive"])
+    from planpulse.session import materialize
+    # The scorecard is small (one row per staff) and read twice: checkpoint it once.
+    card = materialize(_staff_scorecard(spark, d))
+    return extreme_flags(card, list(SCORECARD_METRICS), reverse=["inactive"])
 
 
 # ---------------------------------------------------------------- C9-C16

@@ -61,21 +61,19 @@ def extreme_flags(df: DataFrame, cols: Sequence[str], reverse: Sequence[str] = (
 
     Best is the maximum (the minimum for ``reverse`` columns), worst the
     other end; when all non-zero values are equal only 'best' is set; zeros
-    are never marked.  The extremes are one global partial aggregate (one
-    row), attached to every row by a broadcast join on a constant key.
+    are never marked.  The extremes are one global partial aggregate read as
+    a scalar subquery: computed once, no join and no single-partition window.
     """
-    stats = df.agg(*[F.max(F.when(F.col(c) != 0, F.col(c))).alias(f"_hi_{i}") for i, c in enumerate(cols)],
-                   *[F.min(F.when(F.col(c) != 0, F.col(c))).alias(f"_lo_{i}") for i, c in enumerate(cols)]) \
-              .withColumn("_one", F.lit(1))
-    out = df.withColumn("_one", F.lit(1)).join(F.broadcast(stats), "_one", "inner")
+    stats = df.agg(*[F.max(F.when(F.col(c) != 0, F.col(c))).alias(f"hi{i}") for i, c in enumerate(cols)],
+                   *[F.min(F.when(F.col(c) != 0, F.col(c))).alias(f"lo{i}") for i, c in enumerate(cols)])
+    ext = stats.select(F.struct(*stats.columns).alias("x")).scalar()
+    flags = {}
     for i, c in enumerate(cols):
-        hi, lo, v = F.col(f"_hi_{i}"), F.col(f"_lo_{i}"), F.col(c)
+        hi, lo, v = ext.getField(f"hi{i}"), ext.getField(f"lo{i}"), F.col(c)
         good, bad = (lo, hi) if c in reverse else (hi, lo)
-        flag = (F.when((v != 0) & (v == good), F.lit("best"))
-                 .when((v != 0) & (v == bad) & (hi != lo), F.lit("worst")))
-        out = out.withColumn(c + suffix, flag)
-    return out.drop("_one", *[f"_hi_{i}" for i in range(len(cols))],
-                    *[f"_lo_{i}" for i in range(len(cols))])
+        flags[c + suffix] = (F.when((v != 0) & (v == good), F.lit("best"))
+                              .when((v != 0) & (v == bad) & (hi != lo), F.lit("worst")))
+    return df.withColumns(flags)
 
 
 def ordered_labels(df: DataFrame, label: str, preferred: Sequence,

@@ -79,6 +79,13 @@ def main():
             bad += 1
             continue
         cmatch = sorted(cols) == sorted(ocols)
+        tmap = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                "date": "DATE", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
+        stypes = {f.name: tmap.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema}
+        otypes = {c[0]: str(c[1]) for c in res.description}
+        tdiff = {c: (stypes[c], otypes.get(c)) for c in stypes if c in otypes and stypes[c] != otypes[c]}
+        if tdiff:
+            print(f"   type differences: {tdiff}")
         if cmatch:
             order = [ocols.index(c) for c in sorted(cols)]
             sorder = [cols.index(c) for c in sorted(cols)]
