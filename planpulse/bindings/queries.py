@@ -40,16 +40,17 @@ def _type_rule(source, amount, csr_id):
 def q_active_snapshots(spark: SparkSession, d: str) -> DataFrame:
     snap = active_snapshots(V.plans(spark, d), V.assignments(spark, d), V.entities(spark, d),
                             V.terms(spark, d), V.SNAP_FIRST_MONTH, V.SNAP,
-                            excluded_sources=V.EXCLUDED_PLAN_SOURCES, expired_status=V.EXPIRED)
-    return snap.select("active_date", "plan_id", "entity_id", "start_date", "due_date",
+                            excluded_sources=V.EXCLUDED_PLAN_SOURCES, expired_status=V.EXPIRED,
+                            entity_cols=["name"])
+    return snap.select("active_date", "plan_id", "entity_id", "name", "start_date", "due_date",
                        _money(), "first_status", "months_with_us")
 
 
 def q_lapsed_entities(spark: SparkSession, d: str) -> DataFrame:
     plans = _cut(V.plans(spark, d), "start_date", V.SNAP)
     lapsed = lapsed_entities(plans, V.entities(spark, d), V.terms(spark, d), V.SNAP,
-                             excluded_sources=V.EXCLUDED_PLAN_SOURCES)
-    return lapsed.select("entity_id", "plan_id", "start_date", "due_date", "inactive_date",
+                             excluded_sources=V.EXCLUDED_PLAN_SOURCES, entity_cols=["name"])
+    return lapsed.select("entity_id", "name", "plan_id", "start_date", "due_date", "inactive_date",
                          _money(), "months_with_us")
 
 
@@ -95,6 +96,11 @@ def q_contact_day_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_role_pivot(spark: SparkSession, d: str) -> DataFrame:
+    return _roles(spark, d)
+
+
+def _roles(spark: SparkSession, d: str) -> DataFrame:
+    """Latest staff per (entity, role), one column per role (order priority plays the role)."""
     li = V.table(spark, d, "lineitem")
     o = V.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     s = V.staff_names(spark, d)
@@ -114,9 +120,10 @@ def q_role_pivot(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- C3, C4
 def q_plan_cycle(spark: SparkSession, d: str) -> DataFrame:
     c = plan_cycle(V.plans(spark, d), V.entities(spark, d), V.visits(spark, d), V.SNAP,
-                   type_rule=_type_rule)
-    return c.select("plan_id", "entity_id", "contact", "start_date", "due_date", "plan_status",
-                    "direct_after_opd", "entity_type", "months_with_us", _money())
+                   type_rule=_type_rule, roles=_roles(spark, d))
+    return c.select("plan_id", "entity_id", "contact", "name", "start_date", "due_date", "plan_status",
+                    "direct_after_opd", "entity_type", "months_with_us", _money(),
+                    "urgent_name", "high_name", "medium_name")
 
 
 def q_plan_cycle_simple(spark: SparkSession, d: str) -> DataFrame:

@@ -37,7 +37,8 @@ def entity_type(source, amount, csr_id, corporate: str = "Corporate", csr_like:
 
 def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of: dt.date | str,
                grace_days: int = K.GRACE_DAYS, test_word: str = "test",
-               history_months: int = K.HISTORY_MONTHS, type_rule=None) -> DataFrame:
+               history_months: int = K.HISTORY_MONTHS, type_rule=None,
+               roles: DataFrame | None = None) -> DataFrame:
     """Four-way plan classification with acquisition path and entity type.
 
     * previous start NULL -> NEW PLAN; start <= previous due -> RENEWAL;
@@ -48,7 +49,9 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
     * entities whose name starts or ends with ``test`` (any case) are out;
     * one row per (contact, start day), the smallest plan id kept (the
       original ordered by the partition key itself, trap T3);
-    * start day within the trailing window ending at ``as_of``.
+    * start day within the trailing window ending at ``as_of``;
+    * ``roles`` (optional, one row per entity, e.g. ``pivot_roles`` of the
+      latest assignment per role) is left-joined to add the role names.
 
     No source or exclusion-term filter here (the original has none).
     """
@@ -76,8 +79,11 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
     # The window bound is on start_date, part of the dedup key: Catalyst may
     # push it below the dedup, but not below the history windows.
     p = latest_per_key(p, ["contact", "start_date"], [F.col("plan_id").asc()])
-    return (p.filter(trailing_months("start_date", as_of, history_months))
-             .drop("has_visit", "running_count", "seq", "prev_start", "prev_due"))
+    p = (p.filter(trailing_months("start_date", as_of, history_months))
+          .drop("has_visit", "running_count", "seq", "prev_start", "prev_due"))
+    if roles is not None:
+        p = p.join(roles, "entity_id", "left")
+    return p
 
 
 def plan_cycle_simple(plans: DataFrame, entities: DataFrame, visits: DataFrame,

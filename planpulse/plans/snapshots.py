@@ -18,11 +18,14 @@ from planpulse.operators.keyed import latest_per_key
 
 
 def _eligible_plans(plans: DataFrame, entities: DataFrame, terms: DataFrame | None,
-                    excluded_sources: Sequence[str]) -> DataFrame:
+                    excluded_sources: Sequence[str], entity_cols: Sequence[str] = ()) -> DataFrame:
     p = plans.filter(not_in("source", excluded_sources))
     if terms is not None:
         p = exclude(p, terms.select("plan_ref").dropna(), "plan_ref")
-    # INNER JOIN to the entity table only tests existence here.
+    if entity_cols:
+        # INNER JOIN to the entity table (one row per entity) adding its attributes.
+        return p.join(entities.select("entity_id", *entity_cols), "entity_id", "inner")
+    # Without attributes the INNER JOIN only tests existence.
     return p.join(entities.select("entity_id").dropna().distinct(), "entity_id", "left_semi")
 
 
@@ -40,7 +43,8 @@ def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFra
                      terms: DataFrame | None, first_month: dt.date | str, as_of: dt.date | str,
                      excluded_sources: Sequence[str] = K.EXCLUDED_SOURCES,
                      expired_status: str = K.EXPIRED_STATUS,
-                     diagnoses: DataFrame | None = None) -> DataFrame:
+                     diagnoses: DataFrame | None = None,
+                     entity_cols: Sequence[str] = ()) -> DataFrame:
     """One row per (month, plan) in force at the month's reference date.
 
     * months from ``first_month`` to the month of ``as_of``; reference date =
@@ -50,7 +54,8 @@ def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFra
       assignment whose status is not ``expired_status``; NULL does not count);
     * plans from excluded sources or with exclusion terms are left out;
     * ``first_status`` is the alphabetically first assignment status (trap T1);
-    * ``months_with_us`` is the plan's sequence number within the entity.
+    * ``months_with_us`` is the plan's sequence number within the entity;
+    * ``entity_cols`` are copied from the entity table (name, age, ...).
 
     An entity with two plans in force appears twice.
     """
@@ -58,7 +63,7 @@ def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFra
                        "entity_id", "start_date", "due_date", "plan_id", prefix="_h_") \
         .select("plan_id", F.col("_h_seq").alias("months_with_us"))
     first_status = assignments.groupBy("plan_id").agg(F.min("status").alias("first_status"))
-    p = _eligible_plans(plans, entities, terms, excluded_sources)
+    p = _eligible_plans(plans, entities, terms, excluded_sources, entity_cols)
     p = with_flag(p, assignments.filter(F.col("status") != F.lit(expired_status)),
                   "plan_id", "has_live_assignment")
     snap = in_force(p, "start_date", "due_date", first_month, as_of, month_col="active_date")
@@ -71,7 +76,8 @@ def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFra
 
 def lapsed_entities(plans: DataFrame, entities: DataFrame, terms: DataFrame | None,
                     as_of: dt.date | str,
-                    excluded_sources: Sequence[str] = K.EXCLUDED_SOURCES) -> DataFrame:
+                    excluded_sources: Sequence[str] = K.EXCLUDED_SOURCES,
+                    entity_cols: Sequence[str] = ()) -> DataFrame:
     """Each entity's last plan, if it ended before ``as_of``.
 
     Last = greatest due date with NULL first (PostgreSQL ``DESC``), then the
@@ -83,7 +89,7 @@ def lapsed_entities(plans: DataFrame, entities: DataFrame, terms: DataFrame | No
     hist = plan_history(plans.select("plan_id", "entity_id", "start_date", "due_date"),
                         "entity_id", "start_date", "due_date", "plan_id", prefix="_h_") \
         .select("plan_id", F.col("_h_running_count").alias("months_with_us"))
-    p = _eligible_plans(plans, entities, terms, excluded_sources)
+    p = _eligible_plans(plans, entities, terms, excluded_sources, entity_cols)
     last = latest_per_key(p, ["entity_id"], [F.col("due_date").desc_nulls_first(),
                                              F.col("plan_id").desc()])
     return (last.filter(F.col("due_date") <= F.date_sub(as_date(as_of), 1))
