@@ -48,13 +48,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is left
-    alone; the local fallback exists for tests and the benchmark.
+    alone; the local fallback exists for tests and the benchmark and is only
+    used with a ``local[...]`` master -- a machine-local folder would not
+    survive the loss of an executor.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                           "distributed file system) before running reports")
     local = tempfile.mkdtemp(prefix="planpulse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

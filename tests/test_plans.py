@@ -233,3 +233,64 @@ def test_feed_records(spark):
     got = feed_records(pages, D(2025, 6, 20))
     assert rows(got) == [("", "2024-06-01", "", "", ""), ("Old", "2025-05-31", "", "", ""),
                          ("Web", "2025-06-01", "Gold", "A, B", "3")]
+
+
+def _bench_facts(spark):
+    """Daily facts for best-month tests: New OPDs in Jan/Feb/Mar 2025, Active snapshots."""
+    from planpulse.plans.scorecards import daily_facts
+    rows_ = []
+    def add(branch, metric, day=None, month=None, n=1.0, amount=None, listed=True):
+        rows_.append((branch, day, month, metric, n, amount, listed))
+    # Jan: 2 New OPDs (one after the same-period span), Feb: 2 within span, Mar: 1
+    add("B1", "New OPDs", D(2025, 1, 2), amount=__import__("decimal").Decimal("10"))
+    add("B1", "New OPDs", D(2025, 1, 30), amount=__import__("decimal").Decimal("10"))
+    add("B1", "New OPDs", D(2025, 2, 3), amount=__import__("decimal").Decimal("10"))
+    add("B2", "New OPDs", D(2025, 2, 4), amount=__import__("decimal").Decimal("10"))
+    add("B1", "New OPDs", D(2025, 3, 3), amount=__import__("decimal").Decimal("10"))
+    add("B1", "Active", month=D(2025, 1, 1)); add("B1", "Active", month=D(2025, 2, 1))
+    add("B1", "Active", month=D(2025, 4, 1)); add("B1", "Active", month=D(2025, 4, 1))
+    add("B1", "New OPDs", D(2025, 4, 2), amount=__import__("decimal").Decimal("10"))
+    df = spark.createDataFrame(rows_, "branch string, day date, month date, metric string, n double, "
+                                      "amount decimal(18,2), listed boolean")
+    return daily_facts(df)
+
+
+def test_best_period_and_targets(spark):
+    from planpulse.plans.benchmarks import best_period, target_vs_achieved
+    from planpulse.plans.mixes import branch_metric_table
+    from planpulse.plans.scorecards import period_metrics_from_facts
+    asof = D(2025, 4, 4)      # yesterday Apr 3: 3 working days so far (Apr 1-3), 26 in April
+    facts = _bench_facts(spark)
+    best = {(r.scope, r.metric, r.span): (r.best_value, r.best_label)
+            for r in best_period(facts, asof, D(2025, 1, 1)).collect()}
+    # same-period span = first 3 working days: Jan 2 counts (Jan 30 does not); Feb 3 and 4 count
+    assert best[("Overall", "New OPDs", "same")] == (2.0, "Feb-25")
+    assert best[("Overall", "New OPDs", "full")] == (2.0, "Jan-25")     # tie Jan/Feb: earliest wins
+    assert best[("B2", "New OPDs", "full")] == (1.0, "Feb-25")
+    assert best[("B2", "Active", "same")] == (0.0, "")                  # all zero: no label
+    assert best[("Overall", "Active", "same")] == (1.0, "Jan-25")
+    assert best[("Overall", "NO2P %", "full")] == (0.0, "")
+    assert ("Overall", "Revenue", "full") not in best
+    metrics = period_metrics_from_facts(facts, asof)
+    targets = spark.createDataFrame([("Overall", "New OPDs", 26), ("B1", "Active", 0)],
+                                    "scope string, category string, target long")
+    tva = {(r.scope, r.metric): r for r in target_vs_achieved(metrics, best_period(facts, asof, D(2025, 1, 1)),
+                                                              targets, asof).collect()}
+    r = tva[("Overall", "New OPDs")]
+    assert (r.target, r.prorated_target, r.best_value, r.achieved, r.met) == (26, 3, 2.0, 1.0, False)
+    assert tva[("B1", "Active")].met is True                            # target 0 is met
+    assert tva[("Overall", "Revivals")].target is None
+    assert tva[("Overall", "Renewals")].target == 0                     # 0.75 x last month's Active (0)
+    bmt = {(r.scope, r.metric): r for r in branch_metric_table(metrics, best_period(facts, asof, D(2025, 1, 1))).collect()}
+    assert bmt[("Overall", "New OPDs")].attainment_pct == 50
+    assert bmt[("Total", "Active")].achieved == 2.0
+
+
+def test_working_calendar(spark):
+    from planpulse.plans.calendar import month_progress, working_calendar, working_days_py
+    months = spark.createDataFrame([(D(2025, 6, 17),), (D(2026, 2, 3),), (D(2025, 6, 1),)], "d date")
+    got = rows(working_calendar(months, "d", nth=(0, 5, 40)))
+    assert got == [(D(2025, 6, 1), 30, 25, D(2025, 6, 1), D(2025, 6, 6), D(2025, 6, 30)),
+                   (D(2026, 2, 1), 28, 24, D(2026, 2, 1), D(2026, 2, 6), D(2026, 2, 28))]
+    assert working_days_py(D(2025, 6, 1), D(2025, 6, 30)) == 25
+    assert month_progress(D(2025, 6, 16)) == (12, 25)   # Sundays Jun 1, 8, 15
