@@ -223,14 +223,15 @@ class _ReportInputs:
         spark, d = self.spark, self.d
         a = active_snapshots(V.plans_with_branch(spark, d), V.assignments(spark, d),
                              V.entities(spark, d), V.terms(spark, d), V.BEST_FROM, self.as_of,
-                             excluded_sources=V.EXCLUDED_PLAN_SOURCES, expired_status=V.EXPIRED)
+                             excluded_sources=V.EXCLUDED_PLAN_SOURCES, expired_status=V.EXPIRED,
+                             extras=())
         return _with_owner_names(a.withColumn("branch", _branch("branch")), spark, d)
 
     def _lapsed(self) -> DataFrame:
         spark, d = self.spark, self.d
         cut = _cut(V.plans_with_branch(spark, d), "start_date", self.as_of)
         lapsed = lapsed_entities(cut, V.entities(spark, d), V.terms(spark, d), self.as_of,
-                                 excluded_sources=V.EXCLUDED_PLAN_SOURCES)
+                                 excluded_sources=V.EXCLUDED_PLAN_SOURCES, extras=())
         return _with_owner_names(lapsed.withColumn("branch", _branch("branch")), spark, d)
 
     def _sessions(self) -> DataFrame:

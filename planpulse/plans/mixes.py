@@ -30,20 +30,21 @@ def duration_mix(plans: DataFrame, as_of: dt.date, branches: Sequence[str],
     periods = {k: v for k, v in report_periods(as_of).items() if k in ("yesterday", "mtd")}
     npd = plans.filter(F.col("plan_type") == "New Plan") \
         .withColumn("duration_months", clamp_low(F.col("total_service_months"), 1).cast("bigint"))
+    # One pass over the new plans: each row is tagged with its periods plus an
+    # "_all" marker, so the bucket list (all data) and the period counts come
+    # out of the same partial aggregate.
     tags = F.array(*[F.when(F.col("start_date").between(as_date(d1), as_date(d2)), F.lit(p))
-                     for p, (d1, d2, _) in periods.items()])
-    listed = F.col("branch").isin(list(branches))
-    facts = npd.select("duration_months", "branch",
-                       F.explode(F.array_compact(tags)).alias("period"),
-                       money("amount").alias("amount"))
-    facts = facts.filter(listed)
-    by_branch = facts.groupBy("duration_months", "period", "branch") \
+                     for p, (d1, d2, _) in periods.items()], F.lit("_all"))
+    agg = npd.select("duration_months", "branch", F.explode(F.array_compact(tags)).alias("period"),
+                     money("amount").alias("amount")) \
+        .groupBy("duration_months", "period", "branch") \
         .agg(F.count(F.lit(1)).alias("plan_count"), F.sum("amount").alias("amount"))
-    total = facts.groupBy("duration_months", "period") \
-        .agg(F.count(F.lit(1)).alias("plan_count"), F.sum("amount").alias("amount")) \
+    buckets = agg.filter(F.col("period") == "_all").select("duration_months").distinct()
+    by_branch = agg.filter((F.col("period") != "_all") & F.col("branch").isin(list(branches)))
+    total = by_branch.groupBy("duration_months", "period") \
+        .agg(F.sum("plan_count").alias("plan_count"), F.sum("amount").alias("amount")) \
         .withColumn("branch", F.lit(K.TOTAL_LABEL))
     counts = by_branch.unionByName(total).withColumnRenamed("branch", "scope")
-    buckets = npd.select("duration_months").distinct()
     grid = buckets.withColumn("period", F.explode(F.array(*[F.lit(p) for p in periods]))) \
         .withColumn("scope", F.explode(F.array(*[F.lit(b) for b in [*branches, K.TOTAL_LABEL]])))
     out = grid.join(counts, ["duration_months", "period", "scope"], "left")

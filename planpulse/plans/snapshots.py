@@ -44,7 +44,8 @@ def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFra
                      excluded_sources: Sequence[str] = K.EXCLUDED_SOURCES,
                      expired_status: str = K.EXPIRED_STATUS,
                      diagnoses: DataFrame | None = None,
-                     entity_cols: Sequence[str] = ()) -> DataFrame:
+                     entity_cols: Sequence[str] = (),
+                     extras: Sequence[str] = ("first_status", "months_with_us")) -> DataFrame:
     """One row per (month, plan) in force at the month's reference date.
 
     * months from ``first_month`` to the month of ``as_of``; reference date =
@@ -55,20 +56,25 @@ def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFra
     * plans from excluded sources or with exclusion terms are left out;
     * ``first_status`` is the alphabetically first assignment status (trap T1);
     * ``months_with_us`` is the plan's sequence number within the entity;
-    * ``entity_cols`` are copied from the entity table (name, age, ...).
+    * ``entity_cols`` are copied from the entity table (name, age, ...);
+    * ``extras`` picks the derived columns to compute: each costs a shuffle
+      of its own input, so reports that only count rows pass ``()``.
 
     An entity with two plans in force appears twice.
     """
-    seq = plan_history(plans.select("plan_id", "entity_id", "start_date", "due_date"),
-                       "entity_id", "start_date", "due_date", "plan_id", prefix="_h_") \
-        .select("plan_id", F.col("_h_seq").alias("months_with_us"))
-    first_status = assignments.groupBy("plan_id").agg(F.min("status").alias("first_status"))
     p = _eligible_plans(plans, entities, terms, excluded_sources, entity_cols)
     p = with_flag(p, assignments.filter(F.col("status") != F.lit(expired_status)),
                   "plan_id", "has_live_assignment")
     snap = in_force(p, "start_date", "due_date", first_month, as_of, month_col="active_date")
     snap = snap.filter(~F.col("is_current_month") | F.col("has_live_assignment"))
-    snap = snap.join(first_status, "plan_id", "left").join(seq, "plan_id", "left")
+    if "first_status" in extras:
+        first_status = assignments.groupBy("plan_id").agg(F.min("status").alias("first_status"))
+        snap = snap.join(first_status, "plan_id", "left")
+    if "months_with_us" in extras:
+        seq = plan_history(plans.select("plan_id", "entity_id", "start_date", "due_date"),
+                           "entity_id", "start_date", "due_date", "plan_id", prefix="_h_") \
+            .select("plan_id", F.col("_h_seq").alias("months_with_us"))
+        snap = snap.join(seq, "plan_id", "left")
     if diagnoses is not None:
         snap = snap.join(primary_diagnosis(diagnoses), "entity_id", "left")
     return snap.drop("ref_date", "is_current_month", "has_live_assignment")
@@ -77,21 +83,24 @@ def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFra
 def lapsed_entities(plans: DataFrame, entities: DataFrame, terms: DataFrame | None,
                     as_of: dt.date | str,
                     excluded_sources: Sequence[str] = K.EXCLUDED_SOURCES,
-                    entity_cols: Sequence[str] = ()) -> DataFrame:
+                    entity_cols: Sequence[str] = (),
+                    extras: Sequence[str] = ("months_with_us",)) -> DataFrame:
     """Each entity's last plan, if it ended before ``as_of``.
 
     Last = greatest due date with NULL first (PostgreSQL ``DESC``), then the
     greatest plan id (trap T3).  An entity whose latest row has a NULL due
     date therefore never lapses (trap T2).  Kept when ``due <= as_of - 1``;
-    ``inactive_date = due + 1``; ``months_with_us`` is the running plan count
-    up to the plan's start day (same-day plans share it).
+    ``inactive_date = due + 1``; ``months_with_us`` (in ``extras``) is the
+    running plan count up to the plan's start day (same-day plans share it).
     """
-    hist = plan_history(plans.select("plan_id", "entity_id", "start_date", "due_date"),
-                        "entity_id", "start_date", "due_date", "plan_id", prefix="_h_") \
-        .select("plan_id", F.col("_h_running_count").alias("months_with_us"))
     p = _eligible_plans(plans, entities, terms, excluded_sources, entity_cols)
     last = latest_per_key(p, ["entity_id"], [F.col("due_date").desc_nulls_first(),
                                              F.col("plan_id").desc()])
-    return (last.filter(F.col("due_date") <= F.date_sub(as_date(as_of), 1))
-                .withColumn("inactive_date", F.date_add(F.col("due_date"), 1))
-                .join(hist, "plan_id", "left"))
+    out = (last.filter(F.col("due_date") <= F.date_sub(as_date(as_of), 1))
+               .withColumn("inactive_date", F.date_add(F.col("due_date"), 1)))
+    if "months_with_us" in extras:
+        hist = plan_history(plans.select("plan_id", "entity_id", "start_date", "due_date"),
+                            "entity_id", "start_date", "due_date", "plan_id", prefix="_h_") \
+            .select("plan_id", F.col("_h_running_count").alias("months_with_us"))
+        out = out.join(hist, "plan_id", "left")
+    return out
