@@ -45,3 +45,23 @@ def working_calendar(months: DataFrame, month_col: str, nth: tuple[int, ...] = (
         name = f"working_day_{n}" if n >= 0 else f"working_day_m{-n}"
         out = out.withColumn(name, nth_working_day(F.col("month_start"), n))
     return out
+
+
+def month_refs(spark, first_month: dt.date, as_of: dt.date) -> DataFrame:
+    """(month_start, ref_date, is_current_month) from ``first_month`` to the month of ``as_of``.
+
+    The reference date is the month's last day, or ``as_of`` in the current
+    month.  One row per calendar month: bounded by the calendar.
+    """
+    from planpulse.functions.dates import as_date, is_current_month, month_end_capped, month_start
+    months = F.explode(F.sequence(as_date(first_month), month_start(as_of), F.expr("INTERVAL 1 MONTH")))
+    return spark.range(1).select(months.alias("month_start")).select(
+        "month_start", month_end_capped("month_start", as_of).alias("ref_date"),
+        is_current_month("month_start", as_of).alias("is_current_month"))
+
+
+def periods(spark, as_of: dt.date) -> DataFrame:
+    """(period, d1, d2, active_month): yesterday, month-to-date, last month's same span."""
+    from planpulse.plans.scorecards import report_periods
+    rows = [(name, d1, d2, m) for name, (d1, d2, m) in report_periods(as_of).items()]
+    return spark.createDataFrame(rows, "period string, d1 date, d2 date, active_month date")

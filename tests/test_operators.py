@@ -173,3 +173,26 @@ def test_ordered_labels(spark):
     df = spark.createDataFrame([("Zed",), ("GMB",), ("Practo",), ("Unknown",), ("Abc",)], "l string")
     got = ordered_labels(df, "l", ["Practo", "GMB"], last=["Unknown"], out="r")
     assert [r.l for r in got.orderBy("r", "l").collect()] == ["Practo", "GMB", "Abc", "Zed", "Unknown"]
+
+
+def test_plan_history_window_sees_only_day_rows(spark):
+    """The per-entity window must run over pre-aggregated (entity, day) rows, never raw plans."""
+    df = spark.range(5000).select((F.col("id") % 3).alias("e"), F.col("id").alias("id"),
+                                  F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("s"),
+                                  F.lit(None).cast("date").alias("d"))
+    h = plan_history(df, "e", "s", "d", "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = h._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # Every window partitioned by the entity alone sits above an aggregate of the day rows.
+    blocks = plan.split("Window [")
+    entity_windows = [b for b in blocks[1:] if "[e#" in b.split("\n")[0] and "_e#" not in b.split("\n")[0]]
+    assert entity_windows, plan
+    for b in entity_windows:
+        below = b.split("\n", 1)[1]
+        nxt = below.find("Window [")
+        scope = below if nxt < 0 else below[:nxt]
+        assert "HashAggregate" in scope, plan
+    assert rows(h.groupBy("e").agg(F.max("seq").alias("m")), "e", "m") == [(0, 1667), (1, 1667), (2, 1666)]

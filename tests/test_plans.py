@@ -294,3 +294,12 @@ def test_working_calendar(spark):
                    (D(2026, 2, 1), 28, 24, D(2026, 2, 1), D(2026, 2, 6), D(2026, 2, 28))]
     assert working_days_py(D(2025, 6, 1), D(2025, 6, 30)) == 25
     assert month_progress(D(2025, 6, 16)) == (12, 25)   # Sundays Jun 1, 8, 15
+
+
+def test_month_refs_and_periods(spark):
+    from planpulse.plans.calendar import month_refs, periods
+    got = rows(month_refs(spark, D(2025, 11, 1), D(2026, 1, 20)))
+    assert got == [(D(2025, 11, 1), D(2025, 11, 30), False), (D(2025, 12, 1), D(2025, 12, 31), False),
+                   (D(2026, 1, 1), D(2026, 1, 20), True)]
+    p = {r.period: (r.d1, r.d2, r.active_month) for r in periods(spark, D(2026, 3, 31)).collect()}
+    assert p["last_month"] == (D(2026, 2, 1), D(2026, 2, 28), D(2026, 2, 1))
