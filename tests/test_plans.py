@@ -303,3 +303,48 @@ def test_month_refs_and_periods(spark):
                    (D(2026, 1, 1), D(2026, 1, 20), True)]
     p = {r.period: (r.d1, r.d2, r.active_month) for r in periods(spark, D(2026, 3, 31)).collect()}
     assert p["last_month"] == (D(2026, 2, 1), D(2026, 2, 28), D(2026, 2, 1))
+
+
+def test_entity_type_rules(spark):
+    from planpulse.plans.cycle import entity_type
+    from planpulse.plans.visits import session_entity_type
+    data = [("Corporate", 5, "x"), ("NTPC", 5, None), ("CSR", 0, None), ("CSR", 5, None),
+            ("Existing Client", 0, "regular"), ("Web", 5, None), ("Web", 5, "regular"), ("Web", 0, "c9")]
+    df = spark.createDataFrame(data, "source string, amount int, csr_id string")
+    got = [r[0] for r in df.select(entity_type("source", "amount", "csr_id")).collect()]
+    assert got == ["Corporate", "CSR", "CSR", "Regular", "CSR", "Regular", "Regular", "CSR"]
+    s = spark.createDataFrame([(None, None), ("regular", "Primus"), ("c1", "TATA AIA"), ("c1", "Web")],
+                              "csr_id string, source string")
+    got = [r[0] for r in s.select(session_entity_type("csr_id", "source")).collect()]
+    assert got == ["Regular", "Regular", "Corporate", "NTPC"]
+
+
+def test_primary_diagnosis_in_snapshots(spark):
+    import datetime as _dt
+    plans = _plans(spark, [(1, 1, D(2025, 1, 1), D(2025, 6, 1), "1", "Web"),
+                           (2, 2, D(2025, 1, 1), D(2025, 6, 1), "1", "Web"),
+                           (3, 3, D(2025, 1, 1), D(2025, 6, 1), "1", "Web")])
+    assign = spark.createDataFrame([(1, "Active"), (2, "Active"), (3, "Active")], "plan_id long, status string")
+    T = _dt.datetime
+    diag = spark.createDataFrame([
+        (1, '["a ", "b"]', None, T(2025, 1, 1)), (1, None, "old", None),          # NULL updated sorts last
+        (2, '["x"]', "Primary", T(2025, 2, 1)),
+        (3, "[]", None, T(2025, 2, 1))],                                           # empty list -> NULL
+        "entity_id long, diagnosis_list string, primary_diagnosis string, updated_at timestamp")
+    snap = active_snapshots(plans, assign, _entities(spark, [1, 2, 3]), None, D(2025, 2, 1), D(2025, 2, 10),
+                            diagnoses=diag, extras=())
+    assert rows(snap, "plan_id", "primary_diagnosis") == [(1, "a, b"), (2, "Primary"), (3, None)]
+
+
+def test_exclusions_in_snapshots(spark):
+    plans = _plans(spark, [(1, 1, D(2025, 1, 1), D(2025, 6, 1), "1", None),          # NULL source: dropped
+                           (2, 2, D(2025, 1, 1), D(2025, 6, 1), "1", "CSR"),
+                           (3, 3, D(2025, 1, 1), D(2025, 6, 1), "1", "Existing Client"),
+                           (4, 4, D(2025, 1, 1), D(2025, 6, 1), "1", "Offline-Webinar"),
+                           (5, 5, D(2025, 1, 1), D(2025, 6, 1), "1", "NVF"),
+                           (6, 6, D(2025, 1, 1), D(2025, 6, 1), "1", "Web"),
+                           (7, 99, D(2025, 1, 1), D(2025, 6, 1), "1", "Web")])       # no such entity
+    assign = spark.createDataFrame([(i, "Active") for i in range(1, 8)], "plan_id long, status string")
+    snap = active_snapshots(plans, assign, _entities(spark, [1, 2, 3, 4, 5, 6]), None, D(2025, 2, 1),
+                            D(2025, 2, 10), extras=())
+    assert rows(snap, "plan_id") == [(6,)]
