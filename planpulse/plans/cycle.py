@@ -55,7 +55,11 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
 
     No source or exclusion-term filter here (the original has none).
     """
-    hist = plan_history(plans, "entity_id", "start_date", "due_date", "plan_id")
+    # A plan starting after as_of can never be the predecessor (or a same-day
+    # peer) of a plan inside the window, so it is dropped before the history
+    # windows -- a placement Catalyst cannot derive by itself.
+    hist = plan_history(plans.filter(F.col("start_date") <= as_date(as_of)),
+                        "entity_id", "start_date", "due_date", "plan_id")
     seen = visits.filter(non_empty("slot")).select("entity_id")
     ent = entities.select("entity_id", "name", "contact",
                           F.col("source").alias("entity_source"), "csr_id")

@@ -71,7 +71,10 @@ def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFra
         first_status = assignments.groupBy("plan_id").agg(F.min("status").alias("first_status"))
         snap = snap.join(first_status, "plan_id", "left")
     if "months_with_us" in extras:
-        seq = plan_history(plans.select("plan_id", "entity_id", "start_date", "due_date"),
+        # Plans starting after as_of are never in force and only follow the
+        # others in the sequence, so they are left out of the history.
+        early = plans.filter(F.col("start_date") <= as_date(as_of))
+        seq = plan_history(early.select("plan_id", "entity_id", "start_date", "due_date"),
                            "entity_id", "start_date", "due_date", "plan_id", prefix="_h_") \
             .select("plan_id", F.col("_h_seq").alias("months_with_us"))
         snap = snap.join(seq, "plan_id", "left")

@@ -348,3 +348,16 @@ def test_exclusions_in_snapshots(spark):
     snap = active_snapshots(plans, assign, _entities(spark, [1, 2, 3, 4, 5, 6]), None, D(2025, 2, 1),
                             D(2025, 2, 10), extras=())
     assert rows(snap, "plan_id") == [(6,)]
+
+
+def test_plan_cycle_ignores_future_plans(spark):
+    base = [(1, 1, D(2025, 1, 1), D(2025, 2, 1), "1", "Web"), (2, 1, D(2025, 2, 10), D(2025, 3, 1), "1", "Web"),
+            (3, 2, D(2025, 3, 1), D(2025, 4, 1), "1", "Web")]
+    future = [(4, 1, D(2025, 8, 1), D(2025, 9, 1), "1", "Web"), (5, 2, D(2025, 3, 2), D(2025, 5, 1), "1", "Web")]
+    ents = _entities(spark, [1, 2])
+    visits = spark.createDataFrame([], "entity_id long, slot string")
+    asof = D(2025, 3, 1)
+    a = plan_cycle(_plans(spark, base), ents, visits, asof)
+    b = plan_cycle(_plans(spark, base + future), ents, visits, asof)
+    cols = ("plan_id", "plan_status", "months_with_us")
+    assert rows(a, *cols) == rows(b, *cols) == [(1, "NEW PLAN", 1), (2, "LATE RENEWAL", 2), (3, "NEW PLAN", 1)]
