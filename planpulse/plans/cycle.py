@@ -35,6 +35,22 @@ def entity_type(source, amount, csr_id, corporate: str = "Corporate", csr_like:
                 .otherwise(F.lit("CSR")))
 
 
+def latest_roles(assignments: DataFrame, plans: DataFrame, roles=("Psychologist", "Psychiatrist", "Counsellor"),
+                 names=("psychologist_name", "psychiatrist_name", "counsellor_name")) -> DataFrame:
+    """Latest staff per entity and role, one column per role (A5 over W1).
+
+    Assignments (plan_id, role, staff, created_at) reach the entity through
+    their plan; per (entity, role) the most recent assignment wins (NULL time
+    first, as PostgreSQL's DESC; then the staff name as tie-break).
+    """
+    a = assignments.filter(F.col("role").isin(list(roles))) \
+        .join(plans.select("plan_id", "entity_id"), "plan_id", "inner")
+    last = latest_per_key(a, ["entity_id", "role"], [F.col("created_at").desc_nulls_first(),
+                                                     F.col("staff").desc_nulls_last()])
+    from planpulse.operators.reshape import pivot_roles
+    return pivot_roles(last, "entity_id", "role", "staff", list(roles), list(names))
+
+
 def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of: dt.date | str,
                grace_days: int = K.GRACE_DAYS, test_word: str = "test",
                history_months: int = K.HISTORY_MONTHS, type_rule=None,
