@@ -6,7 +6,7 @@ computed once and checkpointed into the session's checkpoint folder (cutting
 lineage, so a lost executor re-reads them instead of recomputing), and every
 report is a small plan over them.
 
-    python -m planpulse.plans.daily --tables DIR --as-of 2026-07-21 --task RPP \\
+    python -m planpulse.plans.daily --tables DIR --as-of 2026-07-21 --task therapy \\
         --out DIR [--alias CSV] [--staff-map CSV] [--targets CSV] [--assessments CSV] [--feed DIR]
 """
 

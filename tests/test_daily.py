@@ -28,8 +28,8 @@ def _tables(spark):
         ("v5", "e3", D(2026, 4, 10), "09:00", 1, "Dr C", "500")], S.VISITS)
     prescriptions = spark.createDataFrame([("e2", True), ("e1", False)], S.PRESCRIPTIONS)
     roster = spark.createDataFrame([
-        ("r1", "u1", D(2026, 4, 14), "RPP", 1, 1), ("r2", "u1", D(2026, 4, 3), "RPP", 1, 1),
-        ("r3", "u2", D(2026, 4, 14), "RPP", 0, 1)], S.ROSTER)
+        ("r1", "u1", D(2026, 4, 14), "therapy", 1, 1), ("r2", "u1", D(2026, 4, 3), "therapy", 1, 1),
+        ("r3", "u2", D(2026, 4, 14), "therapy", 0, 1)], S.ROSTER)
     roster_map = spark.createDataFrame([("r1", "e1"), ("r2", "e2")], S.ROSTER_MAP)
     terms = spark.createDataFrame([("zz", "vz")], S.TERMS)
     return {"plans": plans, "entities": entities, "assignments": assignments, "visits": visits,
@@ -40,7 +40,7 @@ def test_daily_reports_end_to_end(spark, tmp_path):
     tables = _tables(spark)
     staff_map = spark.createDataFrame([("u1", "Dr A")], "staff_id string, staff_raw string")
     alias = spark.createDataFrame([("Dr Z", "Dr A")], "tech_name string, final_name string")
-    reports = daily_reports(tables, D(2026, 4, 15), ReportConfig(session_task="RPP"),
+    reports = daily_reports(tables, D(2026, 4, 15), ReportConfig(session_task="therapy"),
                             alias=alias, staff_map=staff_map)
     assert {"active", "lapsed", "plan_cycle", "plan_types", "visits", "sessions", "staff_yesterday",
             "staff_mtd", "staff_mtd_flags", "period_metrics", "scorecard", "best_period",
@@ -67,7 +67,7 @@ def test_daily_cli(spark, tmp_path, capsys):
         df.write.parquet(str(src / name))
     tgt = tmp_path / "targets.csv"
     tgt.write_text("branch,category,target\nOverall,New OPDs,10\n")
-    main(["--tables", str(src), "--as-of", "2026-04-15", "--task", "RPP", "--out", str(tmp_path / "out"),
+    main(["--tables", str(src), "--as-of", "2026-04-15", "--task", "therapy", "--out", str(tmp_path / "out"),
           "--targets", str(tgt)])
     out = capsys.readouterr().out
     assert "scorecard: 33 rows" in out and "plan_cycle: 4 rows" in out

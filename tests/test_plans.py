@@ -129,14 +129,14 @@ def test_conversions(spark):
 
 def test_sessions_by_staff(spark):
     roster = spark.createDataFrame([
-        ("r1", "u1", D(2026, 1, 2), "RPP", 1, 1), ("r2", "u1", D(2026, 1, 2), "RPP", 1, 1),
-        ("r3", "u1", D(2026, 1, 2), "RPP", 0, 1), ("r4", "u2", D(2025, 12, 31), "RPP", 1, 1),
-        ("r5", "u2", D(2026, 1, 3), "RPP", 1, 1)],
+        ("r1", "u1", D(2026, 1, 2), "therapy", 1, 1), ("r2", "u1", D(2026, 1, 2), "therapy", 1, 1),
+        ("r3", "u1", D(2026, 1, 2), "therapy", 0, 1), ("r4", "u2", D(2025, 12, 31), "therapy", 1, 1),
+        ("r5", "u2", D(2026, 1, 3), "therapy", 1, 1)],
         "roster_id string, staff_id string, slot_date date, task string, booked int, is_active int")
     rmap = spark.createDataFrame([("r1", 1), ("r1", 2), ("r2", 1), ("r5", 3)], "roster_id string, entity_id long")
     ents = spark.createDataFrame([(1, "a", "B1", "Kellton", 1, "c1"), (2, "b", "B1", "Web", 2, None),
                                   (3, "c", "B1", "Web", 3, "x")], ENT)
-    got = sessions_by_staff(roster, rmap, ents, D(2026, 1, 1), D(2026, 1, 10), "RPP")
+    got = sessions_by_staff(roster, rmap, ents, D(2026, 1, 1), D(2026, 1, 10), "therapy")
     assert rows(got, "staff_id", "entity_id", "entity_type", "total_sessions") == [
         ("u1", 1, "Corporate", 2), ("u2", 3, "NTPC", 1)]
 
