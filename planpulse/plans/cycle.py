@@ -35,6 +35,25 @@ def entity_type(source, amount, csr_id, corporate: str = "Corporate", csr_like:
                 .otherwise(F.lit("CSR")))
 
 
+def cycle_status(start="start_date", prev_start="prev_start", prev_due="prev_due",
+                 grace_days: int = K.GRACE_DAYS):
+    """Four-way status (C3): NEW PLAN / RENEWAL / LATE RENEWAL / REVIVAL, first match wins."""
+    s, pd_ = F.col(start), F.col(prev_due)
+    return (F.when(F.col(prev_start).isNull(), F.lit("NEW PLAN"))
+             .when(s <= pd_, F.lit("RENEWAL"))
+             .when(s <= F.date_add(pd_, grace_days), F.lit("LATE RENEWAL"))
+             .otherwise(F.lit("REVIVAL")))
+
+
+def simple_type(start="start_date", prev_due="prev_due", grace_days: int = K.GRACE_DAYS):
+    """Three-way type (C4): New Plan when the previous *due* is NULL (trap T8), Renewal
+    within the grace period (late ones included), else Revival."""
+    pd_ = F.col(prev_due)
+    return (F.when(pd_.isNull(), F.lit("New Plan"))
+             .when(F.col(start) <= F.date_add(pd_, grace_days), F.lit("Renewal"))
+             .otherwise(F.lit("Revival")))
+
+
 def latest_roles(assignments: DataFrame, plans: DataFrame, roles=("Psychologist", "Psychiatrist", "Counsellor"),
                  names=("psychologist_name", "psychiatrist_name", "counsellor_name")) -> DataFrame:
     """Latest staff per entity and role, one column per role (A5 over W1).
@@ -83,13 +102,7 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
              .filter(reject_affix("name", test_word)))
     p = with_flag(p, seen, "entity_id", "has_visit")
     first = F.col("prev_start").isNull()
-    prev_due = F.col("prev_due")
-    p = p.withColumn(
-        "plan_status",
-        F.when(first, F.lit("NEW PLAN"))
-         .when(F.col("start_date") <= prev_due, F.lit("RENEWAL"))
-         .when(F.col("start_date") <= F.date_add(prev_due, grace_days), F.lit("LATE RENEWAL"))
-         .otherwise(F.lit("REVIVAL")))
+    p = p.withColumn("plan_status", cycle_status(grace_days=grace_days))
     p = p.withColumn("direct_after_opd",
                      F.when(first & ~F.col("has_visit"), F.lit("Direct Plan"))
                       .when(first & F.col("has_visit"), F.lit("After OPD")))
@@ -124,11 +137,7 @@ def plan_cycle_simple(plans: DataFrame, entities: DataFrame, visits: DataFrame,
       with no upper bound.
     """
     hist = plan_history(plans, "entity_id", "start_date", "due_date", "plan_id")
-    p = (hist.withColumn("plan_type",
-                         F.when(F.col("prev_due").isNull(), F.lit("New Plan"))
-                          .when(F.col("start_date") <= F.date_add(F.col("prev_due"), grace_days),
-                                F.lit("Renewal"))
-                          .otherwise(F.lit("Revival")))
+    p = (hist.withColumn("plan_type", simple_type(grace_days=grace_days))
              .withColumn("plan_months", whole_months("start_date", "due_date")))
     tenure = p.groupBy("entity_id").agg(F.sum("plan_months").cast("bigint")
                                         .alias("total_service_months"))
