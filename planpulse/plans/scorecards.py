@@ -42,6 +42,8 @@ def staff_scorecard(visits: DataFrame, sessions: DataFrame, plans: DataFrame,
     """
     lo, hi = as_date(d1), as_date(d2)
     m0 = month_start(d2)
+    # Visits of the window, named once; both the visit counts and the
+    # conversions read this one frame.
     v = canonical_names(visits.filter(F.col("visit_date").between(lo, hi)), "staff_raw", alias, "staff") \
         .filter(F.col("staff").isNotNull())
     new = F.count_if(F.col("opd_status") == "NEW OPD")
@@ -54,7 +56,7 @@ def staff_scorecard(visits: DataFrame, sessions: DataFrame, plans: DataFrame,
     s = sessions.filter(F.col("slot_date").between(lo, hi))
     sess_m = s.join(smap, s.staff_id == smap._sid, "inner").filter(F.col("staff").isNotNull()) \
         .groupBy("staff").agg(F.sum("total_sessions").alias("sessions"))
-    conv_m = conversions(canonical_names(visits, "staff_raw", alias, "staff"), plans, d1, d2, staff="staff")
+    conv_m = conversions(v, plans, d1, d2, staff="staff")
     act = active.filter(F.col("active_date") == m0).select(*role_cols)
     act_m = _role_count(act, role_cols, alias, "active")
     ina = lapsed.filter(F.col("inactive_date").between(m0, hi)).select(*role_cols)
