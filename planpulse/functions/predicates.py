@@ -9,7 +9,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from planpulse.functions.dates import as_date, trailing_months, month_start  # noqa: F401
+from planpulse.functions.dates import month_start
 
 
 def _c(c) -> Column:
