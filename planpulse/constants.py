@@ -64,3 +64,22 @@ FEED_NAME_KEYS = ("name", "title", "packageName", "label")
 HISTORY_MONTHS = 12
 FLAT_CHANGE = 0.05
 # --------------------------------------------------------------------------
+
+# --- fixed values: display headings of the written reports ---------------
+STAFF_HEADINGS = (
+    ("staff", "Therapist"), ("new_visits", "NEW OPD"), ("followup_visits", "F/U OPD"),
+    ("total_visits", "Total OPD Done"), ("suggested", "RPP Suggested"),
+    ("conversions", "Convergation"), ("sessions", "Sessions Done"),
+    ("active", "Active Client"), ("inactive", "Inactive Client"),
+)
+TARGET_HEADINGS = (
+    ("metric", "Category"), ("target", "Total Target"), ("prorated_target", "MTD-1 Target"),
+    ("best_value", "Best Month"), ("achieved", "Achieved"),
+)
+SOURCE_HEADINGS = (
+    ("source", "Lead Source"), ("new_visits", "New OPD"), ("old_visits", "OLD OPD"),
+    ("total_visits", "Total OPD"), ("suggested", "Suggest RPP"), ("new_plans", "Plan"),
+    ("renewals", "Total Renewal"), ("revivals", "Revival"), ("conversion_pct", "NO2P %"),
+)
+DURATION_HEADINGS = (("duration_label", "New Plan Duration"), ("plan_count", "Count"), ("amount", "Amount"))
+# --------------------------------------------------------------------------

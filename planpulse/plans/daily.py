@@ -124,9 +124,17 @@ def daily_reports(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportCo
     return out
 
 
-def write_daily_reports(reports: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, int]:
-    """Write each report to ``out_dir/name`` (full replace); returns row counts."""
+def write_daily_reports(reports: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet",
+                        display_as_of: dt.date | None = None) -> dict[str, int]:
+    """Write each report to ``out_dir/name`` (full replace); returns row counts.
+
+    With ``display_as_of`` the reports are written in display form (headings,
+    formatted numbers, report order; ``plans.display``), e.g. as CSV.
+    """
     from planpulse.sources.sinks import write_report
+    if display_as_of is not None:
+        from planpulse.plans.display import display_reports
+        reports = display_reports(dict(reports), display_as_of)
     return {name: write_report(df, f"{out_dir.rstrip('/')}/{name}", fmt) for name, df in reports.items()}
 
 
@@ -141,6 +149,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--task", required=True, help="roster task type counted as a session")
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", default="parquet")
+    ap.add_argument("--display", action="store_true", help="write headings and formatted numbers")
     ap.add_argument("--alias"), ap.add_argument("--staff-map"), ap.add_argument("--targets")
     ap.add_argument("--assessments"), ap.add_argument("--feed"), ap.add_argument("--master")
     a = ap.parse_args(argv)
@@ -153,7 +162,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         targets=load_targets(spark, a.targets) if a.targets else None,
         assessments=load_assessments(spark, a.assessments) if a.assessments else None,
         feed=load_feed(spark, a.feed) if a.feed else None)
-    for name, n in write_daily_reports(reports, a.out, a.format).items():
+    shown = a.as_of if a.display else None
+    for name, n in write_daily_reports(reports, a.out, a.format, display_as_of=shown).items():
         print(f"{name}: {n} rows")
 
 

@@ -73,3 +73,18 @@ def test_daily_cli(spark, tmp_path, capsys):
     assert "scorecard: 33 rows" in out and "plan_cycle: 4 rows" in out
     sc = spark.read.parquet(str(tmp_path / "out" / "scorecard"))
     assert sc.filter("scope = 'Overall' AND metric = 'New OPDs'").first().target == 10
+
+
+def test_display_form(spark, tmp_path):
+    from planpulse.plans.display import display_reports, period_headings
+    assert period_headings(D(2026, 3, 16)) == {"yesterday": "Yesterday (15-Mar)", "mtd": "MTD-1 (1-15 Mar)",
+                                               "last_month": "Last Month (1-15 Feb)"}
+    reports = daily_reports(_tables(spark), D(2026, 4, 15), ReportConfig(session_task="therapy"), checkpoint=False)
+    shown = display_reports(reports, D(2026, 4, 15))
+    assert shown["staff_mtd"].columns[:3] == ["Therapist", "NEW OPD", "F/U OPD"]
+    sc = shown["scorecard"].filter("scope = 'Overall'").collect()
+    assert [r.Category for r in sc][:2] == ["New OPDs", "F/U OPDs"] and sc[-1].Category == "Revenue"
+    # visits 700 + 1500 (missing amount) + 500, renewal p2 120
+    assert sc[-1]["MTD-1 (1-14 Apr)"] == "2,820"
+    counts = write_daily_reports(reports, str(tmp_path / "csv"), "csv", display_as_of=D(2026, 4, 15))
+    assert counts["scorecard"] == 33
