@@ -79,7 +79,7 @@ def test_display_form(spark, tmp_path):
     from planpulse.plans.display import display_reports, period_headings
     assert period_headings(D(2026, 3, 16)) == {"yesterday": "Yesterday (15-Mar)", "mtd": "MTD-1 (1-15 Mar)",
                                                "last_month": "Last Month (1-15 Feb)"}
-    reports = daily_reports(_tables(spark), D(2026, 4, 15), ReportConfig(session_task="therapy"), checkpoint=False)
+    reports = daily_reports(_tables(spark), D(2026, 4, 15), ReportConfig(session_task="therapy"))
     shown = display_reports(reports, D(2026, 4, 15))
     assert shown["staff_mtd"].columns[:3] == ["Therapist", "NEW OPD", "F/U OPD"]
     sc = shown["scorecard"].filter("scope = 'Overall'").collect()
