@@ -33,17 +33,20 @@ def best_flag(df: DataFrame, keys: Sequence[str], flag: str, out: str) -> DataFr
 
 
 def first_flag(df: DataFrame, entity: str, day: str, eligible: Column | None = None,
-               out: str = "is_repeat") -> DataFrame:
+               out: str = "is_repeat", history: DataFrame | None = None) -> DataFrame:
     """Flag rows whose entity has an eligible row on a strictly earlier day.
 
     Equivalent to the original ``LEFT JOIN (DISTINCT entity, day) ON
     earlier day`` existence test, without the fan-out: the entity's first
     eligible day is one partial aggregate, joined back on the entity key.  A
     hot entity is handled by AQE's skew-join split of the large side.
+    ``history`` (default ``df``) is where earlier rows are looked for, so a
+    caller can flag only the rows of a window against the whole history.
     """
     cond = F.lit(True) if eligible is None else eligible
-    first = (df.filter(cond).groupBy(entity)
-               .agg(F.min(F.col(day)).alias("_first_day")))
+    hist = df if history is None else history
+    first = (hist.filter(cond).groupBy(entity)
+                 .agg(F.min(F.col(day)).alias("_first_day")))
     return (df.join(first, on=entity, how="left")
               .withColumn(out, F.coalesce(F.col("_first_day") < F.col(day), F.lit(False)))
               .drop("_first_day"))

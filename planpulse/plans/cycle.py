@@ -95,6 +95,9 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
     # windows -- a placement Catalyst cannot derive by itself.
     hist = plan_history(plans.filter(F.col("start_date") <= as_date(as_of)),
                         "entity_id", "start_date", "due_date", "plan_id")
+    # The window bound is on start_date, which is part of the dedup key below,
+    # so it may go right after the history (never before it).
+    hist = hist.filter(trailing_months("start_date", as_of, history_months))
     seen = visits.filter(non_empty("slot")).select("entity_id")
     ent = entities.select("entity_id", "name", "contact",
                           F.col("source").alias("entity_source"), "csr_id")
@@ -109,11 +112,8 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
     rule = type_rule or entity_type
     p = p.withColumn("entity_type", rule("entity_source", "amount", "csr_id"))
     p = p.withColumn("months_with_us", F.col("running_count"))
-    # The window bound is on start_date, part of the dedup key: Catalyst may
-    # push it below the dedup, but not below the history windows.
     p = latest_per_key(p, ["contact", "start_date"], [F.col("plan_id").asc()])
-    p = (p.filter(trailing_months("start_date", as_of, history_months))
-          .drop("has_visit", "running_count", "seq", "prev_start", "prev_due"))
+    p = p.drop("has_visit", "running_count", "seq", "prev_start", "prev_due")
     if roles is not None:
         p = p.join(roles, "entity_id", "left")
     return p

@@ -32,14 +32,17 @@ def visits_classified(visits: DataFrame, entities: DataFrame, prescriptions: Dat
       flag (TRUE > FALSE > NULL) -- per entity, not per visit (trap T16).
     """
     keys = list(visit_keys)
-    v = first_flag(visits, "entity_id", "visit_date", non_empty("slot"), out="_repeat")
-    v = v.filter(trailing_months("visit_date", as_of, history_months)
-                 & non_empty("slot") & F.col("status").isin(list(statuses)))
+    # Row filters and the term exclusion (keyed by visit) come first, so the
+    # visit rows are then shuffled once by entity for all entity-keyed joins;
+    # earlier visits are looked up in the whole history.
+    v = visits.filter(trailing_months("visit_date", as_of, history_months)
+                      & non_empty("slot") & F.col("status").isin(list(statuses)))
+    if terms is not None:
+        v = exclude(v, terms.select(*keys).dropna(), keys)
+    v = first_flag(v, "entity_id", "visit_date", non_empty("slot"), out="_repeat", history=visits)
     ent = entities.select("entity_id", F.col("source").alias("entity_source"),
                           F.col("branch").alias("entity_branch"), "name")
     v = v.join(ent, "entity_id", "inner").filter(not_in("entity_source", excluded_sources))
-    if terms is not None:
-        v = exclude(v, terms.select(*keys).dropna(), keys)
     flag = best_flag(prescriptions, ["entity_id"], "suggested", "_suggested")
     v = v.join(flag, "entity_id", "left")
     return (v.withColumn("opd_status", F.when(F.col("_repeat"), F.lit("OLD OPD"))
