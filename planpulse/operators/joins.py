@@ -20,14 +20,6 @@ def _pairs(on) -> list[tuple[str, str]]:
     return out
 
 
-def _cond(left: DataFrame, right: DataFrame, pairs) -> Column:
-    cond = None
-    for lk, rk in pairs:
-        c = left[lk] == right[rk]
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def exclude(df: DataFrame, terms: DataFrame, on) -> DataFrame:
     """Rows of ``df`` with no match in ``terms`` (J3, J4, J5: ``NOT EXISTS``).
 
