@@ -41,9 +41,9 @@ def q_active_snapshots(spark: SparkSession, d: str) -> DataFrame:
     snap = active_snapshots(V.plans(spark, d), V.assignments(spark, d), V.entities(spark, d),
                             V.terms(spark, d), V.SNAP_FIRST_MONTH, V.SNAP,
                             excluded_sources=V.EXCLUDED_PLAN_SOURCES, expired_status=V.EXPIRED,
-                            entity_cols=["name"])
+                            entity_cols=["name"], diagnoses=V.diagnoses(spark, d))
     return snap.select("active_date", "plan_id", "entity_id", "name", "start_date", "due_date",
-                       _money(), "first_status", "months_with_us")
+                       _money(), "first_status", "months_with_us", "primary_diagnosis")
 
 
 def q_lapsed_entities(spark: SparkSession, d: str) -> DataFrame:

@@ -19,6 +19,8 @@ Mapping (the DuckDB twin is ``planpulse.bindings.oracle``):
                   inactive when event_id % 10 = 0
 * roster_map    = events: entity from props.k
 * staff names   = supplier: s_suppkey -> s_name
+* diagnoses     = orders: one record per order (JSON list from the order priority,
+                  a primary diagnosis on every third order, no update time on every fifth)
 """
 
 from __future__ import annotations
@@ -177,6 +179,20 @@ def roster_map(spark: SparkSession, d: str) -> DataFrame:
                      F.get_json_object("props", "$.k").cast("bigint").alias("entity_id"))
 
 
+@_shared
+def diagnoses(spark: SparkSession, d: str) -> DataFrame:
+    """One diagnosis record per order: a JSON list from the order priority's parts,
+    a primary diagnosis on every third order, no update time on every fifth."""
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        F.col("o_custkey").alias("entity_id"),
+        F.concat(F.lit('[" '), F.replace(F.col("o_orderpriority"), F.lit("-"), F.lit('", "')),
+                 F.lit(' "]')).alias("diagnosis_list"),
+        F.when(k % 3 == 0, F.col("o_orderstatus")).alias("primary_diagnosis"),
+        F.when(k % 5 != 0, F.col("o_orderdate").cast("timestamp")).alias("updated_at"))
+
+
 @_shared
 def staff_names(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier")
