@@ -73,7 +73,7 @@ def latest_roles(assignments: DataFrame, plans: DataFrame, roles=("Psychologist"
 def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of: dt.date | str,
                grace_days: int = K.GRACE_DAYS, test_word: str = "test",
                history_months: int = K.HISTORY_MONTHS, type_rule=None,
-               roles: DataFrame | None = None) -> DataFrame:
+               roles: DataFrame | None = None, entity_cols: Sequence[str] = ()) -> DataFrame:
     """Four-way plan classification with acquisition path and entity type.
 
     * previous start NULL -> NEW PLAN; start <= previous due -> RENEWAL;
@@ -86,7 +86,8 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
       original ordered by the partition key itself, trap T3);
     * start day within the trailing window ending at ``as_of``;
     * ``roles`` (optional, one row per entity, e.g. ``pivot_roles`` of the
-      latest assignment per role) is left-joined to add the role names.
+      latest assignment per role) is left-joined to add the role names;
+    * ``entity_cols`` are further attributes copied from the entity table.
 
     No source or exclusion-term filter here (the original has none).
     """
@@ -99,8 +100,9 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
     # so it may go right after the history (never before it).
     hist = hist.filter(trailing_months("start_date", as_of, history_months))
     seen = visits.filter(non_empty("slot")).select("entity_id")
+    extra = [c for c in entity_cols if c not in ("entity_id", "name", "contact", "csr_id")]
     ent = entities.select("entity_id", "name", "contact",
-                          F.col("source").alias("entity_source"), "csr_id")
+                          F.col("source").alias("entity_source"), "csr_id", *extra)
     p = (hist.join(ent, "entity_id", "inner")
              .filter(reject_affix("name", test_word)))
     p = with_flag(p, seen, "entity_id", "has_visit")
@@ -124,7 +126,8 @@ def plan_cycle_simple(plans: DataFrame, entities: DataFrame, visits: DataFrame,
                       grace_days: int = K.GRACE_DAYS,
                       excluded_sources: Sequence[str] = K.EXCLUDED_SOURCES,
                       visit_keys: Sequence[str] = ("visit_id",),
-                      history_months: int = K.HISTORY_MONTHS) -> DataFrame:
+                      history_months: int = K.HISTORY_MONTHS,
+                      entity_cols: Sequence[str] = ()) -> DataFrame:
     """Three-way plan type and the entity's total service months (C4).
 
     * previous due NULL -> New Plan (trap T8: not previous start);
@@ -134,15 +137,17 @@ def plan_cycle_simple(plans: DataFrame, entities: DataFrame, visits: DataFrame,
       ``total_service_months``: their sum over all the entity's plans;
     * entity source not excluded; entities with exclusion terms on any visit
       are out (the whole entity); start from the window's first month on,
-      with no upper bound.
+      with no upper bound;
+    * ``entity_cols`` are further attributes copied from the entity table.
     """
     hist = plan_history(plans, "entity_id", "start_date", "due_date", "plan_id")
     p = (hist.withColumn("plan_type", simple_type(grace_days=grace_days))
              .withColumn("plan_months", whole_months("start_date", "due_date")))
     tenure = p.groupBy("entity_id").agg(F.sum("plan_months").cast("bigint")
                                         .alias("total_service_months"))
+    extra = [c for c in entity_cols if c not in ("entity_id", "name", "source", "branch")]
     ent = entities.select("entity_id", F.col("source").alias("entity_source"),
-                          F.col("branch").alias("entity_branch"), "name")
+                          F.col("branch").alias("entity_branch"), "name", *extra)
     p = (p.join(ent, "entity_id", "inner")
           .filter(since_months("start_date", as_of, history_months)
                   & not_in("entity_source", excluded_sources)))

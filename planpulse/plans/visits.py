@@ -20,7 +20,8 @@ def visits_classified(visits: DataFrame, entities: DataFrame, prescriptions: Dat
                       statuses: Sequence[int] = K.COMPLETED_VISIT_STATUSES,
                       excluded_sources: Sequence[str] = K.EXCLUDED_SOURCES,
                       visit_keys: Sequence[str] = ("visit_id",),
-                      history_months: int = K.HISTORY_MONTHS) -> DataFrame:
+                      history_months: int = K.HISTORY_MONTHS,
+                      entity_cols: Sequence[str] = ()) -> DataFrame:
     """Completed visits of the trailing window, NEW or OLD, with the suggestion flag.
 
     * OLD when the entity has a visit with a non-empty slot on a strictly
@@ -29,7 +30,8 @@ def visits_classified(visits: DataFrame, entities: DataFrame, prescriptions: Dat
     * kept: status in ``statuses``, non-empty slot, day in the window ending
       at ``as_of``, entity source not excluded, no exclusion term on the visit;
     * ``is_suggest``: 'Yes' / 'No' / NULL from the entity's best prescription
-      flag (TRUE > FALSE > NULL) -- per entity, not per visit (trap T16).
+      flag (TRUE > FALSE > NULL) -- per entity, not per visit (trap T16);
+    * ``entity_cols`` are further attributes copied from the entity table.
     """
     keys = list(visit_keys)
     # Row filters and the term exclusion (keyed by visit) come first, so the
@@ -40,8 +42,9 @@ def visits_classified(visits: DataFrame, entities: DataFrame, prescriptions: Dat
     if terms is not None:
         v = exclude(v, terms.select(*keys).dropna(), keys)
     v = first_flag(v, "entity_id", "visit_date", non_empty("slot"), out="_repeat", history=visits)
+    extra = [c for c in entity_cols if c not in ("entity_id", "name", "source", "branch")]
     ent = entities.select("entity_id", F.col("source").alias("entity_source"),
-                          F.col("branch").alias("entity_branch"), "name")
+                          F.col("branch").alias("entity_branch"), "name", *extra)
     v = v.join(ent, "entity_id", "inner").filter(not_in("entity_source", excluded_sources))
     flag = best_flag(prescriptions, ["entity_id"], "suggested", "_suggested")
     v = v.join(flag, "entity_id", "left")

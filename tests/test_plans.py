@@ -361,3 +361,16 @@ def test_plan_cycle_ignores_future_plans(spark):
     b = plan_cycle(_plans(spark, base + future), ents, visits, asof)
     cols = ("plan_id", "plan_status", "months_with_us")
     assert rows(a, *cols) == rows(b, *cols) == [(1, "NEW PLAN", 1), (2, "LATE RENEWAL", 2), (3, "NEW PLAN", 1)]
+
+
+def test_entity_cols_pass_through(spark):
+    ents = spark.createDataFrame([(1, "a", "B1", "Web", 1, None, 34)], ENT + ", age int")
+    vis = spark.createDataFrame([("v1", 1, D(2025, 6, 1), "S", 1, "Dr", "1")],
+                                "visit_id string, entity_id long, visit_date date, slot string, status int, "
+                                "staff_raw string, amount string")
+    rx = spark.createDataFrame([], "entity_id long, suggested boolean")
+    got = visits_classified(vis, ents, rx, None, D(2025, 6, 30), entity_cols=["age"])
+    assert rows(got, "visit_id", "age") == [("v1", 34)]
+    plans = _plans(spark, [(1, 1, D(2025, 6, 1), D(2025, 7, 1), "1", "Web")])
+    assert rows(plan_cycle(plans, ents, vis, D(2025, 6, 30), entity_cols=["age"]), "age") == [(34,)]
+    assert rows(plan_cycle_simple(plans, ents, vis, None, D(2025, 6, 30), entity_cols=["age"]), "age") == [(34,)]
