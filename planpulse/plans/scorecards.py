@@ -103,7 +103,7 @@ def metric_facts(visits: DataFrame, plans: DataFrame, active: DataFrame, lapsed:
                      vis_amt.alias("amount")),
             F.when(F.col("is_suggest") == "Yes",
                    F.struct(F.lit("Suggest RPP").alias("metric"),
-                            F.lit(None).cast("double").alias("amount")))))).alias("f")) \
+                            F.lit(None).cast(MONEY).alias("amount")))))).alias("f")) \
         .select("branch", "day", F.col("f.metric").alias("metric"), F.col("f.amount").alias("amount"))
     p = plans.select(
         F.col(branch_col).alias("branch"), F.col("start_date").alias("day"),

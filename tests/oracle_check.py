@@ -21,13 +21,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+STRICT = "--strict" in sys.argv
+
+
 def norm(v):
     if v is None:
         return (0, "")
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (1, f"{round(v, 6):.6f}")
+        return (1, repr(v)) if STRICT else (1, f"{round(v, 6):.6f}")
     if isinstance(v, bool):
         return (1, str(v))
     if hasattr(v, "isoformat"):
@@ -47,7 +50,7 @@ def norm(v):
 
 def main():
     d = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:]
+    names = [a for a in sys.argv[2:] if not a.startswith("--")]
     spark = build_session("local[8]", 8)
     con = duckdb.connect()
     for t in TABLES:
