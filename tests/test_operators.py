@@ -196,3 +196,17 @@ def test_plan_history_window_sees_only_day_rows(spark):
         scope = below if nxt < 0 else below[:nxt]
         assert "HashAggregate" in scope, plan
     assert rows(h.groupBy("e").agg(F.max("seq").alias("m")), "e", "m") == [(0, 1667), (1, 1667), (2, 1666)]
+
+
+def test_lookup(spark):
+    from planpulse.operators.joins import lookup
+    df = spark.createDataFrame([("x", 1), ("y", 2), (None, 3)], "k string, v int")
+    dim = spark.createDataFrame([("x", "X"), ("z", "Z")], "key string, label string")
+    got = lookup(df, dim, "k", "key", ["label"], default="?")
+    assert rows(got, "k", "label") == [(None, "?"), ("x", "X"), ("y", "?")]
+    bounded = lookup(df, dim, "k", "key", ["label"], bounded=True)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert "BroadcastHashJoin" in bounded._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
