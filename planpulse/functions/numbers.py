@@ -32,6 +32,18 @@ def money(c) -> Column:
     return F.coalesce(_c(c).try_cast(MONEY), F.lit(0).cast(MONEY))
 
 
+def cents(c) -> Column:
+    """Money as whole cents (BIGINT).  Sums of cents are exact and run on Spark's
+    fast long aggregation path; wide DECIMAL sums fall back to BigDecimal."""
+    return (_c(c).cast(MONEY) * 100).cast("bigint")
+
+
+def from_cents(c) -> Column:
+    """Cents back to a DOUBLE amount: one correctly rounded division, the same
+    value a cast of the exact decimal sum gives."""
+    return _c(c).cast("double") / 100.0
+
+
 def default_amount(c, value=K.DEFAULT_VISIT_AMOUNT) -> Column:
     """Tolerant money, then 0 -> ``value`` (P11).  Sums of money stay exact DECIMAL."""
     x = money(c)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from planpulse import constants as K
 from planpulse.functions.dates import as_date
-from planpulse.functions.numbers import clamp_low, money, ratio_pct, to_whole
+from planpulse.functions.numbers import cents, clamp_low, from_cents, money, ratio_pct, to_whole
 from planpulse.functions.text import duration_label, source_rule
 from planpulse.operators.grouping import ordered_labels
 from planpulse.plans.scorecards import report_periods
@@ -36,13 +36,13 @@ def duration_mix(plans: DataFrame, as_of: dt.date, branches: Sequence[str],
     tags = F.array(*[F.when(F.col("start_date").between(as_date(d1), as_date(d2)), F.lit(p))
                      for p, (d1, d2, _) in periods.items()], F.lit("_all"))
     agg = npd.select("duration_months", "branch", F.explode(F.array_compact(tags)).alias("period"),
-                     money("amount").alias("amount")) \
+                     cents(money("amount")).alias("amount_cents")) \
         .groupBy("duration_months", "period", "branch") \
-        .agg(F.count(F.lit(1)).alias("plan_count"), F.sum("amount").alias("amount"))
+        .agg(F.count(F.lit(1)).alias("plan_count"), F.sum("amount_cents").alias("amount_cents"))
     buckets = agg.filter(F.col("period") == "_all").select("duration_months").distinct()
     by_branch = agg.filter((F.col("period") != "_all") & F.col("branch").isin(list(branches)))
     total = by_branch.groupBy("duration_months", "period") \
-        .agg(F.sum("plan_count").alias("plan_count"), F.sum("amount").alias("amount")) \
+        .agg(F.sum("plan_count").alias("plan_count"), F.sum("amount_cents").alias("amount_cents")) \
         .withColumn("branch", F.lit(K.TOTAL_LABEL))
     counts = by_branch.unionByName(total).withColumnRenamed("branch", "scope")
     grid = buckets.withColumn("period", F.explode(F.array(*[F.lit(p) for p in periods]))) \
@@ -52,7 +52,7 @@ def duration_mix(plans: DataFrame, as_of: dt.date, branches: Sequence[str],
     return out.select("duration_months", duration_label("duration_months").alias("duration_label"),
                       "label_rank", "period", "scope",
                       F.coalesce(F.col("plan_count"), F.lit(0)).cast("bigint").alias("plan_count"),
-                      to_whole(F.coalesce(F.col("amount"), F.lit(0))).alias("amount"))
+                      to_whole(from_cents(F.coalesce(F.col("amount_cents"), F.lit(0)))).alias("amount"))
 
 
 def source_mix(visits: DataFrame, plans: DataFrame, d1: dt.date, d2: dt.date,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from planpulse import constants as K
 from planpulse.functions.dates import as_date, month_start
 from planpulse.functions.numbers import (
-    MONEY, attainment, change_pct, change_pp, default_amount, derived_target, money,
+    attainment, cents, change_pct, change_pp, default_amount, derived_target, from_cents, money,
     pending_pct, ratio_pct,
 )
 from planpulse.operators.grouping import scoped_agg
@@ -88,42 +88,42 @@ def report_periods(as_of: dt.date) -> dict[str, tuple[dt.date, dt.date, dt.date]
 
 def metric_facts(visits: DataFrame, plans: DataFrame, active: DataFrame, lapsed: DataFrame,
                  assessments: DataFrame | None, branch_col: str = "branch") -> DataFrame:
-    """All inputs as one narrow union of (branch, metric, day, month, n, amount, listed).
+    """All inputs as one narrow union of (branch, metric, day, month, n, amount_cents, listed).
 
     ``day`` is the event day (NULL for the Active snapshot, which is matched
     by ``month``); ``listed`` marks the four frames whose branches form the
     report's branch list (assessments do not).
     """
-    vis_amt = default_amount("amount")
+    vis_amt = cents(default_amount("amount"))
     v = visits.select(
         F.col(branch_col).alias("branch"), F.col("visit_date").alias("day"),
         F.explode(F.array_compact(F.array(
             F.struct(F.when(F.col("opd_status") == "NEW OPD", F.lit("New OPDs"))
                       .when(F.col("opd_status") == "OLD OPD", F.lit("F/U OPDs")).alias("metric"),
-                     vis_amt.alias("amount")),
+                     vis_amt.alias("amount_cents")),
             F.when(F.col("is_suggest") == "Yes",
                    F.struct(F.lit("Suggest RPP").alias("metric"),
-                            F.lit(None).cast(MONEY).alias("amount")))))).alias("f")) \
-        .select("branch", "day", F.col("f.metric").alias("metric"), F.col("f.amount").alias("amount"))
+                            F.lit(None).cast("bigint").alias("amount_cents")))))).alias("f")) \
+        .select("branch", "day", F.col("f.metric").alias("metric"), F.col("f.amount_cents").alias("amount_cents"))
     p = plans.select(
         F.col(branch_col).alias("branch"), F.col("start_date").alias("day"),
         F.when(F.col("plan_type") == "New Plan", F.lit("New Plan"))
          .when(F.col("plan_type") == "Renewal", F.lit("Renewals"))
          .when(F.col("plan_type") == "Revival", F.lit("Revivals")).alias("metric"),
-        money("amount").alias("amount"))
+        cents(money("amount")).alias("amount_cents"))
     i = lapsed.select(F.col(branch_col).alias("branch"), F.col("inactive_date").alias("day"),
-                      F.lit("Inactive").alias("metric"), F.lit(None).cast(MONEY).alias("amount"))
+                      F.lit("Inactive").alias("metric"), F.lit(None).cast("bigint").alias("amount_cents"))
     parts = [x.withColumn("month", F.lit(None).cast("date")).withColumn("n", F.lit(1.0))
              for x in (v, p, i)]
     a = active.select(F.col(branch_col).alias("branch"), F.lit(None).cast("date").alias("day"),
-                      F.lit("Active").alias("metric"), F.lit(None).cast(MONEY).alias("amount"),
+                      F.lit("Active").alias("metric"), F.lit(None).cast("bigint").alias("amount_cents"),
                       F.col("active_date").alias("month"), F.lit(1.0).alias("n"))
     facts = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(a) \
         .withColumn("listed", F.lit(True))
     if assessments is not None:
         s = assessments.select(F.col("center").alias("branch"), F.col("date").alias("day"),
                                F.lit("Assessments").alias("metric"),
-                               money("cost").alias("amount"),
+                               cents(money("cost")).alias("amount_cents"),
                                F.lit(None).cast("date").alias("month"),
                                F.col("assess_no").cast("double").alias("n"),
                                F.lit(False).alias("listed"))
@@ -140,7 +140,7 @@ def daily_facts(facts: DataFrame) -> DataFrame:
     checkpoint it once (``session.materialize``) and read it several times.
     """
     return facts.groupBy("branch", "metric", "day", "month", "listed") \
-        .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+        .agg(F.sum("n").alias("n"), F.sum("amount_cents").alias("amount_cents"))
 
 
 def _finish_metrics(agg: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -149,15 +149,15 @@ def _finish_metrics(agg: DataFrame, keys: Sequence[str]) -> DataFrame:
     per = agg.groupBy(*ks).agg(
         F.sum(F.when(F.col("metric") == "New Plan", F.col("value"))).alias("_np"),
         F.sum(F.when(F.col("metric") == "New OPDs", F.col("value"))).alias("_no"),
-        F.sum(F.when(F.col("metric").isin(list(K.AMOUNT_CATEGORIES)), F.col("amount"))).alias("_rev"))
+        F.sum(F.when(F.col("metric").isin(list(K.AMOUNT_CATEGORIES)), F.col("amount_cents"))).alias("_rev"))
     ratio = per.select(*ks, F.lit("NO2P %").alias("metric"),
                        ratio_pct(F.coalesce(F.col("_np"), F.lit(0.0)),
                                  F.coalesce(F.col("_no"), F.lit(0.0))).alias("value"),
                        F.lit(None).cast("double").alias("amount"))
-    rev_amt = F.coalesce(F.col("_rev"), F.lit(0)).cast("double")
+    rev_amt = from_cents(F.coalesce(F.col("_rev"), F.lit(0)))
     rev = per.select(*ks, F.lit(K.REVENUE_LABEL).alias("metric"),
                      rev_amt.alias("value"), rev_amt.alias("amount"))
-    agg = agg.withColumn("amount", F.col("amount").cast("double"))
+    agg = agg.withColumn("amount", from_cents("amount_cents")).drop("amount_cents")
     return agg.unionByName(ratio).unionByName(rev)
 
 
@@ -182,7 +182,7 @@ def tagged_metrics(facts: DataFrame, tags: Column, periods: Column,
     seen = F.when(F.col("listed"), F.lit(SEEN))
     tagged = facts.withColumn("period", F.explode(F.array_compact(F.array_union(tags, F.array(seen)))))
     agg = scoped_agg(tagged, "branch", ["period", "metric"],
-                     [F.sum("n").alias("value"), F.sum("amount").alias("amount")]) \
+                     [F.sum("n").alias("value"), F.sum("amount_cents").alias("amount_cents")]) \
         .withColumnRenamed("branch", "scope")
     marks = agg.filter(F.col("period") == SEEN)
     scopes = marks.filter(F.col("scope").isNotNull() & (F.col("scope") != "")
@@ -192,8 +192,8 @@ def tagged_metrics(facts: DataFrame, tags: Column, periods: Column,
         .withColumn("metric", F.explode(F.array(*[F.lit(m) for m in _count_metrics()])))
     full = grid.join(values, ["scope", "period", "metric"], "left") \
         .withColumn("value", F.coalesce(F.col("value"), F.lit(0.0))) \
-        .withColumn("amount", F.when(F.col("metric").isin(list(K.AMOUNT_CATEGORIES)),
-                                     F.coalesce(F.col("amount"), F.lit(0))))
+        .withColumn("amount_cents", F.when(F.col("metric").isin(list(K.AMOUNT_CATEGORIES)),
+                                           F.coalesce(F.col("amount_cents"), F.lit(0))))
     return _finish_metrics(full, ["period"])
 
 

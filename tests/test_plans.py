@@ -240,7 +240,7 @@ def _bench_facts(spark):
     from planpulse.plans.scorecards import daily_facts
     rows_ = []
     def add(branch, metric, day=None, month=None, n=1.0, amount=None, listed=True):
-        rows_.append((branch, day, month, metric, n, amount, listed))
+        rows_.append((branch, day, month, metric, n, None if amount is None else int(amount * 100), listed))
     # Jan: 2 New OPDs (one after the same-period span), Feb: 2 within span, Mar: 1
     add("B1", "New OPDs", D(2025, 1, 2), amount=__import__("decimal").Decimal("10"))
     add("B1", "New OPDs", D(2025, 1, 30), amount=__import__("decimal").Decimal("10"))
@@ -251,7 +251,7 @@ def _bench_facts(spark):
     add("B1", "Active", month=D(2025, 4, 1)); add("B1", "Active", month=D(2025, 4, 1))
     add("B1", "New OPDs", D(2025, 4, 2), amount=__import__("decimal").Decimal("10"))
     df = spark.createDataFrame(rows_, "branch string, day date, month date, metric string, n double, "
-                                      "amount decimal(18,2), listed boolean")
+                                      "amount_cents bigint, listed boolean")
     return daily_facts(df)
 
 
