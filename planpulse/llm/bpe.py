@@ -44,7 +44,7 @@ LONG_WORD = 1024     # longer words (no ASCII white space) go through the open-e
 CACHED_WORDS = 300_000
 SPACE = re.compile(rb"[\t-\r ]")
 #: Words of these code points are normalised and split here; any other word by the library's own steps.
-PLAIN = re.compile("[!-~¡-ɏ]*")
+PLAIN = re.compile("[!-~%s-%s]*" % (chr(0xA1), chr(0x24F)))
 
 
 def byte_symbols() -> dict[int, str]:

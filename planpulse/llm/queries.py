@@ -5,7 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from planpulse.llm import bpe, tokenfile
+from planpulse.llm import bpe, kdshard, packing, simhash, tokenfile, urlfilter
+
+#: Fixed values of the url query.
+URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow",
+             "com/de/": "block"}
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -20,5 +24,43 @@ def op4_token_files(spark: SparkSession, d: str) -> DataFrame:
     return tokenfile.token_files(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op4_token_files": op4_token_files}
-ORACLE_SQL: dict[str, str] = {}
+def op5_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, d), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    return urlfilter.judge(spark.read.parquet(f"{d}/pages.parquet"), URL_RULES)
+
+
+def op8_kd_shards(spark: SparkSession, d: str) -> DataFrame:
+    return kdshard.shard(documents(spark, d), 40)
+
+
+def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, d), shingle=4, radius=4)
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op4_token_files": op4_token_files, "op5_packing": op5_packing,
+           "op6_url_filter": op6_url_filter, "op8_kd_shards": op8_kd_shards, "op10_simhash": op10_simhash}
+
+ORACLE_SQL = {
+    "op6_url_filter": """
+        WITH cut AS (
+            SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS a FROM pages),
+        parts AS (
+            SELECT page_id, translate(coalesce(regexp_extract(a, '^[^/?#]*'), ''),
+                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   coalesce(regexp_extract(substr(a, length(regexp_extract(a, '^[^/?#]*')) + 1), '^[^?#]*'), '') AS path
+            FROM cut),
+        ruled AS (
+            SELECT page_id, host, path, CASE
+                WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+                WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+                WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+                WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule
+            FROM parts)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('example.org/es/', 'example.org/en/1', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
+        FROM ruled""",
+}

@@ -43,7 +43,8 @@ CACHED_SEGMENTS = 300_000
 WORD_END = re.compile(rb"(?<=[^\t-\r ])[\t-\r ]")
 SEGMENT = re.compile(rb"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 #: White space beyond ASCII's six: such texts are given to the library as a whole.
-ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏    　﻿]")
+ODD_SPACE = re.compile("[%s]" % "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010),
+                                                  0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF])))
 CHUNK = 1 << 20
 
 
