@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from planpulse.llm import bpe, kdshard, packing, simhash, tokenfile, urlfilter
+from planpulse.llm import bpe, kdshard, langid, packing, quality, rules, simhash, tokenfile, urlfilter, winnow
 
 #: Fixed values of the url query.
 URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow",
@@ -20,6 +21,15 @@ def op1_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, d), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    return rules.quality_rules(documents(spark, d))
+
+
+def op3_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    return quality.score(docs, quality.train(docs, spark.read.parquet(f"{d}/labels.parquet")), threshold=0.3)
+
+
 def op4_token_files(spark: SparkSession, d: str) -> DataFrame:
     return tokenfile.token_files(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -32,18 +42,52 @@ def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return urlfilter.judge(spark.read.parquet(f"{d}/pages.parquet"), URL_RULES)
 
 
+def op7_winnowing(spark: SparkSession, d: str) -> DataFrame:
+    return winnow.edited_likeness(documents(spark, d))
+
+
 def op8_kd_shards(spark: SparkSession, d: str) -> DataFrame:
     return kdshard.shard(documents(spark, d), 40)
 
 
+def op9_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    return langid.predict(docs, langid.train(docs))
+
+
 def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, d), shingle=4, radius=4)
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op4_token_files": op4_token_files, "op5_packing": op5_packing,
-           "op6_url_filter": op6_url_filter, "op8_kd_shards": op8_kd_shards, "op10_simhash": op10_simhash}
+QUERIES = {f.__name__: f for f in (
+    op1_bpe, op2_quality_rules, op3_quality_classifier, op4_token_files, op5_packing, op6_url_filter, op7_winnowing,
+    op8_kd_shards, op9_language_id, op10_simhash)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE_SQL = {
+    "op2_quality_rules": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^ \t-\r]+') AS ws, string_split(t, chr(10)) AS ls FROM d),
+        g AS (SELECT r, i, list_slice(ws, i, i + 7) AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)),
+        twice AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+        rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY r),
+        l AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup
+              FROM (SELECT r, unnest(ls) AS x FROM w) WHERE regexp_matches(x, '[^ \t-\r]') GROUP BY r),
+        f AS (SELECT doc_id, t, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+                     (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+                     coalesce(l.n_lines, 0) AS n_lines, coalesce(l.n_dup, 0)::BIGINT AS n_dup_lines,
+                     coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+              FROM w LEFT JOIN l USING (r) LEFT JOIN rep USING (r)),
+        b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+                     length(regexp_replace(t, '[^\p{Lu}]', '', 'g')) AS upper_n,
+                     length(regexp_replace(t, '[^\p{Ll}]', '', 'g')) AS lower_n,
+                     length(regexp_replace(t, '[^\p{L}]', '', 'g')) AS letters,
+                     length(t) - length(replace(t, '!', '')) AS bangs FROM f)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 10 * n_symbols > 2 * n_words
+                    OR 10 * n_dup_lines > 3 * n_lines OR upper_n > lower_n OR 10 * bangs > 5 * n_words
+                    OR 2 * letters < word_chars) AS kept
+        FROM b""",
     "op6_url_filter": """
         WITH cut AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS a FROM pages),
