@@ -7,7 +7,7 @@ best months Jan..May 1995; 13 of June's 26 working days have passed.
 
 from __future__ import annotations
 
-from planpulse.bindings.oracle import VIEWS, _PLAN_CYCLE_BODY, _visits_c5
+from planpulse.bindings.oracle import ELIGIBLE, LAST_PLAN, VIEWS, _CYCLE, _visits_c5, in_force, plan_types
 
 
 def strip(x: str) -> str:
@@ -29,6 +29,9 @@ def branch(x: str) -> str:
     return f"CASE WHEN {b} = 'MIDDLE EAST' THEN 'MIDEAST' ELSE {b} END"
 
 
+# The cycle without the timeline, which the report views already have.
+_CYCLE_REST = "\n" + _CYCLE[_CYCLE.index("cycle AS ("):]
+
 MESSY = "'  ' || replace(s_name, '#', '  #') || ' '"
 
 REPORT_VIEWS = f"""
@@ -36,57 +39,18 @@ staff_raw AS (SELECT s_suppkey AS staff_id, {MESSY} AS staff_raw FROM supplier),
 alias AS (SELECT DISTINCT replace(s_name, '#', ' #') AS tech_name,
                  CASE WHEN s_nationkey = 0 THEN '' ELSE 'Team ' || CAST(s_nationkey AS VARCHAR) END AS final_name
           FROM supplier WHERE s_nationkey < 3),
-plans_b AS (SELECT p.*, e.branch FROM plans p LEFT JOIN entities e ON e.entity_id = p.entity_id),
-c1 AS (
-  SELECT m.month_start AS active_date, p.plan_id, {branch('p.branch')} AS branch,
-         oa.staff_raw AS owner_a_name, ob.staff_raw AS owner_b_name
-  FROM (SELECT CAST(g AS DATE) AS month_start,
-               LEAST(CAST(g + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE), DATE '1995-06-16') AS ref_date,
-               CAST(g AS DATE) = DATE '1995-06-01' AS is_current
-        FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '1995-06-01', INTERVAL 1 MONTH) t(g)) m
-  JOIN (SELECT p.*, EXISTS (SELECT 1 FROM lineitem a WHERE a.l_orderkey = p.plan_id AND a.l_linestatus <> 'F') AS live
-        FROM plans_b p
-        WHERE p.source NOT IN ('5-LOW')
-          AND NOT EXISTS (SELECT 1 FROM terms t WHERE t.plan_ref = p.plan_ref)
-          AND EXISTS (SELECT 1 FROM entities e WHERE e.entity_id = p.entity_id)) p
-    ON p.start_date < m.ref_date AND p.due_date > m.ref_date
-  LEFT JOIN staff_raw oa ON oa.staff_id = p.owner_a
-  LEFT JOIN staff_raw ob ON ob.staff_id = p.owner_b
-  WHERE NOT m.is_current OR p.live),
-c2 AS (
-  SELECT l.*, l.due_date + 1 AS inactive_date, {branch('l.branch')} AS rbranch,
-         oa.staff_raw AS owner_a_name, ob.staff_raw AS owner_b_name
-  FROM (SELECT DISTINCT ON (p.entity_id) p.*
-        FROM plans_b p
-        WHERE p.start_date <= DATE '1995-06-16' AND p.source NOT IN ('5-LOW')
-          AND NOT EXISTS (SELECT 1 FROM terms t WHERE t.plan_ref = p.plan_ref)
-          AND EXISTS (SELECT 1 FROM entities e WHERE e.entity_id = p.entity_id)
-        ORDER BY p.entity_id, p.due_date DESC NULLS FIRST, p.plan_id DESC) l
-  LEFT JOIN staff_raw oa ON oa.staff_id = l.owner_a
-  LEFT JOIN staff_raw ob ON ob.staff_id = l.owner_b
-  WHERE l.due_date <= DATE '1995-06-15'),
-c4 AS (
-  SELECT c.*, {branch('e.branch')} AS branch, e.source AS entity_source, t.total_service_months
-  FROM (SELECT p.*,
-               CASE WHEN LAG(due_date) OVER w IS NULL THEN 'New Plan'
-                    WHEN start_date <= LAG(due_date) OVER w + 45 THEN 'Renewal'
-                    ELSE 'Revival' END AS plan_type,
-               EXTRACT(YEAR FROM age(CAST(due_date AS TIMESTAMP), CAST(start_date AS TIMESTAMP))) * 12
-                 + EXTRACT(MONTH FROM age(CAST(due_date AS TIMESTAMP), CAST(start_date AS TIMESTAMP))) AS plan_months
-        FROM plans p WHERE p.start_date <= DATE '1995-06-16'
-        WINDOW w AS (PARTITION BY entity_id ORDER BY start_date, plan_id)) c
-  LEFT JOIN entities e ON e.entity_id = c.entity_id
-  LEFT JOIN (SELECT entity_id, SUM(plan_months) AS total_service_months
-             FROM (SELECT entity_id,
-                          EXTRACT(YEAR FROM age(CAST(due_date AS TIMESTAMP), CAST(start_date AS TIMESTAMP))) * 12
-                          + EXTRACT(MONTH FROM age(CAST(due_date AS TIMESTAMP), CAST(start_date AS TIMESTAMP))) AS plan_months
-                   FROM plans WHERE start_date <= DATE '1995-06-16') z GROUP BY entity_id) t
-    ON t.entity_id = c.entity_id
-  WHERE c.start_date >= DATE '1994-06-01' AND e.source NOT IN ('MACHINERY')
-    AND NOT EXISTS (SELECT 1 FROM visits v
-                    JOIN terms x ON x.l_orderkey = v.l_orderkey AND x.l_linenumber = v.l_linenumber
-                                AND x.l_partkey = v.l_partkey AND x.l_suppkey = v.l_suppkey
-                    WHERE v.entity_id = e.entity_id)),
+{ELIGIBLE.strip()},
+{in_force("1995-01-01", "1995-06-16").strip()},
+{LAST_PLAN.strip()},
+owned AS (
+  SELECT p.plan_id, p.due_date, {branch('e.branch')} AS branch, oa.staff_raw AS owner_a_name, ob.staff_raw AS owner_b_name
+  FROM plans p LEFT JOIN entities e ON e.entity_id = p.entity_id
+  LEFT JOIN staff_raw oa ON oa.staff_id = p.owner_a LEFT JOIN staff_raw ob ON ob.staff_id = p.owner_b),
+c1 AS (SELECT f.active_date, o.* FROM in_force f JOIN owned o USING (plan_id)),
+c2 AS (SELECT o.*, o.due_date + 1 AS inactive_date, o.branch AS rbranch FROM last_plan JOIN owned o USING (plan_id)
+       WHERE o.due_date < DATE '1995-06-16'),
+{plan_types("1994-06-01").strip()},
+c4 AS (SELECT * REPLACE ({branch('branch')} AS branch) FROM typed),
 {_visits_c5("1995-06-16").strip()},
 c5r AS (SELECT c5.*, {branch('c5.entity_branch')} AS branch, s.staff_raw
         FROM c5 LEFT JOIN staff_raw s ON s.staff_id = c5.staff_id),
@@ -279,16 +243,19 @@ m AS (
   SELECT scope, metric, value AS achieved FROM metrics
   WHERE period = 'mtd' AND metric IN ('New OPDs','F/U OPDs','Suggest RPP','New Plan','Renewals',
                                       'Revivals','Assessments','Active','Inactive')),
-mt AS (SELECT * FROM m UNION ALL SELECT 'Total', metric, SUM(achieved) FROM m WHERE scope <> 'Overall' GROUP BY metric)
-SELECT mt.scope, mt.metric, mt.achieved, COALESCE(b.best_value, 0.0) AS best_value,
-       COALESCE(b.best_label, '') AS best_label,
-       CAST(CASE WHEN COALESCE(b.best_value, 0) > 0 THEN round_even(mt.achieved / b.best_value * 100, 0)
-                 ELSE 0 END AS BIGINT) AS attainment_pct
-FROM mt LEFT JOIN best1 b ON b.scope = mt.scope AND b.metric = mt.metric AND b.span = 'same'
+mb AS (SELECT m.*, sp.span, coalesce(b.best_value, 0.0) AS best_value, coalesce(b.best_label, '') AS best_label
+       FROM m CROSS JOIN (VALUES ('same'), ('full')) sp(span)
+       LEFT JOIN best1 b ON (b.scope, b.metric, b.span) = (m.scope, m.metric, sp.span)),
+mt AS (FROM mb UNION ALL BY NAME
+       SELECT 'Total' AS scope, metric, span, SUM(achieved) AS achieved, SUM(best_value) AS best_value, '' AS best_label
+       FROM mb WHERE scope <> 'Overall' GROUP BY metric, span)
+SELECT scope, metric, span, achieved, best_value, best_label,
+       CAST(CASE WHEN best_value > 0 THEN round_even(achieved / best_value * 100, 0) ELSE 0 END AS BIGINT) AS attainment_pct
+FROM mt
 """)
 
 _STAFF = """,
-c3t AS (SELECT * FROM t WHERE rn = 1 AND start_date >= DATE '1994-06-01' AND start_date <= DATE '1995-06-16'),
+c3t AS (SELECT * FROM kept_cycle WHERE start_date >= DATE '1994-06-01' AND start_date <= DATE '1995-06-16'),
 vis AS (SELECT c5r.*, {canon_v} AS staff FROM c5r LEFT JOIN alias av ON av.tech_name = {clean_v}),
 vm AS (SELECT staff, CAST(COUNT(*) FILTER (WHERE opd_status = 'NEW OPD') AS BIGINT) AS new_visits,
               CAST(COUNT(*) FILTER (WHERE opd_status = 'OLD OPD') AS BIGINT) AS followup_visits,
@@ -341,7 +308,7 @@ card AS (
            canon_s=canon("s.staff_raw", "a2"), clean_s=clean("s.staff_raw"),
            canon_r=canon("raw", "a3"), clean_r=clean("raw"))
 
-STAFF_SCORECARD = _r("," + _PLAN_CYCLE_BODY + _STAFF + """
+STAFF_SCORECARD = _r("," + _CYCLE_REST + _STAFF + """
 SELECT * FROM card
 """)
 
@@ -357,7 +324,7 @@ def _flag(c: str) -> str:
             f"WHEN {c} <> 0 AND {c} = {bad} AND {hi} <> {lo} THEN 'worst' END AS {c}_flag")
 
 
-EXTREME_FLAGS = _r("," + _PLAN_CYCLE_BODY + _STAFF + "SELECT card.*, "
+EXTREME_FLAGS = _r("," + _CYCLE_REST + _STAFF + "SELECT card.*, "
                    + ", ".join(_flag(c) for c in _FLAG_METRICS) + " FROM card")
 
 OWNER_COUNTS = "WITH " + VIEWS.strip() + """

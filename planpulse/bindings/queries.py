@@ -16,8 +16,7 @@ from planpulse.functions.dates import as_date
 from planpulse.operators.history import plan_history
 from planpulse.operators.joins import exclude, with_flag
 from planpulse.operators.keyed import best_flag, latest_per_key
-from planpulse.operators.reshape import pivot_roles
-from planpulse.plans.cycle import entity_type, plan_cycle, plan_cycle_simple
+from planpulse.plans.cycle import entity_type, latest_roles, plan_cycle, plan_cycle_simple
 from planpulse.plans.snapshots import active_snapshots, lapsed_entities
 from planpulse.plans.visits import conversions, sessions_by_staff, visits_classified
 
@@ -26,11 +25,6 @@ def _money(c: str = "amount"):
     return F.col(c).cast("double").alias(c)
 
 
-def _cut(df: DataFrame, col: str, as_of: dt.date) -> DataFrame:
-    """The test tables run years past the as-of dates; live data does not."""
-    return df.filter(F.col(col) <= as_date(as_of))
-
-
 def _type_rule(source, amount, csr_id):
     return entity_type(source, amount, csr_id, corporate=V.CORPORATE_SEGMENTS[0],
                        csr_like="BUILDING", zero_amount_csr=("FURNITURE", "HOUSEHOLD"))
@@ -47,11 +41,12 @@ def q_active_snapshots(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_lapsed_entities(spark: SparkSession, d: str) -> DataFrame:
-    plans = _cut(V.plans(spark, d), "start_date", V.SNAP)
-    lapsed = lapsed_entities(plans, V.entities(spark, d), V.terms(spark, d), V.SNAP,
-                             excluded_sources=V.EXCLUDED_PLAN_SOURCES, entity_cols=["name"])
+    lapsed = lapsed_entities(V.plans(spark, d), V.entities(spark, d), V.terms(spark, d), V.SNAP,
+                             excluded_sources=V.EXCLUDED_PLAN_SOURCES, entity_cols=["name"],
+                             assignments=V.assignments(spark, d), diagnoses=V.diagnoses(spark, d),
+                             entity_kind="Regular")
     return lapsed.select("entity_id", "name", "plan_id", "start_date", "due_date", "inactive_date",
-                         _money(), "months_with_us")
+                         _money(), "months_with_us", "first_status", "primary_diagnosis", "entity_kind")
 
 
 # ---------------------------------------------------------------- joins
@@ -100,35 +95,30 @@ def q_role_pivot(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _roles(spark: SparkSession, d: str) -> DataFrame:
-    """Latest staff per (entity, role), one column per role (order priority plays the role)."""
+    """Latest staff per (entity, role), one column per role (order priority plays the role,
+    an order's lines are its assignments and, by order, its visits)."""
     li = V.table(spark, d, "lineitem")
-    o = V.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    s = V.staff_names(spark, d)
-    rows = (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(s, li.l_suppkey == s.staff_id, "left")
-              .select(F.col("o_custkey").alias("entity_id"), F.col("o_orderpriority").alias("role"),
-                      "staff_name", F.col("l_shipdate").alias("created_at"), *V.VISIT_KEYS)
-              .filter(F.col("role").isin("1-URGENT", "2-HIGH", "3-MEDIUM")))
-    latest = latest_per_key(rows, ["entity_id", "role"],
-                            [F.col("created_at").desc_nulls_first(),
-                             *[F.col(k).desc() for k in V.VISIT_KEYS]])
-    return pivot_roles(latest, "entity_id", "role", "staff_name",
-                       ["1-URGENT", "2-HIGH", "3-MEDIUM"],
-                       ["urgent_name", "high_name", "medium_name"])
+    o = V.table(spark, d, "orders").select(F.col("o_orderkey").alias("plan_id"), F.col("o_custkey").alias("entity_id"),
+                                           F.col("o_orderpriority").alias("role"))
+    given = (li.join(o.select("plan_id", "role"), F.col("l_orderkey") == F.col("plan_id"))
+               .join(V.staff_names(spark, d), F.col("l_suppkey") == F.col("staff_id"), "left")
+               .select("plan_id", "role", F.col("staff_name").alias("staff"), F.col("l_shipdate").alias("created_at"),
+                       *V.VISIT_KEYS))
+    return latest_roles(given, o, roles=["1-URGENT", "2-HIGH", "3-MEDIUM"],
+                        names=["urgent_name", "high_name", "medium_name"], order=V.VISIT_KEYS)
 
 
 # ---------------------------------------------------------------- C3, C4
 def q_plan_cycle(spark: SparkSession, d: str) -> DataFrame:
     c = plan_cycle(V.plans(spark, d), V.entities(spark, d), V.visits(spark, d), V.SNAP,
-                   type_rule=_type_rule, roles=_roles(spark, d))
+                   type_rule=_type_rule, roles=_roles(spark, d), diagnoses=V.diagnoses(spark, d))
     return c.select("plan_id", "entity_id", "contact", "name", "start_date", "due_date", "plan_status",
                     "direct_after_opd", "entity_type", "months_with_us", _money(),
-                    "urgent_name", "high_name", "medium_name")
+                    "urgent_name", "high_name", "medium_name", "primary_diagnosis")
 
 
 def q_plan_cycle_simple(spark: SparkSession, d: str) -> DataFrame:
-    plans = _cut(V.plans(spark, d), "start_date", V.SNAP)
-    c = plan_cycle_simple(plans, V.entities(spark, d), V.visits(spark, d), V.terms(spark, d),
+    c = plan_cycle_simple(V.plans(spark, d), V.entities(spark, d), V.visits(spark, d), V.terms(spark, d),
                           V.SNAP, excluded_sources=V.EXCLUDED_ENTITY_SOURCES,
                           visit_keys=V.VISIT_KEYS)
     return c.select("plan_id", "entity_id", "start_date", "due_date", "plan_type",
@@ -209,7 +199,7 @@ class _ReportInputs:
 
     def _plans4(self) -> DataFrame:
         spark, d = self.spark, self.d
-        p = plan_cycle_simple(_cut(V.plans(spark, d), "start_date", self.as_of), V.entities(spark, d),
+        p = plan_cycle_simple(V.plans(spark, d), V.entities(spark, d),
                               V.visits(spark, d), V.terms(spark, d), self.as_of,
                               excluded_sources=V.EXCLUDED_ENTITY_SOURCES, visit_keys=V.VISIT_KEYS)
         return p.withColumn("branch", _branch("entity_branch"))
@@ -229,8 +219,7 @@ class _ReportInputs:
 
     def _lapsed(self) -> DataFrame:
         spark, d = self.spark, self.d
-        cut = _cut(V.plans_with_branch(spark, d), "start_date", self.as_of)
-        lapsed = lapsed_entities(cut, V.entities(spark, d), V.terms(spark, d), self.as_of,
+        lapsed = lapsed_entities(V.plans_with_branch(spark, d), V.entities(spark, d), V.terms(spark, d), self.as_of,
                                  excluded_sources=V.EXCLUDED_PLAN_SOURCES, extras=())
         return _with_owner_names(lapsed.withColumn("branch", _branch("branch")), spark, d)
 
@@ -430,7 +419,75 @@ def q_feed_records(spark: SparkSession, d: str) -> DataFrame:
     return feed_records(feed_pages(spark, d), V.SNAP)
 
 
+def q_feed_broken_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of every tenth order are cut short; they are reported, not lost."""
+    from planpulse.sources.feed import broken_pages
+    o = V.table(spark, d, "orders").select((F.col("o_orderkey") % 10).alias("k"), F.col("o_orderkey").cast("string").alias("id"))
+    doc = F.concat(F.lit('{"data": [{"id": "'), F.col("id"), F.lit('"}], "meta": {"hasNextPage": false}}'))
+    doc = F.when(F.col("k") == 0, F.substring(doc, 1, 12)).when(F.col("k") == 1, F.lit('{"meta": {}}')).otherwise(doc)
+    return broken_pages(o.select(doc.alias("doc"))).groupBy("doc").agg(F.count(F.lit(1)).alias("pages"))
+
+
+# ---------------------------------------------------------------- loaders over written files
+def _written(df: DataFrame, name: str, fmt: str = "csv") -> str:
+    """Write ``df`` as the hand-kept file a loader reads; returns its folder."""
+    import uuid
+
+    from planpulse.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/inputs-{uuid.uuid4().hex}/{name}"
+    df.write.option("header", True).format(fmt).save(path)
+    return path
+
+
+def q_staff_map_csv(spark: SparkSession, d: str) -> DataFrame:
+    """S3 over a file with padded ids, other column order and repeated rows."""
+    from planpulse.sources import load_staff_map
+    s = V.table(spark, d, "supplier")
+    one = s.select(F.col("s_name").alias("therapist_name"), F.concat(F.lit(" "), "s_suppkey", F.lit(" ")).alias("User_ID"))
+    return load_staff_map(spark, _written(one.union(one), "staff"))
+
+
+def q_targets_csv(spark: SparkSession, d: str) -> DataFrame:
+    """S4 over a file with padded keys and targets that are no numbers."""
+    from planpulse.sources import load_targets
+    p = V.table(spark, d, "part")
+    target = F.when(F.col("p_size") % 5 == 0, F.lit("n/a")).otherwise(F.concat(F.col("p_size").cast("string"), F.lit(".7")))
+    rows = p.select(F.concat(F.lit("c"), "p_partkey").alias("category"), target.alias("target"),
+                    F.concat(F.lit("  "), "p_brand").alias("branch"))
+    return load_targets(spark, _written(rows, "targets"))
+
+
+def q_assessments_csv(spark: SparkSession, d: str) -> DataFrame:
+    """S5 over a file with six date spellings, unreadable dates, counts and costs."""
+    from planpulse.sources import load_assessments
+    e = V.table(spark, d, "events").filter("event_type = 'purchase'")
+    k, day = F.col("event_id") % 7, F.col("ts").cast("date")
+    text = F.lit("soon")
+    for i, f in enumerate(("yyyy-MM-dd", "yyyy/MM/dd", "M/d/yyyy", "d-MMM-yyyy", "MMM d, yyyy", "yyyy-MM-dd 10:30")):
+        text = F.when(k == i, F.date_format(day, f)).otherwise(text)
+    rows = e.select(F.col("event_id").cast("string").alias(" Center "), text.alias("Date"),
+                    F.when(k == 1, F.lit("x")).otherwise((k + 1).cast("string")).alias("assesment's no."),
+                    F.lit("12.5").alias("Cost"))
+    out = load_assessments(spark, _written(rows, "assessments"), {"7": "Seven"})
+    return out.select(F.date_format("date", "yyyy-MM-dd").alias("day"), "center", "assess_no", "cost")
+
+
+def q_report_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Write a result, and compare its counted rows with what is read back."""
+    from planpulse.sources.sinks import write_report
+    df = V.plans(spark, d).select("plan_id", "status", _money())
+    path = _written(df.limit(0), "report", "parquet")
+    n = write_report(df, path, order_by=[F.asc("plan_id")])
+    return spark.read.parquet(path).groupBy("status").agg(F.count(F.lit(1)).alias("read_back")) \
+                .withColumn("rows_written", F.lit(n).cast("bigint"))
+
+
 QUERIES = {
+    "feed_broken_pages": q_feed_broken_pages,
+    "staff_map_csv": q_staff_map_csv,
+    "targets_csv": q_targets_csv,
+    "assessments_csv": q_assessments_csv,
+    "report_rows": q_report_rows,
     "active_snapshots": q_active_snapshots,
     "live_flag": q_live_flag,
     "exclude_terms": q_exclude_terms,

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from planpulse import constants as K
 
-# ISO-8601 date, optional time, optional 'Z' or +hh:mm offset.
-_ISO_PATTERN = (r"^\d{4}-\d{2}-\d{2}"
-                r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?"
-                r"(Z|[+-]\d{2}:\d{2})?$")
+# ISO-8601: extended or basic date, optional time (any number of fraction digits), optional offset.
+_ISO_PATTERN = (r"^(\d{4})-?(\d{2})-?(\d{2})"
+                r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,]\d+)?)?)?)?"
+                r"(?:Z|([+-]\d{2}):?(\d{2})?)?$")
 
 
 def _c(c) -> Column:
@@ -21,11 +21,20 @@ def iso_local_date(c) -> Column:
     """Calendar date of an ISO timestamp in its own offset (F20, trap T13).
 
     The date part is taken as written; converting to a timestamp first would
-    move records near midnight to another day.  Invalid text gives NULL.
+    move records near midnight to another day.  Impossible dates, times
+    (``25:99``) and offsets, and any other text, give NULL.
     """
     s = _c(c).cast("string")
-    valid = s.rlike(_ISO_PATTERN)
-    return F.when(valid, F.try_to_date(F.substring(s, 1, 10), "yyyy-MM-dd"))
+
+    def part(i: int) -> Column:
+        return F.regexp_extract(s, _ISO_PATTERN, i)
+
+    def at_most(i: int, most: int) -> Column:
+        return (part(i) == "") | (part(i) <= F.lit(f"{most:02d}"))
+
+    valid = (s.rlike(_ISO_PATTERN) & at_most(4, 23) & at_most(5, 59) & at_most(6, 59)
+             & ((part(7) == "") | (F.substring(part(7), 2, 2) <= "23")) & at_most(8, 59))
+    return F.when(valid, F.try_to_date(F.concat(part(1), part(2), part(3)), "yyyyMMdd"))
 
 
 def _scalar_text(v: Column) -> Column:
@@ -39,24 +48,33 @@ def _nonempty(s: Column) -> Column:
 def variant_text(c, depth: int = 3, keys=K.FEED_NAME_KEYS, sep: str = K.LIST_SEPARATOR) -> Column:
     """Readable text of a nested value.
 
-    Scalar -> its text; object -> the first non-empty of ``keys``, else its
-    non-empty values joined; list -> each item's text, empties dropped,
-    joined.  NULL, '' and [] -> ''.  Nesting deeper than ``depth`` is
-    printed as JSON (trap T22: the original printed Python literals).
+    Scalar -> its text; object -> the text of the first of ``keys`` whose value
+    counts (not empty, null, false or zero), else its non-empty values joined;
+    list -> each item's text, empties dropped, joined.  NULL, '' and [] -> ''.
+    The expression reads ``depth`` list levels; a list below that raises an
+    error that says so (give a larger depth), it is never cut or printed raw.
+    Objects inside objects print as JSON (trap T22).
     """
     v = _c(c)
     return _text(v, depth, keys, sep)
 
 
+def _counts(text: Column) -> Column:
+    """Whether a scalar's text would count as a value: not '', false or a zero."""
+    return _nonempty(text) & (F.lower(text) != "false") & ~text.rlike(r"^-?0(\.0*)?$")
+
+
 def _text(v: Column, depth: int, keys, sep: str) -> Column:
     if depth <= 0:
-        return F.coalesce(_scalar_text(v), F.to_json(v), F.lit(""))
+        too_deep = F.raise_error(F.concat(F.lit("feed value nested too deeply: "), F.to_json(v))).cast("string")
+        return F.when(F.schema_of_variant(v).startswith("ARRAY"), too_deep) \
+                .otherwise(F.coalesce(_scalar_text(v), F.to_json(v), F.lit("")))
     arr = v.try_cast("array<variant>")
     obj = v.try_cast("map<string,variant>")
     item_texts = F.transform(arr, lambda x: _text(x, depth - 1, keys, sep))
     list_text = F.array_join(F.filter(item_texts, lambda p: p != ""), sep)
     named = F.coalesce(*[
-        F.when(_nonempty(F.try_variant_get(v, f"$.{k}", "string")),
+        F.when(_counts(F.try_variant_get(v, f"$.{k}", "string")),
                F.try_variant_get(v, f"$.{k}", "string"))
         for k in keys
     ])

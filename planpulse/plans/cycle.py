@@ -15,6 +15,7 @@ from planpulse.operators.history import plan_history
 from planpulse.operators.joins import exclude, with_flag
 from planpulse.operators.keyed import latest_per_key
 from planpulse.operators.reshape import pivot_roles
+from planpulse.plans.snapshots import primary_diagnosis
 
 
 def entity_type(source, amount, csr_id, corporate: str = "Corporate", csr_like: str = "NTPC",
@@ -55,25 +56,27 @@ def simple_type(start="start_date", prev_due="prev_due", grace_days: int = K.GRA
              .otherwise(F.lit("Revival")))
 
 
-def latest_roles(assignments: DataFrame, plans: DataFrame, roles=("Psychologist", "Psychiatrist", "Counsellor"),
-                 names=("psychologist_name", "psychiatrist_name", "counsellor_name")) -> DataFrame:
+def latest_roles(assignments: DataFrame, visits: DataFrame, roles=K.STAFF_ROLES, names=None,
+                 on: str = "plan_id", order: Sequence[str] = ("staff",)) -> DataFrame:
     """Latest staff per entity and role, one column per role (A5 over W1).
 
-    Assignments (plan_id, role, staff, created_at) reach the entity through
-    their plan; per (entity, role) the most recent assignment wins (NULL time
-    first, as PostgreSQL's DESC; then the staff name as tie-break).
+    Assignments (``on``, role, staff, created_at) reach the entity through the visits of the
+    same plan, so a plan without a visit gives no names.  Per (entity, role) the most
+    recent assignment wins (NULL time first, as PostgreSQL's DESC; then ``order``, descending).
     """
-    a = assignments.filter(F.col("role").isin(list(roles))) \
-        .join(plans.select("plan_id", "entity_id"), "plan_id", "inner")
+    names = names or [f"{r.lower()}_name" for r in roles]
+    seen = visits.select(on, "entity_id").dropna().distinct()
+    a = assignments.filter(F.col("role").isin(list(roles))).join(seen, on, "inner")
     last = latest_per_key(a, ["entity_id", "role"], [F.col("created_at").desc_nulls_first(),
-                                                     F.col("staff").desc_nulls_last()])
+                                                     *[F.col(c).desc_nulls_last() for c in order]])
     return pivot_roles(last, "entity_id", "role", "staff", list(roles), list(names))
 
 
 def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of: dt.date | str,
                grace_days: int = K.GRACE_DAYS, test_word: str = "test",
                history_months: int = K.HISTORY_MONTHS, type_rule=None,
-               roles: DataFrame | None = None, entity_cols: Sequence[str] = ()) -> DataFrame:
+               roles: DataFrame | None = None, entity_cols: Sequence[str] = (),
+               diagnoses: DataFrame | None = None) -> DataFrame:
     """Four-way plan classification with acquisition path and entity type.
 
     * previous start NULL -> NEW PLAN; start <= previous due -> RENEWAL;
@@ -87,6 +90,7 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
     * start day within the trailing window ending at ``as_of``;
     * ``roles`` (optional, one row per entity, e.g. ``pivot_roles`` of the
       latest assignment per role) is left-joined to add the role names;
+    * ``diagnoses`` add the entity's ``primary_diagnosis``;
     * ``entity_cols`` are further attributes copied from the entity table.
 
     No source or exclusion-term filter here (the original has none).
@@ -118,6 +122,8 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
     p = p.drop("has_visit", "running_count", "seq", "prev_start", "prev_due")
     if roles is not None:
         p = p.join(roles, "entity_id", "left")
+    if diagnoses is not None:
+        p = p.join(primary_diagnosis(diagnoses), "entity_id", "left")
     return p
 
 
@@ -143,8 +149,9 @@ def plan_cycle_simple(plans: DataFrame, entities: DataFrame, visits: DataFrame,
     hist = plan_history(plans, "entity_id", "start_date", "due_date", "plan_id")
     p = (hist.withColumn("plan_type", simple_type(grace_days=grace_days))
              .withColumn("plan_months", whole_months("start_date", "due_date")))
-    tenure = p.groupBy("entity_id").agg(F.sum("plan_months").cast("bigint")
-                                        .alias("total_service_months"))
+    # Tenure comes from the plans themselves: it needs no history, so not its joins either.
+    tenure = plans.groupBy("entity_id").agg(F.sum(whole_months("start_date", "due_date")).cast("bigint")
+                                            .alias("total_service_months"))
     extra = [c for c in entity_cols if c not in ("entity_id", "name", "source", "branch")]
     ent = entities.select("entity_id", F.col("source").alias("entity_source"),
                           F.col("branch").alias("entity_branch"), "name", *extra)

@@ -46,10 +46,11 @@ class ReportConfig:
     grace_days: int = K.GRACE_DAYS
     snapshot_first_month: dt.date | None = None         # default: 12 months before as-of
     sessions_from: dt.date | None = None                # default: 1 January of as-of's year
-    best_from: dt.date | None = None                    # default: 1 January of as-of's year
+    best_from: dt.date | None = None                    # default: 1 January of last month's year
     branch_recode: Mapping[str, str] = dataclasses.field(default_factory=dict)
     visit_keys: Sequence[str] = ("visit_id",)
     roles: Sequence[str] = K.STAFF_ROLES
+    entity_kind: str = "Regular"                        # constant column of the lapsed table
 
 
 def _branch(df: DataFrame, col: str, cfg: ReportConfig) -> DataFrame:
@@ -62,16 +63,18 @@ def shared_results(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportC
     plans, entities, terms = tables["plans"], tables["entities"], tables.get("terms")
     visits = tables["visits"]
     first = cfg.snapshot_first_month or (as_of.replace(day=1) - dt.timedelta(days=365)).replace(day=1)
-    cut = plans.filter(F.col("start_date") <= F.lit(as_of))
     out = {
         "active": active_snapshots(plans, tables["assignments"], entities, terms, first, as_of,
                                    cfg.excluded_sources, cfg.expired_status, tables.get("diagnoses"),
                                    entity_cols=("name",)),
-        "lapsed": lapsed_entities(cut, entities, terms, as_of, cfg.excluded_sources, entity_cols=("name",)),
+        "lapsed": lapsed_entities(plans, entities, terms, as_of, cfg.excluded_sources, entity_cols=("name",),
+                                  assignments=tables["assignments"], diagnoses=tables.get("diagnoses"),
+                                  entity_kind=cfg.entity_kind),
         "plan_cycle": plan_cycle(plans, entities, visits, as_of, cfg.grace_days,
-                                 roles=latest_roles(tables["assignments"], plans, cfg.roles)
-                                 if "role" in tables["assignments"].columns else None),
-        "plan_types": plan_cycle_simple(cut, entities, visits, terms, as_of, cfg.grace_days,
+                                 roles=latest_roles(tables["assignments"], visits, cfg.roles)
+                                 if "role" in tables["assignments"].columns and "plan_id" in visits.columns else None,
+                                 diagnoses=tables.get("diagnoses")),
+        "plan_types": plan_cycle_simple(plans, entities, visits, terms, as_of, cfg.grace_days,
                                         cfg.excluded_sources, cfg.visit_keys),
         "visits": visits_classified(visits, entities, tables["prescriptions"], terms, as_of,
                                     cfg.visit_statuses, cfg.excluded_sources, cfg.visit_keys),
@@ -97,8 +100,9 @@ def daily_reports(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportCo
     smap = staff_map if staff_map is not None else spark.createDataFrame([], "staff_id string, staff_raw string")
     card_args = (r["visits"], r["sessions"], r["plan_cycle"], r["active"], r["lapsed"], smap, alias)
     out = dict(r)
-    out["staff_yesterday"] = staff_scorecard(*card_args, y, y)
-    out["staff_mtd"] = staff_scorecard(*card_args, m0, y)
+    keep = materialize if checkpoint else (lambda df: df)   # each card is read again by its flags
+    out["staff_yesterday"] = keep(staff_scorecard(*card_args, y, y))
+    out["staff_mtd"] = keep(staff_scorecard(*card_args, m0, y))
     for name in ("staff_yesterday", "staff_mtd"):
         out[name + "_flags"] = extreme_flags(out[name], list(SCORECARD_METRICS), reverse=["inactive"])
     visits_b = _branch(r["visits"], "entity_branch", cfg)
@@ -108,7 +112,7 @@ def daily_reports(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportCo
     if checkpoint:
         facts = materialize(facts)
     metrics = period_metrics_from_facts(facts, as_of)
-    best = best_period(facts, as_of, cfg.best_from or dt.date(as_of.year, 1, 1))
+    best = best_period(facts, as_of, cfg.best_from or (as_of.replace(day=1) - dt.timedelta(days=1)).replace(month=1, day=1))
     out["period_metrics"] = metrics
     out["scorecard"] = scorecard(metrics, targets)
     out["best_period"] = best
@@ -124,6 +128,21 @@ def daily_reports(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportCo
     return out
 
 
+#: Stored order of the result tables (O1): newest or latest first, then the entity.
+STORED_ORDER = {
+    "active": (F.desc, "active_date", "entity_id"),
+    "lapsed": (F.desc, "inactive_date", "entity_id"),
+    "visits": (F.desc, "visit_date", "entity_id"),
+    "sessions": (F.asc, "slot_date", "staff_id"),
+}
+
+
+def stored_order(name: str, df: DataFrame) -> list:
+    """Sort columns of a stored result, as far as it has them."""
+    how, first, *rest = STORED_ORDER.get(name, (F.asc, None))
+    return [how(first), *[F.asc(c) for c in rest if c in df.columns]] if first in df.columns else []
+
+
 def write_daily_reports(reports: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet",
                         display_as_of: dt.date | None = None) -> dict[str, int]:
     """Write each report to ``out_dir/name`` (full replace); returns row counts.
@@ -135,7 +154,8 @@ def write_daily_reports(reports: Mapping[str, DataFrame], out_dir: str, fmt: str
     if display_as_of is not None:
         from planpulse.plans.display import display_reports
         reports = display_reports(dict(reports), display_as_of)
-    return {name: write_report(df, f"{out_dir.rstrip('/')}/{name}", fmt) for name, df in reports.items()}
+    return {name: write_report(df, f"{out_dir.rstrip('/')}/{name}", fmt, order_by=stored_order(name, df))
+            for name, df in reports.items()}
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -152,15 +172,19 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--display", action="store_true", help="write headings and formatted numbers")
     ap.add_argument("--alias"), ap.add_argument("--staff-map"), ap.add_argument("--targets")
     ap.add_argument("--assessments"), ap.add_argument("--feed"), ap.add_argument("--master")
+    ap.add_argument("--best-from", type=dt.date.fromisoformat, help="first month of the best-month search")
+    ap.add_argument("--recode", action="append", default=[], metavar="RAW=LABEL", help="branch label (repeatable)")
+    ap.add_argument("--center", action="append", default=[], metavar="RAW=LABEL", help="assessment centre (repeatable)")
     a = ap.parse_args(argv)
     spark = build_session(a.master) if a.master else SparkSession.builder.getOrCreate()
     tables = load_tables(spark, a.tables, skip_missing=True)
     reports = daily_reports(
-        tables, a.as_of, ReportConfig(session_task=a.task),
+        tables, a.as_of, ReportConfig(session_task=a.task, best_from=a.best_from,
+                                      branch_recode=dict(x.split("=", 1) for x in a.recode)),
         alias=load_alias_map(spark, a.alias) if a.alias else None,
         staff_map=load_staff_map(spark, a.staff_map) if a.staff_map else None,
         targets=load_targets(spark, a.targets) if a.targets else None,
-        assessments=load_assessments(spark, a.assessments) if a.assessments else None,
+        assessments=load_assessments(spark, a.assessments, dict(x.split("=", 1) for x in a.center)) if a.assessments else None,
         feed=load_feed(spark, a.feed) if a.feed else None)
     shown = a.as_of if a.display else None
     for name, n in write_daily_reports(reports, a.out, a.format, display_as_of=shown).items():

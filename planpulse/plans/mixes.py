@@ -109,20 +109,23 @@ GRAPH_METRICS = ("New OPDs", "F/U OPDs", "Suggest RPP", "New Plan", "Renewals",
 
 def branch_metric_table(metrics: DataFrame, best: DataFrame,
                         graph_metrics: Sequence[str] = GRAPH_METRICS) -> DataFrame:
-    """Month-to-date value per scope and metric with the best month and attainment.
+    """Month-to-date value per scope, metric and span with the best month and attainment.
 
-    Scopes are the branches and Overall, plus Total = the sum over branches.
+    Spans: ``same`` compares with the best month up to the same working day, ``full`` with
+    the best whole month.  Scopes are the branches and Overall, plus Total = the sum over
+    branches, of the values and of the branches' bests (which has no one month, so no label).
     Attainment = round-half-even(achieved / best x 100), 0 when best is 0.
     """
     m = metrics.filter((F.col("period") == "mtd") & F.col("metric").isin(list(graph_metrics))) \
         .select("scope", "metric", F.col("value").alias("achieved"))
-    total = m.filter(F.col("scope") != K.OVERALL_LABEL).groupBy("metric") \
-        .agg(F.sum("achieved").alias("achieved")).withColumn("scope", F.lit(K.TOTAL_LABEL))
-    m = m.unionByName(total)
-    b = best.filter(F.col("span") == "same").select("scope", "metric", "best_value", "best_label")
-    out = m.join(b, ["scope", "metric"], "left") \
-        .withColumn("best_value", F.coalesce(F.col("best_value"), F.lit(0.0))) \
-        .withColumn("best_label", F.coalesce(F.col("best_label"), F.lit("")))
+    spans = F.array(*[F.lit(s) for s in ("same", "full")])
+    out = m.withColumn("span", F.explode(spans)) \
+        .join(best.select("scope", "metric", "span", "best_value", "best_label"), ["scope", "metric", "span"], "left") \
+        .withColumn("best_value", F.coalesce("best_value", F.lit(0.0))).withColumn("best_label", F.coalesce("best_label", F.lit("")))
+    total = out.filter(F.col("scope") != K.OVERALL_LABEL).groupBy("metric", "span") \
+        .agg(F.sum("achieved").alias("achieved"), F.sum("best_value").alias("best_value")) \
+        .withColumn("scope", F.lit(K.TOTAL_LABEL)).withColumn("best_label", F.lit(""))
+    out = out.unionByName(total)
     att = F.when(F.col("best_value") > 0,
                  F.bround(F.col("achieved") / F.col("best_value") * 100.0, 0)).otherwise(F.lit(0.0))
     return out.withColumn("attainment_pct", att.cast("bigint"))

@@ -39,6 +39,11 @@ def primary_diagnosis(diagnoses: DataFrame) -> DataFrame:
                                                  json_list_text("diagnosis_list")).alias("primary_diagnosis"))
 
 
+def first_statuses(assignments: DataFrame) -> DataFrame:
+    """The alphabetically first assignment status per plan (trap T1)."""
+    return assignments.groupBy("plan_id").agg(F.min("status").alias("first_status"))
+
+
 def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFrame,
                      terms: DataFrame | None, first_month: dt.date | str, as_of: dt.date | str,
                      excluded_sources: Sequence[str] = K.EXCLUDED_SOURCES,
@@ -68,8 +73,7 @@ def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFra
     snap = in_force(p, "start_date", "due_date", first_month, as_of, month_col="active_date")
     snap = snap.filter(~F.col("is_current_month") | F.col("has_live_assignment"))
     if "first_status" in extras:
-        first_status = assignments.groupBy("plan_id").agg(F.min("status").alias("first_status"))
-        snap = snap.join(first_status, "plan_id", "left")
+        snap = snap.join(first_statuses(assignments), "plan_id", "left")
     if "months_with_us" in extras:
         # Plans starting after as_of are never in force and only follow the
         # others in the sequence, so they are left out of the history.
@@ -87,14 +91,21 @@ def lapsed_entities(plans: DataFrame, entities: DataFrame, terms: DataFrame | No
                     as_of: dt.date | str,
                     excluded_sources: Sequence[str] = K.EXCLUDED_SOURCES,
                     entity_cols: Sequence[str] = (),
-                    extras: Sequence[str] = ("months_with_us",)) -> DataFrame:
+                    extras: Sequence[str] = ("months_with_us",),
+                    assignments: DataFrame | None = None, diagnoses: DataFrame | None = None,
+                    entity_kind: str | None = None) -> DataFrame:
     """Each entity's last plan, if it ended before ``as_of``.
 
+    ``plans`` are all plans, those that start after ``as_of`` included: an entity
+    with a pre-booked plan has not lapsed.
+
     Last = greatest due date with NULL first (PostgreSQL ``DESC``), then the
     greatest plan id (trap T3).  An entity whose latest row has a NULL due
     date therefore never lapses (trap T2).  Kept when ``due <= as_of - 1``;
     ``inactive_date = due + 1``; ``months_with_us`` (in ``extras``) is the
     running plan count up to the plan's start day (same-day plans share it).
+    ``assignments`` add the plan's ``first_status`` (trap T1), ``diagnoses`` the
+    entity's ``primary_diagnosis``, ``entity_kind`` a constant column.
     """
     p = _eligible_plans(plans, entities, terms, excluded_sources, entity_cols)
     last = latest_per_key(p, ["entity_id"], [F.col("due_date").desc_nulls_first(),
@@ -106,4 +117,10 @@ def lapsed_entities(plans: DataFrame, entities: DataFrame, terms: DataFrame | No
                             "entity_id", "start_date", "due_date", "plan_id", prefix="_h_") \
             .select("plan_id", F.col("_h_running_count").alias("months_with_us"))
         out = out.join(hist, "plan_id", "left")
+    if assignments is not None:
+        out = out.join(first_statuses(assignments), "plan_id", "left")
+    if diagnoses is not None:
+        out = out.join(primary_diagnosis(diagnoses), "entity_id", "left")
+    if entity_kind is not None:
+        out = out.withColumn("entity_kind", F.lit(entity_kind))
     return out

@@ -23,7 +23,7 @@ ASSIGNMENTS = _s(("plan_id", StringType()), ("status", StringType()), ("role", S
 DIAGNOSES = _s(("entity_id", StringType()), ("diagnosis_list", StringType()),
                ("primary_diagnosis", StringType()), ("updated_at", TimestampType()))
 TERMS = _s(("plan_ref", StringType()), ("visit_id", StringType()))
-VISITS = _s(("visit_id", StringType()), ("entity_id", StringType()), ("visit_date", DateType()),
+VISITS = _s(("visit_id", StringType()), ("plan_id", StringType()), ("entity_id", StringType()), ("visit_date", DateType()),
             ("slot", StringType()), ("status", IntegerType()), ("staff_raw", StringType()),
             ("amount", StringType()))
 PRESCRIPTIONS = _s(("entity_id", StringType()), ("suggested", BooleanType()))

@@ -17,7 +17,19 @@ def load_feed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("value").alias("doc"))
 
 
+def parse_pages(pages: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """Add ``_page``: the parsed document, NULL in all fields if the text is no page."""
+    return pages.withColumn("_page", F.from_json(F.col(doc_col), FEED_PAGE))
+
+
 def feed_rows(pages: DataFrame, doc_col: str = "doc") -> DataFrame:
     """Explode page documents into one VARIANT ``record`` per data element."""
-    parsed = pages.select(F.from_json(F.col(doc_col), FEED_PAGE).alias("_p"))
-    return parsed.select(F.explode(F.col("_p.data")).alias("record"))
+    return parse_pages(pages, doc_col).select(F.explode(F.col("_page.data")).alias("record"))
+
+
+def broken_pages(pages: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """The pages that give no rows because their text is truncated or has no data list.
+
+    ``feed_rows`` cannot show them; a job counts or keeps these beside its result.
+    """
+    return parse_pages(pages, doc_col).filter(F.col("_page.data").isNull()).select(doc_col)

@@ -12,16 +12,16 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet",
                  partition_by: Sequence[str] = (), order_by: Sequence = ()) -> int:
     """Drop and rewrite ``path`` with ``df`` (the original replaced the whole tab).
 
-    Spark writes through a commit protocol, so readers never see a half
-    written output, and a lost executor's task is simply re-run.
+    A lost executor's task is simply re-run, and only committed files count.
+    Overwriting deletes the old output first: a reader must not read ``path``
+    meanwhile (write to a new folder per run where that matters).
     ``order_by`` sorts within the write (report order, O1-O3); CSV gets a
     header.  Returns the number of rows written, counted by an
     ``Observation`` during the same pass (no second job).
     """
     obs = Observation("rows_written")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if order_by:
-        out = out.orderBy(*order_by)
+    # Counted above the sort: what lies below it also runs for the sampling of its ranges.
+    out = (df.orderBy(*order_by) if order_by else df).observe(obs, F.count(F.lit(1)).alias("rows"))
     w = out.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         w = w.option("header", True)

@@ -4,8 +4,8 @@ The original fetched the feed page by page in one loop on one machine.  On
 Spark the pages are landed as files (one JSON document each) and a file
 stream picks up new pages as they arrive; each micro-batch is flattened with
 the same expressions as the batch ``feed_records`` and appended to a table.
-The file sink and the checkpoint give exactly-once output across restarts
-and lost executors.  The stream is stateless (no aggregation, no watermark):
+With one checkpoint folder per output, the file sink writes each page once across
+restarts and lost executors.  The stream is stateless (no aggregation, no watermark):
 every record is final when it arrives.
 """
 
@@ -31,18 +31,16 @@ def feed_stream(spark: SparkSession, landing_dir: str, as_of: dt.date,
 
 
 def start_feed_ingest(spark: SparkSession, landing_dir: str, out_path: str, as_of: dt.date,
-                      checkpoint_location: str | None = None,
-                      available_now: bool = True) -> StreamingQuery:
+                      checkpoint_location: str, available_now: bool = True) -> StreamingQuery:
     """Append flattened records to parquet at ``out_path``.
 
-    ``checkpoint_location`` must be shared storage on a cluster; by default a
-    sub-folder of the session's ``spark.checkpoint.dir``.  ``available_now``
+    ``checkpoint_location`` (shared storage on a cluster) belongs to ``out_path``: it
+    names the batches already written, so every run into one output must be given the
+    same one, and no other output may use it.  The cutoff follows ``as_of`` and is
+    fixed while a query runs.  ``available_now``
     processes every landed page, then stops (a scheduled daily run); without
     it the query keeps running and picks pages up as they land.
     """
-    if checkpoint_location is None:
-        from planpulse.session import ensure_checkpoint_dir
-        checkpoint_location = ensure_checkpoint_dir(spark).rstrip("/") + "/feed-ingest"
     w = (feed_stream(spark, landing_dir, as_of).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint_location).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

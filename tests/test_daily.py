@@ -23,9 +23,9 @@ def _tables(spark):
         ("p3", "Expired", "Psychiatrist", "Dr B", T(2026, 3, 14)), ("p3", "Active", "Counsellor", "Dr C", None)],
         S.ASSIGNMENTS)
     visits = spark.createDataFrame([
-        ("v1", "e2", D(2026, 3, 2), "10:00", 1, "Dr C", "0"), ("v2", "e2", D(2026, 4, 13), "10:00", 5, "Dr C", "700"),
-        ("v3", "e1", D(2026, 4, 14), "11:00", 1, " Dr  A", None), ("v4", "e3", D(2026, 4, 2), "", 1, "Dr C", "500"),
-        ("v5", "e3", D(2026, 4, 10), "09:00", 1, "Dr C", "500")], S.VISITS)
+        ("v1", "p3", "e2", D(2026, 3, 2), "10:00", 1, "Dr C", "0"), ("v2", "p3", "e2", D(2026, 4, 13), "10:00", 5, "Dr C", "700"),
+        ("v3", "p2", "e1", D(2026, 4, 14), "11:00", 1, " Dr  A", None), ("v4", "p4", "e3", D(2026, 4, 2), "", 1, "Dr C", "500"),
+        ("v5", "p4", "e3", D(2026, 4, 10), "09:00", 1, "Dr C", "500")], S.VISITS)
     prescriptions = spark.createDataFrame([("e2", True), ("e1", False)], S.PRESCRIPTIONS)
     roster = spark.createDataFrame([
         ("r1", "u1", D(2026, 4, 14), "therapy", 1, 1), ("r2", "u1", D(2026, 4, 3), "therapy", 1, 1),

@@ -281,7 +281,8 @@ def test_best_period_and_targets(spark):
     assert tva[("B1", "Active")].met is True                            # target 0 is met
     assert tva[("Overall", "Revivals")].target is None
     assert tva[("Overall", "Renewals")].target == 0                     # 0.75 x last month's Active (0)
-    bmt = {(r.scope, r.metric): r for r in branch_metric_table(metrics, best_period(facts, asof, D(2025, 1, 1))).collect()}
+    bmt = {(r.scope, r.metric): r for r in branch_metric_table(metrics, best_period(facts, asof, D(2025, 1, 1)))
+           .filter("span = 'same'").collect()}
     assert bmt[("Overall", "New OPDs")].attainment_pct == 50
     assert bmt[("Total", "Active")].achieved == 2.0
 
@@ -374,3 +375,27 @@ def test_entity_cols_pass_through(spark):
     plans = _plans(spark, [(1, 1, D(2025, 6, 1), D(2025, 7, 1), "1", "Web")])
     assert rows(plan_cycle(plans, ents, vis, D(2025, 6, 30), entity_cols=["age"]), "age") == [(34,)]
     assert rows(plan_cycle_simple(plans, ents, vis, None, D(2025, 6, 30), entity_cols=["age"]), "age") == [(34,)]
+
+
+def test_prebooked_renewal_is_not_lapsed(spark):
+    """A plan that starts after the as-of date keeps its entity, its renewal row and its tenure."""
+    import datetime as dt
+
+    from planpulse.plans.cycle import plan_cycle_simple
+    from planpulse.plans.snapshots import lapsed_entities
+    d = dt.date
+    plans = spark.createDataFrame(
+        [("p1", "p1", "e1", d(2026, 3, 1 + 9), d(2026, 4, 10), "s"), ("p2", "p2", "e1", d(2026, 4, 20), d(2026, 10, 20), "s"),
+         ("p3", "p3", "e2", d(2026, 1, 1), d(2026, 2, 1), "s")],
+        "plan_id string, plan_ref string, entity_id string, start_date date, due_date date, source string")
+    entities = spark.createDataFrame([("e1", "A", "s", "b"), ("e2", "B", "s", "b")],
+                                     "entity_id string, name string, source string, branch string")
+    visits = spark.createDataFrame([], "visit_id string, entity_id string")
+    as_of = d(2026, 4, 15)
+    status = spark.createDataFrame([("p3", "Open"), ("p3", "Expired")], "plan_id string, status string")
+    diag = spark.createDataFrame([("e2", '[" x ", "y"]', None, None)],
+                                 "entity_id string, diagnosis_list string, primary_diagnosis string, updated_at timestamp")
+    gone = lapsed_entities(plans, entities, None, as_of, assignments=status, diagnoses=diag, entity_kind="Regular").collect()
+    assert [(r.entity_id, r.first_status, r.primary_diagnosis, r.entity_kind) for r in gone] == [("e2", "Expired", "x, y", "Regular")]
+    types = {r.plan_id: r for r in plan_cycle_simple(plans, entities, visits, None, as_of).collect()}
+    assert types["p2"].plan_type == "Renewal" and types["p2"].total_service_months == 7

@@ -77,3 +77,51 @@ def test_load_feed_pages(spark, tmp_path):
     (d / "p2.json").write_text('{"data": [], "meta": {"hasNextPage": false}}')
     got = feed_records(load_feed(spark, str(d)), dt.date(2025, 6, 20))
     assert rows(got) == [("Web", "2025-06-02", "a, b", "", "4")]
+
+
+def test_lookups_by_header_one_row_per_key(spark, tmp_path):
+    import pytest
+
+    from planpulse.sources import lookups as L
+    p = tmp_path / "t.csv"
+    p.write_text("target,Category , branch\n5,New, B \n5,New,B\nx,Old,B\n")
+    assert rows(L.load_targets(spark, str(p)), "scope", "category", "target") == [("B", "New", 5), ("B", "Old", 0)]
+    p2 = tmp_path / "t2.csv"
+    p2.write_text("branch,category,target\nB,New,5\nB,New,6\n")
+    with pytest.raises(ValueError):
+        L.load_targets(spark, str(p2))
+    p3 = tmp_path / "s.csv"
+    p3.write_text("user_id,therapist_name\n1,A\n 1 ,A\n2,B\n")
+    assert rows(L.load_staff_map(spark, str(p3)), "staff_id", "staff_raw") == [("1", "A"), ("2", "B")]
+    p3.write_text("user_id,therapist_name\n1,A\n1,B\n")
+    with pytest.raises(ValueError):
+        L.load_staff_map(spark, str(p3))
+
+
+def test_assessment_dates(spark, tmp_path):
+    from planpulse.sources import lookups as L
+    p = tmp_path / "a.csv"
+    p.write_text("date,center\n03/04/2026,X\n2026/03/04,X\n\"Mar 4, 2026\",X\n2026-03-04 10:00,X\nsoon,X\nsoon,Y\n,Z\n")
+    assert [r.date for r in L.load_assessments(spark, str(p)).collect()] == [dt.date(2026, 3, 4)] * 4
+    assert L.load_assessments(spark, str(p), date_formats=L.DAY_FIRST).first().date == dt.date(2026, 4, 3)
+    assert rows(L.unparsed_dates(spark, str(p)), "date_text", "rows") == [("soon", 2)]
+
+
+def test_broken_pages_and_iso_dates(spark):
+    from pyspark.sql import functions as F
+
+    from planpulse.functions.nested import iso_local_date, variant_text
+    from planpulse.sources.feed import broken_pages, feed_rows
+    pages = spark.createDataFrame([('{"data": [{"a": 1}], "meta": {}}',), ('{"data": [{"a"',), ("{}",), ('{"data": []}',)], "doc string")
+    assert sorted(r.doc for r in broken_pages(pages).collect()) == ['{"data": [{"a"', "{}"]
+    assert feed_rows(pages).count() == 1
+    text = ["2026-07-20T25:99:07Z", "2026-07-20T10:00:00.1234567Z", "20260720T100000+0530", "2026-02-30", "2026-07-20",
+            "2026-07-20T10:00:00+29:00", "2026-07-20T10", "x"]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(text)], "i int, t string").orderBy("i")
+           .select(iso_local_date("t")).collect()]
+    day = dt.date(2026, 7, 20)
+    assert got == [None, day, day, None, day, None, day, None]
+    docs = ['{"name":0,"title":"T"}', '{"name":false,"label":"L"}', '[[["deep"]]]', '{"name":"","other":"v"}', "1.0", '"s"']
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, d string").orderBy("i")
+    got = [r[0] for r in df.select(variant_text(F.parse_json("d"))).collect()]
+    assert got[:4] == ["T", "L", "deep", "v"] and got[5] == "s"
