@@ -5,7 +5,7 @@ from planpulse.operators.grouping import (  # noqa: F401
 )
 from planpulse.operators.history import plan_history  # noqa: F401
 from planpulse.operators.joins import (  # noqa: F401
-    exclude, in_force, lookup, spine_join, with_flag,
+    exclude, in_force, lookup, salted_join, spine_join, with_flag,
 )
 from planpulse.operators.keyed import best_flag, first_flag, latest_per_key  # noqa: F401
 from planpulse.operators.reshape import pivot_roles, unpivot_roles  # noqa: F401

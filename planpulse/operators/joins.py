@@ -74,6 +74,20 @@ def lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
     return out
 
 
+def salted_join(big: DataFrame, frame: DataFrame, on: str, salt_by: Sequence[str], salts: int = 8,
+                how: str = "inner") -> DataFrame:
+    """Join a large side whose key may be hot with a frame that has one row per key.
+
+    A row's salt is a hash of ``salt_by`` (columns that tell the large side's rows apart, so
+    a retried task gives the same salts); the frame is repeated once per salt.  A key that
+    holds a third of all rows is then spread over ``salts`` tasks, whatever the plan around
+    the join allows Spark to split at run time.  ``how``: ``inner`` or ``left``.
+    """
+    salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
+    wide = frame.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return big.withColumn("_salt", salt).join(wide, [on, "_salt"], how).drop("_salt")
+
+
 def in_force(plans: DataFrame, start: str, due: str, first_month: dt.date | str,
              as_of: dt.date | str, month_col: str = "month_start") -> DataFrame:
     """One row per (month, plan) in force at the month's reference date.

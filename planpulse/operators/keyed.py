@@ -38,8 +38,8 @@ def first_flag(df: DataFrame, entity: str, day: str, eligible: Column | None = N
 
     Equivalent to the original ``LEFT JOIN (DISTINCT entity, day) ON
     earlier day`` existence test, without the fan-out: the entity's first
-    eligible day is one partial aggregate, joined back on the entity key.  A
-    hot entity is handled by AQE's skew-join split of the large side.
+    eligible day is one partial aggregate, joined back on the entity key.  Where
+    an entity may be hot, build a frame per entity and use ``salted_join``.
     ``history`` (default ``df``) is where earlier rows are looked for, so a
     caller can flag only the rows of a window against the whole history.
     """

@@ -12,7 +12,7 @@ from planpulse import constants as K
 from planpulse.functions.dates import as_date, trailing_months, whole_months
 from planpulse.functions.predicates import non_empty, not_in, reject_affix, since_months
 from planpulse.operators.history import plan_history
-from planpulse.operators.joins import exclude, with_flag
+from planpulse.operators.joins import exclude, salted_join, with_flag
 from planpulse.operators.keyed import latest_per_key
 from planpulse.operators.reshape import pivot_roles
 from planpulse.plans.snapshots import primary_diagnosis
@@ -107,9 +107,12 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
     extra = [c for c in entity_cols if c not in ("entity_id", "name", "contact", "csr_id")]
     ent = entities.select("entity_id", "name", "contact",
                           F.col("source").alias("entity_source"), "csr_id", *extra)
-    p = (hist.join(ent, "entity_id", "inner")
-             .filter(reject_affix("name", test_word)))
-    p = with_flag(p, seen, "entity_id", "has_visit")
+    # One frame with a row per entity -- attributes, visit flag, roles, diagnosis -- joined once.
+    frame = with_flag(ent.filter(reject_affix("name", test_word)), seen, "entity_id", "has_visit")
+    for more in (roles, primary_diagnosis(diagnoses) if diagnoses is not None else None):
+        if more is not None:
+            frame = frame.join(more, "entity_id", "left")
+    p = salted_join(hist, frame, "entity_id", ["plan_id"])
     first = F.col("prev_start").isNull()
     p = p.withColumn("plan_status", cycle_status(grace_days=grace_days))
     p = p.withColumn("direct_after_opd",
@@ -119,12 +122,7 @@ def plan_cycle(plans: DataFrame, entities: DataFrame, visits: DataFrame, as_of:
     p = p.withColumn("entity_type", rule("entity_source", "amount", "csr_id"))
     p = p.withColumn("months_with_us", F.col("running_count"))
     p = latest_per_key(p, ["contact", "start_date"], [F.col("plan_id").asc()])
-    p = p.drop("has_visit", "running_count", "seq", "prev_start", "prev_due")
-    if roles is not None:
-        p = p.join(roles, "entity_id", "left")
-    if diagnoses is not None:
-        p = p.join(primary_diagnosis(diagnoses), "entity_id", "left")
-    return p
+    return p.drop("has_visit", "running_count", "seq", "prev_start", "prev_due")
 
 
 def plan_cycle_simple(plans: DataFrame, entities: DataFrame, visits: DataFrame,
@@ -155,12 +153,12 @@ def plan_cycle_simple(plans: DataFrame, entities: DataFrame, visits: DataFrame,
     extra = [c for c in entity_cols if c not in ("entity_id", "name", "source", "branch")]
     ent = entities.select("entity_id", F.col("source").alias("entity_source"),
                           F.col("branch").alias("entity_branch"), "name", *extra)
-    p = (p.join(ent, "entity_id", "inner")
-          .filter(since_months("start_date", as_of, history_months)
-                  & not_in("entity_source", excluded_sources)))
+    frame = ent.filter(not_in("entity_source", excluded_sources))
     if terms is not None:
         keys = list(visit_keys)
         marked = visits.join(terms.select(*keys).dropna(), keys, "left_semi").select("entity_id")
-        p = exclude(p, marked, "entity_id")
-    return (p.join(tenure, "entity_id", "left")
-             .drop("seq", "running_count", "prev_start", "prev_due"))
+        frame = exclude(frame, marked, "entity_id")
+    # One frame with a row per entity -- attributes, exclusions, tenure -- joined once.
+    p = p.filter(since_months("start_date", as_of, history_months))
+    return salted_join(p, frame.join(tenure, "entity_id", "left"), "entity_id", ["plan_id"]) \
+        .drop("seq", "running_count", "prev_start", "prev_due")

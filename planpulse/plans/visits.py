@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from planpulse import constants as K
 from planpulse.functions.dates import as_date, month_label, trailing_months
 from planpulse.functions.predicates import non_empty, not_in
-from planpulse.operators.joins import exclude
-from planpulse.operators.keyed import best_flag, first_flag, latest_per_key
+from planpulse.operators.joins import exclude, salted_join
+from planpulse.operators.keyed import latest_per_key
 
 
 def visits_classified(visits: DataFrame, entities: DataFrame, prescriptions: DataFrame,
@@ -34,26 +34,39 @@ def visits_classified(visits: DataFrame, entities: DataFrame, prescriptions: Dat
     * ``entity_cols`` are further attributes copied from the entity table.
     """
     keys = list(visit_keys)
-    # Row filters and the term exclusion (keyed by visit) come first, so the
-    # visit rows are then shuffled once by entity for all entity-keyed joins;
-    # earlier visits are looked up in the whole history.
+    # Row filters and the term exclusion (keyed by visit) come first; earlier visits are
+    # looked up in the whole history.  What depends on the entity alone -- attributes, first
+    # day, best flag -- is one frame with a row per entity, joined to the visits once.
     v = visits.filter(trailing_months("visit_date", as_of, history_months)
                       & non_empty("slot") & F.col("status").isin(list(statuses)))
     if terms is not None:
         v = exclude(v, terms.select(*keys).dropna(), keys)
-    v = first_flag(v, "entity_id", "visit_date", non_empty("slot"), out="_repeat", history=visits)
+    frame = visit_history(visits, prescriptions)
     extra = [c for c in entity_cols if c not in ("entity_id", "name", "source", "branch")]
     ent = entities.select("entity_id", F.col("source").alias("entity_source"),
                           F.col("branch").alias("entity_branch"), "name", *extra)
-    v = v.join(ent, "entity_id", "inner").filter(not_in("entity_source", excluded_sources))
-    flag = best_flag(prescriptions, ["entity_id"], "suggested", "_suggested")
-    v = v.join(flag, "entity_id", "left")
-    return (v.withColumn("opd_status", F.when(F.col("_repeat"), F.lit("OLD OPD"))
-                                        .otherwise(F.lit("NEW OPD")))
+    frame = ent.filter(not_in("entity_source", excluded_sources)).join(frame, "entity_id", "left")
+    v = salted_join(v, frame, "entity_id", keys)
+    repeat = F.coalesce(F.col("_first_day") < F.col("visit_date"), F.lit(False))
+    return (v.withColumn("opd_status", F.when(repeat, F.lit("OLD OPD")).otherwise(F.lit("NEW OPD")))
              .withColumn("is_suggest", F.when(F.col("_suggested"), F.lit("Yes"))
                                         .when(~F.col("_suggested"), F.lit("No")))
              .withColumn("opd_month", month_label("visit_date"))
-             .drop("_repeat", "_suggested"))
+             .drop("_first_day", "_suggested"))
+
+
+def visit_history(visits: DataFrame, prescriptions: DataFrame) -> DataFrame:
+    """Per entity the first day with a non-empty slot (J9) and the best prescription flag.
+
+    Both inputs go through one aggregate with map-side partial results: a hot entity ships
+    one row per task, and the entity is shuffled once.
+    """
+    days = visits.filter(non_empty("slot")).select("entity_id", F.col("visit_date").alias("_first_day"),
+                                                   F.lit(None).cast("boolean").alias("_suggested"))
+    flags = prescriptions.select("entity_id", F.lit(None).cast("date").alias("_first_day"),
+                                 F.col("suggested").alias("_suggested"))
+    return days.unionByName(flags).groupBy("entity_id").agg(F.min("_first_day").alias("_first_day"),
+                                                            F.max("_suggested").alias("_suggested"))
 
 
 def session_entity_type(csr_id, source, corporate_sources=K.CORPORATE_SOURCES):

@@ -210,3 +210,40 @@ def test_lookup(spark):
         assert "BroadcastHashJoin" in bounded._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from planpulse.operators import salted_join
+    big = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    frame = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = salted_join(big, frame, "k", ["id"], salts=8)
+        assert rows(out.select("id", "v")) == rows(big.join(frame, "k").select("id", "v"))
+        left = salted_join(big, frame, "k", ["id"], salts=4, how="left")
+        assert left.count() == 4000
+        tasks = out.filter("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") >= 1 and tasks >= 1
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        assert out.filter("k = 0").select(F.spark_partition_id().alias("p")).distinct().count() > 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_visits_and_plans_join_the_entity_once(spark):
+    """With broadcasts off, only one join has the visits (or plans) and the entity frame."""
+    import datetime as dt
+
+    from planpulse.bindings import queries as Q
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for fn in (Q.q_visits_first_repeat, Q.q_plan_cycle_simple, Q.q_plan_cycle):
+            plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+            assert sum("_salt" in x and "Join" in x for x in plan.splitlines()) == 1, fn.__name__
+
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
