@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 SNAP = dt.date(1999, 6, 16)          # as-of for snapshots / lapsed / plan cycle
 SNAP_FIRST_MONTH = dt.date(1998, 7, 1)
 SCORE = dt.date(1995, 6, 16)         # as-of for the daily scorecards
-CONV = dt.date(1995, 4, 16)          # as-of for conversions
+CONV = dt.date(1992, 4, 30)          # as-of for conversions: many first plans are that early
 SESSIONS_FROM = dt.date(1995, 6, 1)
 BEST_FROM = dt.date(1995, 1, 1)
 EXCLUDED_PLAN_SOURCES = ("5-LOW",)
@@ -91,12 +91,14 @@ def branches(spark: SparkSession, d: str) -> DataFrame:
 def entities(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
     e = c.select(
-        F.col("c_custkey").alias("entity_id"), F.col("c_name").alias("name"),
+        F.col("c_custkey").alias("entity_id"),
+        F.when(F.col("c_custkey") % 41 == 0, F.concat(F.lit("TEST "), "c_name"))
+         .when(F.col("c_custkey") % 43 == 0, F.concat("c_name", F.lit(" test"))).otherwise(F.col("c_name")).alias("name"),
         F.col("c_nationkey").alias("contact"), F.col("c_mktsegment").alias("source"),
         F.when(F.col("c_acctbal") < 0, F.lit("corp"))
          .when(F.col("c_acctbal") < 5000, F.lit("regular")).alias("csr_id"))
-    return e.join(F.broadcast(branches(spark, d)), F.col("contact") == F.col("_nation"), "left") \
-            .drop("_nation")
+    e = e.join(F.broadcast(branches(spark, d)), F.col("contact") == F.col("_nation"), "left").drop("_nation")
+    return e.withColumn("branch", F.when(F.col("entity_id") % 37 != 0, F.col("branch")))   # some have none
 
 
 @_shared
@@ -107,8 +109,8 @@ def plans(spark: SparkSession, d: str) -> DataFrame:
     return o.select(
         F.col("o_orderkey").alias("plan_id"), F.col("o_orderkey").alias("plan_ref"),
         F.col("o_custkey").alias("entity_id"), start.alias("start_date"),
-        F.add_months(start, term).alias("due_date"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
+        F.when(F.col("o_orderkey") % 97 != 0, F.add_months(start, term)).alias("due_date"),
+        F.when(F.col("o_orderkey") % 53 == 0, F.lit(0)).otherwise(F.col("o_totalprice")).cast("decimal(18,2)").alias("amount"),
         F.col("o_orderpriority").alias("source"), F.col("o_orderstatus").alias("status"),
         (F.col("o_orderkey") % 25).alias("owner_a"), (F.col("o_orderkey") % 7).alias("owner_b"))
 
@@ -150,7 +152,8 @@ def visits(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("l_quantity") > 5, F.lit("S")).otherwise(F.lit("")).alias("slot"),
         F.col("l_linenumber").alias("status"),
         F.col("l_suppkey").alias("staff_id"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
+        F.when(F.col("l_orderkey") % 31 == 0, F.lit(0)).otherwise(F.col("l_extendedprice"))
+         .cast("decimal(18,2)").alias("amount"))
 
 
 @_shared
