@@ -105,22 +105,29 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     to their predecessors (at most a quarter of the reader's length) and the documents that
     receive them.
     """
-    base = pick(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit(""))) \
-        .withColumn("text_hash", F.xxhash64("text")).withColumn("n_chars", F.char_length("text").cast("bigint"))
-    follow = successors(base.select("doc_id", "text_hash", "n_chars").distinct())
-    asks = to_scratch(follow.select(F.col("doc_id").alias("for_id"), F.col("text_hash").alias("for_hash"),
-                                    "next_id", "next_hash", F.floor(F.col("n_chars") / 4).cast("int").alias("take")), "asks")
-    b = base.alias("b")
-    asked = b.join(asks.alias("a"), F.col("b.doc_id").eqNullSafe(F.col("a.next_id"))
-                   & (F.col("b.text_hash") == F.col("a.next_hash")))
-    given = asked.select("for_id", "for_hash", "text", "take")
+    base = pick(docs, id_col, text_col).select(
+        F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.coalesce("text", F.lit("")).alias("text"))
+    base = base.withColumn("text_hash", F.xxhash64("text"))
+    key = ["id", "none", "text_hash"]
+    n_chars = F.char_length("text").cast("bigint").alias("n_chars")
+    doc_id = F.when(~F.col("none"), F.col("id")).alias("doc_id")
+    follow = successors(base.select(doc_id, "text_hash", n_chars).distinct())
+
+    def keyed(i: str, h: str, out: str) -> list[Column]:
+        return [F.coalesce(i, F.lit(0)).alias(f"{out}id"), F.col(i).isNull().alias(f"{out}none"), F.col(h).alias(f"{out}text_hash")]
+
+    asks = to_scratch(follow.select(*keyed("doc_id", "text_hash", "for_"), *keyed("next_id", "next_hash", ""),
+                                    F.floor(F.col("n_chars") / 4).cast("int").alias("take")), "asks")
+    given = base.join(asks, key).select(*[f"for_{k}" for k in key], "text", "take")
     given = with_fingerprint(given, "text", "fp").select(
-        "for_id", "for_hash", F.expr("substring(text, 1, take)").alias("head"), F.col("fp.hash").alias("next_hashes")) \
-        .dropDuplicates(["for_id", "for_hash"])
-    got = b.join(given.alias("g"), F.col("b.doc_id").eqNullSafe(F.col("g.for_id"))
-                 & (F.col("b.text_hash") == F.col("g.for_hash")))
+        *[F.col(f"for_{k}").alias(k) for k in key], F.expr("substring(text, 1, take)").alias("head"),
+        F.col("fp.hash").alias("next_hashes"))
+    # Repeated rows give the same head; the copies are next to each other after the shuffle that the join needs anyway.
+    given = given.groupBy(*key).agg(F.any_value("head").alias("head"), F.any_value("next_hashes").alias("next_hashes"))
+    got = base.join(given, key).withColumn("doc_id", doc_id)
     keep = F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 4) as int))")
-    got = got.select("doc_id", "text", "n_chars", "next_hashes", F.concat(keep, F.col("head")).alias("edited"))
+    got = got.select("doc_id", "text", n_chars, "next_hashes", "head") \
+             .select("doc_id", "text", "n_chars", "next_hashes", F.concat(keep, F.col("head")).alias("edited"))
     got = with_fingerprint(got, "text", "fp").drop("text")
     got = got.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
     got = with_fingerprint(got, "edited", "edited_fp").drop("edited")
