@@ -17,8 +17,9 @@ after the rules that make its parts, which ``load`` checks (else whole pieces ar
 A text right of a token boundary is encoded as if the text left of it were not there,
 because no rule merged across that boundary.
 
-Short words repeat: their ids are remembered in a bounded table, as a cache of the
-transducer's output, per Python worker.
+Short words repeat: their ids are remembered in bounded tables per Python worker.  New
+words of a batch, each of which fits one window, go through the same rules together: one
+array holds the symbols of all of them, and every round merges each word's best pair.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import codecs
 import functools
 import hashlib
 import heapq
+import itertools
 import json
 import re
 import unicodedata
@@ -41,7 +43,11 @@ from planpulse.llm.common import pick, rows_batch, texts
 
 CHUNK = 1 << 20      # bytes of text looked at together
 LONG_WORD = 1024     # longer words (no ASCII white space) go through the open-ended path
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
+SHORT = 64           # longer words and pieces are not remembered
+GROUP = 1 << 22      # bytes of text whose new words are encoded together
+NONE = np.int32(2**31 - 1)
+ALL = np.uint64(2**64 - 1)
 SPACE = re.compile(rb"[\t-\r ]")
 #: Words of these code points are normalised and split here; any other word by the library's own steps.
 PLAIN = re.compile("[!-~%s-%s]*" % (chr(0xA1), chr(0x24F)))
@@ -76,6 +82,69 @@ def sufficient_lookahead(merges: list[tuple[str, str]]) -> int | None:
     return longest
 
 
+class PairTable:
+    """(left id, right id) -> rank and merged id, for arrays, by two levels of hashing."""
+
+    BITS = 20
+
+    def __init__(self, pairs: dict[tuple[int, int], tuple[int, int]]):
+        keys = np.array([a << 32 | b for a, b in pairs], np.uint64)
+        values = np.array(list(pairs.values()), np.int64).reshape(-1, 2)
+        self.new = np.zeros(len(keys) + 1, np.int64)
+        self.new[values[:, 0]] = values[:, 1]
+        self.levels = []
+        rng = np.random.default_rng(1)
+        while len(keys):   # what collides goes to the next level
+            factor = np.uint64(int(rng.integers(1 << 62, 1 << 63)) | 1)
+            at = self._slot(keys, factor)
+            table, rank = np.full(1 << self.BITS, ALL, np.uint64), np.zeros(1 << self.BITS, np.int32)
+            at, first = np.unique(at, return_index=True)
+            table[at], rank[at] = keys[first], values[first, 0]
+            self.levels.append((factor, table, rank))
+            rest = np.ones(len(keys), bool)
+            rest[first] = False
+            keys, values = keys[rest], values[rest]
+
+    def _slot(self, keys: np.ndarray, factor: np.uint64) -> np.ndarray:
+        return ((keys ^ keys >> np.uint64(15)) * factor >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, NONE if no rule has it."""
+        keys = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
+        out = np.full(len(keys), NONE, np.int32)
+        for factor, table, rank in self.levels:
+            at = self._slot(keys, factor)
+            same = table[at] == keys
+            out[same] = rank[at[same]]
+        return out
+
+
+class Known(dict):
+    """A bounded table in two generations: when the young one is full, it becomes the old."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(key) <= SHORT:
+            self.put(key, got)
+        return got
+
+    def put(self, key, value) -> None:
+        if len(self) >= CACHED_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+    def new(self, keys: Iterable) -> list:
+        """Those of ``keys`` that neither generation has."""
+        return list(itertools.filterfalse(self.old.__contains__, itertools.filterfalse(self.__contains__, keys)))
+
+
 class Bpe:
     """A parsed merge list with its transducer."""
 
@@ -107,6 +176,7 @@ class Bpe:
         self.word_split = bool(splits)
         if splits:
             self.pattern = regex.compile(splits[0]["pattern"]["Regex"])
+            self.line_pattern = regex.compile("\n|" + splits[0]["pattern"]["Regex"])
         size = max([*vocab.values(), *self.special.values()]) + 1
         strings = [""] * size
         for token, i in vocab.items():
@@ -120,8 +190,10 @@ class Bpe:
         else:
             self.table = [s.encode() for s in strings]
         self.window = max(2048, 4 * (self.lookahead or 0))
-        self.pieces: dict[str, bytes] = {}
-        self.words = _Words(self)
+        self.table_of_pairs = PairTable(self.pairs)
+        self.inner_ids, self.last_ids = np.array(self.inner), np.array(self.last)
+        self.pieces = Known(self._piece)
+        self.words = Known(lambda w: self.word(w) if len(w) <= LONG_WORD else b"".join(self.long_word(w, 0, len(w))))
 
     # ------------------------------------------------------------ one window
     def merge(self, ids: list[int]) -> list[int]:
@@ -201,18 +273,89 @@ class Bpe:
         return len(s) if self.byte_level_decoder else len(s.decode())
 
     # ------------------------------------------------------- pieces and words
+    def _piece(self, s: str) -> bytes:
+        b = s.encode()
+        ids = self.merge([self.inner[x] for x in b[:-1]] + [self.last[b[-1]]]) if len(b) < self.window \
+            else list(self.transduce([b]))
+        return np.array(ids, "<u4").tobytes()
+
     def piece(self, s: str) -> bytes:
-        got = self.pieces.get(s)
-        if got is None:
-            b = s.encode()
-            ids = self.merge([self.inner[x] for x in b[:-1]] + [self.last[b[-1]]]) if len(b) < self.window \
-                else list(self.transduce([b]))
-            got = np.array(ids, "<u4").tobytes()
-            if len(b) <= 64:
-                if len(self.pieces) >= CACHED_WORDS:
-                    self.pieces.clear()
-                self.pieces[s] = got
-        return got
+        return self.pieces[s]
+
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of many short pieces: in each round every piece's best pair is merged."""
+        if not pieces:
+            return []
+        lens = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        flat = np.frombuffer(b"".join(pieces), np.uint8)
+        last = np.zeros(len(flat), bool)
+        last[np.cumsum(lens) - 1] = True
+        ids = np.where(last, self.last_ids[flat], self.inner_ids[flat])
+        owner = np.repeat(np.arange(len(pieces)), lens)
+        pairs, out = self.table_of_pairs, []
+        rank = np.full(len(ids), NONE, np.int32)
+        inside = np.flatnonzero(~last)
+        rank[inside] = pairs.ranks(ids[inside], ids[inside + 1])
+        while len(ids):
+            ends = np.flatnonzero(last)
+            starts = np.concatenate([[0], ends[:-1] + 1])
+            best = np.minimum.reduceat(rank, starts)
+            size = ends - starts + 1
+            best_at = np.repeat(best, size)
+            open_ = best_at != NONE
+            if not open_.all():
+                out.append((owner[~open_], ids[~open_]))
+                ids, owner, rank, last, best_at = (x[open_] for x in (ids, owner, rank, last, best_at))
+                if not len(ids):
+                    break
+            at = np.flatnonzero(rank == best_at)
+            if (np.diff(at) == 1).any():   # a run of the same token: leftmost pairs first
+                run = np.cumsum(np.concatenate([[True], np.diff(at) != 1]))
+                at = at[(np.arange(len(at)) - np.searchsorted(run, run, "left")) % 2 == 0]
+            ids[at] = pairs.new[rank[at]]
+            last[at] = last[at + 1]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            at -= np.arange(len(at))
+            ids, owner, rank, last = ids[keep], owner[keep], rank[keep], last[keep]
+            for p in (at[~last[at]], at[(at > 0) & ~last[at - 1]] - 1):
+                rank[p] = pairs.ranks(ids[p], ids[p + 1])
+            rank[at[last[at]]] = NONE
+        owner, ids = (np.concatenate(x) for x in zip(*out, strict=True))
+        order = np.argsort(owner, kind="stable")
+        data = ids[order].astype("<u4").tobytes()
+        stops = (4 * np.cumsum(np.bincount(owner, minlength=len(pieces)))).tolist()
+        return [data[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of ``words``; new short plain ones are encoded together and remembered.
+
+        The result is a table of its own: small, so looking a text's words up stays cheap.
+        """
+        self._learn(words)
+        return {w: self.words[w] for w in words}
+
+    def _learn(self, words: set[bytes]) -> None:
+        new, lines = [], []
+        for w in self.words.new(words):
+            if len(w) <= SHORT and PLAIN.fullmatch(s := w.decode()) and not (self.special_at and b"<|" in w):
+                new.append(w)
+                lines.append(s)
+        if not new:
+            return
+        text = "\n".join(lines)
+        split = self.line_pattern.findall(text.lower() if self.lower else text)
+        unknown = self.pieces.new(set(split) - {"\n"})
+        got = dict(zip(unknown, self.merge_all([s.encode() for s in unknown]), strict=True))
+        words, parts = iter(new), []
+        for s in [*split, "\n"]:
+            if s == "\n":
+                self.words.put(next(words), b"".join(parts))
+                parts = []
+            else:
+                parts.append(got.get(s) or self.pieces[s])
+        for s, ids in got.items():
+            self.pieces.put(s, ids)
 
     def word(self, w: bytes) -> bytes:
         """Ids (little-endian 32 bit) of a run without ASCII white space."""
@@ -271,7 +414,7 @@ class Bpe:
         """
         if not self.word_split:
             raise ValueError("white space is part of this vocabulary's pieces")
-        words, at, n = self.words, 0, len(data)
+        at, n = 0, len(data)
         while at < n:
             end = min(n, at + CHUNK)
             if end < n:
@@ -287,9 +430,28 @@ class Bpe:
                 else:
                     while data[end - 1] not in b"\t\n\v\f\r ":
                         end -= 1
-            yield b"".join(map(words.__getitem__, data[at:end].split()))
+            split = data[at:end].split()
+            yield b"".join(map(self.learn(set(split)).__getitem__, split))
             at = end
 
+    def encode_many(self, many: list[bytes]) -> Iterator[Iterable[bytes]]:
+        """For each text, its ids in parts; the new words of neighbouring texts are learnt together."""
+        at = 0
+        while at < len(many):
+            if len(many[at]) > CHUNK:
+                yield self.encode_parts(many[at])
+                at += 1
+                continue
+            split, size = [], 0
+            while at < len(many) and size + len(many[at]) <= GROUP and len(many[at]) <= CHUNK:
+                split.append(many[at].split())
+                size += len(many[at])
+                at += 1
+            known = self.learn(set().union(*split))
+            for i, words in enumerate(split):
+                split[i] = None
+                yield [b"".join(map(known.__getitem__, words))]
+
     def encode(self, data: bytes) -> bytes:
         return b"".join(self.encode_parts(data))
 
@@ -297,22 +459,6 @@ class Bpe:
         return Decoder(self)
 
 
-class _Words(dict):
-    """word -> ids, filled on a miss and emptied when full."""
-
-    def __init__(self, bpe: Bpe):
-        super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, w: bytes) -> bytes:
-        ids = self.bpe.word(w) if len(w) <= LONG_WORD else b"".join(self.bpe.long_word(w, 0, len(w)))
-        if len(w) <= 64:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[w] = ids
-        return ids
-
-
 def _starts(c: str) -> bool:
     """Whether a character never composes with what stands before it."""
     return unicodedata.category(c)[0] != "M" and not 0x1160 <= ord(c) <= 0x11FF
@@ -403,9 +549,9 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         bpe = load(path)
         for batch in batches:
             n, ids_hex, text_hex = [], [], []
-            for data in texts(batch):
+            for parts in bpe.encode_many(texts(batch)):
                 count, ids_sha, text_sha, back = 0, hashlib.sha256(), hashlib.sha256(), bpe.decoder()
-                for part in bpe.encode_parts(data):
+                for part in parts:
                     count += len(part) // 4
                     ids_sha.update(part)
                     text_sha.update(back.feed(np.frombuffer(part, "<u4").tolist()).encode())
@@ -427,7 +573,7 @@ def encode_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         bpe = load(path)
         for batch in batches:
             yield rows_batch(schema, [batch.column("doc_id"),
-                                      [np.frombuffer(bpe.encode(x), "<i4") for x in texts(batch)]])
+                                      [np.frombuffer(b"".join(x), "<i4") for x in bpe.encode_many(texts(batch))]])
 
     return pick(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids array<int>")
 

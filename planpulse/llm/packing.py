@@ -104,9 +104,9 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0, id_col:
                 for column, x in zip(out, (doc_id, k, k * capacity, len(part) // 4, zlib.crc32(part)), strict=True):
                     column.append(x)
 
-            for doc_id, data in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
+            for doc_id, parts in zip(batch.column("doc_id").to_pylist(), bpe.encode_many(texts(batch)), strict=True):
                 k, held = 0, b""
-                for part in bpe.encode_parts(data):
+                for part in parts:
                     held += part
                     at = 0
                     while len(held) - at > size:
