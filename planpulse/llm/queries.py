@@ -79,14 +79,12 @@ ORACLE_SQL = {
                      coalesce(rep.n, 0)::BIGINT AS n_repeat_words
               FROM w LEFT JOIN l USING (r) LEFT JOIN rep USING (r)),
         b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-                     length(regexp_replace(t, '[^\p{Lu}]', '', 'g')) AS upper_n,
-                     length(regexp_replace(t, '[^\p{Ll}]', '', 'g')) AS lower_n,
-                     length(regexp_replace(t, '[^\p{L}]', '', 'g')) AS letters,
+                     len(regexp_extract_all(t, '\p{Lu}{2,}')) AS shouts, len(regexp_extract_all(t, '\p{L}+')) AS letter_runs,
                      length(t) - length(replace(t, '!', '')) AS bangs FROM f)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 10 * n_symbols > 2 * n_words
-                    OR 10 * n_dup_lines > 3 * n_lines OR upper_n > lower_n OR 10 * bangs > 5 * n_words
-                    OR 2 * letters < word_chars) AS kept
+                    OR 10 * n_dup_lines > 3 * n_lines OR 2 * shouts > n_words OR 10 * bangs > 5 * n_words
+                    OR 2 * letter_runs < n_words) AS kept
         FROM b""",
     "op6_url_filter": """
         WITH cut AS (

@@ -34,14 +34,14 @@ def _count(pattern: str) -> Column:
     return F.regexp_count("text", F.lit(pattern))
 
 
-#: Default rules.  Thresholds are per word or per letter, so they hold for any length.
+#: Default rules.  Thresholds are per word or per line, so they hold for any length.
 RULES = [
     Rule("word_length", lambda: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words"))),
     Rule("symbols", lambda: 10 * F.col("n_symbols") > 2 * F.col("n_words")),
     Rule("duplicate_lines", lambda: 10 * F.col("n_dup_lines") > 3 * F.col("n_lines")),
-    Rule("shouting", lambda: _count(r"\p{Lu}") > _count(r"\p{Ll}")),
+    Rule("shouting", lambda: 2 * _count(r"\p{Lu}{2,}") > F.col("n_words")),
     Rule("exclamations", lambda: 10 * _count("!") > 5 * F.col("n_words")),
-    Rule("few_letters", lambda: 2 * _count(r"\p{L}") < F.col("word_chars")),
+    Rule("few_letters", lambda: 2 * _count(r"\p{L}+") < F.col("n_words")),
 ]
 
 
@@ -71,13 +71,13 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         step *= 2
     df = df.withColumn("_h", F.slice("_h", 1, F.greatest(F.col("n_words").cast("int") - (WINDOW - 1), F.lit(0))))
     twice = F.size(F.array_distinct("_h")) < F.size("_h")
-    df = df.withColumn("_s", F.when(twice, F.array_sort(F.transform("_h", lambda x, i: F.struct(x.alias("h"), i.alias("i")))))).drop("_h")
+    df = df.withColumn("_s", F.when(twice, F.sort_array(F.transform("_h", lambda x, i: F.struct(x.alias("h"), i.alias("i")))))).drop("_h")
 
     def found_twice(x: Column, k: Column) -> Column:
-        h = F.col("_s.h")
-        return F.when((F.get(h, k - 1) == x["h"]) | (F.get(h, k + 1) == x["h"]), x["i"])
+        before, after = F.get(F.col("_s"), k - 1)["h"], F.get(F.col("_s"), k + 1)["h"]
+        return F.when((before == x["h"]) | (after == x["h"]), x["i"])
 
-    df = df.withColumn("_at", F.array_sort(F.filter(F.transform("_s", found_twice), lambda i: i.isNotNull()))).drop("_s")
+    df = df.withColumn("_at", F.sort_array(F.filter(F.transform("_s", found_twice), lambda i: i.isNotNull()))).drop("_s")
     spans = F.zip_with("_at", F.slice("_at", 2, F.greatest(F.size("_at"), F.lit(1))),
                        lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW))).cast("bigint"))
     covered = F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, x: a + x)
