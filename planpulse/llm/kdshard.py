@@ -7,9 +7,9 @@ bytes below are floor(k / 2) / k of its own.  Equal coordinates are ordered by a
 one value of a dimension, however hot, can be cut anywhere.
 
 All nodes of a level are cut together, by distributed selection: bytes are summed per node
-and cell of the key range (at most ``CELLS`` cells a node come to the driver), and the cell
-that holds the median is refined until it is one point.  The tree is the only thing kept:
-its cuts become one nested expression over the points.
+and cell of the key range (at most ``CELLS`` sums come to the driver at once), and the cell
+that holds the median is refined until it is one point.  A level's cuts
+become a small table that moves every point to a child, and the level is written.
 
 A group heavier than 1 / ``SLICES`` of a shard would unbalance the leaves, so it is cut into
 slices by document id first; there are at most shards x SLICES such groups, which bounds
@@ -18,59 +18,51 @@ the list of them that is broadcast.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planpulse.llm.common import pick, slots, to_scratch
 
-CELLS = 2048
+CELLS = 1 << 15       # cells of one pass, shared by a level's nodes
 SLICES = 8
 DIMS = 4
 TOP = (1 << 30) - 1   # coordinates are scaled to 30 bits; 32 bits of hash follow
+TIE = 32
+FIRST = 20            # a node's name is its first shard, shifted by this, and its shards
+
 
+def _name(first: int, shards: int) -> int:
+    return first << FIRST | shards
 
-@dataclass
-class Node:
-    """A box of the tree: the shards it will hold, and once cut, where."""
 
-    name: int
-    first: int
-    shards: int
-    dim: int = -1
-    key: int = 0
-    low: Node | None = None
-    high: Node | None = None
+def _table(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
+    """A few rows of integers as a local relation (a row per node of one level)."""
+    values = ", ".join("(" + ", ".join(f"{x}L" for x in row) + ")" for row in rows)
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})"))
 
 
-def _descend(node: Node, leaf) -> Column:
-    if node.low is None:
-        return F.lit(leaf(node))
-    return F.when(F.col(f"k{node.dim}") < F.lit(node.key), _descend(node.low, leaf)).otherwise(_descend(node.high, leaf))
+def _key() -> Column:
+    return F.element_at(F.array(*[f"k{d}" for d in range(DIMS)]), F.col("dim").cast("int") + 1)
 
 
-def _select(points: DataFrame, root: Node, aims: dict[int, tuple[int, int, int, int]]) -> dict[int, int]:
+def _select(points: DataFrame, aims: dict[int, tuple[int, int, int, float]]) -> dict[int, int]:
     """The cut key of each node: ``aims`` has node -> (dim, least key, greatest key, bytes wanted below)."""
     found: dict[int, int] = {}
     state = {n: [dim, lo, hi, want, 0] for n, (dim, lo, hi, want) in aims.items()}
-    tagged = points.withColumn("_node", _descend(root, lambda n: n.name))   # asked: a row per node of one level
     while state:
-        asked = [(n, dim, lo, hi, 1 << max(0, (hi - lo).bit_length() - CELLS.bit_length() + 1))
-                 for n, (dim, lo, hi, _, _) in state.items()]
-        asked = points.sparkSession.createDataFrame(asked, "_node int, dim int, lo bigint, hi bigint, by bigint")
-        cells = tagged.join(F.broadcast(asked), "_node") \
-                      .withColumn("key", F.element_at(F.array(*[f"k{d}" for d in range(DIMS)]), F.col("dim") + 1)) \
-                      .filter(F.col("key").between(F.col("lo"), F.col("hi"))) \
-                      .groupBy("_node", F.expr("(key - lo) div by").alias("cell")) \
-                      .agg(F.sum("w").alias("w"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+        cells = max(2, CELLS // len(state)).bit_length() - 1
+        asked = [(n, dim, lo, hi, 1 << max(0, (hi - lo).bit_length() - cells)) for n, (dim, lo, hi, _, _) in state.items()]
+        sums = points.join(_table(points.sparkSession, asked, ["node", "dim", "lo", "hi", "by"]), "node") \
+                     .withColumn("key", _key()).filter(F.col("key").between(F.col("lo"), F.col("hi"))) \
+                     .groupBy("node", F.expr("(key - lo) div by").alias("cell")) \
+                     .agg(F.sum("w").alias("w"), F.min("key").alias("lo"), F.max("key").alias("hi"))
         by_node: dict[int, list] = {}
-        for r in cells.collect():   # at most CELLS rows per node of this level
-            by_node.setdefault(r["_node"], []).append((r["cell"], r["w"], r["lo"], r["hi"]))
+        for n, cell, w, lo, hi in sums.collect():   # CELLS rows at most
+            by_node.setdefault(n, []).append((cell, w, lo, hi))
         for n in list(state):
-            dim, _, _, want, below = state[n]
+            dim, _, last, want, below = state[n]
             for _, w, lo, hi in sorted(by_node[n]):
-                if below + w >= want or hi == state[n][2]:
+                if below + w >= want or hi == last:
                     if lo == hi:
                         found[n] = lo if want - below < below + w - want else lo + 1
                         del state[n]
@@ -81,29 +73,36 @@ def _select(points: DataFrame, root: Node, aims: dict[int, tuple[int, int, int,
     return found
 
 
-def grow(points: DataFrame, shards: int) -> Node:
-    """The tree over ``points(w, k0..k3)``; a node without points stays a leaf."""
-    root = Node(0, 0, shards)
-    level, names, extent = [root], 1, None
-    while level:
-        stats = points.withColumn("_node", _descend(root, lambda n: n.name)).groupBy("_node").agg(
-            F.sum("w").alias("w"), *[f(f"k{d}").alias(f"{f.__name__}{d}") for d in range(DIMS) for f in (F.min, F.max)])
-        rows = {r["_node"]: r for r in stats.collect()}   # one row per node
+def grow(points: DataFrame, shards: int) -> DataFrame:
+    """Cut ``points(w, k0..k3, ...)`` level by level; returns them with ``shard``.
+
+    Every level is written, so its plan is short and the same for all levels; what differs
+    is in the small tables of nodes.  A node without points is not cut further.
+    """
+    points = points.withColumn("node", F.lit(_name(0, shards)).cast("bigint"))
+    extent = None
+    while True:
+        stats = points.groupBy("node").agg(F.sum("w").alias("w"), *[f(f"k{d}").alias(f"{f.__name__}{d}")
+                                                                    for d in range(DIMS) for f in (F.min, F.max)])
+        rows = {r["node"]: r for r in stats.collect()}   # one row per node
+        wide = {n: [(r[f"max{d}"] >> TIE) - (r[f"min{d}"] >> TIE) for d in range(DIMS)] for n, r in rows.items()}
         if extent is None and rows:
-            extent = [max(1, rows[0][f"max{d}"] - rows[0][f"min{d}"]) for d in range(DIMS)]
-        level = [n for n in level if n.shards > 1 and n.name in rows]
+            extent = [max(1, x) for x in wide[_name(0, shards)]]
         aims = {}
-        for n in level:
-            r = rows[n.name]
-            n.dim = max(range(DIMS), key=lambda d: ((r[f"max{d}"] - r[f"min{d}"]) / extent[d], -d))
-            aims[n.name] = (n.dim, r[f"min{n.dim}"], r[f"max{n.dim}"], r["w"] * (n.shards // 2) / n.shards)
-        cuts = _select(points, root, aims)
-        for n in level:
-            n.key, half = cuts[n.name], n.shards // 2
-            n.low, n.high = Node(names, n.first, half), Node(names + 1, n.first + half, n.shards - half)
-            names += 2
-        level = [c for n in level for c in (n.low, n.high)]
-    return root
+        for n, r in rows.items():
+            k = n & ((1 << FIRST) - 1)
+            if k > 1:
+                dim = max(range(DIMS), key=lambda d: (wide[n][d] / extent[d], -d))
+                aims[n] = (dim, r[f"min{dim}"], r[f"max{dim}"], r["w"] * (k // 2) / k)
+        if not aims:
+            return points.withColumn("shard", F.shiftright("node", FIRST).cast("int")).drop("node")
+        cuts = []
+        for n, cut in _select(points, aims).items():
+            first, k = n >> FIRST, n & ((1 << FIRST) - 1)
+            cuts.append((n, aims[n][0], cut, _name(first, k // 2), _name(first + k // 2, k - k // 2)))
+        at = _table(points.sparkSession, cuts, ["node", "dim", "cut", "low", "high"])
+        child = F.when(F.col("cut").isNull(), F.col("node")).when(_key() < F.col("cut"), F.col("low")).otherwise(F.col("high"))
+        points = to_scratch(points.join(at, "node", "left").withColumn("node", child).drop("dim", "cut", "low", "high"), "level")
 
 
 def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text",
@@ -139,14 +138,13 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
                                       F.min("_lang").alias("d2")).withColumn("d0", F.col("size"))
     points = to_scratch(points, "values")
     lo_hi = points.agg(*[f(f"d{d}").cast("double").alias(f"{f.__name__}{d}") for d in range(DIMS) for f in (F.min, F.max)]).first()
-    tie = F.shiftrightunsigned(F.xxhash64(*group), 32)
+    tie = F.shiftrightunsigned(F.xxhash64(*group), 64 - TIE)
     for d in range(DIMS):
         lo, hi = lo_hi[f"min{d}"] or 0.0, lo_hi[f"max{d}"] or 0.0
         unit = (F.coalesce(F.col(f"d{d}").cast("double"), F.lit(lo)) - lo) / max(hi - lo, 1.0)
-        points = points.withColumn(f"k{d}", F.shiftleft((unit * TOP).cast("bigint"), 32) + tie)
+        points = points.withColumn(f"k{d}", F.shiftleft((unit * TOP).cast("bigint"), TIE) + tie)
     points = to_scratch(points.select(*group, "w", *[f"k{d}" for d in range(DIMS)]), "points")
-    root = grow(points, shards)
-    placed = to_scratch(points.select(*group, _descend(root, lambda n: n.first).alias("shard")), "placed")
+    placed = grow(points, shards).select(*group, "shard")
     out = rows.join(placed, group).select("doc_id", "size", "text_crc32", "_text", "shard")
     out = slots(out, "shard", ["doc_id", "_text"], "sharded")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
