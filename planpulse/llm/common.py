@@ -7,7 +7,10 @@ re-reads the files) and, unlike a cached frame, hold no executor memory.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
 from typing import Any
 
@@ -15,8 +18,32 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import planpulse
 from planpulse.session import ensure_checkpoint_dir
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    Functions run in tasks are found by import; a cluster that already has the package
+    (``--py-files``) only gets the same files again.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(planpulse.__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="planpulse-package-"), "planpulse_package.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared checkpoint folder; never reused, so retries cannot mix."""
@@ -37,6 +64,7 @@ def pick(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Further columns of the input, whatever their names, cannot clash with results.
     """
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"), *more)
 

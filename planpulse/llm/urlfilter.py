@@ -22,11 +22,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import SparkFiles
+from pyspark import SparkContext, SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from planpulse.llm.common import rows_batch
+from planpulse.llm.common import rows_batch, ship
 
 MAX_INDEX_BYTES = 256 << 20
 PROBES = 1 << 18
@@ -69,6 +69,19 @@ class DigestArray:
         return out
 
 
+_SENT: set[tuple[str, str]] = set()
+
+
+def _send(context: SparkContext, name: str, data: bytes) -> None:
+    """Give every executor the file, once per application; its name has its digest."""
+    if (context.applicationId, name) not in _SENT:
+        local = os.path.join(tempfile.mkdtemp(prefix="planpulse-rules-"), name)
+        with open(local, "wb") as f:
+            f.write(data)
+        context.addFile(local)
+        _SENT.add((context.applicationId, name))
+
+
 @functools.lru_cache(maxsize=4)
 def _mapped(path: str) -> DigestArray:
     return DigestArray(path)
@@ -117,10 +130,7 @@ def judge(pages: DataFrame, rules: dict[str, str], default: str = "allow", id_co
     lengths = sorted({len(p) for _, p in parsed.values()}, reverse=True)
     labels = max((h.count(".") + 1 for h, _ in parsed.values()), default=0)
     name = f"rules-{hashlib.sha256(data).hexdigest()[:24]}.bin"
-    local = os.path.join(tempfile.mkdtemp(prefix="planpulse-rules-"), name)
-    with open(local, "wb") as f:
-        f.write(data)
-    pages.sparkSession.sparkContext.addFile(local)
+    _send(pages.sparkSession.sparkContext, name, data)
     schema = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()),
                         ("rule", pa.string()), ("verdict", pa.string())])
 
@@ -157,6 +167,7 @@ def judge(pages: DataFrame, rules: dict[str, str], default: str = "allow", id_co
 
 
 def _parts(pages: DataFrame, id_col: str, url_col: str) -> DataFrame:
+    ship(pages.sparkSession)
     url = F.col(url_col).cast("string")
     return pages.select(F.col(id_col).cast("bigint").alias("page_id"), host_of(url).alias("host"),
                         path_of(url).alias("path"))
