@@ -244,25 +244,35 @@ def report_inputs(spark: SparkSession, d: str, as_of: dt.date) -> _ReportInputs:
     return hit
 
 
+_KEPT: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+
+
+def _kept(name: str, spark: SparkSession, d: str, as_of: dt.date, make) -> DataFrame:
+    """A small result that several reports read: checkpointed once per session, folder and as-of day."""
+    from planpulse import session
+    key = (name, id(spark), d, as_of)
+    hit = _KEPT.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _KEPT[key] = (spark, session.materialize(make()))
+    return hit[1]
+
+
 def _facts(spark: SparkSession, d: str, as_of: dt.date) -> DataFrame:
-    """Daily metric facts of the report inputs, checkpointed once and shared."""
+    """Daily metric facts of the report inputs (a row per branch, metric and day)."""
     from planpulse.plans.scorecards import daily_facts, metric_facts
-    from planpulse.session import materialize
     r = report_inputs(spark, d, as_of)
-    return materialize(daily_facts(metric_facts(r["visits"], r["plans4"], r["active"],
-                                                r["lapsed"], r["assessments"])))
+    return _kept("facts", spark, d, as_of, lambda: daily_facts(metric_facts(
+        r["visits"], r["plans4"], r["active"], r["lapsed"], r["assessments"])))
 
 
-def _period_metrics(spark: SparkSession, d: str, facts: DataFrame | None = None) -> DataFrame:
+def _period_metrics(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.plans.scorecards import period_metrics_from_facts
-    facts = facts if facts is not None else _facts(spark, d, V.SCORE)
-    return period_metrics_from_facts(facts, V.SCORE)
+    return _kept("metrics", spark, d, V.SCORE, lambda: period_metrics_from_facts(_facts(spark, d, V.SCORE), V.SCORE))
 
 
-def _best(spark: SparkSession, d: str, facts: DataFrame | None = None) -> DataFrame:
+def _best(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.plans.benchmarks import best_period
-    facts = facts if facts is not None else _facts(spark, d, V.SCORE)
-    return best_period(facts, V.SCORE, V.BEST_FROM)
+    return _kept("best", spark, d, V.SCORE, lambda: best_period(_facts(spark, d, V.SCORE), V.SCORE, V.BEST_FROM))
 
 
 # ---------------------------------------------------------------- C8, U1, W9
@@ -270,9 +280,9 @@ def _staff_scorecard(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.plans.scorecards import staff_scorecard
     r = report_inputs(spark, d, V.SCORE)
     y = V.SCORE - dt.timedelta(days=1)
-    return staff_scorecard(r["visits"], r["sessions"], r["plans3"], r["active"], r["lapsed"],
-                           V.staff_raw(spark, d), V.alias_map(spark, d), y.replace(day=1), y,
-                           role_cols=("owner_a_name", "owner_b_name"))
+    return _kept("staff", spark, d, V.SCORE, lambda: staff_scorecard(
+        r["visits"], r["sessions"], r["plans3"], r["active"], r["lapsed"], V.staff_raw(spark, d), V.alias_map(spark, d),
+        y.replace(day=1), y, role_cols=("owner_a_name", "owner_b_name")))
 
 
 def q_staff_scorecard(spark: SparkSession, d: str) -> DataFrame:
@@ -289,10 +299,7 @@ def q_owner_counts(spark: SparkSession, d: str) -> DataFrame:
 def q_extreme_flags(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.operators.grouping import extreme_flags
     from planpulse.plans.scorecards import SCORECARD_METRICS
-    from planpulse.session import materialize
-    # The scorecard is small (one row per staff) and read twice: checkpoint it once.
-    card = materialize(_staff_scorecard(spark, d))
-    return extreme_flags(card, list(SCORECARD_METRICS), reverse=["inactive"])
+    return extreme_flags(_staff_scorecard(spark, d), list(SCORECARD_METRICS), reverse=["inactive"])
 
 
 # ---------------------------------------------------------------- C9-C16
@@ -316,8 +323,7 @@ def q_best_period(spark: SparkSession, d: str) -> DataFrame:
 
 def q_target_vs_achieved(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.plans.benchmarks import target_vs_achieved
-    facts = _facts(spark, d, V.SCORE)
-    return target_vs_achieved(_period_metrics(spark, d, facts), _best(spark, d, facts),
+    return target_vs_achieved(_period_metrics(spark, d), _best(spark, d),
                               V.targets(spark), V.SCORE)
 
 
@@ -344,8 +350,7 @@ def q_source_mix(spark: SparkSession, d: str) -> DataFrame:
 
 def q_branch_metric_table(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.plans.mixes import branch_metric_table
-    facts = _facts(spark, d, V.SCORE)
-    return branch_metric_table(_period_metrics(spark, d, facts), _best(spark, d, facts))
+    return branch_metric_table(_period_metrics(spark, d), _best(spark, d))
 
 
 # ---------------------------------------------------------------- expressions
