@@ -412,6 +412,12 @@ FROM g
            labels=", ".join("('" + x + "')" for x in _ORDER),
            arr="[" + ", ".join("'" + x + "'" for x in _ORDER) + "]"))
 
+SOURCE_MIX_DISPLAY = f"""
+SELECT source, new_visits, old_visits, total_visits, suggested, new_plans, renewals, revivals, conversion_pct,
+       row_number() OVER (ORDER BY is_total, total_visits DESC, source) - 1 AS position
+FROM ({SOURCE_MIX})
+"""
+
 JSON_LIST_JOIN = """
 WITH src AS (
   SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN p_brand END AS prim,
@@ -473,7 +479,13 @@ FROM orders
 WHERE o_orderkey % 17 <> 0 AND CAST(o_orderdate AS DATE) >= DATE '1998-06-01'
 """
 
+STAFF_DISPLAY = f"""
+SELECT staff AS "Therapist", new_visits, row_number() OVER (ORDER BY staff) - 1 AS position FROM ({STAFF_SCORECARD})
+"""
+
 REPORT_ORACLE = {
+    "source_mix_display": SOURCE_MIX_DISPLAY,
+    "staff_display": STAFF_DISPLAY,
     "staff_scorecard": STAFF_SCORECARD,
     "owner_counts": OWNER_COUNTS,
     "extreme_flags": EXTREME_FLAGS,

@@ -487,7 +487,55 @@ def q_report_rows(spark: SparkSession, d: str) -> DataFrame:
                 .withColumn("rows_written", F.lit(n).cast("bigint"))
 
 
+# ---------------------------------------------------------------- display form
+def _positions(df: DataFrame) -> DataFrame:
+    """Number the rows of a short ordered report in its own order (a few dozen rows, one task)."""
+    return df.coalesce(1).withColumn("position", F.monotonically_increasing_id())
+
+
+def q_source_mix_display(spark: SparkSession, d: str) -> DataFrame:
+    """Rows by total visits, Total last, under the report's headings."""
+    from planpulse import constants as K
+    from planpulse.plans.display import with_headings
+    from planpulse.plans.mixes import order_source_mix
+    shown = with_headings(order_source_mix(q_source_mix(spark, d)), K.SOURCE_HEADINGS)
+    return _positions(shown).withColumnsRenamed({h: c for c, h in K.SOURCE_HEADINGS})
+
+
+def q_staff_display(spark: SparkSession, d: str) -> DataFrame:
+    """The staff card by name, under the report's headings."""
+    from planpulse.plans.display import display_reports
+    shown = display_reports({"staff_mtd": _staff_scorecard(spark, d)}, V.SCORE)["staff_mtd"]
+    return _positions(shown).select("Therapist", F.col("NEW OPD").alias("new_visits"), "position")
+
+
+def q_label_forms(spark: SparkSession, d: str) -> DataFrame:
+    """thousands, day and range labels of every order."""
+    from planpulse.functions.dates import day_month_label, month_label, range_label
+    from planpulse.functions.numbers import default_zero, thousands_label
+    o = V.table(spark, d, "orders")
+    day = F.col("o_orderdate").cast("date")
+    amount = F.when(F.col("o_orderkey") % 11 != 0, F.floor("o_totalprice").cast("bigint"))
+    return o.select("o_orderkey", thousands_label(amount).alias("amount_label"), default_zero(amount).alias("amount"),
+                    day_month_label(day).alias("day_label"), range_label(F.trunc(day, "month"), day).alias("range_label"),
+                    month_label(day).alias("month_label"))
+
+
+def q_staff_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Visits per staff and entity once, names by lookup with a default, sums per name."""
+    from planpulse.operators.grouping import drop_dup, group_sum
+    from planpulse.operators.joins import lookup
+    pairs = drop_dup(V.visits(spark, d).select("staff_id", "entity_id"), ["staff_id", "entity_id"])
+    names = V.staff_names(spark, d).filter(F.col("staff_id") % 5 != 0)
+    named = lookup(pairs, names, "staff_id", "staff_id", ["staff_name"], default="none")
+    return group_sum(named.withColumn("one", F.lit(1).cast("bigint")), ["staff_name"], "one", "entities")
+
+
 QUERIES = {
+    "source_mix_display": q_source_mix_display,
+    "staff_display": q_staff_display,
+    "label_forms": q_label_forms,
+    "staff_lookup": q_staff_lookup,
     "feed_broken_pages": q_feed_broken_pages,
     "staff_map_csv": q_staff_map_csv,
     "targets_csv": q_targets_csv,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from planpulse import constants as K
 from planpulse.functions.dates import as_date, month_label, trailing_months
-from planpulse.functions.predicates import non_empty, not_in
+from planpulse.functions.predicates import in_list, non_empty, not_in
 from planpulse.operators.joins import exclude, salted_join
 from planpulse.operators.keyed import latest_per_key
 
@@ -38,7 +38,7 @@ def visits_classified(visits: DataFrame, entities: DataFrame, prescriptions: Dat
     # looked up in the whole history.  What depends on the entity alone -- attributes, first
     # day, best flag -- is one frame with a row per entity, joined to the visits once.
     v = visits.filter(trailing_months("visit_date", as_of, history_months)
-                      & non_empty("slot") & F.col("status").isin(list(statuses)))
+                      & non_empty("slot") & in_list("status", statuses))
     if terms is not None:
         v = exclude(v, terms.select(*keys).dropna(), keys)
     frame = visit_history(visits, prescriptions)
