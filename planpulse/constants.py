@@ -16,6 +16,12 @@ STAFF_ROLES = ("Psychologist", "Psychiatrist", "Counsellor")
 COMPLETED_VISIT_STATUSES = (1, 5)
 # Lead sources that make a session's entity "Corporate".
 CORPORATE_SOURCES = ("Kellton", "Tata Aia", "TATA AIA", "Primus")
+# Entity types of a plan by lead source: always corporate, always CSR, CSR if the amount is 0.
+CORPORATE_PLAN_SOURCE = "Corporate"
+CSR_PLAN_SOURCE = "NTPC"
+ZERO_AMOUNT_CSR_SOURCES = ("CSR", "Existing Client")
+# Constant entity kind of the lapsed table.
+ENTITY_KIND = "Regular"
 # Days after the previous due date that still count as a (late) renewal.
 GRACE_DAYS = 45
 # Text that means "no value" after trimming (compared lower-case).
@@ -60,6 +66,9 @@ ASSESSMENT_COUNT_HEADERS = ("assesment's no.", "assessment's no.", "assesments n
 ASSESSMENT_COST_HEADERS = ("cost",)
 # Keys tried, in order, to print a nested feed object.
 FEED_NAME_KEYS = ("name", "title", "packageName", "label")
+# Metrics of the branch table.
+GRAPH_METRICS = ("New OPDs", "F/U OPDs", "Suggest RPP", "New Plan", "Renewals", "Revivals",
+                 "Assessments", "Active", "Inactive")
 # Plan/visit history window (months) and the change below which a move is flat.
 HISTORY_MONTHS = 12
 FLAT_CHANGE = 0.05
@@ -81,5 +90,8 @@ SOURCE_HEADINGS = (
     ("total_visits", "Total OPD"), ("suggested", "Suggest RPP"), ("new_plans", "Plan"),
     ("renewals", "Total Renewal"), ("revivals", "Revival"), ("conversion_pct", "NO2P %"),
 )
+# Scorecard period headings; days and months are filled in.
+PERIOD_HEADINGS = (("yesterday", "Yesterday ({d2}-{m2})"), ("mtd", "MTD-1 ({d1}-{d2} {m2})"),
+                   ("last_month", "Last Month ({d1}-{d2} {m1})"))
 DURATION_HEADINGS = (("duration_label", "New Plan Duration"), ("plan_count", "Count"), ("amount", "Amount"))
 # --------------------------------------------------------------------------

@@ -18,8 +18,8 @@ from planpulse.operators.reshape import pivot_roles
 from planpulse.plans.snapshots import primary_diagnosis
 
 
-def entity_type(source, amount, csr_id, corporate: str = "Corporate", csr_like: str = "NTPC",
-                zero_amount_csr: Sequence[str] = ("CSR", "Existing Client")):
+def entity_type(source, amount, csr_id, corporate: str = K.CORPORATE_PLAN_SOURCE, csr_like: str = K.CSR_PLAN_SOURCE,
+                zero_amount_csr: Sequence[str] = K.ZERO_AMOUNT_CSR_SOURCES):
     """Entity type of a plan, first match wins (C3)::
 
         source = corporate                   -> Corporate

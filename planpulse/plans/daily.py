@@ -50,7 +50,7 @@ class ReportConfig:
     branch_recode: Mapping[str, str] = dataclasses.field(default_factory=dict)
     visit_keys: Sequence[str] = ("visit_id",)
     roles: Sequence[str] = K.STAFF_ROLES
-    entity_kind: str = "Regular"                        # constant column of the lapsed table
+    entity_kind: str = K.ENTITY_KIND                    # constant column of the lapsed table
 
 
 def _branch(df: DataFrame, col: str, cfg: ReportConfig) -> DataFrame:

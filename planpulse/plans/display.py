@@ -25,10 +25,8 @@ def period_headings(as_of: dt.date) -> dict[str, str]:
     """Column headings of the scorecard periods, e.g. 'Yesterday (15-Mar)' (F25)."""
     from planpulse.plans.scorecards import report_periods
     p = report_periods(as_of)
-    y, m0, lm = p["yesterday"][0], p["mtd"][0], p["last_month"]
-    return {"yesterday": f"Yesterday ({y.day}-{y.strftime('%b')})",
-            "mtd": f"MTD-1 ({m0.day}-{y.day} {y.strftime('%b')})",
-            "last_month": f"Last Month ({lm[0].day}-{lm[1].day} {lm[0].strftime('%b')})"}
+    return {name: form.format(d1=p[name][0].day, m1=p[name][0].strftime("%b"), d2=p[name][1].day, m2=p[name][1].strftime("%b"))
+            for name, form in K.PERIOD_HEADINGS}
 
 
 def display_scorecard(card: DataFrame, as_of: dt.date) -> DataFrame:

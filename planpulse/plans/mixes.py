@@ -103,12 +103,8 @@ def order_source_mix(mix: DataFrame) -> DataFrame:
     return mix.orderBy(F.col("is_total").asc(), F.col("total_visits").desc(), F.col("source").asc())
 
 
-GRAPH_METRICS = ("New OPDs", "F/U OPDs", "Suggest RPP", "New Plan", "Renewals", "Revivals",
-                 "Assessments", "Active", "Inactive")
-
-
 def branch_metric_table(metrics: DataFrame, best: DataFrame,
-                        graph_metrics: Sequence[str] = GRAPH_METRICS) -> DataFrame:
+                        graph_metrics: Sequence[str] = K.GRAPH_METRICS) -> DataFrame:
     """Month-to-date value per scope, metric and span with the best month and attainment.
 
     Spans: ``same`` compares with the best month up to the same working day, ``full`` with
