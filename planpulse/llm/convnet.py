@@ -12,19 +12,21 @@ from __future__ import annotations
 import numpy as np
 
 CELL = 256
-LOT = 1 << 10   # cells whose responses are held together
+LOT = 1 << 8    # cells whose responses are held together
 
 
 def cells(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes as rows of one cell each, with the ``width - 1`` bytes after it; first row of each text."""
-    counts = [max(1, -(-len(x) // CELL)) for x in texts]
-    rows = np.zeros(sum(counts) * CELL + width, np.uint8)
-    firsts, at = [], 0
-    for x, n in zip(texts, counts, strict=True):
-        firsts.append(at)
-        rows[at * CELL:at * CELL + len(x)] = np.frombuffer(x, np.uint8)
-        at += n
-    return rows, np.array(firsts, np.int64)
+    """Bytes as rows of one cell each, with the ``width`` bytes after it (zeros after a
+    text's end, so texts do not see their neighbours); first row of each text."""
+    counts = np.array([max(1, -(-len(x) // CELL)) for x in texts], np.int64)
+    ends = np.cumsum(counts)
+    firsts = ends - counts
+    flat = np.zeros(int(ends[-1]) * CELL + width, np.uint8)
+    for x, at in zip(texts, firsts.tolist(), strict=True):
+        flat[at * CELL:at * CELL + len(x)] = np.frombuffer(x, np.uint8)
+    rows = np.lib.stride_tricks.sliding_window_view(flat, CELL + width)[::CELL].copy()
+    rows[ends - 1, CELL:] = 0
+    return rows, firsts
 
 
 class Filters:
@@ -44,37 +46,34 @@ class Filters:
             self._pairs = [(t[j][:, None, :] + t[j + 1][None, :, :]).reshape(1 << 16, -1) for j in range(0, self.width, 2)]
         return self._pairs
 
-    def responses(self, rows: np.ndarray, first: int, last: int) -> np.ndarray:
-        """(cells, CELL, filters) of the cells from ``first`` to before ``last``."""
-        n = (last - first) * CELL
-        part = rows[first * CELL:last * CELL + self.width].astype(np.uint16)
-        pair = part[:-1] * np.uint16(256) + part[1:]
-        out = self.pairs[0].take(pair[:n], axis=0)
+    def responses(self, rows: np.ndarray) -> np.ndarray:
+        """(cells, CELL, filters)."""
+        pair = rows[:, :-1].astype(np.uint16) * np.uint16(256) + rows[:, 1:]
+        out = self.pairs[0].take(pair[:, :CELL], axis=0)
         for j, table in enumerate(self.pairs[1:], 1):
-            out += table.take(pair[2 * j:2 * j + n], axis=0)
-        return out.reshape(last - first, CELL, -1)
+            out += table.take(pair[:, 2 * j:2 * j + CELL], axis=0)
+        return out
 
     def pooled(self, rows: np.ndarray) -> np.ndarray:
         """(cells, filters): each filter's greatest response per cell."""
-        n = len(rows) // CELL
-        out = np.empty((n, self.tables.shape[2]), np.float32)
-        for a in range(0, n, LOT):
-            out[a:a + LOT] = self.responses(rows, a, min(n, a + LOT)).max(axis=1)
+        out = np.empty((len(rows), self.tables.shape[2]), np.float32)
+        for a in range(0, len(rows), LOT):
+            out[a:a + LOT] = self.responses(rows[a:a + LOT]).max(axis=1)
         return out
 
     def pooled_at(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same with the places of the maxima, for training."""
-        r = self.responses(rows, 0, len(rows) // CELL)
+        r = self.responses(rows)
         at = r.argmax(axis=1)
         return np.take_along_axis(r, at[:, None, :], 1)[:, 0], at
 
     def back(self, rows: np.ndarray, at: np.ndarray, grad: np.ndarray) -> np.ndarray:
         """Gradient of the tables: each maximum's gradient goes to the bytes under the filter."""
         out = np.zeros_like(self.tables)
-        start = np.arange(len(at))[:, None] * CELL + at
+        cell = np.arange(len(at))[:, None]
         filters = np.broadcast_to(np.arange(at.shape[1]), at.shape)
         for j in range(self.width):
-            np.add.at(out[j], (rows[start + j], filters), grad)
+            np.add.at(out[j], (rows[cell, at + j], filters), grad)
         return out
 
 

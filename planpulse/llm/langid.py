@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planpulse.llm.common import pick, rows_batch, texts
+from planpulse.llm.common import pick, rows_batch, ship, texts
 from planpulse.llm.convnet import CELL, Adam, Filters, cells, narrow
 from planpulse.llm.quality import SCORED, remainder, sample
 
@@ -141,6 +141,7 @@ def keep_known(docs: DataFrame, model: Model | None, least: float = 0.4, id_col:
                text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language is told with ``least`` or
     more; ``und`` goes.  Without a model nothing can be judged and every row stays."""
+    ship(docs.sparkSession)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,4 +151,6 @@ def keep_known(docs: DataFrame, model: Model | None, least: float = 0.4, id_col:
             yield batch.filter(pa.array([model is None or (n != UNKNOWN and s >= least)
                                          for n, s in zip(names, p.tolist(), strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    names = docs.columns   # renamed meanwhile: any name, even one with dots, may occur
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.mapInArrow(run, plain.schema).toDF(*names)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from planpulse.llm.common import pick, rows_batch, texts
+from planpulse.llm.common import pick, rows_batch, ship, texts
 from planpulse.llm.convnet import Adam, Filters, cells
 
 FILTERS, WIDTH = 16, 6
@@ -107,11 +107,16 @@ def remainder(id_col: str, by: int) -> Column:
 def sample(rows: DataFrame, docs: DataFrame, per_class: int, id_col: str, text_col: str) -> list[tuple[bytes, object]]:
     """Up to ``per_class`` (text, label) pairs of each label in ``rows(id, label)``.
 
-    Ids are drawn by hash, on id and label alone; then their texts are fetched: classes x
-    ``per_class`` rows at most, each of at most ``MAX_SAMPLE_BYTES``.
+    Ids are drawn by hash, on id and label alone: about four times as many as wanted by a
+    threshold per label (so the ranking sees few rows of a frequent one), then the first.
+    Their texts are fetched after that: classes x ``per_class`` rows at most, each of at
+    most ``MAX_SAMPLE_BYTES``.
     """
+    rows = rows.filter(F.col("id").isNotNull() & F.col("label").isNotNull())
+    some = F.broadcast(rows.groupBy("label").agg((F.lit(4.0 * per_class) / F.count(F.lit(1))).alias("_share")))   # a row per class
     w = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    drawn = rows.filter(F.col("id").isNotNull() & F.col("label").isNotNull()).distinct() \
+    drawn = rows.join(some, "label").filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("_share") * (1 << 30)) \
+                .select("id", "label").distinct() \
                 .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_class).drop("_n")
     text = F.col(text_col).cast("string")
     got = docs.select(F.col(id_col).alias("id"), text.alias("text")).filter(F.octet_length("text") <= MAX_SAMPLE_BYTES) \
@@ -155,6 +160,7 @@ def keep_good(docs: DataFrame, model: Model | None, threshold: float = 0.3, id_c
               text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text scores ``threshold`` or more;
     all rows without a model."""
+    ship(docs.sparkSession)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,4 +169,6 @@ def keep_good(docs: DataFrame, model: Model | None, threshold: float = 0.3, id_c
             p = model.scores(many) if model else np.full(len(many), 0.5)
             yield batch.filter(pa.array(p >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    names = docs.columns   # renamed meanwhile: any name, even one with dots, may occur
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
