@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from planpulse import constants as K
@@ -55,10 +55,11 @@ def best_period(facts: DataFrame, as_of: dt.date, best_from: dt.date) -> DataFra
 
 
 def resolve_targets(metrics: DataFrame, targets: DataFrame | None) -> DataFrame:
-    """(scope, metric, target): the lookup, with Renewals derived from last month's Active."""
-    lm_active = metrics.filter((F.col("period") == "last_month") & (F.col("metric") == "Active")) \
-        .select("scope", F.col("value").alias("_lm_active"))
-    base = metrics.filter(F.col("period") == "mtd").select("scope", "metric").join(lm_active, "scope", "left")
+    """(scope, metric, target, achieved): the month-to-date rows with the looked-up target,
+    Renewals' derived from last month's Active (a window over a scope's few rows)."""
+    active = F.when((F.col("period") == "last_month") & (F.col("metric") == "Active"), F.col("value"))
+    base = metrics.withColumn("_lm_active", F.max(active).over(Window.partitionBy("scope"))) \
+        .filter(F.col("period") == "mtd").select("scope", "metric", "_lm_active", F.col("value").alias("achieved"))
     if targets is not None:
         t = targets.select(F.col("scope").alias("_ts"), F.col("category").alias("_tc"),
                            F.col("target").cast("bigint").alias("_t"))
@@ -67,7 +68,7 @@ def resolve_targets(metrics: DataFrame, targets: DataFrame | None) -> DataFrame:
         base = base.withColumn("_t", F.lit(None).cast("bigint"))
     target = F.when(F.col("metric") == "Renewals",
                     derived_target(F.coalesce(F.col("_lm_active"), F.lit(0.0)))).otherwise(F.col("_t"))
-    return base.select("scope", "metric", target.alias("target"))
+    return base.select("scope", "metric", target.alias("target"), "achieved")
 
 
 def target_vs_achieved(metrics: DataFrame, best: DataFrame, targets: DataFrame | None,
@@ -81,11 +82,9 @@ def target_vs_achieved(metrics: DataFrame, best: DataFrame, targets: DataFrame |
     sofar, total = month_progress(as_of)
     ratio = (sofar / total) if total else 0.0
     cats = [c for c in K.CATEGORIES if c not in K.RATIO_CATEGORIES]
-    ach = metrics.filter((F.col("period") == "mtd") & F.col("metric").isin(cats)) \
-        .select("scope", "metric", F.col("value").alias("achieved"))
     b = best.filter(F.col("span") == "same").select("scope", "metric", "best_value", "best_label")
-    t = resolve_targets(metrics, targets)
-    out = ach.join(t, ["scope", "metric"], "left").join(b, ["scope", "metric"], "left")
+    t = resolve_targets(metrics, targets).filter(F.col("metric").isin(cats))
+    out = t.join(b, ["scope", "metric"], "left")
     pro = prorate(F.col("target"), F.lit(ratio))
     return out.select("scope", "metric", "target",
                       F.when(F.col("target").isNotNull(), pro).alias("prorated_target"),

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from planpulse import constants as K
@@ -143,24 +144,6 @@ def daily_facts(facts: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("n"), F.sum("amount_cents").alias("amount_cents"))
 
 
-def _finish_metrics(agg: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add NO2P % and Revenue rows to a long (scope, keys, metric, value, amount) table."""
-    ks = ["scope", *keys]
-    per = agg.groupBy(*ks).agg(
-        F.sum(F.when(F.col("metric") == "New Plan", F.col("value"))).alias("_np"),
-        F.sum(F.when(F.col("metric") == "New OPDs", F.col("value"))).alias("_no"),
-        F.sum(F.when(F.col("metric").isin(list(K.AMOUNT_CATEGORIES)), F.col("amount_cents"))).alias("_rev"))
-    ratio = per.select(*ks, F.lit("NO2P %").alias("metric"),
-                       ratio_pct(F.coalesce(F.col("_np"), F.lit(0.0)),
-                                 F.coalesce(F.col("_no"), F.lit(0.0))).alias("value"),
-                       F.lit(None).cast("double").alias("amount"))
-    rev_amt = from_cents(F.coalesce(F.col("_rev"), F.lit(0)))
-    rev = per.select(*ks, F.lit(K.REVENUE_LABEL).alias("metric"),
-                     rev_amt.alias("value"), rev_amt.alias("amount"))
-    agg = agg.withColumn("amount", from_cents("amount_cents")).drop("amount_cents")
-    return agg.unionByName(ratio).unionByName(rev)
-
-
 def _count_metrics():
     return [m for m in K.CATEGORIES if m not in K.RATIO_CATEGORIES]
 
@@ -175,26 +158,37 @@ def tagged_metrics(facts: DataFrame, tags: Column, periods: Column,
     ``tags`` is an array<string> expression naming the periods a fact falls
     in (a narrow ``explode``, no join).  A further pseudo-period marks facts
     of the listed frames, so the branch list (A17: minus blank and Unknown)
-    comes out of the same grouping-sets aggregate instead of a second pass
-    over the inputs.  The grid is scopes x periods x metrics: ``periods`` is
-    an array<string> of all period labels (a calendar-bounded list).
+    comes out of the same grouping-sets aggregate.  That aggregate has one row
+    per (scope, period) with a conditional sum per metric; a scope's rows are
+    then gathered into a map by period (calendar-bounded), from which the
+    complete grid scopes x periods x metrics, the ratio and the revenue are
+    read without a join.  ``periods`` is an array<string> of all period labels.
     """
     seen = F.when(F.col("listed"), F.lit(SEEN))
     tagged = facts.withColumn("period", F.explode(F.array_compact(F.array_union(tags, F.array(seen)))))
-    agg = scoped_agg(tagged, "branch", ["period", "metric"],
-                     [F.sum("n").alias("value"), F.sum("amount_cents").alias("amount_cents")]) \
-        .withColumnRenamed("branch", "scope")
-    marks = agg.filter(F.col("period") == SEEN)
-    scopes = marks.filter(F.col("scope").isNotNull() & (F.col("scope") != "")
-                          & (F.col("scope") != unknown)).select("scope").distinct()
-    values = agg.filter(F.col("period") != SEEN)
-    grid = scopes.withColumn("period", F.explode(periods)) \
-        .withColumn("metric", F.explode(F.array(*[F.lit(m) for m in _count_metrics()])))
-    full = grid.join(values, ["scope", "period", "metric"], "left") \
-        .withColumn("value", F.coalesce(F.col("value"), F.lit(0.0))) \
-        .withColumn("amount_cents", F.when(F.col("metric").isin(list(K.AMOUNT_CATEGORIES)),
-                                           F.coalesce(F.col("amount_cents"), F.lit(0))))
-    return _finish_metrics(full, ["period"])
+    names = _count_metrics()
+    paid = [m for m in names if m in K.AMOUNT_CATEGORIES]
+    value = {m: f"v{i}" for i, m in enumerate(names)}
+    amount = {m: f"a{i}" for i, m in enumerate(paid)}
+    sums = [F.sum(F.when(F.col("metric") == m, F.col("n"))).alias(c) for m, c in value.items()]
+    sums += [F.sum(F.when(F.col("metric") == m, F.col("amount_cents"))).alias(c) for m, c in amount.items()]
+    wide = scoped_agg(tagged, "branch", ["period"], sums).withColumnRenamed("branch", "scope")
+    row = F.struct("period", F.struct(*value.values(), *amount.values()))
+    by_scope = wide.groupBy("scope").agg(F.map_from_entries(F.collect_list(row)).alias("_by")) \
+        .filter(F.map_contains_key("_by", F.lit(SEEN)) & F.col("scope").isNotNull()
+                & (F.col("scope") != "") & (F.col("scope") != unknown))
+    cell = by_scope.withColumn("period", F.explode(periods)).withColumn("_v", F.try_element_at("_by", F.col("period")))
+    v = {m: F.coalesce(F.col(f"_v.{c}"), F.lit(0.0)) for m, c in value.items()}
+    a = {m: F.coalesce(F.col(f"_v.{c}"), F.lit(0)) for m, c in amount.items()}
+    none = F.lit(None).cast("double")
+    revenue = from_cents(functools.reduce(lambda x, y: x + y, a.values()))
+
+    def entry(metric: str, val: Column, amt: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), val.alias("value"), amt.alias("amount"))
+
+    entries = [entry(m, v[m], from_cents(a[m]) if m in a else none) for m in names]
+    entries += [entry("NO2P %", ratio_pct(v["New Plan"], v["New OPDs"]), none), entry(K.REVENUE_LABEL, revenue, revenue)]
+    return cell.select("scope", "period", F.explode(F.array(*entries)).alias("e")).select("scope", "period", "e.*")
 
 
 def period_metrics(visits: DataFrame, plans: DataFrame, active: DataFrame, lapsed: DataFrame,
@@ -236,9 +230,9 @@ def scorecard(metrics: DataFrame, targets: DataFrame | None) -> DataFrame:
         *[F.max(F.when(F.col("period") == p, F.col("value"))).alias(p)
           for p in ("yesterday", "mtd", "last_month")],
         F.max(F.when(F.col("period") == "mtd", F.col("amount"))).alias("amount"))
-    lm_active = metrics.filter((F.col("period") == "last_month") & (F.col("metric") == "Active")) \
-        .select(F.col("scope").alias("_s"), F.col("value").alias("_lm_active"))
-    out = wide.join(lm_active, wide.scope == lm_active._s, "left").drop("_s")
+    # Last month's Active of the scope, for the derived target: a window over a scope's dozen rows.
+    lm_active = F.max(F.when(F.col("metric") == "Active", F.col("last_month"))).over(Window.partitionBy("scope"))
+    out = wide.withColumn("_lm_active", lm_active)
     if targets is not None:
         t = targets.select(F.col("scope").alias("_ts"), F.col("category").alias("_tc"),
                            F.col("target").cast("bigint").alias("_t"))
