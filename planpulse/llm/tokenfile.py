@@ -22,10 +22,12 @@ them from any store Spark can reach.  A line feed after the last byte is the wri
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,17 +36,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from planpulse.llm.bpe import Known, byte_symbols
 from planpulse.llm.common import part_offsets, pick, rows_batch, scratch_path, texts
 
 MAGIC = b"PPTOKEN1"
 HEADER = struct.Struct(">8sQQQQQqQ")
+KNOWN_PIECES = 300_000   # remembered twice over, per Python worker
 BLOCK_IDS = 2_000_000   # a block closes once it holds so many ids
-CACHED_SEGMENTS = 300_000
-WORD_END = re.compile(rb"(?<=[^\t-\r ])[\t-\r ]")
-SEGMENT = re.compile(rb"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
-#: White space beyond ASCII's six: such texts are given to the library as a whole.
-ODD_SPACE = re.compile("[%s]" % "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010),
-                                                  0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF])))
+WORD_END = re.compile(r"(?<=[^\s])[\t-\r ]")
+#: The byte-level pieces (a fixed pattern), for texts of the characters that ODD leaves.
+LETTERS = "A-Za-z" + "".join(map(chr, (0xAA, 0xB5, 0xBA))) + "".join(
+    f"{chr(a)}-{chr(b)}" for a, b in ((0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x24F)))
+NUMBERS = "0-9" + "".join(map(chr, (0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE)))
+PIECE = re.compile(rf" ?[{LETTERS}]+| ?[{NUMBERS}]+|'(?:[stmd]|re|ve|ll)| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+")
+#: All but ASCII, extended Latin, and common punctuation, without their unusual white space.
+ODD = re.compile("[^%s]" % "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in (
+    (0x00, 0x1B), (0x20, 0x84), (0x86, 0x9F), (0xA1, 0x24F), (0x2010, 0x2027), (0x2030, 0x205E), (0x20A0, 0x20B0))))
 CHUNK = 1 << 20
 
 
@@ -122,57 +129,60 @@ class EliasFano:
         return (ones - i).astype(np.uint64) << np.uint64(self.low_bits) | self._low(i)
 
 
-class Segments(dict):
-    """Bytes of a run of white space and the word after it -> its ids.
+class Pieces:
+    """Ids of texts through the library, with its results for common pieces remembered.
 
-    Byte-level pieces never start inside a run before white space that follows a word, so
-    the ids of a text are those of its segments; the library encodes each new one.
+    A text is split as the vocabulary's own pattern does, and the library encodes each new
+    piece; texts with other than the usual Latin characters, and those with special tokens,
+    are given to the library whole.
     """
 
     def __init__(self, path: str, end_id: int):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        spec = json.loads(self.library.to_str())
+        pre = spec["pre_tokenizer"] or {}
+        self.split = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre["use_regex"] \
+            and not pre["add_prefix_space"]
+        self.symbols = byte_symbols()
         self.width = 2 if max(self.library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self.type = f"<u{self.width}"
-        self.by_word = self.library.normalizer is None
-
-    def whole(self, data: bytes) -> bytes:
-        ids = self.library.encode(data.decode(), add_special_tokens=False).ids
-        return np.array(ids, self.type).tobytes()
-
-    def learn(self, segments: set[bytes]) -> None:
-        """Encode the segments not known yet; room for a chunk's own is made first."""
-        if len(self) > CACHED_SEGMENTS:
-            self.clear()
-        new = [s for s in segments if s not in self]
-        if new:
-            got = self.library.encode_batch_fast([s.decode() for s in new], add_special_tokens=False)
-            for s, e in zip(new, got, strict=True):
-                self[s] = np.array(e.ids, self.type).tobytes()
-
-    def encode(self, data: bytes) -> bytes:
-        if not self.by_word or ODD_SPACE.search(data.decode()):
-            return self.whole(data)
-        parts, at, n = [], 0, len(data)
+        self.code = "H" if self.width == 2 else "I"
+        self.model = self.library.model.tokenize
+        self.known = Known(self.piece, KNOWN_PIECES)
+
+    def whole(self, text: str) -> bytes:
+        return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def piece(self, x: str) -> bytes:
+        """The library's merges on the piece's bytes, written as its byte-level symbols."""
+        plain = (x if x.isascii() else x.encode().decode("latin-1")).translate(self.symbols)
+        return array(self.code, [t.id for t in self.model(plain)]).tobytes()
+
+    def plain(self, text: str) -> bool:
+        return self.split and "<|" not in text and not ODD.search(text)
+
+    def encode(self, text: str) -> bytes:
+        if not self.plain(text):
+            return self.whole(text)
+        ids, n = self.known.__getitem__, len(text)
+        if n <= CHUNK:
+            return b"".join(map(ids, PIECE.findall(text)))
+        parts, at = [], 0
         while at < n:
-            end = min(n, at + CHUNK)
-            if end < n:  # up to white space that follows a word
-                m = WORD_END.search(data, end)
-                end = m.start() if m else n
-            segments = SEGMENT.findall(data, at, end)
-            self.learn(set(segments))
-            parts.append(b"".join(map(self.__getitem__, segments)))
+            m = WORD_END.search(text, at + CHUNK)   # up to white space that follows a word: no piece spans that place
+            end = m.start() if m else n
+            parts.append(b"".join(map(ids, PIECE.findall(text, at, end))))
             at = end
         return b"".join(parts)
 
 
 @functools.lru_cache(maxsize=2)
-def segments(path: str, end_id: int) -> Segments:
-    return Segments(path, end_id)
+def pieces(path: str, end_id: int) -> Pieces:
+    return Pieces(path, end_id)
 
 
 class Block:
@@ -221,7 +231,7 @@ class Reader:
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, id_col: str = "doc_id",
-                 text_col: str = "text") -> None:
+                 text_col: str = "text", block_ids: int = BLOCK_IDS) -> None:
     """Write the ids of each text plus ``end_id`` to token files in ``path``.
 
     Raw rows are range partitioned by id (then by a hash of the text, so that repeated ids
@@ -235,13 +245,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, id
     schema = pa.schema([("block", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = segments(tokenizer, end_id)
+        known = pieces(tokenizer, end_id)
         end = np.array([end_id], known.type).tobytes()
         block = Block(TaskContext.get().partitionId(), 0, known.width)
         for batch in batches:
             for doc_id, data in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
-                block.add(doc_id, known.encode(data) + end)
-                if block.bounds[-1] >= BLOCK_IDS:
+                block.add(doc_id, known.encode(data.decode()) + end)
+                if block.bounds[-1] >= block_ids:
                     yield rows_batch(schema, [[block.tobytes()]])
                     block = Block(block.part, block.before + block.bounds[-1], known.width)
         if block.bounds[-1]:
@@ -283,9 +293,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         "doc_id", (F.col("_base") + F.col("at")).cast("bigint").alias("start"), "n_tokens", "ids_crc32")
 
 
-def token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: str | None = None, **names: str) -> DataFrame:
+def token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: str | None = None, **more) -> DataFrame:
     """``write_tokens`` to ``path`` (a new folder below the shared one if none) and ``read_tokens``."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "tokens")
-    write_tokens(docs, tokenizer, path, end_id, **names)
+    write_tokens(docs, tokenizer, path, end_id, **more)
     return read_tokens(spark, path)

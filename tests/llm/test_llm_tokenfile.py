@@ -42,16 +42,15 @@ def test_block_round_trip():
     assert [r[i].tolist() for i in range(4)] == [ids for _, ids in docs]
 
 
-def test_segments_match_library():
-    known = tokenfile.Segments(BYTE, 0)
+def test_pieces_match_library():
+    known = tokenfile.Pieces(BYTE, 0)
     rng = random.Random(1)
     letters = "ab's 'll  \n\n1. é!\t中　<|endoftext|>\x00\x85"
     many = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 50))) for _ in range(800)]
     many += ["x <|endoftext|>  y", "  ", "a" * 3000, "word " * 400_000]
     want = known.library.encode_batch(many, add_special_tokens=False)
-    for s, ids, w in zip(many, known.encode_many([s.encode() for s in many]), want, strict=True):
-        assert np.frombuffer(ids, "<u2").tolist() == w.ids, s[:80]
-    assert np.frombuffer(known.encode(many[-1].encode()), "<u2").tolist() == want[-1].ids
+    for s, w in zip(many, want, strict=True):
+        assert np.frombuffer(known.encode(s), "<u2").tolist() == w.ids, s[:80]
 
 
 def expected(df):
