@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from planpulse.llm.common import in_order, pick, to_scratch
 
-K, W = 4, 8
+K, W = 4, 4   # powers of two
 _LAST = 2**31 - 1
 
 
@@ -61,6 +61,11 @@ def as_string(fingerprint: str) -> Column:
         e["pos"].cast("string"), F.lit(":"), F.lower(F.hex(e["hash"].bitwiseAND(F.lit(0xFFFFFFFF)))))), " ")
 
 
+def compared(fingerprint: str) -> Column:
+    """The hashes of a fingerprint, 31 bits each, as they are compared within a pair of texts."""
+    return F.transform(fingerprint, lambda e: e["hash"].bitwiseAND(F.lit(_LAST)).cast("int"))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Shared hashes over all hashes of two arrays; 1 if both are empty."""
     union = F.size(F.array_union(a, b))
@@ -121,7 +126,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     given = base.join(asks, key).select(*[f"for_{k}" for k in key], "text", "take")
     given = with_fingerprint(given, "text", "fp").select(
         *[F.col(f"for_{k}").alias(k) for k in key], F.expr("substring(text, 1, take)").alias("head"),
-        F.col("fp.hash").alias("next_hashes"))
+        compared("fp").alias("next_hashes"))
     # Repeated rows give the same head; the copies are next to each other after the shuffle that the join needs anyway.
     given = given.groupBy(*key).agg(F.any_value("head").alias("head"), F.any_value("next_hashes").alias("next_hashes"))
     got = base.join(given, key).withColumn("doc_id", doc_id)
@@ -131,7 +136,8 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     got = with_fingerprint(got, "text", "fp").drop("text")
     got = got.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
     got = with_fingerprint(got, "edited", "edited_fp").drop("edited")
+    got = got.withColumn("_own", compared("fp"))
     return got.select("doc_id", "n_chars", "edited_sha256", as_string("fp").alias("fingerprint"),
                       as_string("edited_fp").alias("edited_fingerprint"),
-                      likeness(F.col("fp.hash"), F.col("edited_fp.hash")).alias("near_edited"),
-                      likeness(F.col("fp.hash"), F.col("next_hashes")).alias("near_next"))
+                      likeness(F.col("_own"), compared("edited_fp")).alias("near_edited"),
+                      likeness(F.col("_own"), F.col("next_hashes")).alias("near_next"))
