@@ -44,7 +44,7 @@ from planpulse.llm.common import pick, rows_batch, texts
 CHUNK = 1 << 20      # bytes of text looked at together
 LONG_WORD = 1024     # longer words (no ASCII white space) go through the open-ended path
 CACHED_WORDS = 300_000
-SHORT = 64           # longer words are not remembered
+SHORT = 64           # longer words and pieces are not remembered
 GROUP = 1 << 22      # bytes of text whose new words are encoded together
 NONE = np.int32(2**31 - 1)
 ALL = np.uint64(2**64 - 1)
@@ -192,6 +192,7 @@ class Bpe:
         self.window = max(2048, 4 * (self.lookahead or 0))
         self.table_of_pairs = PairTable(self.pairs)
         self.inner_ids, self.last_ids = np.array(self.inner), np.array(self.last)
+        self.pieces = Known(self._piece, CACHED_WORDS // 2)
         self.words = Known(lambda w: self.word(w) if len(w) <= LONG_WORD else b"".join(self.long_word(w, 0, len(w))))
 
     # ------------------------------------------------------------ one window
@@ -272,12 +273,15 @@ class Bpe:
         return len(s) if self.byte_level_decoder else len(s.decode())
 
     # ------------------------------------------------------- pieces and words
-    def piece(self, s: str) -> bytes:
+    def _piece(self, s: str) -> bytes:
         b = s.encode()
         ids = self.merge([self.inner[x] for x in b[:-1]] + [self.last[b[-1]]]) if len(b) < self.window \
             else list(self.transduce([b]))
         return np.array(ids, "<u4").tobytes()
 
+    def piece(self, s: str) -> bytes:
+        return self.pieces[s]
+
     def merge_all(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of many short pieces: in each round every piece's best pair is merged."""
         if not pieces:
@@ -323,7 +327,7 @@ class Bpe:
         stops = (4 * np.cumsum(np.bincount(owner, minlength=len(pieces)))).tolist()
         return [data[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: Iterable[bytes]) -> None:
         """Encode the new short plain words among ``words`` together (others wait for their turn)."""
         new, lines = [], []
         for w in self.words.new(words):
@@ -334,15 +338,17 @@ class Bpe:
             return
         text = "\n".join(lines)
         split = self.line_pattern.findall(text.lower() if self.lower else text)
-        pieces = list(set(split) - {"\n"})
-        ids = dict(zip(pieces, self.merge_all([s.encode() for s in pieces]), strict=True))
+        unknown = self.pieces.new(set(split) - {"\n"})
+        got = dict(zip(unknown, self.merge_all([s.encode() for s in unknown]), strict=True))
         words, parts = iter(new), []
         for s in [*split, "\n"]:
             if s == "\n":
                 self.words.put(next(words), b"".join(parts))
                 parts = []
             else:
-                parts.append(ids[s])
+                parts.append(got.get(s) or self.pieces[s])
+        for s, ids in got.items():
+            self.pieces.put(s, ids)
 
     def word(self, w: bytes) -> bytes:
         """Ids (little-endian 32 bit) of a run without ASCII white space."""
@@ -401,7 +407,7 @@ class Bpe:
         """
         if not self.word_split:
             raise ValueError("white space is part of this vocabulary's pieces")
-        at, n = 0, len(data)
+        words, at, n = self.words, 0, len(data)
         while at < n:
             end = min(n, at + CHUNK)
             if end < n:
@@ -419,7 +425,7 @@ class Bpe:
                         end -= 1
             split = data[at:end].split()
             self.learn(set(split))
-            yield b"".join(map(self.words.__getitem__, split))
+            yield b"".join(map(words.__getitem__, split))
             at = end
 
     def encode_many(self, many: list[bytes]) -> Iterator[Iterable[bytes]]:
@@ -430,22 +436,15 @@ class Bpe:
                 yield self.encode_parts(many[at])
                 at += 1
                 continue
-            held, size, unknown = [], 0, set()
-            get = self.words.get
+            split, size = [], 0
             while at < len(many) and size + len(many[at]) <= GROUP and len(many[at]) <= CHUNK:
-                words = many[at].split()
-                ids = list(map(get, words))   # one look at the table per word; only gaps are looked up again
-                gaps = [i for i, x in enumerate(ids) if x is None] if None in ids else ()
-                unknown.update(map(words.__getitem__, gaps))
-                held.append((ids, gaps, [words[i] for i in gaps]))
+                split.append(many[at].split())
                 size += len(many[at])
                 at += 1
-            self.learn(unknown)
-            for k, (ids, gaps, words) in enumerate(held):
-                held[k] = None
-                for i, w in zip(gaps, words, strict=True):
-                    ids[i] = self.words[w]
-                yield [b"".join(ids)]
+            self.learn(set().union(*split))
+            for i, words in enumerate(split):
+                split[i] = None
+                yield [b"".join(map(self.words.__getitem__, words))]
 
     def encode(self, data: bytes) -> bytes:
         return b"".join(self.encode_parts(data))
