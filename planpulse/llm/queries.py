@@ -43,7 +43,7 @@ def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_winnowing(spark: SparkSession, d: str) -> DataFrame:
-    return winnow.edited_likeness(documents(spark, d))
+    return winnow.edited_likeness(documents(spark, d), tokens=winnow.ROLLED)
 
 
 def op8_kd_shards(spark: SparkSession, d: str) -> DataFrame:

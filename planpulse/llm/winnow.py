@@ -1,6 +1,9 @@
 """Winnowed document fingerprints, in DataFrame functions only.
 
-Tokens are runs without white space, cut every 16 characters.  Every ``K`` neighbouring
+Tokens are runs without white space.  Of a run of more than 16 characters every character
+is a token (``ROLLED``), so that hashes roll through unspaced text and an inserted character
+changes only those around it; ``STRIDES`` cuts such runs every 16 characters from their
+start instead, and nothing after an inserted character is shared.  Every ``K`` neighbouring
 tokens have one hash, built by doubling (pairs, then pairs of pairs).  Of every ``W``
 neighbouring hashes the least is chosen, the rightmost of equal ones; window minima are
 found by doubling, too.  Two texts that share ``K + W - 1`` tokens in a row share a chosen
@@ -16,6 +19,8 @@ from pyspark.sql import functions as F
 from planpulse.llm.common import in_order, pick, to_scratch
 
 K, W = 4, 4   # powers of two
+STRIDES = r"(\S{1,16})"
+ROLLED = r"((?<!\S)\S{1,16}(?!\S)|\S)"
 _LAST = 2**31 - 1
 
 
@@ -24,7 +29,7 @@ def _shift(a: str, by: int, f) -> Column:
     return F.zip_with(a, F.slice(a, by + 1, F.greatest(F.size(a), F.lit(1))), f)
 
 
-def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
+def with_fingerprint(df: DataFrame, text: str, out: str, tokens: str = STRIDES) -> DataFrame:
     """Add ``out``: an array of ``(pos, hash)`` in text order; null text counts as empty.
 
     A chosen entry is kept as 32 bits of hash above the mirrored position, so that the
@@ -32,7 +37,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """
     n, h, v = f"_{out}_n", f"_{out}_h", f"_{out}_v"
     names = [c for c in df.columns if c != out]
-    df = df.withColumn(h, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"(\S{1,16})"), 1))
+    df = df.withColumn(h, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(tokens), 1))
     df = df.withColumn(n, F.size(h)).withColumn(
         h, F.when(F.col(n) >= K, F.transform(h, lambda w: F.xxhash64(w)))
             .when(F.col(n) > 0, F.array(F.xxhash64(F.array_join(h, " ")))).otherwise(F.array().cast("array<bigint>")))
@@ -93,12 +98,12 @@ def successors(ids: DataFrame) -> DataFrame:
                .drop("_next", "_after", "_part")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokens: str = STRIDES) -> DataFrame:
     """``doc_id, fingerprint`` (array of ``pos, hash``) of every whole text."""
-    return with_fingerprint(pick(docs, id_col, text_col), "text", "fingerprint").select("doc_id", "fingerprint")
+    return with_fingerprint(pick(docs, id_col, text_col), "text", "fingerprint", tokens).select("doc_id", "fingerprint")
 
 
-def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokens: str = STRIDES) -> DataFrame:
     """Fingerprint every text and its edited text, whose last quarter comes from the next document.
 
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
@@ -124,7 +129,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asks = to_scratch(follow.select(*keyed("doc_id", "text_hash", "for_"), *keyed("next_id", "next_hash", ""),
                                     F.floor(F.col("n_chars") / 4).cast("int").alias("take")), "asks")
     given = base.join(asks, key).select(*[f"for_{k}" for k in key], "text", "take")
-    given = with_fingerprint(given, "text", "fp").select(
+    given = with_fingerprint(given, "text", "fp", tokens).select(
         *[F.col(f"for_{k}").alias(k) for k in key], F.expr("substring(text, 1, take)").alias("head"),
         compared("fp").alias("next_hashes"))
     # Repeated rows give the same head; the copies are next to each other after the shuffle that the join needs anyway.
@@ -133,9 +138,9 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keep = F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 4) as int))")
     got = got.select("doc_id", "text", n_chars, "next_hashes", "head") \
              .select("doc_id", "text", "n_chars", "next_hashes", F.concat(keep, F.col("head")).alias("edited"))
-    got = with_fingerprint(got, "text", "fp").drop("text")
+    got = with_fingerprint(got, "text", "fp", tokens).drop("text")
     got = got.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    got = with_fingerprint(got, "edited", "edited_fp").drop("edited")
+    got = with_fingerprint(got, "edited", "edited_fp", tokens).drop("edited")
     got = got.withColumn("_own", compared("fp"))
     return got.select("doc_id", "n_chars", "edited_sha256", as_string("fp").alias("fingerprint"),
                       as_string("edited_fp").alias("edited_fingerprint"),

@@ -6,7 +6,7 @@ import struct
 import xxhash
 
 from llm_cases import awkward, empty
-from planpulse.llm import winnow
+from planpulse.llm import queries, winnow
 from planpulse.llm.winnow import K, W
 
 
@@ -102,3 +102,30 @@ def test_no_python_in_the_plan(spark):
     df = winnow.edited_likeness(awkward(spark))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_unspaced_text_rolls(spark, monkeypatch):
+    """A character put in front of, dropped from or put into an unspaced text changes only the hashes around it."""
+    rng = random.Random(10)
+    rows, many = [], []
+    for alphabet in ("的一是不了人我在有他这为之大来以个中上们", "abcdefghijklmnopqrstuvwxyz0123456789+/", "01", "😀😁😂🤣😃😄😅😆"):
+        t = "".join(rng.choice(alphabet) for _ in range(2000))
+        many.append([t, "我" + t, t[1:], t[:1000] + "z" + t[1000:], "two words " + t + " and more"])
+        rows += many[-1]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    prints = {r.doc_id: {x["hash"] for x in r.fingerprint} for r in winnow.fingerprints(df, tokens=winnow.ROLLED).collect()}
+    for i in range(0, len(rows), 5):
+        for j in range(i + 1, i + 5):
+            lost = prints[i] ^ prints[j]
+            assert len(lost) <= 4 * (K + W) and len(prints[i] & prints[j]) > 0, (rows[i][:20], j, len(lost))
+    # The registered query: the first text's next document is the same text, shifted.
+    monkeypatch.setattr(queries, "documents", lambda spark, d: df)
+    near = {r.doc_id: r.near_next for r in queries.op7_winnowing(spark, "").collect()}
+    assert all(near[i] > 0.97 for i in (0, 5, 15))
+
+
+def test_short_runs_stay_whole(spark):
+    rows = [(0, "sixteen-letters! short words " + "y" * 17), (1, "a b c d")]
+    got = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "doc_id", f"regexp_extract_all(text, r'{winnow.ROLLED}', 1) AS t").collect()
+    assert {r.doc_id: r.t for r in got} == {0: ["sixteen-letters!", "short", "words", *"y" * 17], 1: list("abcd")}
