@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 import planpulse
 from planpulse.session import ensure_checkpoint_dir
 
+COPIES = 1000   # of one row, dealt to a task together
 _SHIPPED: set[str] = set()
 
 
@@ -105,16 +106,33 @@ def part_offsets(parts: DataFrame, group: list[str], sums: dict[str, str]) -> Da
                                            for c, out in sums.items()])
 
 
-def slots(df: DataFrame, group: str, order: list[str], name: str, out: str = "slot") -> DataFrame:
+def slots(df: DataFrame, group: str, order: list[str], copies: str, name: str, out: str = "slot") -> DataFrame:
     """Number the rows of each ``group`` from 0 without gaps, in the order of ``order``.
 
-    Rows are range partitioned on (group, order), counted per part, and numbered inside
-    their part; the part's offset is added.  A group of any size spans many parts.
+    A row stands for ``copies`` equal ones and gets the number of the first; ``expanded``
+    gives each copy its own.  Rows are range partitioned on (group, order), counted per
+    part, and numbered inside their part; the part's offset is added.  A group of any size
+    spans many parts where it differs in ``order``; rows alike in it should be few, with copies.
     """
     kept = in_order(df, [group, *order], name)
-    counts = kept.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    counts = kept.groupBy(group, "_part").agg(F.sum(copies).alias("_n"))
     base = part_offsets(counts, [group], {"_n": "_base"})
     w = Window.partitionBy("_part", group).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    inside = kept.withColumn("_i", F.row_number().over(w) - 1)
+    before = F.sum(copies).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    inside = kept.withColumn("_i", F.coalesce(before, F.lit(0)))
     joined = inside.join(base, ["_part", group])
     return joined.withColumn(out, (F.col("_base") + F.col("_i")).cast("bigint")).drop("_base", "_i", "_part")
+
+
+def expanded(df: DataFrame, copies: str, number: str, tasks: int) -> DataFrame:
+    """Each row ``copies`` times, with ascending ``number``.
+
+    Rows of many copies become runs of ``COPIES`` first, dealt evenly over ``tasks``.
+    """
+    one, many = df.filter(F.col(copies) == 1), df.filter(F.col(copies) > 1)
+    at, n = F.col("_run") * COPIES, F.col(copies)
+    runs = many.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({copies} - 1) div {COPIES}")))) \
+               .withColumn(number, F.col(number) + at).withColumn(copies, F.least(n - at, F.lit(COPIES))).drop("_run") \
+               .repartition(tasks)
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+    return one.unionByName(runs.withColumn("_copy", each).withColumn(number, F.col(number) + F.col("_copy")).drop("_copy")).drop(copies)

@@ -11,9 +11,10 @@ and cell of the key range (at most ``CELLS`` sums come to the driver at once), a
 that holds the median is refined until it is one point.  A level's cuts
 become a small table that moves every point to a child, and the level is written.
 
+Rows that share id and text are one row with their number until shards and slots are given.
 A group heavier than 1 / ``SLICES`` of a shard would unbalance the leaves, so it is cut into
-slices by document id first; there are at most shards x SLICES such groups, which bounds
-the list of them that is broadcast.
+slices by document id first, and the copies of one row are dealt over the slices in turn;
+there are at most shards x SLICES such groups, which bounds the list of them that is broadcast.
 """
 
 from __future__ import annotations
@@ -21,10 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planpulse.llm.common import pick, slots, to_scratch
+from planpulse.llm.common import expanded, pick, slots, to_scratch
 
 CELLS = 1 << 15       # cells of one pass, shared by a level's nodes
 SLICES = 8
+TASK_ROWS = 200_000   # copies of repeated rows that a task writes
 DIMS = 4
 TOP = (1 << 30) - 1   # coordinates are scaled to 30 bits; 32 bits of hash follow
 TIE = 32
@@ -113,8 +115,8 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
     ``shards - 1`` hold nearly equal sizes; ``slot`` numbers a shard's rows from 0 in
     ascending document id; ``grown_shard`` is null under this law.  Equal texts share a
     shard unless their group alone outweighs 1 / SLICES of one.  Missing metadata count as
-    one value; repeated rows are placed one by one; with fewer points than shards some
-    stay empty; no rows give no rows.
+    one value; repeated rows each have a slot, and those of such a group are dealt over its
+    slices; with fewer points than shards some stay empty; no rows give no rows.
     """
     def meta(c: str, out: str) -> Column:
         return (F.xxhash64(F.col(c).cast("string")) if c in docs.columns else F.lit(0).cast("bigint")).alias(out)
@@ -123,18 +125,27 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
     rows = pick(docs, id_col, text_col, [
         (F.octet_length(text) + 16).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("_text"), meta(source_col, "_source"), meta(lang_col, "_lang")]).drop("text")
-    rows = to_scratch(rows, "rows")
     group = ["_text", "text_crc32", "size"]
-    sums = rows.groupBy(*group).agg(F.sum("size").alias("w"))
-    total = rows.agg(F.sum("size")).first()[0] or 0
+    rows = rows.groupBy("doc_id", *group).agg(F.count(F.lit(1)).alias("_copies"), F.min("_source").alias("_source"),
+                                              F.min("_lang").alias("_lang"))
+    rows = to_scratch(rows, "rows")
+    weight = F.sum(F.col("size") * F.col("_copies"))
+    sums = rows.groupBy(*group).agg(weight.alias("w"))
+    total, repeats = rows.agg(weight, F.sum(F.when(F.col("_copies") > 1, F.col("_copies")))).first()
+    total, repeats = total or 0, repeats or 0
     most = max(1, total // (shards * SLICES))
     hot = sums.filter(F.col("w") > most).select(*group, (F.col("w") / most).cast("int").alias("_cuts"))
+    # Copy j of a row goes to slice (hash of the id + j) mod slices: a row per slice, with its share of the copies.
+    parts = F.coalesce(F.col("_cuts") + 1, F.lit(1))
+    turns = F.when(F.col("_cuts").isNull(), F.lit(1)).otherwise(F.least("_copies", F.col("_cuts") + 1))
     rows = rows.join(F.broadcast(hot), group, "left") \
-               .withColumn("_slice", F.when(F.col("_cuts").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.col("_cuts") + 1))
-                           .otherwise(F.lit(0)).cast("int")).drop("_cuts")
+               .withColumn("_turn", F.explode(F.sequence(F.lit(0).cast("bigint"), turns.cast("bigint") - 1))) \
+               .withColumn("_slice", F.pmod(F.xxhash64("doc_id") % parts + F.col("_turn"), parts).cast("int")) \
+               .withColumn("_copies", F.when(F.col("_cuts").isNull(), F.col("_copies"))
+                           .otherwise(F.floor((F.col("_copies") - 1 - F.col("_turn")) / parts) + 1)).drop("_cuts", "_turn")
     rows = to_scratch(rows, "sliced")
     group = [*group, "_slice"]
-    points = rows.groupBy(*group).agg(F.sum("size").alias("w"), F.min("doc_id").alias("d3"), F.min("_source").alias("d1"),
+    points = rows.groupBy(*group).agg(weight.alias("w"), F.min("doc_id").alias("d3"), F.min("_source").alias("d1"),
                                       F.min("_lang").alias("d2")).withColumn("d0", F.col("size"))
     points = to_scratch(points, "values")
     lo_hi = points.agg(*[f(f"d{d}").cast("double").alias(f"{f.__name__}{d}") for d in range(DIMS) for f in (F.min, F.max)]).first()
@@ -145,7 +156,8 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
         points = points.withColumn(f"k{d}", F.shiftleft((unit * TOP).cast("bigint"), TIE) + tie)
     points = to_scratch(points.select(*group, "w", *[f"k{d}" for d in range(DIMS)]), "points")
     placed = grow(points, shards).select(*group, "shard")
-    out = rows.join(placed, group).select("doc_id", "size", "text_crc32", "_text", "shard")
-    out = slots(out, "shard", ["doc_id", "_text"], "sharded")
+    out = rows.join(placed, group).select("doc_id", "size", "text_crc32", "_text", "shard", "_copies")
+    out = slots(out, "shard", ["doc_id", "_text"], "_copies", "sharded")
+    out = expanded(out, "_copies", "slot", max(1, -(-repeats // TASK_ROWS)))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))

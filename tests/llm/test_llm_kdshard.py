@@ -1,7 +1,10 @@
 import zlib
 
+from pyspark.sql import functions as F
+
 from llm_cases import awkward, empty
 from planpulse.llm import kdshard
+from planpulse.llm.common import expanded, slots
 
 
 def check(rows, docs, shards):
@@ -54,3 +57,21 @@ def test_the_widest_dimension_is_cut(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
     got = kdshard.shard(df, 2).collect()
     assert {(r.shard, r.doc_id >= 10**9) for r in got} == {(0, False), (1, True)}
+
+
+def test_a_hot_row_is_dealt_over_shards(spark):
+    """A third of the rows repeat one row without an id, a tenth one with an id."""
+    rows = [(None, "the very same text", "en", "s") if i % 3 == 0 else (7, "one more repeated text", "en", "s") if i % 10 == 1
+            else (i, f"another text no {i:05d}", "en", "s") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    sizes = check(kdshard.shard(df, 12).collect(), df.collect(), 12)
+    mean = sum(sizes.values()) / 12
+    assert len(sizes) == 12 and max(sizes.values()) < 1.12 * mean and min(sizes.values()) > 0.88 * mean
+
+
+def test_copies_are_numbered_over_tasks(spark):
+    df = spark.createDataFrame([("a", 1, 4), ("a", 2, 2500), ("b", None, 1), ("b", 5, 1), ("b", 6, 3)], "g string, i bigint, n bigint")
+    got = expanded(slots(df, "g", ["i"], "n", "copies"), "n", "slot", 3).withColumn("task", F.spark_partition_id()).collect()
+    for g, want in (("a", [1] * 4 + [2] * 2500), ("b", [None, 5, 6, 6, 6])):
+        assert [(r.slot, r.i) for r in sorted(got, key=lambda r: r.slot) if r.g == g] == list(enumerate(want))
+    assert len({r.task for r in got if r.i == 2}) > 1
