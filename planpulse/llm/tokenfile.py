@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planpulse.llm.bpe import Known, byte_symbols
-from planpulse.llm.common import part_offsets, pick, rows_batch, scratch_path, texts
+from planpulse.llm.common import part_offsets, pick, rows_batch, scratch_path, slices, texts
 
 MAGIC = b"PPTOKEN1"
 HEADER = struct.Struct(">8sQQQQQqQ")
@@ -123,6 +123,20 @@ class EliasFano:
             byte, skip = byte + 256, 0
         return (pos - i) << self.low_bits | int(self._low(np.array([i], np.int64))[0])
 
+    def select_range(self, a: int, b: int) -> np.ndarray:
+        """The values from the a-th up to the b-th, reading the bits between the samples around them."""
+        if not 0 <= a <= b <= self.n:
+            raise IndexError((a, b))
+        if a == b:
+            return np.zeros(0, np.uint64)
+        first, after = a // self.EVERY, -(-b // self.EVERY)
+        start = int(self.samples[first])
+        end = int(self.samples[after]) if after < len(self.samples) else 8 * len(self.high)
+        ones = start + np.flatnonzero(np.unpackbits(self.high[start >> 3:-(-end // 8)])[start & 7:])
+        i = np.arange(a, b, dtype=np.int64)
+        pos = ones[a - first * self.EVERY:b - first * self.EVERY]
+        return (pos - i).astype(np.uint64) << np.uint64(self.low_bits) | self._low(i)
+
     def values(self) -> np.ndarray:
         i = np.arange(self.n, dtype=np.int64)
         ones = np.flatnonzero(np.unpackbits(self.high))[:self.n]
@@ -222,9 +236,20 @@ class Reader:
         self.above, at = EliasFano.read(view, at)
         self.ids = np.frombuffer(view, f"<u{width}", self.n_ids, at)
 
-    def doc_ids(self) -> list[int | None]:
-        v = (self.above.values() + np.int64(self.least).astype(np.uint64)).astype(np.int64)
-        return [None] * self.nulls + v.tolist()
+    def doc_ids(self, a: int = 0, b: int | None = None) -> list[int | None]:
+        b = self.n if b is None else b
+        v = self.above.select_range(max(0, a - self.nulls), max(0, b - self.nulls))
+        v = (v + np.int64(self.least).astype(np.uint64)).astype(np.int64)
+        return [None] * (min(b, self.nulls) - min(a, self.nulls)) + v.tolist()
+
+    def rows(self) -> Iterator[list]:
+        """``doc_id, at, n_tokens, ids_crc32`` as columns, as many documents at once as share a sample."""
+        for a, b in slices(self.n, EliasFano.EVERY):
+            bounds = self.bounds.select_range(a, b + 1).astype(np.int64)
+            ids = self.ids[bounds[0]:bounds[-1]].astype("<u4")
+            at = (bounds - bounds[0]).tolist()
+            crc = [zlib.crc32(ids[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)]
+            yield [self.doc_ids(a, b), bounds[:-1] + self.before, np.diff(bounds), crc]
 
     def __getitem__(self, i: int) -> np.ndarray:
         return self.ids[self.bounds.select(i):self.bounds.select(i + 1)]
@@ -282,11 +307,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for data in batch.column("content"):
                 r = Reader(data.as_buffer())
-                bounds = r.bounds.values().astype(np.int64)
-                wide = r.ids.astype("<u4")
-                crc = [zlib.crc32(wide[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-                yield rows_batch(schema, [np.full(r.n, r.part), r.doc_ids(), bounds[:-1] + r.before,
-                                          np.diff(bounds), crc])
+                for columns in r.rows():
+                    yield rows_batch(schema, [np.full(len(columns[0]), r.part), *columns])
 
     rows = files.mapInArrow(run, "_part bigint, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint")
     return rows.join(F.broadcast(base), "_part").select(

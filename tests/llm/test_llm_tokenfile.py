@@ -85,3 +85,28 @@ def test_repeated_ids_are_all_kept(spark):
 
 def test_empty_table(spark):
     assert tokenfile.token_files(empty(spark), BYTE).collect() == []
+
+
+def test_rows_are_read_through_select(monkeypatch):
+    """Offsets of a block's documents come from the samples around them; nothing decodes all boundaries."""
+    def refuse(self):
+        raise AssertionError("all values decoded")
+    rng = np.random.default_rng(5)
+    n, every = 1700, tokenfile.EliasFano.EVERY
+    block = tokenfile.Block(3, 40, 2)
+    texts = [rng.integers(0, 50_000, k).astype("<u2") for k in rng.integers(0, 300, n)]
+    ids = [None] * 600 + sorted(rng.integers(-10**12, 10**12, n - 600).tolist())
+    for i, t in zip(ids, texts, strict=True):
+        block.add(i, t.tobytes())
+    r = tokenfile.Reader(block.tobytes())
+    want = np.array(block.bounds)
+    for a, b in ((0, 0), (0, 1), (511, 513), (512, 1024), (700, 1699), (n, n + 1), (0, n + 1), (n + 1, n + 1)):
+        assert r.bounds.select_range(a, b).tolist() == want[a:b].tolist()
+    with pytest.raises(IndexError):
+        r.bounds.select_range(5, n + 2)
+    monkeypatch.setattr(tokenfile.EliasFano, "values", refuse)
+    got = list(r.rows())
+    assert len(got) == -(-n // every) and all(len(c[0]) <= every for c in got)
+    doc, at, count, crc = (np.concatenate([np.asarray(c[k], object) for c in got]).tolist() for k in range(4))
+    assert doc == ids == r.doc_ids() and at == (want[:-1] + 40).tolist() and count == [len(t) for t in texts]
+    assert crc == [zlib.crc32(t.astype("<u4")) for t in texts]
