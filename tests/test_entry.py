@@ -38,3 +38,14 @@ def test_fast_queries_match_duckdb(spark):
         idx = [ocols.index(c) for c in cols]
         want = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
         assert got == want, name
+
+
+def test_staff_lookup_reads_every_supplier(spark, monkeypatch):
+    """Missing names come from blanked rows, no supplier is left out of the lookup."""
+    from planpulse.operators import joins
+    seen, real = [], joins.lookup
+    monkeypatch.setattr(joins, "lookup", lambda df, dim, *a, **b: seen.append(dim) or real(df, dim, *a, **b))
+    d = "/root/testdata/sf0.001"
+    out = {r.staff_name: r.entities for r in E.queries()["staff_lookup"](spark, d).collect()}
+    suppliers = spark.read.parquet(f"{d}/supplier.parquet").count()
+    assert [dim.count() for dim in seen] == [suppliers] and out["none"] > 0
