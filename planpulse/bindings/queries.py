@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from planpulse.bindings import views as V
@@ -489,8 +489,20 @@ def q_report_rows(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- display form
 def _positions(df: DataFrame) -> DataFrame:
-    """Number the rows of a short ordered report in its own order (a few dozen rows, one task)."""
-    return df.coalesce(1).withColumn("position", F.monotonically_increasing_id())
+    """Number the rows of an ordered report in its own order.
+
+    A sorted frame's parts ascend: a row's number is its place in its part (the low 33 bits
+    of the id) after the rows of the parts before, so only a row per part goes to one task.
+    """
+    from planpulse.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = df.withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    kept = kept.withColumn("_part", F.shiftright("_id", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = kept.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")) \
+               .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    place = F.col("_base") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return kept.join(F.broadcast(base), "_part").withColumn("position", place).drop("_id", "_part", "_base")
 
 
 def q_source_mix_display(spark: SparkSession, d: str) -> DataFrame:

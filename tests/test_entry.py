@@ -1,4 +1,5 @@
 import duckdb
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
@@ -49,3 +50,16 @@ def test_staff_lookup_reads_every_supplier(spark, monkeypatch):
     out = {r.staff_name: r.entities for r in E.queries()["staff_lookup"](spark, d).collect()}
     suppliers = spark.read.parquet(f"{d}/supplier.parquet").count()
     assert [dim.count() for dim in seen] == [suppliers] and out["none"] > 0
+
+
+def test_positions_over_many_tasks(spark):
+    """An ordered frame is numbered in its order without going through one task."""
+    from planpulse.bindings.queries import _positions
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = _positions(spark.range(5000).selectExpr("id * 7919 % 5000 AS x", "id").orderBy("x"))
+        rows = df.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((r.position, r.x) for r in rows) == [(i, i) for i in range(5000)]
+    assert len({r.task for r in rows}) > 1
