@@ -3,7 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(scope="session")
@@ -11,10 +12,3 @@ def spark():
     from planpulse.session import build_session
     s = build_session("local[*]", 8, app_name="planpulse-tests")
     yield s
-
-
-def rows(df, *cols, order=None):
-    """Collect selected columns as sorted tuples (None sorts first)."""
-    cols = cols or tuple(df.columns)
-    out = [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
-    return sorted(out, key=lambda t: tuple((x is not None, x) for x in t)) if order is None else out

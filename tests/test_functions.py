@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers_planpulse import rows
 from planpulse.functions import (
     attainment, change_pct, change_pp, clean_text, clamp_low, day_month_label, derived_target,
     duration_label, iso_local_date, json_list_text, month_label, nth_working_day, not_in,

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers_planpulse import rows
 from planpulse.operators import (
     arg_best, best_flag, exclude, extreme_flags, first_flag, in_force, latest_per_key,
     ordered_labels, pivot_roles, plan_history, scoped_agg, spine_join, unpivot_roles, with_flag,

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers_planpulse import rows
 from planpulse.plans import (
     active_snapshots, conversions, lapsed_entities, plan_cycle, plan_cycle_simple,
     sessions_by_staff, visits_classified,

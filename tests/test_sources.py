@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from helpers_planpulse import rows
 from planpulse.sources import (
     ResultRegistry, load_alias_map, load_assessments, load_feed, load_staff_map, load_targets,
     write_report,

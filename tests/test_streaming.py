@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from helpers_planpulse import rows
 from planpulse.streaming import start_feed_ingest
 
 
