@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from planpulse.llm import bpe, kdshard, langid, packing, quality, rules, simhash, tokenfile, urlfilter, winnow
+from planpulse.llm import bpe, htmltext, kdshard, langid, packing, quality, rules, simhash, tokenfile, urlfilter, winnow
 
 #: Fixed values of the url query.
 URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow",
@@ -59,9 +59,13 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, d), shingle=4, radius=4)
 
 
+def op11_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return htmltext.extract(spark.read.parquet(f"{d}/pages.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_quality_rules, op3_quality_classifier, op4_token_files, op5_packing, op6_url_filter, op7_winnowing,
-    op8_kd_shards, op9_language_id, op10_simhash)}
+    op8_kd_shards, op9_language_id, op10_simhash, op11_html_extraction)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE_SQL = {
