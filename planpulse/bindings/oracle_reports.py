@@ -1,13 +1,13 @@
 """DuckDB twins of the report-level queries (C8-C17 bindings).
 
-Dates are the binding constants of ``views`` written out: SCORE = 1995-06-16,
-so yesterday = 06-15, month-to-date = 06-01..06-15, last month = 05-01..05-15;
-best months Jan..May 1995; 13 of June's 26 working days have passed.
+Dates are the binding constants of ``views`` written out: SCORE = 1996-12-16,
+so yesterday = 12-15, month-to-date = 12-01..12-15, last month = 11-01..11-15;
+best months Jan..Nov 1996; 12 of December's 26 working days have passed.
 """
 
 from __future__ import annotations
 
-from planpulse.bindings.oracle import ELIGIBLE, LAST_PLAN, VIEWS, _CYCLE, _visits_c5, in_force, plan_types
+from planpulse.bindings.oracle import ELIGIBLE, LAST_PLAN, VIEWS, _CYCLE, _visits_c5, in_force, plan_types, timeline
 
 
 def strip(x: str) -> str:
@@ -40,7 +40,7 @@ alias AS (SELECT DISTINCT replace(s_name, '#', ' #') AS tech_name,
                  CASE WHEN s_nationkey = 0 THEN '' ELSE 'Team ' || CAST(s_nationkey AS VARCHAR) END AS final_name
           FROM supplier WHERE s_nationkey < 3),
 {ELIGIBLE.strip()},
-{in_force("1995-01-01", "1995-06-16").strip()},
+{in_force("1996-01-01", "1996-12-16").strip()},
 {LAST_PLAN.strip()},
 owned AS (
   SELECT p.plan_id, p.due_date, {branch('e.branch')} AS branch, oa.staff_raw AS owner_a_name, ob.staff_raw AS owner_b_name
@@ -48,14 +48,14 @@ owned AS (
   LEFT JOIN staff_raw oa ON oa.staff_id = p.owner_a LEFT JOIN staff_raw ob ON ob.staff_id = p.owner_b),
 c1 AS (SELECT f.active_date, o.* FROM in_force f JOIN owned o USING (plan_id)),
 c2 AS (SELECT o.*, o.due_date + 1 AS inactive_date, o.branch AS rbranch FROM last_plan JOIN owned o USING (plan_id)
-       WHERE o.due_date < DATE '1995-06-16'),
-{plan_types("1994-06-01").strip()},
+       WHERE o.due_date < DATE '1996-12-16'),
+{plan_types("1995-12-01").strip()},
 c4 AS (SELECT * REPLACE ({branch('branch')} AS branch) FROM typed),
-{_visits_c5("1995-06-16").strip()},
+{_visits_c5("1996-12-16").strip()},
 c5r AS (SELECT c5.*, {branch('c5.entity_branch')} AS branch, s.staff_raw
         FROM c5 LEFT JOIN staff_raw s ON s.staff_id = c5.staff_id),
 assess AS (
-  SELECT CAST(CAST(ev.ts AS DATE) - INTERVAL 343 MONTH AS DATE) AS date, r.r_name AS center,
+  SELECT CAST(CAST(ev.ts AS DATE) - to_months(CAST(325 + ev.event_id % 3 AS INTEGER)) AS DATE) AS date, r.r_name AS center,
          CAST(1 + ev.event_id % 3 AS DOUBLE) AS assess_no, CAST(ev.value AS DECIMAL(18,2)) AS cost
   FROM events ev LEFT JOIN region r ON r.r_regionkey = ev.user_id % 5
   WHERE ev.event_type = 'purchase'),
@@ -116,19 +116,19 @@ metrics AS (
 
 PERIODS = """
 periods AS (SELECT * FROM (VALUES
-  ('yesterday', DATE '1995-06-15', DATE '1995-06-15', DATE '1995-06-01'),
-  ('mtd', DATE '1995-06-01', DATE '1995-06-15', DATE '1995-06-01'),
-  ('last_month', DATE '1995-05-01', DATE '1995-05-15', DATE '1995-05-01')) v(period, d1, d2, m))"""
+  ('yesterday', DATE '1996-12-15', DATE '1996-12-15', DATE '1996-12-01'),
+  ('mtd', DATE '1996-12-01', DATE '1996-12-15', DATE '1996-12-01'),
+  ('last_month', DATE '1996-11-01', DATE '1996-11-15', DATE '1996-11-01')) v(period, d1, d2, m))"""
 PERIOD_JOIN = "(f.metric = 'Active' AND f.month = p.m) OR (f.metric <> 'Active' AND f.day BETWEEN p.d1 AND p.d2)"
 
 BEST_PERIODS = """
-months AS (SELECT CAST(g AS DATE) AS m FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '1995-05-01', INTERVAL 1 MONTH) t(g)),
+months AS (SELECT CAST(g AS DATE) AS m FROM generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '1996-11-01', INTERVAL 1 MONTH) t(g)),
 wdays AS (
   SELECT m, d, ROW_NUMBER() OVER (PARTITION BY m ORDER BY d) AS k
   FROM (SELECT m, CAST(unnest(generate_series(CAST(m AS TIMESTAMP), CAST(last_day(m) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
         FROM months) z
   WHERE dayofweek(d) <> 0),
-span_end AS (SELECT m, COALESCE(MAX(CASE WHEN k = 13 THEN d END), MAX(d)) AS e FROM wdays GROUP BY m),
+span_end AS (SELECT m, COALESCE(MAX(CASE WHEN k = 12 THEN d END), MAX(d)) AS e FROM wdays GROUP BY m),
 periods AS (
   SELECT strftime(m.m, '%Y-%m-%d') || '|full' AS period, m.m, m.m AS d1, last_day(m.m) AS d2 FROM months m
   UNION ALL
@@ -226,10 +226,10 @@ TARGET_VS_ACHIEVED = _r("," + BEST_BODY.replace("metrics", "bmetrics").replace(
     "per AS", "bper AS").replace("months", "bmonths").replace("wdays", "bwdays").replace(
     "span_end", "bspan_end") + "," + _metric_table(PERIODS, PERIOD_JOIN) + "," + TARGETS + _WIDE + """
 SELECT t.scope, t.metric, t.target,
-       CASE WHEN t.target IS NOT NULL THEN CAST(round_even(t.target * 0.5, 0) AS BIGINT) END AS prorated_target,
+       CASE WHEN t.target IS NOT NULL THEN CAST(round_even(t.target * 12::DOUBLE / 26, 0) AS BIGINT) END AS prorated_target,
        COALESCE(b.best_value, 0.0) AS best_value, COALESCE(b.best_label, '') AS best_label,
        t.mtd AS achieved,
-       CASE WHEN t.target IS NOT NULL THEN t.mtd >= round_even(t.target * 0.5, 0) END AS met
+       CASE WHEN t.target IS NOT NULL THEN t.mtd >= round_even(t.target * 12::DOUBLE / 26, 0) END AS met
 FROM tgt t LEFT JOIN best1 b ON b.scope = t.scope AND b.metric = t.metric AND b.span = 'same'
 WHERE t.metric NOT IN ('NO2P %', 'Revenue')
 """)
@@ -255,18 +255,18 @@ FROM mt
 """)
 
 _STAFF = """,
-c3t AS (SELECT * FROM kept_cycle WHERE start_date >= DATE '1994-06-01' AND start_date <= DATE '1995-06-16'),
+c3t AS (SELECT * FROM kept_cycle WHERE start_date >= DATE '1995-12-01' AND start_date <= DATE '1996-12-16'),
 vis AS (SELECT c5r.*, {canon_v} AS staff FROM c5r LEFT JOIN alias av ON av.tech_name = {clean_v}),
 vm AS (SELECT staff, CAST(COUNT(*) FILTER (WHERE opd_status = 'NEW OPD') AS BIGINT) AS new_visits,
               CAST(COUNT(*) FILTER (WHERE opd_status = 'OLD OPD') AS BIGINT) AS followup_visits,
               CAST(COUNT(*) FILTER (WHERE is_suggest = 'Yes') AS BIGINT) AS suggested
-       FROM vis WHERE visit_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-15' AND staff IS NOT NULL
+       FROM vis WHERE visit_date BETWEEN DATE '1996-12-01' AND DATE '1996-12-15' AND staff IS NOT NULL
        GROUP BY staff),
 cm AS (SELECT staff, CAST(COUNT(DISTINCT entity_id) AS BIGINT) AS conversions FROM vis
-       WHERE opd_status = 'NEW OPD' AND visit_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-15'
+       WHERE opd_status = 'NEW OPD' AND visit_date BETWEEN DATE '1996-12-01' AND DATE '1996-12-15'
          AND staff IS NOT NULL
          AND entity_id IN (SELECT entity_id FROM c3t WHERE plan_status = 'NEW PLAN'
-                           AND start_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-15')
+                           AND start_date BETWEEN DATE '1996-12-01' AND DATE '1996-12-15')
        GROUP BY staff),
 sess AS (
   SELECT r.slot_date, r.staff_id, COUNT(*) AS total_sessions
@@ -275,20 +275,20 @@ sess AS (
     ON r.roster_id = mm.roster_id
   LEFT JOIN entities e ON e.entity_id = mm.map_entity
   WHERE r.booked = 1 AND r.is_active = 1 AND r.task = 'click'
-    AND r.slot_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-16'
+    AND r.slot_date BETWEEN DATE '1996-12-01' AND DATE '1996-12-16'
   GROUP BY r.slot_date, r.task, r.is_active, r.booked, r.staff_id, e.entity_id, e.branch, e.name,
            e.contact, e.csr_id, e.source),
 smap AS (SELECT s.staff_id, {canon_s} AS staff FROM staff_raw s LEFT JOIN alias a2 ON a2.tech_name = {clean_s}),
 sm AS (SELECT smap.staff, CAST(SUM(total_sessions) AS BIGINT) AS sessions FROM sess JOIN smap ON smap.staff_id = sess.staff_id
-       WHERE sess.slot_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-15' AND smap.staff IS NOT NULL
+       WHERE sess.slot_date BETWEEN DATE '1996-12-01' AND DATE '1996-12-15' AND smap.staff IS NOT NULL
        GROUP BY smap.staff),
-roles_a AS (SELECT owner_a_name AS raw FROM c1 WHERE active_date = DATE '1995-06-01'
-            UNION ALL SELECT owner_b_name FROM c1 WHERE active_date = DATE '1995-06-01'),
+roles_a AS (SELECT owner_a_name AS raw FROM c1 WHERE active_date = DATE '1996-12-01'
+            UNION ALL SELECT owner_b_name FROM c1 WHERE active_date = DATE '1996-12-01'),
 am AS (SELECT {canon_r} AS staff, CAST(COUNT(*) AS BIGINT) AS active
        FROM roles_a LEFT JOIN alias a3 ON a3.tech_name = {clean_r}
        WHERE {canon_r} IS NOT NULL GROUP BY 1),
-roles_i AS (SELECT owner_a_name AS raw FROM c2 WHERE inactive_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-15'
-            UNION ALL SELECT owner_b_name FROM c2 WHERE inactive_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-15'),
+roles_i AS (SELECT owner_a_name AS raw FROM c2 WHERE inactive_date BETWEEN DATE '1996-12-01' AND DATE '1996-12-15'
+            UNION ALL SELECT owner_b_name FROM c2 WHERE inactive_date BETWEEN DATE '1996-12-01' AND DATE '1996-12-15'),
 im AS (SELECT {canon_r} AS staff, CAST(COUNT(*) AS BIGINT) AS inactive
        FROM roles_i LEFT JOIN alias a3 ON a3.tech_name = {clean_r}
        WHERE {canon_r} IS NOT NULL GROUP BY 1),
@@ -333,8 +333,8 @@ SELECT owner, CAST(COUNT(*) AS BIGINT) AS n FROM (
 WHERE owner IS NOT NULL GROUP BY owner
 """
 
-WORKING_DAYS = """
-WITH months AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start FROM orders),
+WORKING_DAYS = f"""
+WITH months AS (SELECT DISTINCT CAST(date_trunc('month', {timeline("o_orderdate", "o_custkey")}) AS DATE) AS month_start FROM orders),
 days AS (
   SELECT month_start, CAST(unnest(generate_series(CAST(month_start AS TIMESTAMP),
                                                   CAST(last_day(month_start) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
@@ -357,8 +357,8 @@ npd AS (SELECT *, CAST(CASE WHEN total_service_months IS NULL OR total_service_m
         FROM c4 WHERE plan_type = 'New Plan'),
 buckets AS (SELECT DISTINCT duration_months FROM npd),
 brs AS (SELECT * FROM (VALUES ('AFRICA'), ('AMERICA'), ('ASIA'), ('EUROPE'), ('MIDEAST')) v(scope)),
-dper AS (SELECT * FROM (VALUES ('yesterday', DATE '1995-06-15', DATE '1995-06-15'),
-                              ('mtd', DATE '1995-06-01', DATE '1995-06-15')) v(period, d1, d2)),
+dper AS (SELECT * FROM (VALUES ('yesterday', DATE '1996-12-15', DATE '1996-12-15'),
+                              ('mtd', DATE '1996-12-01', DATE '1996-12-15')) v(period, d1, d2)),
 cnt AS (
   SELECT n.duration_months, p.period, n.branch AS scope, COUNT(*) AS c, SUM(n.amount) AS a
   FROM npd n JOIN dper p ON n.start_date BETWEEN p.d1 AND p.d2
@@ -387,11 +387,11 @@ sf AS (
   SELECT {v} AS source, CASE WHEN opd_status = 'NEW OPD' THEN 1 ELSE 0 END AS new_visits,
          CASE WHEN opd_status = 'OLD OPD' THEN 1 ELSE 0 END AS old_visits,
          CASE WHEN is_suggest = 'Yes' THEN 1 ELSE 0 END AS suggested, 0 AS new_plans, 0 AS renewals, 0 AS revivals
-  FROM c5r WHERE visit_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-15'
+  FROM c5r WHERE visit_date BETWEEN DATE '1996-12-01' AND DATE '1996-12-15'
   UNION ALL
   SELECT {p}, 0, 0, 0, CASE WHEN plan_type = 'New Plan' THEN 1 ELSE 0 END,
          CASE WHEN plan_type = 'Renewal' THEN 1 ELSE 0 END, CASE WHEN plan_type = 'Revival' THEN 1 ELSE 0 END
-  FROM c4 WHERE start_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-15'
+  FROM c4 WHERE start_date BETWEEN DATE '1996-12-01' AND DATE '1996-12-15'
   UNION ALL
   SELECT l, 0, 0, 0, 0, 0, 0 FROM (VALUES {labels}) v(l)),
 g AS (
@@ -460,11 +460,10 @@ SELECT p_partkey, p_name FROM part
 WHERE LOWER(p_name) NOT LIKE 'red%' AND LOWER(p_name) NOT LIKE '%red'
 """
 
-TRAILING_YEAR = """
-SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start,
-       strftime(CAST(l_shipdate AS DATE), '%b-%y') AS opd_month, CAST(COUNT(*) AS BIGINT) AS visits
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-06-01' AND DATE '1999-06-16'
+TRAILING_YEAR = f"""
+SELECT CAST(date_trunc('month', day) AS DATE) AS month_start, strftime(day, '%b-%y') AS opd_month, CAST(COUNT(*) AS BIGINT) AS visits
+FROM (SELECT {timeline("l_shipdate", "o_custkey")} AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey) t
+WHERE day BETWEEN DATE '1997-06-01' AND DATE '1998-06-16'
 GROUP BY ALL
 """
 
@@ -476,7 +475,7 @@ SELECT o_orderpriority AS lead_source, strftime(CAST(o_orderdate AS DATE), '%Y-%
        CASE WHEN o_orderkey % 2 = 0 THEN 'L' || CAST(o_custkey % 9 AS VARCHAR) || ', 5' ELSE '' END AS assignments,
        CAST(1 + o_orderkey % 12 AS VARCHAR) AS months_with_us
 FROM orders
-WHERE o_orderkey % 17 <> 0 AND CAST(o_orderdate AS DATE) >= DATE '1998-06-01'
+WHERE o_orderkey % 17 <> 0 AND CAST(o_orderdate AS DATE) >= DATE '1997-06-01'
 """
 
 STAFF_DISPLAY = f"""

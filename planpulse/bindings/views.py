@@ -5,17 +5,20 @@ Mapping (the DuckDB twin is ``planpulse.bindings.oracle``):
 * entities      = customer + nation + region: entity_id=c_custkey, name=c_name,
                   contact=c_nationkey, branch=r_name, source=c_mktsegment,
                   csr_id from c_acctbal bands
+* days          = order and ship dates run four times as fast from 1995-01-01 on, for half of
+                  the customers 0, 8 or 12 months later, for the others 23 months later:
+                  when these begin, the others renew, revive and lapse
 * plans         = orders: plan_id=plan_ref=o_orderkey, entity_id=o_custkey,
-                  start_date=o_orderdate, due_date=start + (1 + key % 12) months,
+                  start_date=day of o_orderdate, due_date=start + (1 + key % 12) months,
                   amount=o_totalprice, source=o_orderpriority, owners from the key
 * assignments   = lineitem: plan_id=l_orderkey, status=l_linestatus ('F' = expired)
 * terms         = lineitem rows with l_returnflag='R' and l_quantity > 45
 * visits        = lineitem + orders: key (l_orderkey, l_linenumber, l_partkey,
-                  l_suppkey), visit_date=l_shipdate, staff=l_suppkey,
+                  l_suppkey), visit_date=day of l_shipdate, staff=l_suppkey,
                   status=l_linenumber, slot non-empty when l_quantity > 5
 * prescriptions = lineitem + orders: suggested from l_returnflag (R true, A false)
 * roster        = events: staff_id=user_id, task=event_type, slot day moved back
-                  343 months (2024-01 -> 1995-06), booked when value >= 10,
+                  325 months (2024-01 -> 1996-12), booked when value >= 10,
                   inactive when event_id % 10 = 0
 * roster_map    = events: entity from props.k
 * staff names   = supplier: s_suppkey -> s_name
@@ -32,19 +35,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- binding constants (shared with the oracle SQL) ----------------------
-SNAP = dt.date(1999, 6, 16)          # as-of for snapshots / lapsed / plan cycle
-SNAP_FIRST_MONTH = dt.date(1998, 7, 1)
-SCORE = dt.date(1995, 6, 16)         # as-of for the daily scorecards
-CONV = dt.date(1992, 4, 30)          # as-of for conversions: many first plans are that early
-SESSIONS_FROM = dt.date(1995, 6, 1)
-BEST_FROM = dt.date(1995, 1, 1)
+SNAP = dt.date(1998, 6, 16)          # as-of for snapshots / lapsed / plan cycle
+SNAP_FIRST_MONTH = dt.date(1997, 7, 1)
+SCORE = dt.date(1996, 12, 16)        # as-of for the daily scorecards: the second cohort begins, the first lapses
+CONV = dt.date(1997, 1, 1)           # as-of for conversions: the second cohort's first month
+SESSIONS_FROM = dt.date(1996, 12, 1)
+BEST_FROM = dt.date(1996, 1, 1)
+DAY_ZERO, PACE = dt.date(1995, 1, 1), 4
 EXCLUDED_PLAN_SOURCES = ("5-LOW",)
 EXCLUDED_ENTITY_SOURCES = ("MACHINERY",)
 EXPIRED = "F"
-VISIT_STATUSES = (1, 3, 5)
+VISIT_STATUSES = (1, 2, 3, 5, 6)
 SESSION_TASK = "click"
 CORPORATE_SEGMENTS = ("AUTOMOBILE", "HOUSEHOLD")
-SESSION_SHIFT_MONTHS = -343
+SESSION_SHIFT_MONTHS = -325
 VISIT_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 # ------------------------------------------------------------------------
 
@@ -87,6 +91,14 @@ def branches(spark: SparkSession, d: str) -> DataFrame:
             .select(F.col("n_nationkey").alias("_nation"), F.col("r_name").alias("branch"))
 
 
+def timeline(date: str, entity: str):
+    """The stand-in day of a test table's date, by the cohort of its entity."""
+    zero = F.lit(DAY_ZERO)
+    day = F.date_add(zero, F.floor(F.datediff(F.col(date).cast("date"), zero) / PACE).cast("int"))
+    cohort = F.col(entity) % 8
+    return F.add_months(day, F.when(cohort < 2, F.lit(0)).when(cohort == 2, F.lit(8)).when(cohort == 3, F.lit(12)).otherwise(F.lit(23)))
+
+
 @_shared
 def entities(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
@@ -104,7 +116,7 @@ def entities(spark: SparkSession, d: str) -> DataFrame:
 @_shared
 def plans(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
-    start = F.col("o_orderdate").cast("date")
+    start = timeline("o_orderdate", "o_custkey")
     term = (F.lit(1) + F.col("o_orderkey") % 12).cast("int")
     return o.select(
         F.col("o_orderkey").alias("plan_id"), F.col("o_orderkey").alias("plan_ref"),
@@ -148,7 +160,7 @@ def visits(spark: SparkSession, d: str) -> DataFrame:
     v = _lineitem_entity(spark, d)
     return v.select(
         *VISIT_KEYS, "entity_id",
-        F.col("l_shipdate").cast("date").alias("visit_date"),
+        timeline("l_shipdate", "entity_id").alias("visit_date"),
         F.when(F.col("l_quantity") > 5, F.lit("S")).otherwise(F.lit("")).alias("slot"),
         F.col("l_linenumber").alias("status"),
         F.col("l_suppkey").alias("staff_id"),
@@ -235,11 +247,12 @@ def alias_map(spark: SparkSession, d: str) -> DataFrame:
 
 @_shared
 def assessments(spark: SparkSession, d: str) -> DataFrame:
-    """Assessments from purchase events: region by user, count and cost from the event."""
+    """Assessments from purchase events, moved to three months: region by user, count and cost from the event."""
     ev = table(spark, d, "events").filter(F.col("event_type") == "purchase")
     r = table(spark, d, "region").select("r_regionkey", "r_name")
     j = ev.join(F.broadcast(r), (ev.user_id % 5) == r.r_regionkey, "left")
-    return j.select(F.add_months(F.col("ts").cast("date"), SESSION_SHIFT_MONTHS).alias("date"),
+    month = (F.lit(SESSION_SHIFT_MONTHS) - F.col("event_id") % 3).cast("int")
+    return j.select(F.add_months(F.col("ts").cast("date"), month).alias("date"),
                     F.col("r_name").alias("center"),
                     (F.lit(1) + F.col("event_id") % 3).cast("double").alias("assess_no"),
                     F.col("value").cast("decimal(18,2)").alias("cost"))

@@ -41,6 +41,22 @@ def test_fast_queries_match_duckdb(spark):
         assert got == want, name
 
 
+def test_no_query_is_empty_and_no_metric_is_zero():
+    """The as-of days of the bindings give every query rows and every report metric values (sf0.01)."""
+    con = duckdb.connect()
+    for t in ("region nation customer supplier part orders lineitem events documents").split():
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.01/{t}.parquet')")
+    sql = E.oracle_sql()
+    counts = {name: con.execute(f"SELECT count(*) FROM ({sql[name]})").fetchall()[0][0] for name in E.QUERIES}
+    assert not [n for n, c in counts.items() if not c] and counts["conversions"] >= 50
+    for name, by, value in (("period_metrics", "metric", "value"), ("best_period", "metric", "best_value")):
+        sums = con.execute(f"SELECT {by}, sum({value}) FROM ({sql[name]}) GROUP BY ALL").fetchall()
+        assert len(sums) >= 10 and all(v > 0 for _, v in sums), name
+    metrics = "new_visits followup_visits total_visits suggested conversions sessions active inactive".split()
+    card = con.execute(f"SELECT {', '.join(f'sum({m})' for m in metrics)} FROM ({sql['staff_scorecard']})").fetchall()[0]
+    assert all(v > 0 for v in card)
+
+
 def test_staff_lookup_reads_every_supplier(spark, monkeypatch):
     """Missing names come from blanked rows, no supplier is left out of the lookup."""
     from planpulse.operators import joins
