@@ -374,6 +374,12 @@ FROM buckets b CROSS JOIN dper p CROSS JOIN (SELECT scope FROM brs UNION ALL SEL
 LEFT JOIN allc a ON a.duration_months = b.duration_months AND a.period = p.period AND a.scope = s.scope
 """)
 
+DURATION_TABLE = f"""
+SELECT label_rank, duration_months, duration_label,
+       {", ".join(f"CAST(SUM(CASE WHEN scope = '{b}' THEN plan_count END) AS BIGINT) AS {b}" for b in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDEAST", "Total"))}
+FROM ({DURATION_MIX}) x WHERE period = 'mtd' GROUP BY label_rank, duration_months, duration_label
+"""
+
 _SRC = ("CASE WHEN {s} IS NULL OR lower({s}) IN ('', 'none', 'nan') THEN 'Unknown' "
         "WHEN contains(lower({s}), 'practo') AND NOT contains(lower({s}), 'insta') THEN 'Practo' "
         "WHEN contains(lower({s}), 'practo') AND contains(lower({s}), 'insta') THEN 'Practo-Insta' "
@@ -494,6 +500,7 @@ REPORT_ORACLE = {
     "best_period": BEST_PERIOD,
     "target_vs_achieved": TARGET_VS_ACHIEVED,
     "duration_mix": DURATION_MIX,
+    "duration_table": DURATION_TABLE,
     "source_mix": SOURCE_MIX,
     "branch_metric_table": BRANCH_METRIC_TABLE,
     "json_list_join": JSON_LIST_JOIN,

@@ -7,6 +7,7 @@ column names match the DuckDB oracle in ``planpulse.bindings.oracle``.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,8 +36,8 @@ def q_active_snapshots(spark: SparkSession, d: str) -> DataFrame:
     snap = active_snapshots(V.plans(spark, d), V.assignments(spark, d), V.entities(spark, d),
                             V.terms(spark, d), V.SNAP_FIRST_MONTH, V.SNAP,
                             excluded_sources=V.EXCLUDED_PLAN_SOURCES, expired_status=V.EXPIRED,
-                            entity_cols=["name"], diagnoses=V.diagnoses(spark, d))
-    return snap.select("active_date", "plan_id", "entity_id", "name", "start_date", "due_date",
+                            entity_cols=["name"], diagnoses=V.diagnoses(spark, d), entity_kind="Regular")
+    return snap.select("active_date", "entity_kind", "plan_id", "entity_id", "name", "start_date", "due_date",
                        _money(), "first_status", "months_with_us", "primary_diagnosis")
 
 
@@ -129,13 +130,13 @@ def q_plan_cycle_simple(spark: SparkSession, d: str) -> DataFrame:
 def _visits_c5(spark: SparkSession, d: str, as_of: dt.date) -> DataFrame:
     return visits_classified(V.visits(spark, d), V.entities(spark, d), V.prescriptions(spark, d),
                              V.terms(spark, d), as_of, statuses=V.VISIT_STATUSES,
-                             excluded_sources=V.EXCLUDED_ENTITY_SOURCES, visit_keys=V.VISIT_KEYS)
+                             excluded_sources=V.EXCLUDED_ENTITY_SOURCES, visit_keys=V.VISIT_KEYS, entity_kind="Regular")
 
 
 def q_visits_first_repeat(spark: SparkSession, d: str) -> DataFrame:
     v = _visits_c5(spark, d, V.SCORE)
     return v.select(*V.VISIT_KEYS, "entity_id", "visit_date", "opd_month", "opd_status",
-                    "is_suggest", _money())
+                    "is_suggest", "entity_kind", _money())
 
 
 def q_suggest_flag(spark: SparkSession, d: str) -> DataFrame:
@@ -327,18 +328,24 @@ def q_target_vs_achieved(spark: SparkSession, d: str) -> DataFrame:
                               V.targets(spark), V.SCORE)
 
 
-def _branch_list(spark: SparkSession, d: str) -> list[str]:
-    """The report's branch labels: a bounded dimension (region names after recode)."""
+def _branches(spark: SparkSession, d: str) -> DataFrame:
+    """The report's branch labels: region names after recode."""
     from planpulse.functions.text import recode
     r = V.table(spark, d, "region").select(
-        recode(F.col("r_name"), V.BRANCH_RECODE, null_label="Unknown").alias("b")).distinct()
-    return sorted(x.b for x in r.collect() if x.b and x.b != "Unknown")
+        recode(F.col("r_name"), V.BRANCH_RECODE, null_label="Unknown").alias("scope")).distinct()
+    return r.filter("scope NOT IN ('', 'Unknown')")
 
 
 def q_duration_mix(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.plans.mixes import duration_mix
     r = report_inputs(spark, d, V.SCORE)
-    return duration_mix(r["plans4"], V.SCORE, _branch_list(spark, d))
+    return duration_mix(r["plans4"], V.SCORE, _branches(spark, d))
+
+
+def q_duration_table(spark: SparkSession, d: str) -> DataFrame:
+    """The wide table of month to date, a column per branch and Total."""
+    from planpulse.plans.mixes import duration_table
+    return duration_table(q_duration_mix(spark, d), _branches(spark, d), "mtd")
 
 
 def q_source_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -398,8 +405,8 @@ def q_trailing_year(spark: SparkSession, d: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("visits"))
 
 
-def feed_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Feed pages derived from orders: one page per order, shapes varied by key."""
+def feed_pages(spark: SparkSession, d: str, cut: bool = False) -> DataFrame:
+    """Feed pages derived from orders: one page per order, shapes varied by key; with ``cut`` some break off."""
     o = V.table(spark, d, "orders")
     k = F.col("o_orderkey")
     ts = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
@@ -416,7 +423,7 @@ def feed_pages(spark: SparkSession, d: str) -> DataFrame:
                    F.lit(', "monthsWithUs": "'), (F.lit(1) + k % 12).cast("string"), F.lit('"}'))
     junk = F.when(k % 19 == 0, F.lit(', "junk"')).otherwise(F.lit(""))
     doc = F.concat(F.lit('{"data": ['), rec, junk, F.lit('], "meta": {"hasNextPage": false}}'))
-    return o.select(doc.alias("doc"))
+    return o.select((F.when(k % 10 == 3, F.substring(doc, 1, 40)).otherwise(doc) if cut else doc).alias("doc"))
 
 
 def q_feed_records(spark: SparkSession, d: str) -> DataFrame:
@@ -433,14 +440,51 @@ def q_feed_broken_pages(spark: SparkSession, d: str) -> DataFrame:
     return broken_pages(o.select(doc.alias("doc"))).groupBy("doc").agg(F.count(F.lit(1)).alias("pages"))
 
 
+def q_feed_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """What the feed holds but the report cannot use, counted by reason beside the rows kept."""
+    from planpulse.plans.feed import feed_sorted
+    read = feed_sorted(feed_pages(spark, d, cut=True), V.SNAP)
+    return read.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_nested_text(spark: SparkSession, d: str) -> DataFrame:
+    """values in up to two nested lists, every 97th in fifty, with an element at every level."""
+    from planpulse.functions.nested import variant_text
+    o = V.table(spark, d, "orders")
+    n = F.when(F.col("o_orderkey") % 97 == 0, F.lit(50)).otherwise((F.col("o_orderkey") % 3).cast("int"))
+    doc = F.concat(F.repeat(F.lit('["a", '), n), F.lit('{"label": "k]'), F.col("o_orderkey"), F.lit('", "in": [["x"]]}'),
+                   F.repeat(F.lit(', "", {"price": [], "code": "z"}]'), n))
+    return o.select("o_orderkey", variant_text(F.parse_json(doc)).alias("text"))
+
+
+def q_feed_chain(spark: SparkSession, d: str) -> DataFrame:
+    """A thousand orders to a page, a chain per order status, pages landed as files.
+
+    Every sixth page number is left out; status O says at page 11 that it ends, P at page 4, F never.
+    """
+    from planpulse.sources import chain_problems, load_feed
+    o = V.table(spark, d, "orders")
+    k = F.floor(F.col("o_orderkey") / 1000).cast("bigint")
+    rows = o.select(F.col("o_orderstatus").alias("chain"), (k + 1 + F.floor(k / 5)).alias("page"),
+                    F.concat(F.lit('{"leadSource": "'), F.col("o_orderpriority"), F.lit('"}')).alias("record"))
+    ends = ((F.col("chain") == "O") & (F.col("page") == 11)) | ((F.col("chain") == "P") & (F.col("page") == 4))
+    pages = rows.groupBy("chain", "page").agg(F.array_join(F.array_sort(F.collect_list("record")), ", ").alias("records"))
+    doc = F.concat(F.lit('{"data": ['), F.col("records"), F.lit('], "meta": {"hasNextPage": '), (~ends).cast("string"), F.lit("}}"))
+    path = _written(pages.select("chain", "page", doc.alias("value")), "feed", "text", ["chain", "page"])
+    found = chain_problems(load_feed(spark, path, r"page=(\d+)/[^/]*$"))
+    return found.withColumn("chain", F.regexp_extract("chain", r"chain=(\w+)/$", 1))
+
+
 # ---------------------------------------------------------------- loaders over written files
-def _written(df: DataFrame, name: str, fmt: str = "csv") -> str:
+def _written(df: DataFrame, name: str, fmt: str = "csv", partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` as the hand-kept file a loader reads; returns its folder."""
     import uuid
 
     from planpulse.session import ensure_checkpoint_dir
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/inputs-{uuid.uuid4().hex}/{name}"
-    df.write.option("header", True).format(fmt).save(path)
+    w = df.write.format(fmt)
+    w = w.option("header", True) if fmt == "csv" else w
+    (w.partitionBy(*partition_by) if partition_by else w).save(path)
     return path
 
 
@@ -465,7 +509,7 @@ def q_targets_csv(spark: SparkSession, d: str) -> DataFrame:
 def q_assessments_csv(spark: SparkSession, d: str) -> DataFrame:
     """S5 over a file with six date spellings, unreadable dates, counts and costs."""
     from planpulse.sources import load_assessments
-    e = V.table(spark, d, "events").filter("event_type = 'purchase'")
+    e = V.table(spark, d, "events")
     k, day = F.col("event_id") % 7, F.col("ts").cast("date")
     text = F.lit("soon")
     for i, f in enumerate(("yyyy-MM-dd", "yyyy/MM/dd", "M/d/yyyy", "d-MMM-yyyy", "MMM d, yyyy", "yyyy-MM-dd 10:30")):
@@ -487,6 +531,23 @@ def q_report_rows(spark: SparkSession, d: str) -> DataFrame:
                 .withColumn("rows_written", F.lit(n).cast("bigint"))
 
 
+def q_report_current(spark: SparkSession, d: str) -> DataFrame:
+    """Publish a report twice; the current version, numbered in its stored order."""
+    from planpulse.plans.daily import stored_order
+    from planpulse.sources import publish_report, read_report
+    plans = V.plans(spark, d).select(F.col("start_date").alias("active_date"), "entity_id", "plan_id", "status")
+    path = _written(plans.limit(0), "published", "parquet")
+    order = [*stored_order("active", plans), F.asc("plan_id")]
+    publish_report(plans.filter("status = 'F'"), path, order_by=order)
+    publish_report(plans, path, order_by=order)
+    # A file's rows keep their order and its name tells its place among the files.
+    read = read_report(spark, path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_i"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = read.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")) \
+                .select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    return read.join(files, "_file").select("active_date", "entity_id", "plan_id", (F.col("_base") + F.col("_i")).alias("position"))
+
+
 # ---------------------------------------------------------------- display form
 def _positions(df: DataFrame) -> DataFrame:
     """Number the rows of an ordered report in its own order.
@@ -553,6 +614,11 @@ QUERIES = {
     "targets_csv": q_targets_csv,
     "assessments_csv": q_assessments_csv,
     "report_rows": q_report_rows,
+    "report_current": q_report_current,
+    "feed_rejects": q_feed_rejects,
+    "feed_chain": q_feed_chain,
+    "nested_text": q_nested_text,
+    "duration_table": q_duration_table,
     "active_snapshots": q_active_snapshots,
     "live_flag": q_live_flag,
     "exclude_terms": q_exclude_terms,

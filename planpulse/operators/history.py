@@ -1,15 +1,20 @@
 """Per-entity plan history: sequence number, running count, previous plan.
 
 A plain ``Window.partitionBy(entity)`` sends every plan of an entity to one
-task, so one entity holding a third of all rows would make one task sort a
-third of the data.  Instead the history is computed in two levels:
-
-1. plans are collapsed to one row per (entity, start day) with a partial
-   (map-side) aggregate: plan count, and the due date of the day's last plan;
-2. the per-entity window runs over those day rows, whose number per entity
-   is bounded by the calendar, not by the data volume;
-3. plans are joined back on (entity, day) and a window over (entity, day)
-   orders the plans of one day by the tie-break.
+task, so one entity (or one entity and day) holding a third of all rows would
+make one task sort a third of the data.  Instead the history is computed by
+carried ranks:
+
+1. plans are collapsed to one row per (entity, start day, slot), the slot a hash
+   of the tie-break, with a partial (map-side) aggregate: count, last plan, and
+   one plan drawn at random (the one of greatest hash);
+2. the slots of a day add up to its count and last plan; the window per entity
+   runs over these day rows, whose number the calendar bounds;
+3. a day of more than ``split`` plans is cut at the tie-breaks drawn from its
+   slots into ranges of nearly equal size; counts and last plans of the ranges
+   give each the rank it starts from and the plan before its first;
+4. plans join their day on (entity, day, slot) -- a hot day is spread by its
+   slots -- and a window over (entity, day, range) ranks the plans of a range.
 """
 
 from __future__ import annotations
@@ -17,38 +22,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SLOTS = 64
+
 
 def plan_history(plans: DataFrame, entity: str, start: str, due: str, tiebreak: str,
-                 prefix: str = "") -> DataFrame:
+                 prefix: str = "", split: int = 100_000) -> DataFrame:
     """Add ``seq``, ``running_count``, ``prev_start``, ``prev_due`` to each plan.
 
     Order within an entity: ``start`` ascending with NULLs last (PostgreSQL's
-    default), then ``tiebreak`` ascending.
+    default), then ``tiebreak`` ascending (NULLs last).
 
     * ``seq``: ``ROW_NUMBER()`` in that order (W2);
     * ``running_count``: ``COUNT(*) OVER (ORDER BY start)`` with the default
       RANGE frame, so plans on the same day share the value (W3);
     * ``prev_start`` / ``prev_due``: ``LAG`` of start and due (W4, W5).
+
+    ``split`` only divides the work: a day of more plans is ranked in ranges.
+    Plans that share a tie-break fall into one range.
     """
-    days = (plans.groupBy(entity, start)
-                 .agg(F.count(F.lit(1)).alias("_n"),
-                      F.max_by(F.col(due), F.col(tiebreak)).alias("_last_due")))
+    drawn = F.xxhash64(F.col(tiebreak).cast("string"))
+    slot = F.pmod(drawn, F.lit(SLOTS)).cast("int")
+    none = F.col(tiebreak).isNull()     # missing tie-breaks come last, like in the window's order
+    last = F.struct(none.alias("none"), F.col(tiebreak).alias("id"), F.col(due).alias("due"))
+    slots = plans.groupBy(entity, start, slot.alias("_slot")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(tiebreak).alias("_id"), F.max_by(F.col(due), F.col(tiebreak)).alias("_due"),
+        F.max(none).alias("_none"), F.max(F.when(none, F.col(due))).alias("_none_due"),
+        F.max_by(F.col(tiebreak), F.xxhash64(drawn)).alias("_drawn"))
+    days = slots.groupBy(entity, start).agg(
+        F.sum("_n").alias("_n"), F.max_by("_due", "_id").alias("_due"), F.max("_none").alias("_none"),
+        F.max("_none_due").alias("_none_due"), F.array_sort(F.collect_list("_drawn")).alias("_cuts"))
+    days = days.withColumn("_last_due", F.when(F.col("_none"), F.col("_none_due")).otherwise(F.col("_due")))
     by_entity = Window.partitionBy(entity).orderBy(F.col(start).asc_nulls_last())
     before = by_entity.rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(F.col(entity).alias("_e"), F.col(start).alias("_s"), "_n",
-                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-                       F.lag(start).over(by_entity).alias("_prev_day"),
-                       F.lag("_last_due").over(by_entity).alias("_prev_day_due"))
-    joined = plans.join(days, F.col(entity).eqNullSafe(F.col("_e"))
-                        & F.col(start).eqNullSafe(F.col("_s")), "inner")
-    within_day = Window.partitionBy("_e", "_s").orderBy(F.col(tiebreak).asc_nulls_last())
-    k = F.row_number().over(within_day)
-    ranked = joined.withColumns({"_k": k, "_prev_in_day": F.lag(due).over(within_day)})
-    first_of_day = F.col("_k") == 1
-    return ranked.withColumns({
-        prefix + "seq": (F.col("_before") + F.col("_k")).cast("bigint"),
+    # Keys are structs: equal also where a part is NULL, and hashed alike by joins and windows.
+    day, e, s = F.struct(entity, start), F.col(entity), F.col(start)
+    days = days.select(
+        day.alias("_day"), "_n", F.when(F.col("_n") > split, F.col("_cuts")).alias("_cuts"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.lag(start).over(by_entity).alias("_prev_day"), F.lag("_last_due").over(by_entity).alias("_prev_day_due"))
+    days = slots.select(day.alias("_day"), F.struct(e, s, F.col("_slot")).alias("_at")).join(days, "_day").drop("_day")
+    of_range = F.when(F.col("_cuts").isNull(), F.lit(0)).when(F.col(tiebreak).isNull(), F.size("_cuts")) \
+                .otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col(tiebreak))))
+    joined = plans.withColumn("_at", F.struct(e, s, slot.alias("_slot"))).join(days, "_at", "inner").drop("_at") \
+                  .withColumn("_range", F.struct(e, s, of_range.alias("_range")))
+    ranges = joined.filter("_cuts IS NOT NULL").groupBy("_range").agg(F.count(F.lit(1)).alias("_m"), F.max(last).alias("_l"))
+    earlier = Window.partitionBy(*[F.col("_range")[F.lit(c)] for c in (entity, start)]).orderBy(F.col("_range")["_range"])
+    ranges = ranges.select(
+        "_range", F.coalesce(F.sum("_m").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_carried"),
+        F.lag("_l.due").over(earlier).alias("_carried_due"))
+    within = Window.partitionBy("_range").orderBy(F.col(tiebreak).asc_nulls_last())
+    ranked = joined.join(ranges, "_range", "left").withColumns({
+        "_k": F.row_number().over(within), "_prev_in_range": F.lag(due).over(within), "_carried": F.coalesce("_carried", F.lit(0))})
+    first_of_range, first_of_day = F.col("_k") == 1, F.col("_k") + F.col("_carried") == 1
+    out = ranked.withColumns({
+        prefix + "seq": (F.col("_before") + F.col("_carried") + F.col("_k")).cast("bigint"),
         prefix + "running_count": (F.col("_before") + F.col("_n")).cast("bigint"),
         prefix + "prev_start": F.when(first_of_day, F.col("_prev_day")).otherwise(F.col(start)),
-        prefix + "prev_due": F.when(first_of_day, F.col("_prev_day_due"))
-                              .otherwise(F.col("_prev_in_day")),
-    }).drop("_e", "_s", "_n", "_before", "_prev_day", "_prev_day_due", "_k", "_prev_in_day")
+        prefix + "prev_due": F.when(first_of_day, F.col("_prev_day_due")).when(first_of_range, F.col("_carried_due"))
+                              .otherwise(F.col("_prev_in_range")),
+    })
+    return out.select(*plans.columns, *[prefix + c for c in ("seq", "running_count", "prev_start", "prev_due")])

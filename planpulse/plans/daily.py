@@ -50,7 +50,7 @@ class ReportConfig:
     branch_recode: Mapping[str, str] = dataclasses.field(default_factory=dict)
     visit_keys: Sequence[str] = ("visit_id",)
     roles: Sequence[str] = K.STAFF_ROLES
-    entity_kind: str = K.ENTITY_KIND                    # constant column of the lapsed table
+    entity_kind: str = K.ENTITY_KIND                    # constant column of active, lapsed and visits
 
 
 def _branch(df: DataFrame, col: str, cfg: ReportConfig) -> DataFrame:
@@ -66,7 +66,7 @@ def shared_results(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportC
     out = {
         "active": active_snapshots(plans, tables["assignments"], entities, terms, first, as_of,
                                    cfg.excluded_sources, cfg.expired_status, tables.get("diagnoses"),
-                                   entity_cols=("name",)),
+                                   entity_cols=("name",), entity_kind=cfg.entity_kind),
         "lapsed": lapsed_entities(plans, entities, terms, as_of, cfg.excluded_sources, entity_cols=("name",),
                                   assignments=tables["assignments"], diagnoses=tables.get("diagnoses"),
                                   entity_kind=cfg.entity_kind),
@@ -77,7 +77,8 @@ def shared_results(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportC
         "plan_types": plan_cycle_simple(plans, entities, visits, terms, as_of, cfg.grace_days,
                                         cfg.excluded_sources, cfg.visit_keys),
         "visits": visits_classified(visits, entities, tables["prescriptions"], terms, as_of,
-                                    cfg.visit_statuses, cfg.excluded_sources, cfg.visit_keys),
+                                    cfg.visit_statuses, cfg.excluded_sources, cfg.visit_keys,
+                                    entity_kind=cfg.entity_kind),
         "sessions": sessions_by_staff(tables["roster"], tables["roster_map"], entities,
                                       cfg.sessions_from or dt.date(as_of.year, 1, 1), as_of,
                                       cfg.session_task, cfg.corporate_sources),
@@ -91,8 +92,15 @@ def daily_reports(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportCo
                   alias: DataFrame | None = None, staff_map: DataFrame | None = None,
                   targets: DataFrame | None = None, assessments: DataFrame | None = None,
                   feed: DataFrame | None = None, checkpoint: bool = True) -> dict[str, DataFrame]:
-    """Every report of the original's two daily scripts, as DataFrames by name."""
-    from planpulse.plans.feed import feed_records
+    """Every report of the original's two daily scripts, as DataFrames by name.
+
+    What an input holds but no report can use is a result too, with its own row count:
+    ``feed_rejects`` (pages and records, with the reason), ``feed_chain`` (pages missing or
+    beyond the end, for a feed read by ``load_feed``) and ``assessment_rejects`` (rows whose
+    date is no date, for assessments read by ``read_assessments``).
+    """
+    from planpulse.plans.feed import feed_sorted
+    from planpulse.sources.feed import chain_problems
     spark = tables["plans"].sparkSession
     r = shared_results(tables, as_of, cfg, checkpoint)
     y = as_of - dt.timedelta(days=1)
@@ -105,6 +113,10 @@ def daily_reports(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportCo
     out["staff_mtd"] = keep(staff_scorecard(*card_args, m0, y))
     for name in ("staff_yesterday", "staff_mtd"):
         out[name + "_flags"] = extreme_flags(out[name], list(SCORECARD_METRICS), reverse=["inactive"])
+    if assessments is not None and "date_text" in assessments.columns:
+        assessments = keep(assessments)
+        out["assessment_rejects"] = assessments.filter(F.col("date").isNull() & (F.col("date_text") != ""))
+        assessments = assessments.dropna(subset=["date"]).drop("date_text")
     visits_b = _branch(r["visits"], "entity_branch", cfg)
     types_b = _branch(r["plan_types"], "entity_branch", cfg)
     facts = daily_facts(metric_facts(visits_b, types_b, _branch(r["active"], "branch", cfg),
@@ -118,13 +130,15 @@ def daily_reports(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportCo
     out["best_period"] = best
     out["target_vs_achieved"] = target_vs_achieved(metrics, best, targets, as_of)
     out["branch_table"] = branch_metric_table(metrics, best)
-    # The branch list is the (bounded) set of scopes of the checkpointed metrics.
-    branches = sorted(x.scope for x in metrics.select("scope").distinct().collect()
-                      if x.scope != K.OVERALL_LABEL)
+    branches = metrics.select("scope").filter(F.col("scope") != K.OVERALL_LABEL).distinct()
     out["duration_mix"] = duration_mix(types_b, as_of, branches)
     out["source_mix"] = order_source_mix(source_mix(visits_b, types_b, m0, y))
     if feed is not None:
-        out["feed"] = feed_records(feed, as_of)
+        read = keep(feed_sorted(feed, as_of))       # the pages are parsed once for both parts
+        out["feed"] = read.filter("reason IS NULL").drop("reason", "raw")
+        out["feed_rejects"] = read.filter("reason IS NOT NULL").select("reason", "raw")
+        if {"chain", "page"} <= set(feed.columns):
+            out["feed_chain"] = chain_problems(feed)
     return out
 
 
@@ -145,23 +159,23 @@ def stored_order(name: str, df: DataFrame) -> list:
 
 def write_daily_reports(reports: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet",
                         display_as_of: dt.date | None = None) -> dict[str, int]:
-    """Write each report to ``out_dir/name`` (full replace); returns row counts.
+    """Publish each report under ``out_dir/name`` (replaced at once); returns row counts.
 
     With ``display_as_of`` the reports are written in display form (headings,
     formatted numbers, report order; ``plans.display``), e.g. as CSV.
     """
-    from planpulse.sources.sinks import write_report
+    from planpulse.sources.sinks import publish_report
     if display_as_of is not None:
         from planpulse.plans.display import display_reports
         reports = display_reports(dict(reports), display_as_of)
-    return {name: write_report(df, f"{out_dir.rstrip('/')}/{name}", fmt, order_by=stored_order(name, df))
+    return {name: publish_report(df, f"{out_dir.rstrip('/')}/{name}", fmt, order_by=stored_order(name, df))
             for name, df in reports.items()}
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     from planpulse.session import build_session
     from planpulse.sources import (
-        load_alias_map, load_assessments, load_feed, load_staff_map, load_tables, load_targets,
+        load_alias_map, load_feed, load_staff_map, load_tables, load_targets, read_assessments,
     )
     ap = argparse.ArgumentParser(description="planpulse daily reports")
     ap.add_argument("--tables", required=True)
@@ -184,7 +198,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         alias=load_alias_map(spark, a.alias) if a.alias else None,
         staff_map=load_staff_map(spark, a.staff_map) if a.staff_map else None,
         targets=load_targets(spark, a.targets) if a.targets else None,
-        assessments=load_assessments(spark, a.assessments, dict(x.split("=", 1) for x in a.center)) if a.assessments else None,
+        assessments=read_assessments(spark, a.assessments, dict(x.split("=", 1) for x in a.center)) if a.assessments else None,
         feed=load_feed(spark, a.feed) if a.feed else None)
     shown = a.as_of if a.display else None
     for name, n in write_daily_reports(reports, a.out, a.format, display_as_of=shown).items():

@@ -16,7 +16,7 @@ from planpulse.operators.grouping import ordered_labels
 from planpulse.plans.scorecards import report_periods
 
 
-def duration_mix(plans: DataFrame, as_of: dt.date, branches: Sequence[str],
+def duration_mix(plans: DataFrame, as_of: dt.date, branches: Sequence[str] | DataFrame,
                  preferred: Sequence[int] = K.PREFERRED_DURATIONS) -> DataFrame:
     """New plans by duration bucket, branch and period, with a Total column (C14).
 
@@ -24,10 +24,16 @@ def duration_mix(plans: DataFrame, as_of: dt.date, branches: Sequence[str],
     T12: whole history, as in the original).  Buckets are those present among
     *all* new plans; periods are yesterday and month-to-date; every (bucket,
     branch, period) is present, zero when empty.  ``branches`` is the report's
-    branch list (a bounded label list); Total sums those branches only.
+    branch list, or a frame whose first column has the branches: the grid then
+    takes them as an array computed by Spark (a scalar subquery), the driver
+    never sees them.  Total sums those branches only.
     ``label_rank`` orders the buckets: listed durations first, then the rest.
     """
     periods = {k: v for k, v in report_periods(as_of).items() if k in ("yesterday", "mtd")}
+    if isinstance(branches, DataFrame):
+        listed = branches.agg(F.coalesce(F.array_sort(F.collect_set(branches.columns[0])), F.array().cast("array<string>"))).scalar()
+    else:
+        listed = F.array(*[F.lit(b) for b in branches]).cast("array<string>")
     npd = plans.filter(F.col("plan_type") == "New Plan") \
         .withColumn("duration_months", clamp_low(F.col("total_service_months"), 1).cast("bigint"))
     # One pass over the new plans: each row is tagged with its periods plus an
@@ -40,13 +46,13 @@ def duration_mix(plans: DataFrame, as_of: dt.date, branches: Sequence[str],
         .groupBy("duration_months", "period", "branch") \
         .agg(F.count(F.lit(1)).alias("plan_count"), F.sum("amount_cents").alias("amount_cents"))
     buckets = agg.filter(F.col("period") == "_all").select("duration_months").distinct()
-    by_branch = agg.filter((F.col("period") != "_all") & F.col("branch").isin(list(branches)))
+    by_branch = agg.filter((F.col("period") != "_all") & F.array_contains(listed, F.col("branch")))
     total = by_branch.groupBy("duration_months", "period") \
         .agg(F.sum("plan_count").alias("plan_count"), F.sum("amount_cents").alias("amount_cents")) \
         .withColumn("branch", F.lit(K.TOTAL_LABEL))
     counts = by_branch.unionByName(total).withColumnRenamed("branch", "scope")
     grid = buckets.withColumn("period", F.explode(F.array(*[F.lit(p) for p in periods]))) \
-        .withColumn("scope", F.explode(F.array(*[F.lit(b) for b in [*branches, K.TOTAL_LABEL]])))
+        .withColumn("scope", F.explode(F.concat(listed, F.array(F.lit(K.TOTAL_LABEL)))))
     out = grid.join(counts, ["duration_months", "period", "scope"], "left")
     out = ordered_labels(out, "duration_months", list(preferred), out="label_rank")
     return out.select("duration_months", duration_label("duration_months").alias("duration_label"),
@@ -55,6 +61,26 @@ def duration_mix(plans: DataFrame, as_of: dt.date, branches: Sequence[str],
                       to_whole(from_cents(F.coalesce(F.col("amount_cents"), F.lit(0)))).alias("amount"))
 
 
+#: A table with more branches than this is no report; the long form has no bound.
+MOST_COLUMNS = 500
+
+
+def duration_table(mix: DataFrame, branches: DataFrame, period: str, most: int = MOST_COLUMNS) -> DataFrame:
+    """The wide cross-tab of ``duration_mix``: a row per bucket, a column per branch, and Total.
+
+    Column names are part of a plan, so the branch labels (first column of ``branches``,
+    distinct) come to the driver, ``most`` at the most; more raise an error.  Columns
+    stand in label order, rows keep ``label_rank`` and ``duration_months`` to sort by.
+    """
+    label = branches.columns[0]
+    names = [r[0] for r in branches.select(label).distinct().limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"more than {most} branches: use the long form")
+    wide = mix.filter(F.col("period") == period).groupBy("label_rank", "duration_months", "duration_label") \
+              .pivot("scope", [*sorted(names), K.TOTAL_LABEL]).agg(F.sum("plan_count"))
+    return wide.fillna(0)
+
+
 def source_mix(visits: DataFrame, plans: DataFrame, d1: dt.date, d2: dt.date,
                order: Sequence[str] = K.SOURCE_ORDER, source_col: str = "entity_source",
                rule=source_rule) -> DataFrame:

@@ -13,7 +13,7 @@ from planpulse.functions.dates import as_date
 from planpulse.functions.predicates import not_in
 from planpulse.functions.text import json_list_text
 from planpulse.operators.history import plan_history
-from planpulse.operators.joins import exclude, in_force, with_flag
+from planpulse.operators.joins import exclude, in_force, salted_join, with_flag
 from planpulse.operators.keyed import latest_per_key
 
 
@@ -24,9 +24,9 @@ def _eligible_plans(plans: DataFrame, entities: DataFrame, terms: DataFrame | No
         p = exclude(p, terms.select("plan_ref").dropna(), "plan_ref")
     if entity_cols:
         # INNER JOIN to the entity table (one row per entity) adding its attributes.
-        return p.join(entities.select("entity_id", *entity_cols), "entity_id", "inner")
+        return salted_join(p, entities.select("entity_id", *entity_cols), "entity_id", ["plan_id"])
     # Without attributes the INNER JOIN only tests existence.
-    return p.join(entities.select("entity_id").dropna().distinct(), "entity_id", "left_semi")
+    return salted_join(p, entities.select("entity_id").dropna().distinct(), "entity_id", ["plan_id"])
 
 
 def primary_diagnosis(diagnoses: DataFrame) -> DataFrame:
@@ -50,7 +50,8 @@ def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFra
                      expired_status: str = K.EXPIRED_STATUS,
                      diagnoses: DataFrame | None = None,
                      entity_cols: Sequence[str] = (),
-                     extras: Sequence[str] = ("first_status", "months_with_us")) -> DataFrame:
+                     extras: Sequence[str] = ("first_status", "months_with_us"),
+                     entity_kind: str | None = None) -> DataFrame:
     """One row per (month, plan) in force at the month's reference date.
 
     * months from ``first_month`` to the month of ``as_of``; reference date =
@@ -84,6 +85,8 @@ def active_snapshots(plans: DataFrame, assignments: DataFrame, entities: DataFra
         snap = snap.join(seq, "plan_id", "left")
     if diagnoses is not None:
         snap = snap.join(primary_diagnosis(diagnoses), "entity_id", "left")
+    if entity_kind is not None:
+        snap = snap.withColumn("entity_kind", F.lit(entity_kind))
     return snap.drop("ref_date", "is_current_month", "has_live_assignment")
 
 

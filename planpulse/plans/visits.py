@@ -21,7 +21,7 @@ def visits_classified(visits: DataFrame, entities: DataFrame, prescriptions: Dat
                       excluded_sources: Sequence[str] = K.EXCLUDED_SOURCES,
                       visit_keys: Sequence[str] = ("visit_id",),
                       history_months: int = K.HISTORY_MONTHS,
-                      entity_cols: Sequence[str] = ()) -> DataFrame:
+                      entity_cols: Sequence[str] = (), entity_kind: str | None = None) -> DataFrame:
     """Completed visits of the trailing window, NEW or OLD, with the suggestion flag.
 
     * OLD when the entity has a visit with a non-empty slot on a strictly
@@ -31,7 +31,8 @@ def visits_classified(visits: DataFrame, entities: DataFrame, prescriptions: Dat
       at ``as_of``, entity source not excluded, no exclusion term on the visit;
     * ``is_suggest``: 'Yes' / 'No' / NULL from the entity's best prescription
       flag (TRUE > FALSE > NULL) -- per entity, not per visit (trap T16);
-    * ``entity_cols`` are further attributes copied from the entity table.
+    * ``entity_cols`` are further attributes copied from the entity table, ``entity_kind`` is a
+      constant column.
     """
     keys = list(visit_keys)
     # Row filters and the term exclusion (keyed by visit) come first; earlier visits are
@@ -48,6 +49,8 @@ def visits_classified(visits: DataFrame, entities: DataFrame, prescriptions: Dat
     frame = ent.filter(not_in("entity_source", excluded_sources)).join(frame, "entity_id", "left")
     v = salted_join(v, frame, "entity_id", keys)
     repeat = F.coalesce(F.col("_first_day") < F.col("visit_date"), F.lit(False))
+    if entity_kind is not None:
+        v = v.withColumn("entity_kind", F.lit(entity_kind))
     return (v.withColumn("opd_status", F.when(repeat, F.lit("OLD OPD")).otherwise(F.lit("NEW OPD")))
              .withColumn("is_suggest", F.when(F.col("_suggested"), F.lit("Yes"))
                                         .when(~F.col("_suggested"), F.lit("No")))
@@ -95,7 +98,8 @@ def sessions_by_staff(roster: DataFrame, roster_map: DataFrame, entities: DataFr
                        ["entity_id"], [F.col("name").asc_nulls_last(), F.col("contact").asc_nulls_last(),
                                        F.col("branch").asc_nulls_last(), F.col("source").asc_nulls_last(),
                                        F.col("csr_id").asc_nulls_last()])
-    j = r.join(m, "roster_id", "left").join(e, "entity_id", "left")
+    # Slots without an entity share a NULL key: salted, they are no single task's share.
+    j = salted_join(r.join(m, "roster_id", "left"), e, "entity_id", ["roster_id"], how="left")
     keys = ["slot_date", "task", "is_active", "booked", "staff_id", "entity_id",
             "branch", "name", "contact", "csr_id", "source"]
     g = j.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("total_sessions"))
@@ -110,11 +114,15 @@ def conversions(visits: DataFrame, plans: DataFrame, d1: dt.date | str, d2: dt.d
 
     No order between the two dates is required.  NULL ids never match
     (trap T11: the original compared the text 'None').
+
+    Visits are reduced to distinct (entity, staff) pairs first, within each task and then by
+    both columns, so an entity with a third of all visits meets the plans with one row per
+    staff member; the plans' entities are distinct too.
     """
     lo, hi = as_date(d1), as_date(d2)
     nv = visits.filter((F.col("opd_status") == new_visit) & F.col("visit_date").between(lo, hi)
                        & F.col(staff).isNotNull() & F.col("entity_id").isNotNull())
     np_ = plans.filter((F.col("plan_status") == new_plan) & F.col("start_date").between(lo, hi)) \
                .select("entity_id")
-    conv = nv.join(np_, "entity_id", "left_semi").select("entity_id", staff).distinct()
+    conv = nv.select("entity_id", staff).distinct().join(np_.distinct(), "entity_id", "left_semi")
     return conv.groupBy(staff).agg(F.count(F.lit(1)).cast("bigint").alias("conversions"))

@@ -71,7 +71,8 @@ def test_daily_cli(spark, tmp_path, capsys):
           "--targets", str(tgt)])
     out = capsys.readouterr().out
     assert "scorecard: 33 rows" in out and "plan_cycle: 4 rows" in out
-    sc = spark.read.parquet(str(tmp_path / "out" / "scorecard"))
+    from planpulse.sources import read_report
+    sc = read_report(spark, str(tmp_path / "out" / "scorecard"))
     assert sc.filter("scope = 'Overall' AND metric = 'New OPDs'").first().target == 10
 
 
@@ -88,3 +89,24 @@ def test_display_form(spark, tmp_path):
     assert sc[-1]["MTD-1 (1-14 Apr)"] == "2,820"
     counts = write_daily_reports(reports, str(tmp_path / "csv"), "csv", display_as_of=D(2026, 4, 15))
     assert counts["scorecard"] == 33
+
+
+def test_daily_rejects(spark, tmp_path):
+    """Pages, records and assessments that no report can use are outputs with counts."""
+    from planpulse.sources import load_feed, read_assessments
+    (tmp_path / "feed").mkdir()
+    ok = '{"leadSource": "Web", "createdAt": "2026-04-02T10:00:00Z", "package": [[["p"]]]}'
+    (tmp_path / "feed" / "page1.json").write_text(
+        '{"data": [' + ok + ', 7, {"createdAt": "soon"}, {"createdAt": "2020-01-01"}], "meta": {"hasNextPage": true}}')
+    (tmp_path / "feed" / "page3.json").write_text('{"data": [')
+    (tmp_path / "a.csv").write_text("date,center\n2026-04-02,X\nsoon,X\n,Z\n")
+    reports = daily_reports(_tables(spark), D(2026, 4, 15), ReportConfig(session_task="therapy"),
+                            assessments=read_assessments(spark, str(tmp_path / "a.csv")), feed=load_feed(spark, str(tmp_path / "feed")))
+    assert [r.package for r in reports["feed"].collect()] == ["p"]
+    assert sorted(tuple(r) for r in reports["feed_rejects"].collect()) == [
+        ("broken page", '{"data": ['), ("no creation date", '{"createdAt":"soon"}'), ("no object", "7")]
+    assert [(r.problem, r.page) for r in reports["feed_chain"].collect()] in (
+        [("missing", 2), ("after the end", 3)], [("after the end", 3), ("missing", 2)], [("missing", 2)])
+    some = {n: reports[n] for n in ("feed", "feed_rejects", "feed_chain", "assessment_rejects")}
+    counts = write_daily_reports(some, str(tmp_path / "out"))
+    assert (counts["feed"], counts["feed_rejects"], counts["assessment_rejects"]) == (1, 3, 1)

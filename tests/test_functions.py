@@ -150,3 +150,12 @@ def test_variant_text(spark):
     v = F.from_json("doc", "struct<v: variant>").getField("v")
     got = [r[0] for r in df.select(variant_text(v)).collect()]
     assert got == ["Gold", "x, 3", "T1, s, L", "plain", "", "", "7", "deep", ""]
+
+
+def test_variant_text_of_any_depth(spark):
+    deep = "[" * 50 + '{"x": [[1]], "name": "in ] [ { \\" \\\\"}' + "]" * 50
+    mixed = '[1, [true, [null, {"a": {"b": [1, [2]]}, "c": ""}], "x, y"], [[], [[]]], -2.5, "", [{"name": ""}]]'
+    flat = '[{"a": [1]}, "b,[c", {"label": 0, "title": "t"}]'
+    df = spark.createDataFrame([(i, d) for i, d in enumerate((deep, mixed, flat, "[[]]"))], "i int, d string").orderBy("i")
+    got = [r[0] for r in df.select(variant_text(F.parse_json("d"))).collect()]
+    assert got == ['in ] [ { " \\', '1, true, {"b":[1,[2]]}, x, y, -2.5', "[1], b,[c, t", ""]

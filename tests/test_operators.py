@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -247,3 +248,31 @@ def test_visits_and_plans_join_the_entity_once(spark):
 
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("ids", ["bigint", "string"])
+def test_history_of_a_hot_day_is_ranked_in_ranges(spark, ids):
+    """A third of all plans on one (entity, day): equal to plain windows, spread over several tasks."""
+    from planpulse.operators.history import plan_history
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.concat(F.lit("e"), F.col("id") % 40)).alias("e"),
+        F.when(F.col("id") % 3 == 0, F.lit("2026-01-05")).when(F.col("id") % 7 > 0, F.concat(F.lit("2026-01-0"), F.col("id") % 7))
+         .cast("date").alias("s"),
+        F.when(F.col("id") % 11 > 0, F.date_add(F.lit("2026-02-01").cast("date"), (F.col("id") % 50).cast("int"))).alias("d"),
+        (F.col("id") * 7919 % 3001).cast(ids).alias("p"))
+    df = df.unionByName(spark.createDataFrame([("hot", d, None, None) for d in (D(2026, 1, 4), D(2026, 1, 6))], "e string, s date, d date, p string")
+                        .withColumn("p", F.lit("5").cast(ids)))
+    w = Window.partitionBy("e").orderBy(F.asc_nulls_last("s"), F.asc_nulls_last("p"))
+    days = Window.partitionBy("e").orderBy(F.asc_nulls_last("s"))
+    want = df.select("e", "s", "d", "p", F.row_number().over(w).alias("seq"), F.count(F.lit(1)).over(days).alias("running_count"),
+                     F.lag("s").over(w).alias("prev_start"), F.lag("d").over(w).alias("prev_due"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = plan_history(df, "e", "s", "d", "p", split=100)
+        assert rows(got, *want.columns) == rows(want)
+        placed = got.filter("e = 'hot'").select("seq", "prev_due", F.spark_partition_id().alias("task"))
+        tasks = placed.groupBy("task").agg(F.count("seq").alias("n"), F.max("seq"), F.max("prev_due")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(tasks) > 4 and max(r.n for r in tasks) < 500

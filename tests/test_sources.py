@@ -3,6 +3,8 @@ import datetime as dt
 import pytest
 
 from helpers_planpulse import rows
+from pyspark.sql import functions as F
+
 from planpulse.sources import (
     ResultRegistry, load_alias_map, load_assessments, load_feed, load_staff_map, load_targets,
     write_report,
@@ -125,3 +127,46 @@ def test_broken_pages_and_iso_dates(spark):
     df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, d string").orderBy("i")
     got = [r[0] for r in df.select(variant_text(F.parse_json("d"))).collect()]
     assert got[:4] == ["T", "L", "deep", "v"] and got[5] == "s"
+
+
+def test_page_chain(spark, tmp_path):
+    from planpulse.sources import chain_problems
+    more, end = '{"data": [], "meta": {"hasNextPage": true}}', '{"data": [], "meta": {"hasNextPage": false}}'
+    chains = {"whole": {1: more, 2: end}, "cut": {1: more, 2: more}, "gaps": {2: more, 5: more, 6: end},
+              "over": {1: more, 2: end, 3: more, 4: end}, "broken": {1: '{"data"', 2: end}, "one": {1: "{}"}}
+    for name, docs in chains.items():
+        (tmp_path / name).mkdir()
+        for n, doc in docs.items():
+            (tmp_path / name / f"fetch-2026-p{n:03d}.json").write_text(doc)
+    (tmp_path / "whole" / "copy_p2.json").write_text(end)
+    (tmp_path / "whole" / "note.json").write_text(end)
+    pages = load_feed(spark, str(tmp_path), r"p(\d+)\.json$")
+    found = chain_problems(pages.withColumn("chain", F.element_at(F.split("chain", "/"), -2)))
+    assert rows(found) == sorted([
+        ("broken", "after the end", 2), ("cut", "endless", 2), ("gaps", "missing", 1), ("gaps", "missing", 3),
+        ("over", "after the end", 3), ("over", "after the end", 4), ("whole", "repeated", 2), ("whole", "unnumbered", None)],
+        key=lambda t: tuple((x is not None, x) for x in t))
+
+
+def test_published_report_is_replaced_at_once(spark, tmp_path):
+    import pytest
+
+    from planpulse.sources import expire_versions, publish_report, read_report
+    from planpulse.sources.sinks import report_versions
+    path = str(tmp_path / "report")
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
+    with pytest.raises(Exception):
+        read_report(spark, path)
+    assert publish_report(df, path, order_by=["k"]) == 3
+    old = read_report(spark, path)
+    bad = df.withColumn("v", F.when(F.col("k") == "c", F.raise_error(F.lit("killed")).cast("int")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="killed"):      # dies while it writes: the old report stays whole
+        publish_report(bad, path)
+    assert rows(read_report(spark, path)) == [("a", 1), ("b", 2), ("c", 3)]
+    assert publish_report(df.filter("v > 1"), path) == 2
+    assert rows(read_report(spark, path)) == [("b", 2), ("c", 3)] and old.count() == 3
+    first = report_versions(spark, path).agg(F.min("version")).first()[0]
+    assert rows(read_report(spark, path, first)) == [("a", 1), ("b", 2), ("c", 3)]
+    assert len(expire_versions(spark, path, keep=1)) == 2       # the first version and what the dead write left
+    assert rows(read_report(spark, path)) == [("b", 2), ("c", 3)]
+    assert publish_report(df, path, "csv") == 3 and rows(read_report(spark, path), "k") == [("a",), ("b",), ("c",)]
