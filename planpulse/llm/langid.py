@@ -24,6 +24,12 @@ PER_LANGUAGE = 300    # labelled rows a language that a model is fitted on
 WINDOWS = 6           # of these, windows a row that are used in training, evenly spaced
 EPOCHS, LOT, RATE = 10, 128, 0.02
 UNKNOWN = "und"
+#: A text is of a learnt language if so large a share of its three-byte strings is known, measured by that of
+#: learnt rows held back: this part of their share that one in a hundred stays under.
+HELD_BACK, ONE_IN, FAMILIAR = 5, 100, 0.7
+SEEN_IN = 2           # rows of a language that a string must occur in to be known
+_FOLD = np.frombuffer(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", b"abcdefghijklmnopqrstuvwxyz000000000"), np.uint8)
+SLICE = 1 << 20
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -32,6 +38,30 @@ class Model:
 
     def __init__(self, filters: Filters, weights: np.ndarray, bias: np.ndarray, languages: list[str]):
         self.filters, self.weights, self.bias, self.languages = filters, weights, bias, languages
+        self.strings: list[np.ndarray] = []     # per language: its known three-byte strings
+        self.floor = 0.0                        # least share of known strings
+        self._known: list[np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_known": None}
+
+    def familiar(self, many: list[bytes], language: list[str]) -> np.ndarray:
+        """Share of each text's three-byte strings that its language is known to have (1 without any)."""
+        if self._known is None:
+            self._known = []
+            for codes in self.strings:
+                bits = np.zeros(1 << 21, np.uint8)
+                np.bitwise_or.at(bits, codes >> 3, np.uint8(1) << (codes & 7).astype(np.uint8))
+                self._known.append(bits)
+        out = np.zeros(len(many))
+        for i, (text, name) in enumerate(zip(many, language, strict=True)):
+            if name in self.languages:
+                bits, hits = self._known[self.languages.index(name)], 0
+                for a in range(0, max(len(text) - 2, 0), SLICE):
+                    codes = strings(text[a:a + SLICE + 2])
+                    hits += int(((bits[codes >> 3] >> (codes & 7).astype(np.uint8)) & 1).sum())
+                out[i] = hits / (len(text) - 2) if len(text) > 2 else 1.0
+        return out
 
     def probabilities(self, many: list[bytes]) -> np.ndarray:
         """(texts, languages): the mean over each text's windows."""
@@ -48,6 +78,22 @@ class Model:
         return np.concatenate(out) if out else np.zeros((0, len(self.languages)))
 
 
+def strings(text: bytes) -> np.ndarray:
+    """Every three bytes of a text as a number; A-Z in lower case, digits alike."""
+    b = _FOLD[np.frombuffer(text, np.uint8)].astype(np.uint32)
+    return (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
+
+
+def learn_strings(pairs: list[tuple[bytes, str]], languages: list[str]) -> list[np.ndarray]:
+    """Per language the three-byte strings that occur in at least SEEN_IN of its texts."""
+    out = []
+    for name in languages:
+        found = [np.unique(strings(x)) for x, y in pairs if y == name and len(x) > 2]
+        codes, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint32), return_counts=True)
+        out.append(codes[n >= SEEN_IN])
+    return out
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -89,7 +135,12 @@ def fit(pairs: list[tuple[bytes, str]], seed: int = 7) -> Model | None:
             adam.rate = RATE * (1 - adam.t / steps) + 1e-4
             adam.step([filters.back(rows, at, gh) * mask, h.T @ p + 1e-4 * weights, p.sum(axis=0)])
     filters._pairs = None
-    return Model(filters, weights, bias, languages)
+    model = Model(filters, weights, bias, languages)
+    model.strings = learn_strings([x for i, x in enumerate(pairs) if i % HELD_BACK], languages)
+    back = pairs[::HELD_BACK]
+    shares = np.sort(model.familiar([x for x, _ in back], [y for _, y in back]))
+    model.floor = FAMILIAR * float(shares[len(shares) // ONE_IN])
+    return model
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = 4, held: int = 2, id_col: str = "doc_id",
@@ -139,8 +190,13 @@ def predict(docs: DataFrame, model: Model | None, folds: int = 4, held: int = 2,
 
 def keep_known(docs: DataFrame, model: Model | None, least: float = 0.4, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose language is told with ``least`` or
-    more; ``und`` goes.  Without a model nothing can be judged and every row stays."""
+    """The rows of ``docs``, with all their columns, whose language is told with ``least`` or more.
+
+    ``und`` goes, and so does a text of another language or of none (random letters, code):
+    a softmax must choose one of the learnt languages, but such a text has too few of its
+    three-byte strings (``Model.floor``).  Without a model nothing can be judged and every
+    row stays.
+    """
     ship(docs.sparkSession)
     place = docs.columns.index(text_col)
 
@@ -148,8 +204,9 @@ def keep_known(docs: DataFrame, model: Model | None, least: float = 0.4, id_col:
         for batch in batches:
             many = [x or b"" for x in batch.column(place).cast(pa.string()).cast(pa.binary()).to_pylist()]
             names, p = identify(many, model)
-            yield batch.filter(pa.array([model is None or (n != UNKNOWN and s >= least)
-                                         for n, s in zip(names, p.tolist(), strict=True)], pa.bool_()))
+            share = model.familiar(many, names) if model else p
+            yield batch.filter(pa.array([model is None or (n != UNKNOWN and s >= least and f >= model.floor)
+                                         for n, s, f in zip(names, p.tolist(), share.tolist(), strict=True)], pa.bool_()))
 
     names = docs.columns   # renamed meanwhile: any name, even one with dots, may occur
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])

@@ -15,7 +15,6 @@ hot document id or length can skew, and its result is a written table.
 from __future__ import annotations
 
 import functools
-import math
 import zlib
 from collections.abc import Iterator
 
@@ -29,7 +28,6 @@ from planpulse.llm.bpe import load
 from planpulse.llm.common import pick, rows_batch, texts, to_scratch
 
 PART_ITEMS = 50_000
-ROUNDS = 4
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
@@ -139,55 +137,55 @@ def _deal(items: DataFrame, capacity: int, turn: int, parts: int) -> DataFrame:
         part = TaskContext.get().partitionId()
         again = fills[bins] < capacity if len(fills) > bound else bins == int(fills.argmin())
         n = table.num_rows
-        more = {"sequence_id": (turn << 56) | (part << 28) | bins, "offset": offsets, "_again": again & (fills[bins] < capacity),
-                "_bound": np.full(n, bound)}
+        more = {"sequence_id": (turn << 56) | (part << 28) | bins, "offset": offsets, "certified": np.full(n, len(fills) <= bound),
+                "_again": again & (fills[bins] < capacity)}
         for k, v in more.items():
             table = table.append_column(k, pa.array(v))
         yield from table.to_batches(max_chunksize=10_000)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     packed = items.select(*names).repartition(parts).mapInArrow(
-        run, f"{fields}, sequence_id bigint, offset bigint, _again boolean, _bound bigint")
+        run, f"{fields}, sequence_id bigint, offset bigint, certified boolean, _again boolean")
     return to_scratch(packed, f"round{turn}")
 
 
-def pack(items: DataFrame, capacity: int, part_items: int = PART_ITEMS, rounds: int = ROUNDS) -> DataFrame:
+def pack(items: DataFrame, capacity: int, part_items: int = PART_ITEMS, rounds: int | None = None) -> DataFrame:
     """Pack rows with a ``length`` column (1 to ``capacity``) into sequences.
 
-    Returns the rows with ``sequence_id`` and ``offset`` (gapless from 0 in a sequence).
-    Equal lengths and repeated rows are packed one by one; no rows give no sequences.
-    The exchange ends when one task holds all that is left, a round saves nothing, or after
-    ``rounds``; ends only affect how tight the packing is, never which rows it holds.
+    Returns the rows with ``sequence_id``, ``offset`` (gapless from 0 in a sequence) and
+    ``certified``: the task that packed the row used as few sequences as its bound proves
+    are needed.  Equal lengths and repeated rows are packed one by one; no rows give no
+    sequences.  The exchange goes on while it saves sequences: it ends when a round saves
+    none or one task holds all that is left (or after ``rounds``, if given).
     """
     pool = to_scratch(items, "pieces")
     n = pool.count()
     settled: list[DataFrame] = []
-    best: DataFrame | None = None
-    best_bins = math.inf
-    for turn in range(rounds):
+    best_bins: int | None = None
+    while n and (rounds is None or len(settled) < rounds):
         parts = max(1, -(-n // part_items))
-        packed = _deal(pool, capacity, turn, parts)
-        if best is not None:
-            bins = packed.select("sequence_id").distinct().count()
-            if bins >= best_bins:
+        packed = _deal(pool, capacity, len(settled), parts)
+        if best_bins is not None:
+            if packed.select("sequence_id").distinct().count() >= best_bins:
                 break
             settled[-1] = settled[-1].filter(~F.col("_again"))
         settled.append(packed)
-        if parts == 1 and turn:
+        if parts == 1:
             break
-        best = packed.filter("_again")
-        left = best.agg(F.count(F.lit(1)), F.count_distinct("sequence_id")).first()
-        n, best_bins = left[0], left[1]
-        if n == 0 or best_bins <= 1 or parts == 1:
+        again = packed.filter("_again")
+        n, best_bins = again.agg(F.count(F.lit(1)), F.count_distinct("sequence_id")).first()
+        if best_bins <= 1:
             break
-        pool = best.select(*items.columns)
-    return functools.reduce(DataFrame.unionByName, settled).drop("_again", "_bound")
+        pool = again.select(*items.columns)
+    if not settled:
+        settled.append(_deal(pool, capacity, 0, 1))
+    return functools.reduce(DataFrame.unionByName, settled).drop("_again")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, **names: str) -> DataFrame:
     """Encode, cut and pack whole documents into sequences of at most ``capacity`` tokens.
 
-    One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
+    One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset, certified``.
     Null text is empty and so one ``end_id``; null ids and repeated rows are packed like any
     other; further columns are ignored.
     """

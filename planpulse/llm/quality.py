@@ -21,6 +21,7 @@ from planpulse.llm.convnet import Adam, Filters, cells
 FILTERS, WIDTH = 16, 6
 PER_CLASS = 1500          # labelled rows a class that a model is fitted on
 MAX_SAMPLE_BYTES = 65536  # longer texts are not in that sample (all are scored)
+LABELS, LABEL_BYTES = 32, 8 << 20   # labels of a sample, by support, and bytes of each one's texts
 EPOCHS, LOT, RATE = 12, 48, 0.02
 SCORED = 1 << 22          # bytes of text scored together
 
@@ -109,18 +110,23 @@ def sample(rows: DataFrame, docs: DataFrame, per_class: int, id_col: str, text_c
 
     Ids are drawn by hash, on id and label alone: about four times as many as wanted by a
     threshold per label (so the ranking sees few rows of a frequent one), then the first.
-    Their texts are fetched after that: classes x ``per_class`` rows at most, each of at
-    most ``MAX_SAMPLE_BYTES``.
+    Their texts are fetched after that.  Of many labels the ``LABELS`` most frequent count
+    (then the least), and of a label's texts the first ``LABEL_BYTES``, each of at most
+    ``MAX_SAMPLE_BYTES``: so much reaches the driver.  Of several texts under one id the
+    least one stands for it.
     """
     rows = rows.filter(F.col("id").isNotNull() & F.col("label").isNotNull())
-    some = F.broadcast(rows.groupBy("label").agg((F.lit(4.0 * per_class) / F.count(F.lit(1))).alias("_share")))   # a row per class
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("_rows")).orderBy(F.desc("_rows"), "label").limit(LABELS)
+    some = F.broadcast(counts.select("label", (F.lit(4.0 * per_class) / F.col("_rows")).alias("_share")))
     w = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     drawn = rows.join(some, "label").filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("_share") * (1 << 30)) \
                 .select("id", "label").distinct() \
                 .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_class).drop("_n")
     text = F.col(text_col).cast("string")
     got = docs.select(F.col(id_col).alias("id"), text.alias("text")).filter(F.octet_length("text") <= MAX_SAMPLE_BYTES) \
-              .join(F.broadcast(drawn), "id").dropDuplicates(["id", "label"]).select("id", "label", "text").collect()
+              .join(F.broadcast(drawn), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    held = F.sum(F.octet_length("text")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    got = got.withColumn("_held", held).filter(F.col("_held") <= LABEL_BYTES).select("id", "label", "text").collect()
     return [(r["text"].encode(), r["label"]) for r in sorted(got, key=lambda r: (r["id"], str(r["label"])))]
 
 

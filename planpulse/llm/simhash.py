@@ -269,10 +269,19 @@ def keep_first(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col: str =
     It is the one with the least id (a null id only if all are; of rows that share that id,
     the one with the least text hash).  All columns are kept.
     """
+    names = docs.columns   # renamed meanwhile: any name, even one with dots, may occur
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    own_id, own_text = (F.col(f"c{names.index(c)}") for c in (id_col, text_col))
     each, rooted = _classes(docs, shingle, radius, id_col, text_col)
     rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")
     first = each.groupBy("fp").agg(F.min(rank).alias("first")).join(rooted, "fp").groupBy("root").agg(F.min("first").alias("f"))
-    first = to_scratch(first.select(F.col("f.doc_id").alias("_id"), F.col("f.text_hash").alias("_hash")), "first")
-    stay = docs.join(first, docs[id_col].cast("bigint").eqNullSafe(F.col("_id"))
-                     & (F.xxhash64(docs[text_col].cast("string")) == F.col("_hash")), "left_semi")
-    return stay.dropDuplicates([id_col, text_col])
+    first = first.select(F.col("f.doc_id").alias("doc_id"), F.col("f.text_hash").alias("text_hash"))
+    # Only rows that repeat an id and a text are shuffled again, to keep one of them.
+    rows = each.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    first = to_scratch(first.join(rows, F.col("rows").isNotNull() & first["doc_id"].eqNullSafe(rows["doc_id"])
+                                  & (first["text_hash"] == rows["text_hash"]))
+                       .select(first["doc_id"].alias("_id"), first["text_hash"].alias("_hash"), "rows"), "first")
+    stay = plain.join(first, own_id.cast("bigint").eqNullSafe(F.col("_id"))
+                      & F.xxhash64(own_text.cast("string")).eqNullSafe(F.col("_hash")))
+    once, more = stay.filter("rows = 1"), stay.filter("rows > 1").dropDuplicates([f"c{names.index(c)}" for c in (id_col, text_col)])
+    return once.unionByName(more).select(*plain.columns).toDF(*names)
