@@ -17,9 +17,11 @@ after the rules that make its parts, which ``load`` checks (else whole pieces ar
 A text right of a token boundary is encoded as if the text left of it were not there,
 because no rule merged across that boundary.
 
-Short words repeat: their ids are remembered in bounded tables per Python worker.  New
-words of a batch, each of which fits one window, go through the same rules together: one
-array holds the symbols of all of them, and every round merges each word's best pair.
+Words repeat: what the transducer gave for a short one is remembered in bounded tables per
+Python worker, and a text is the ids of its words.  The new words of neighbouring texts are
+one stream of symbols, in which no rule crosses the end of a piece: a token is stable, too,
+once that end stands in the window.  Inside a window all short pieces are merged together
+in numpy.
 """
 
 from __future__ import annotations
@@ -39,13 +41,16 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from planpulse.llm.common import pick, rows_batch, texts
+from planpulse.llm.common import pick, rows_batch, slices, texts
 
 CHUNK = 1 << 20      # bytes of text looked at together
 LONG_WORD = 1024     # longer words (no ASCII white space) go through the open-ended path
 CACHED_WORDS = 300_000
 SHORT = 64           # longer words and pieces are not remembered
 GROUP = 1 << 22      # bytes of text whose new words are encoded together
+WINDOW = 1 << 16     # symbols the transducer looks at together
+MANY = 256           # symbols of a piece that is merged alone
+FEW = 1024           # symbols of a window whose pieces are merged one by one
 NONE = np.int32(2**31 - 1)
 ALL = np.uint64(2**64 - 1)
 SPACE = re.compile(rb"[\t-\r ]")
@@ -189,7 +194,9 @@ class Bpe:
                           for s in strings]
         else:
             self.table = [s.encode() for s in strings]
-        self.window = max(2048, 4 * (self.lookahead or 0))
+        self.window = max(WINDOW, 4 * (self.lookahead or 0))
+        self.lengths = np.array([len(t) - (len(suffix) if suffix and t.endswith(suffix) else 0) for t in strings])
+        self.emitted = {"lookahead": 0, "end of piece": 0}   # by which rule tokens became stable
         self.table_of_pairs = PairTable(self.pairs)
         self.inner_ids, self.last_ids = np.array(self.inner), np.array(self.last)
         self.pieces = Known(self._piece, CACHED_WORDS // 2)
@@ -241,58 +248,77 @@ class Bpe:
                 heapq.heappush(heap, (r[0], h, ids[h], new, r[1]))
         return [x for x in ids if x >= 0]
 
-    # --------------------------------------------------- an open-ended piece
-    def transduce(self, parts: Iterable[bytes]) -> Iterator[int]:
-        """Ids of one piece whose bytes arrive in parts; emits each token once it is stable."""
-        held: list[int] = []
-        final = -1
-        for part in parts:
-            if not part:
-                continue
-            if final >= 0:
-                held.append(self.inner[final])
-            held.extend(self.inner[b] for b in part[:-1])
-            final = part[-1]
-            while self.lookahead is not None and len(held) >= self.window:
-                now, later = held[:self.window], held[self.window:]
-                stable = len(now) - self.lookahead
-                at = 0
-                for token in self.merge(now):
-                    end = at + self._length(token)
-                    if end > stable:
-                        break
-                    yield token
-                    at = end
-                held = now[at:] + later
-        if final >= 0:
-            held.append(self.last[final])
-        yield from self.merge(held)
+    # -------------------------------------------------------- the transducer
+    def stream(self, parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Push symbols through the window; yields tokens once they are stable.
 
-    def _length(self, token: int) -> int:
-        s = self.table[token]
-        return len(s) if self.byte_level_decoder else len(s.decode())
-
-    # ------------------------------------------------------- pieces and words
-    def _piece(self, s: str) -> bytes:
-        b = s.encode()
-        ids = self.merge([self.inner[x] for x in b[:-1]] + [self.last[b[-1]]]) if len(b) < self.window \
-            else list(self.transduce([b]))
-        return np.array(ids, "<u4").tobytes()
-
-    def piece(self, s: str) -> bytes:
-        return self.pieces[s]
+        A part is (symbol ids, whether each ends its piece); pieces of any number and length
+        follow one another.  Yields (tokens, whether each ends its piece).  At most a window
+        of symbols is held beside the part just read.
+        """
+        held, ends = np.zeros(0, np.int64), np.zeros(0, bool)
+        full = self.window
+        for ids, last in parts:
+            held, ends = (np.concatenate([held, ids]), np.concatenate([ends, last])) if len(held) else (ids, last)
+            while len(held) >= full:
+                tokens, closed, at = self.stable(held[:full], ends[:full])
+                yield tokens, closed
+                held, ends = held[at:], ends[at:]
+                full = self.window if at else 2 * full   # grows only where no lookahead is known
+        if len(held):
+            tokens, closed, at = self.stable(held, ends)
+            if at < len(held):
+                raise ValueError("the last piece has no end")
+            yield tokens, closed
+
+    def stable(self, ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """The tokens of a window that no symbol right of it can change, and their symbols' number.
+
+        A token is stable if it ends the lookahead before the window's edge, or if the end
+        of its piece stands in the window: no rule crosses that.
+        """
+        n = len(ids)
+        closed = n - int(np.argmax(last[::-1])) if last.any() else 0
+        ahead = n - self.lookahead if self.lookahead is not None else 0
+        tokens, ends = self.merge_window(ids, last)
+        at = np.cumsum(self.lengths[tokens])
+        k = int(np.searchsorted(at, max(closed, ahead), "right"))
+        by_ahead = int(np.searchsorted(at, ahead, "right"))
+        self.emitted["lookahead"] += min(k, by_ahead)
+        self.emitted["end of piece"] += k - min(k, by_ahead)
+        return tokens[:k], ends[:k], int(at[k - 1]) if k else 0
+
+    def merge_window(self, ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Apply the rules to every piece of a window; (tokens, whether each ends its piece).
+
+        Long pieces go one by one, all short ones together: in each round every piece's
+        best pair is merged.
+        """
+        stops = np.flatnonzero(last) + 1
+        if not len(stops) or stops[-1] < len(ids):
+            stops = np.append(stops, len(ids))     # the piece that is still open
+        lens = np.diff(stops, prepend=0)
+        alone = lens > (MANY if len(ids) > FEW else 0)
+        owners, tokens = [], []
+        for i in np.flatnonzero(alone).tolist():
+            got = self.merge(ids[stops[i] - lens[i]:stops[i]].tolist())
+            tokens.append(np.array(got, np.int64))
+            owners.append(np.full(len(got), i))
+        if not alone.all():
+            short = np.repeat(~alone, lens)
+            edge = np.zeros(len(ids), bool)
+            edge[stops - 1] = True
+            for owner, got in self._merge_short(ids[short], edge[short], np.repeat(np.arange(len(lens)), lens)[short]):
+                owners.append(owner)
+                tokens.append(got)
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        owner, out = owner[order], np.concatenate(tokens)[order]
+        ends = np.append(owner[1:] != owner[:-1], last[-1])
+        return out, ends
 
-    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
-        """The ids of many short pieces: in each round every piece's best pair is merged."""
-        if not pieces:
-            return []
-        lens = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        flat = np.frombuffer(b"".join(pieces), np.uint8)
-        last = np.zeros(len(flat), bool)
-        last[np.cumsum(lens) - 1] = True
-        ids = np.where(last, self.last_ids[flat], self.inner_ids[flat])
-        owner = np.repeat(np.arange(len(pieces)), lens)
-        pairs, out = self.table_of_pairs, []
+    def _merge_short(self, ids: np.ndarray, last: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        pairs = self.table_of_pairs
         rank = np.full(len(ids), NONE, np.int32)
         inside = np.flatnonzero(~last)
         rank[inside] = pairs.ranks(ids[inside], ids[inside + 1])
@@ -304,7 +330,7 @@ class Bpe:
             best_at = np.repeat(best, size)
             open_ = best_at != NONE
             if not open_.all():
-                out.append((owner[~open_], ids[~open_]))
+                yield owner[~open_], ids[~open_]
                 ids, owner, rank, last, best_at = (x[open_] for x in (ids, owner, rank, last, best_at))
                 if not len(ids):
                     break
@@ -312,6 +338,7 @@ class Bpe:
             if (np.diff(at) == 1).any():   # a run of the same token: leftmost pairs first
                 run = np.cumsum(np.concatenate([[True], np.diff(at) != 1]))
                 at = at[(np.arange(len(at)) - np.searchsorted(run, run, "left")) % 2 == 0]
+            ids = ids.copy()
             ids[at] = pairs.new[rank[at]]
             last[at] = last[at + 1]
             keep = np.ones(len(ids), bool)
@@ -321,10 +348,45 @@ class Bpe:
             for p in (at[~last[at]], at[(at > 0) & ~last[at - 1]] - 1):
                 rank[p] = pairs.ranks(ids[p], ids[p + 1])
             rank[at[last[at]]] = NONE
-        owner, ids = (np.concatenate(x) for x in zip(*out, strict=True))
-        order = np.argsort(owner, kind="stable")
-        data = ids[order].astype("<u4").tobytes()
-        stops = (4 * np.cumsum(np.bincount(owner, minlength=len(pieces)))).tolist()
+
+    def _length(self, token: int) -> int:
+        return int(self.lengths[token])
+
+    def transduce(self, parts: Iterable[bytes]) -> Iterator[int]:
+        """Ids of one piece whose bytes arrive in parts; emits each token once it is stable."""
+        for tokens, _ in self.stream(self._symbols(parts)):
+            yield from tokens.tolist()
+
+    def _symbols(self, parts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The symbols of one piece: its last byte, which may have a symbol of its own, waits for the end."""
+        final = b""
+        for part in parts:
+            part = final + part
+            final = part[-1:]
+            if len(part) > 1:
+                yield self.inner_ids[np.frombuffer(part, np.uint8)[:-1]], np.zeros(len(part) - 1, bool)
+        if final:
+            yield self.last_ids[np.frombuffer(final, np.uint8)], np.ones(1, bool)
+
+    # ------------------------------------------------------- pieces and words
+    def _piece(self, s: str) -> bytes:
+        return self.merge_all([s.encode()])[0]
+
+    def piece(self, s: str) -> bytes:
+        return self.pieces[s]
+
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of many pieces, streamed through the window one after another."""
+        if not pieces:
+            return []
+        flat = np.frombuffer(b"".join(pieces), np.uint8)
+        last = np.zeros(len(flat), bool)
+        last[np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))) - 1] = True
+        got = list(self.stream(
+            (np.where(last[a:b], self.last_ids[flat[a:b]], self.inner_ids[flat[a:b]]), last[a:b])
+            for a, b in slices(len(flat), self.window)))
+        data = np.concatenate([x for x, _ in got]).astype("<u4").tobytes()
+        stops = (4 * (np.flatnonzero(np.concatenate([x for _, x in got])) + 1)).tolist()
         return [data[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
 
     def learn(self, words: Iterable[bytes]) -> None:

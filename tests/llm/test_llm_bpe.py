@@ -72,6 +72,33 @@ def test_stable_tokens_do_not_depend_on_what_follows():
         assert runs[0] == runs[1] == runs[2]
 
 
+def test_prose_leaves_the_window_by_the_lookahead(library, monkeypatch):
+    """Every token comes out of the stream, all by distance but those in the last lookahead of a window."""
+    monkeypatch.setattr(bpe, "WINDOW", 4096)
+    model = bpe.Bpe(WORD)
+    rng = random.Random(17)
+    made = ["".join(rng.choice("aeinorstlhdu") for _ in range(rng.randint(2, 11))) for _ in range(9000)]
+    held, inner = [], model.merge_window
+    model.merge_window = lambda x, last: held.append(len(x)) or inner(x, last)
+    text = " ".join(made)
+    want = library.encode(text, add_special_tokens=False).ids
+    assert ids(model.encode(text.encode())) == want
+    assert max(held) == model.window == 4096 and len(held) > 10
+    distinct = sum(len(library.encode(w, add_special_tokens=False).ids) for w in set(made))
+    assert sum(model.emitted.values()) == distinct            # a word's tokens are emitted once, then remembered
+    assert model.emitted["end of piece"] < 1.2 * model.lookahead / model.window * distinct
+
+
+def test_one_stream_of_pieces_of_any_length(monkeypatch):
+    monkeypatch.setattr(bpe, "WINDOW", 4096)
+    model = bpe.Bpe(WORD)
+    rng = random.Random(23)
+    pieces = ["".join(rng.choice("theinan") for _ in range(rng.choice([1, 2, 7, 300, 9000]))).encode() for _ in range(60)]
+    want = [model.merge([model.inner[x] for x in p[:-1]] + [model.last[p[-1]]]) for p in pieces]
+    assert [ids(x) for x in model.merge_all(pieces)] == want
+    assert [list(model.transduce([p[:5], p[5:]])) for p in pieces] == want
+
+
 def test_lookahead_of_small_merge_lists():
     assert bpe.sufficient_lookahead([("a", "b"), ("c", "d")]) == 1
     assert bpe.sufficient_lookahead([("a", "b"), ("c", "ab")]) == 2      # "ca": b decides what c becomes
