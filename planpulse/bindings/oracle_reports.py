@@ -495,6 +495,7 @@ REPORT_ORACLE = {
     "owner_counts": OWNER_COUNTS,
     "extreme_flags": EXTREME_FLAGS,
     "period_metrics": PERIOD_METRICS,
+    "period_metrics_refreshed": PERIOD_METRICS,
     "scorecard_change": SCORECARD_CHANGE,
     "working_days": WORKING_DAYS,
     "best_period": BEST_PERIOD,

@@ -7,6 +7,7 @@ column names match the DuckDB oracle in ``planpulse.bindings.oracle``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -308,6 +309,28 @@ def q_period_metrics(spark: SparkSession, d: str) -> DataFrame:
     return _period_metrics(spark, d).select("scope", "period", "metric", "value", "amount")
 
 
+def q_period_metrics_refreshed(spark: SparkSession, d: str) -> DataFrame:
+    """C9 from daily facts that are kept: built as of a month before, then brought up to date.
+
+    The second load brings a month's rows and corrections of earlier days (lapses that a
+    revival took back); the report opens the days of its periods only.
+    """
+    from planpulse import session
+    from planpulse.plans.fact_store import FactStore, fact_rows
+    from planpulse.plans.scorecards import metric_facts, period_metrics_from_facts, report_periods
+
+    def rows(as_of: dt.date) -> DataFrame:
+        r = report_inputs(spark, d, as_of)
+        return session.materialize(fact_rows(metric_facts(r["visits"], r["plans4"], r["active"], r["lapsed"], r["assessments"])))
+
+    store = FactStore(spark, f"{session.ensure_checkpoint_dir(spark).rstrip('/')}/planpulse-facts-{uuid.uuid4().hex}")
+    old = rows(V.SCORE - dt.timedelta(days=30))
+    store.sync(old, "first")
+    store.apply(old, rows(V.SCORE), "second")
+    first = min(day for day, _, _ in report_periods(V.SCORE).values())
+    return period_metrics_from_facts(store.read(first, V.SCORE), V.SCORE).select("scope", "period", "metric", "value", "amount")
+
+
 def q_scorecard_change(spark: SparkSession, d: str) -> DataFrame:
     from planpulse.plans.scorecards import scorecard
     return scorecard(_period_metrics(spark, d), V.targets(spark))
@@ -638,6 +661,7 @@ QUERIES = {
     "owner_counts": q_owner_counts,
     "extreme_flags": q_extreme_flags,
     "period_metrics": q_period_metrics,
+    "period_metrics_refreshed": q_period_metrics_refreshed,
     "scorecard_change": q_scorecard_change,
     "working_days": q_working_days,
     "best_period": q_best_period,

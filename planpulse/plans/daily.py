@@ -7,7 +7,7 @@ lineage, so a lost executor re-reads them instead of recomputing), and every
 report is a small plan over them.
 
     python -m planpulse.plans.daily --tables DIR --as-of 2026-07-21 --task therapy \\
-        --out DIR [--alias CSV] [--staff-map CSV] [--targets CSV] [--assessments CSV] [--feed DIR]
+        --out DIR [--alias CSV] [--staff-map CSV] [--targets CSV] [--assessments CSV] [--feed DIR] [--facts DIR]
 """
 
 from __future__ import annotations
@@ -25,9 +25,10 @@ from planpulse.functions.text import recode
 from planpulse.operators.grouping import extreme_flags
 from planpulse.plans.benchmarks import best_period, target_vs_achieved
 from planpulse.plans.cycle import latest_roles, plan_cycle, plan_cycle_simple
+from planpulse.plans.fact_store import FactStore, fact_rows
 from planpulse.plans.mixes import branch_metric_table, duration_mix, order_source_mix, source_mix
 from planpulse.plans.scorecards import (
-    SCORECARD_METRICS, daily_facts, metric_facts, period_metrics_from_facts, scorecard, staff_scorecard,
+    SCORECARD_METRICS, daily_facts, metric_facts, period_metrics_from_facts, report_periods, scorecard, staff_scorecard,
 )
 from planpulse.plans.snapshots import active_snapshots, lapsed_entities
 from planpulse.plans.visits import sessions_by_staff, visits_classified
@@ -88,12 +89,38 @@ def shared_results(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportC
     return out
 
 
+def report_facts(r: Mapping[str, DataFrame], cfg: ReportConfig, assessments: DataFrame | None = None) -> DataFrame:
+    """The metric facts of ``shared_results``, branches recoded."""
+    return metric_facts(_branch(r["visits"], "entity_branch", cfg), _branch(r["plan_types"], "entity_branch", cfg),
+                        _branch(r["active"], "branch", cfg), _branch(r["lapsed"], "branch", cfg), assessments)
+
+
+def entity_slice(tables: Mapping[str, DataFrame], changed: DataFrame) -> dict[str, DataFrame]:
+    """``tables`` limited to the entities in ``changed`` (a column ``entity_id``).
+
+    Visits, plans and their history belong to one entity, so the facts of a slice before and
+    after a batch are all that ``FactStore.apply`` needs.  The day matters too: a later
+    as-of day also moves entities whose plans run or end in between.
+    """
+    keys = changed.select("entity_id").dropna().distinct()
+    out = {k: v.join(keys, "entity_id", "left_semi") if "entity_id" in v.columns else v for k, v in tables.items()}
+    plan_ids = out["plans"].select("plan_id").dropna().distinct()
+    for name in ("assignments", "diagnoses"):
+        if name in out and "entity_id" not in out[name].columns:
+            out[name] = out[name].join(plan_ids, "plan_id", "left_semi")
+    return out
+
+
 def daily_reports(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportConfig,
                   alias: DataFrame | None = None, staff_map: DataFrame | None = None,
                   targets: DataFrame | None = None, assessments: DataFrame | None = None,
-                  feed: DataFrame | None = None, checkpoint: bool = True) -> dict[str, DataFrame]:
+                  feed: DataFrame | None = None, checkpoint: bool = True,
+                  facts_path: str | None = None) -> dict[str, DataFrame]:
     """Every report of the original's two daily scripts, as DataFrames by name.
 
+    With ``facts_path`` the daily facts are kept there from run to run: days that differ are
+    rewritten, and the reports read the days of their periods only.
+
     What an input holds but no report can use is a result too, with its own row count:
     ``feed_rejects`` (pages and records, with the reason), ``feed_chain`` (pages missing or
     beyond the end, for a feed read by ``load_feed``) and ``assessment_rejects`` (rows whose
@@ -119,12 +146,17 @@ def daily_reports(tables: Mapping[str, DataFrame], as_of: dt.date, cfg: ReportCo
         assessments = assessments.dropna(subset=["date"]).drop("date_text")
     visits_b = _branch(r["visits"], "entity_branch", cfg)
     types_b = _branch(r["plan_types"], "entity_branch", cfg)
-    facts = daily_facts(metric_facts(visits_b, types_b, _branch(r["active"], "branch", cfg),
-                                     _branch(r["lapsed"], "branch", cfg), assessments))
-    if checkpoint:
-        facts = materialize(facts)
-    metrics = period_metrics_from_facts(facts, as_of)
-    best = best_period(facts, as_of, cfg.best_from or (as_of.replace(day=1) - dt.timedelta(days=1)).replace(month=1, day=1))
+    best_from = cfg.best_from or (as_of.replace(day=1) - dt.timedelta(days=1)).replace(month=1, day=1)
+    facts = report_facts(r, cfg, assessments)
+    if facts_path:
+        store = FactStore(spark, facts_path)
+        store.sync(fact_rows(facts), as_of.isoformat())
+        period_facts = store.read(min(d for d, _, _ in report_periods(as_of).values()), as_of)
+        facts = store.read(best_from, as_of)
+    else:
+        facts = period_facts = keep(daily_facts(facts))
+    metrics = period_metrics_from_facts(period_facts, as_of)
+    best = best_period(facts, as_of, best_from)
     out["period_metrics"] = metrics
     out["scorecard"] = scorecard(metrics, targets)
     out["best_period"] = best
@@ -186,6 +218,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--display", action="store_true", help="write headings and formatted numbers")
     ap.add_argument("--alias"), ap.add_argument("--staff-map"), ap.add_argument("--targets")
     ap.add_argument("--assessments"), ap.add_argument("--feed"), ap.add_argument("--master")
+    ap.add_argument("--facts", metavar="DIR", help="folder of the daily facts, kept from run to run")
     ap.add_argument("--best-from", type=dt.date.fromisoformat, help="first month of the best-month search")
     ap.add_argument("--recode", action="append", default=[], metavar="RAW=LABEL", help="branch label (repeatable)")
     ap.add_argument("--center", action="append", default=[], metavar="RAW=LABEL", help="assessment centre (repeatable)")
@@ -199,7 +232,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         staff_map=load_staff_map(spark, a.staff_map) if a.staff_map else None,
         targets=load_targets(spark, a.targets) if a.targets else None,
         assessments=read_assessments(spark, a.assessments, dict(x.split("=", 1) for x in a.center)) if a.assessments else None,
-        feed=load_feed(spark, a.feed) if a.feed else None)
+        feed=load_feed(spark, a.feed) if a.feed else None, facts_path=a.facts)
     shown = a.as_of if a.display else None
     for name, n in write_daily_reports(reports, a.out, a.format, display_as_of=shown).items():
         print(f"{name}: {n} rows")
