@@ -32,6 +32,7 @@ import hashlib
 import heapq
 import itertools
 import json
+import operator
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -145,6 +146,12 @@ class Known(dict):
             self.clear()
         self[key] = value
 
+    def put_all(self, more: dict) -> None:
+        if len(self) + len(more) > self.size:
+            self.old = dict(self)
+            self.clear()
+        self.update(more)
+
     def new(self, keys: Iterable) -> list:
         """Those of ``keys`` that neither generation has."""
         return list(itertools.filterfalse(self.old.__contains__, itertools.filterfalse(self.__contains__, keys)))
@@ -182,6 +189,7 @@ class Bpe:
         if splits:
             self.pattern = regex.compile(splits[0]["pattern"]["Regex"])
             self.line_pattern = regex.compile("\n|" + splits[0]["pattern"]["Regex"])
+            self.runs_of_letters = re.search(r"\\p\{L\}\]?\+", self.pattern.pattern)   # a word of letters alone is one piece
         size = max([*vocab.values(), *self.special.values()]) + 1
         strings = [""] * size
         for token, i in vocab.items():
@@ -370,7 +378,12 @@ class Bpe:
 
     # ------------------------------------------------------- pieces and words
     def _piece(self, s: str) -> bytes:
-        return self.merge_all([s.encode()])[0]
+        b = s.encode()
+        if len(b) > FEW:
+            return self.merge_all([b])[0]
+        ids = self.merge([self.inner[x] for x in b[:-1]] + [self.last[b[-1]]])   # its end stands in the window
+        self.emitted["end of piece"] += len(ids)
+        return np.array(ids, "<u4").tobytes()
 
     def piece(self, s: str) -> bytes:
         return self.pieces[s]
@@ -391,26 +404,37 @@ class Bpe:
 
     def learn(self, words: Iterable[bytes]) -> None:
         """Encode the new short plain words among ``words`` together (others wait for their turn)."""
-        new, lines = [], []
-        for w in self.words.new(words):
-            if len(w) <= SHORT and PLAIN.fullmatch(s := w.decode()) and not (self.special_at and b"<|" in w):
-                new.append(w)
-                lines.append(s)
+        new = [w for w in self.words.new(words) if len(w) <= SHORT and not (self.special_at and b"<|" in w)]
+        lines = b"\n".join(new).decode().split("\n") if new else []
+        plain = list(map(PLAIN.fullmatch, lines))
+        new, lines = list(itertools.compress(new, plain)), list(itertools.compress(lines, plain))
         if not new:
             return
-        text = "\n".join(lines)
-        split = self.line_pattern.findall(text.lower() if self.lower else text)
-        unknown = self.pieces.new(set(split) - {"\n"})
+        if self.lower:
+            lines = "\n".join(lines).lower().split("\n")
+        whole = list(map(str.isalpha, lines)) if self.runs_of_letters else [False] * len(lines)
+        mixed = list(itertools.compress(zip(new, lines, strict=True), map(operator.not_, whole)))
+        split = self.line_pattern.findall("\n".join([s for _, s in mixed]))
+        wanted = set(itertools.compress(lines, whole)).union(split)
+        wanted.discard("\n")
+        unknown = self.pieces.new(wanted)
         got = dict(zip(unknown, self.merge_all([s.encode() for s in unknown]), strict=True))
-        words, parts = iter(new), []
-        for s in [*split, "\n"]:
+        known, young, old = got.get, self.pieces.get, self.pieces.old.get
+
+        def ids(s: str) -> bytes:
+            return known(s) or young(s) or old(s)
+
+        made = dict(zip(itertools.compress(new, whole), map(ids, itertools.compress(lines, whole)), strict=True))
+        at = iter(mixed)
+        parts: list[bytes] = []
+        for s in [*split, "\n"] if mixed else []:
             if s == "\n":
-                self.words.put(next(words), b"".join(parts))
+                made[next(at)[0]] = b"".join(parts)
                 parts = []
             else:
-                parts.append(got.get(s) or self.pieces[s])
-        for s, ids in got.items():
-            self.pieces.put(s, ids)
+                parts.append(ids(s))
+        self.words.put_all(made)
+        self.pieces.put_all(got)
 
     def word(self, w: bytes) -> bytes:
         """Ids (little-endian 32 bit) of a run without ASCII white space."""
