@@ -276,3 +276,40 @@ def test_history_of_a_hot_day_is_ranked_in_ranges(spark, ids):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
     assert len(tasks) > 4 and max(r.n for r in tasks) < 500
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_history_of_ordinary_entities_needs_no_slots_or_ranges(spark):
+    """Entities of few plans: bucket counts, day rows by entity and by day, plans by day; nothing of the carried ranks runs."""
+    df = spark.range(2000).select((F.col("id") % 300).alias("e"), F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 90).cast("int")).alias("s"),
+                                  F.lit("2026-05-01").cast("date").alias("d"), F.col("id").alias("p"))
+    got = plan_history(df, "e", "s", "d", "p")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _final_plan(got).count("Exchange hashpartitioning") <= 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows(got) == rows(plan_history(df, "e", "s", "d", "p", split=3), *got.columns)
+
+
+def test_salted_join_repeats_the_frame_for_hot_keys_only(spark, monkeypatch):
+    """Keys of ``counted``'s hot buckets are salted, others are joined as they are; NULL keys stay in a left join."""
+    from planpulse.operators import joins, skew
+    monkeypatch.setattr(joins, "hot_buckets", lambda df, key: skew.hot_buckets(df, key, 500))
+    big = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, F.col("id")).alias("k"))
+    frame = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for how in ("inner", "left"):
+            out = joins.salted_join(big, frame, "k", ["id"], how=how, counted=big)
+            assert rows(out.select("id", "v")) == rows(big.join(frame, "k", how).select("id", "v"))
+        assert out.filter("k = 0").select(F.spark_partition_id().alias("p")).distinct().count() > 2
+        assert out.filter("k = 1").select(F.spark_partition_id().alias("p")).distinct().count() == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
