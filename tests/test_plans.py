@@ -399,3 +399,35 @@ def test_prebooked_renewal_is_not_lapsed(spark):
     assert [(r.entity_id, r.first_status, r.primary_diagnosis, r.entity_kind) for r in gone] == [("e2", "Expired", "x, y", "Regular")]
     types = {r.plan_id: r for r in plan_cycle_simple(plans, entities, visits, None, as_of).collect()}
     assert types["p2"].plan_type == "Renewal" and types["p2"].total_service_months == 7
+
+
+def test_lapsed_joins_the_last_plan_only(spark):
+    """The entity is joined to its last plan, not to all (no salted frame); one listed twice gives one row, an unknown one none."""
+    import datetime as dt
+    d = dt.date
+    plans = spark.createDataFrame([(1, 1, "e1", d(2026, 1, 1), d(2026, 2, 1), "s"), (2, 2, "e1", d(2026, 2, 1), d(2026, 3, 1), "s"),
+                                   (3, 3, "gone", d(2026, 1, 1), d(2026, 2, 1), "s"), (4, 4, None, d(2026, 1, 1), d(2026, 2, 1), "s"),
+                                   (5, 5, "e2", d(2026, 1, 1), None, "s"), (6, 6, "e2", d(2026, 1, 1), d(2026, 2, 1), "s")],
+                                  "plan_id int, plan_ref int, entity_id string, start_date date, due_date date, source string")
+    entities = spark.createDataFrame([("e1", "A"), ("e1", "A"), ("e2", "B"), (None, "C")], "entity_id string, branch string")
+    for cols in ((), ("branch",)):
+        out = lapsed_entities(plans, entities, None, d(2026, 4, 15), entity_cols=cols, extras=())
+        assert [(r.entity_id, r.plan_id, r.inactive_date) for r in out.collect()] == [("e1", 2, d(2026, 3, 2))]
+        assert "_salt" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_active_snapshots_join_only_plans_that_can_be_in_force(spark):
+    """Plans over before the first month or begun after the as-of day are left out before the joins."""
+    import datetime as dt
+    d = dt.date
+    plans = spark.createDataFrame([(i, i, "e1", s, e, "s") for i, (s, e) in enumerate([
+        (d(2025, 1, 1), d(2025, 2, 1)), (d(2025, 12, 1), d(2026, 1, 31)), (d(2025, 12, 1), d(2026, 2, 1)), (d(2026, 1, 31), d(2026, 5, 1)),
+        (d(2026, 2, 9), d(2026, 5, 1)), (d(2026, 2, 10), d(2026, 5, 1)), (d(2026, 2, 1), None), (None, d(2026, 5, 1))])],
+        "plan_id int, plan_ref int, entity_id string, start_date date, due_date date, source string")
+    live = plans.select("plan_id", F.lit("Open").alias("status"))
+    entities = spark.createDataFrame([("e1", "A")], "entity_id string, branch string")
+    snap = active_snapshots(plans, live, entities, None, d(2026, 1, 1), d(2026, 2, 10), entity_cols=("branch",), extras=())
+    assert sorted((r.active_date, r.plan_id) for r in snap.collect()) == [
+        (d(2026, 1, 1), 2), (d(2026, 2, 1), 3), (d(2026, 2, 1), 4)]
+    plan = snap._jdf.queryExecution().optimizedPlan().toString()
+    assert "(start_date#" in plan and "> 2026-01-01)" in plan
