@@ -122,3 +122,14 @@ def test_daily_job_with_kept_facts(spark, tmp_path):
     kept = daily_reports(tables, AS_OF, cfg, facts_path=str(tmp_path / "facts"))
     for name in ("period_metrics", "best_period", "scorecard"):
         assert rows(kept[name]) == rows(plain[name]), name
+
+
+def test_both_days_of_the_refreshed_query_are_one_job(spark, monkeypatch):
+    """The facts of both as-of days are computed together, so what they share is shuffled once."""
+    from planpulse import session
+    from planpulse.bindings import queries as Q
+    seen, keep = [], session.materialize
+    monkeypatch.setattr(session, "materialize", lambda df: seen.append(df.columns) or keep(df))
+    out = Q.q_period_metrics_refreshed(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 1 and "as_of" in seen[0]
+    assert rows(out) == rows(Q.q_period_metrics(spark, "/root/testdata/sf0.001"), *out.columns)
