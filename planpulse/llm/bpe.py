@@ -17,11 +17,12 @@ after the rules that make its parts, which ``load`` checks (else whole pieces ar
 A text right of a token boundary is encoded as if the text left of it were not there,
 because no rule merged across that boundary.
 
-Words repeat: what the transducer gave for a short one is remembered in bounded tables per
-Python worker, and a text is the ids of its words.  The new words of neighbouring texts are
-one stream of symbols, in which no rule crosses the end of a piece: a token is stable, too,
-once that end stands in the window.  Inside a window all short pieces are merged together
-in numpy.
+Pieces repeat: what the transducer gave for a short one is remembered in bounded tables per
+Python worker, and a text is the ids of its pieces.  Neighbouring texts are cut into pieces
+together, as arrays of bytes (``Cutter``); only words with characters beyond its tables are
+normalised and split one by one.  The new pieces of neighbouring texts are one stream of
+symbols, in which no rule crosses the end of a piece: a token is stable, too, once that end
+stands in the window.  Inside a window all short pieces are merged together in numpy.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ import hashlib
 import heapq
 import itertools
 import json
-import operator
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -48,7 +48,7 @@ CHUNK = 1 << 20      # bytes of text looked at together
 LONG_WORD = 1024     # longer words (no ASCII white space) go through the open-ended path
 CACHED_WORDS = 300_000
 SHORT = 64           # longer words and pieces are not remembered
-GROUP = 1 << 22      # bytes of text whose new words are encoded together
+GROUP = 1 << 22      # bytes of text that are cut, and whose new pieces are encoded, together
 WINDOW = 1 << 16     # symbols the transducer looks at together
 MANY = 256           # symbols of a piece that is merged alone
 FEW = 1024           # symbols of a window whose pieces are merged one by one
@@ -57,6 +57,9 @@ ALL = np.uint64(2**64 - 1)
 SPACE = re.compile(rb"[\t-\r ]")
 #: Words of these code points are normalised and split here; any other word by the library's own steps.
 PLAIN = re.compile("[!-~%s-%s]*" % (chr(0xA1), chr(0x24F)))
+#: The splitter that ``Cutter`` follows: endings after an apostrophe, letters, single digits, all else.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+BLANK, LETTER, DIGIT, OTHER, FOREIGN = range(5)
 
 
 def byte_symbols() -> dict[int, str]:
@@ -157,6 +160,86 @@ class Known(dict):
         return list(itertools.filterfalse(self.old.__contains__, itertools.filterfalse(self.__contains__, keys)))
 
 
+class Cutter:
+    """Cuts words into the pieces of ``SPLIT``, many texts at once, as arrays of bytes.
+
+    It knows the ``PLAIN`` code points that have one of them, as long in UTF-8, as lower
+    case.  A word with any other (FOREIGN) or with the beginning of a special token stays
+    whole and as it is; no piece holds either, so the two cannot be mistaken.
+    """
+
+    def __init__(self, lower: bool):
+        kind = np.full(0x280, FOREIGN, np.uint8)   # by code point; 0x27F is the last whose lead byte is 0xC9
+        low = np.arange(0x280, dtype=np.uint16)
+        for i in range(0x250):
+            c = chr(i).lower() if lower else chr(i)
+            if i < 128 and SPACE.fullmatch(bytes([i])):
+                kind[i] = BLANK
+            elif PLAIN.fullmatch(chr(i)) and len(c) == 1 and PLAIN.fullmatch(c) and (ord(c) < 128) == (i < 128):
+                kind[i] = LETTER if regex.match(r"\p{L}", c) else DIGIT if regex.match(r"\p{N}", c) else OTHER
+                low[i] = ord(c)
+        self.kind, self.low = kind, low
+        self.byte_kind = np.append(kind[:128], np.full(128, FOREIGN, np.uint8))
+        self.byte_low = np.append(low[:128], np.arange(128, 256)).astype(np.uint8)
+        known = "".join(re.escape(chr(i)) for i in range(0x250) if kind[i] in (LETTER, DIGIT, OTHER))
+        self.foreign = re.compile(r"[^%s\n]|<\|" % known)
+
+    def pieces(self, words: list[bytes]) -> list[bytes]:
+        """Those of the results of ``cut`` that are pieces, not whole words."""
+        lines = b"\n".join(words).decode()
+        if not self.foreign.search(lines):
+            return words
+        return [w for w, s in zip(words, lines.split("\n"), strict=True) if not self.foreign.search(s)]
+
+    def cut(self, many: list[bytes]) -> Iterator[list[bytes]]:
+        """For each text, its pieces and the words that stay whole, in order."""
+        data = np.frombuffer(b" ".join([*many, b""]), np.uint8)   # every text ends in a blank
+        kind, low = self.byte_kind[data], self.byte_low[data]
+        two = np.flatnonzero((data >= 0xC2) & (data <= 0xC9))
+        two = two[data[two + 1] & 0xC0 == 0x80]
+        code = (data[two] & 0x1F).astype(np.uint16) << 6 | data[two + 1] & 0x3F
+        kind[two] = kind[two + 1] = self.kind[code]
+        code = self.low[code]
+        low[two], low[two + 1] = 0xC0 | code >> 6, 0x80 | code & 0x3F
+
+        begins = np.zeros(len(data), bool)   # a piece, inside of a word
+        before, here = kind[:-1], kind[1:]
+        begins[1:] = ((before != here) | (here == DIGIT)) & (before != BLANK) & (here != BLANK)
+        begins[two + 1] = False
+        mark = np.flatnonzero(data == ord("'"))
+        mark = mark[(kind[mark + 1] == LETTER) & (kind[mark - 1] != OTHER)]   # before the first byte stands the last: a blank
+        first, second = low[mark + 1], low[np.minimum(mark + 2, len(data) - 1)]
+        one = np.isin(first, list(b"stmd"))
+        ends = one | np.isin(first, list(b"rv")) & (second == ord("e")) | (first == ord("l")) & (second == ord("l"))
+        after = (mark + 3 - one)[ends]
+        begins[mark[ends] + 1] = False
+        begins[after] = kind[after] != BLANK
+
+        whole = kind == FOREIGN
+        whole[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+        if whole.any():
+            blanks = np.flatnonzero(kind == BLANK)
+            word = np.unique(np.searchsorted(blanks, np.flatnonzero(whole)))
+            turn = np.zeros(len(data), np.int8)
+            turn[np.where(word > 0, blanks[word - 1] + 1, 0)] = 1
+            turn[blanks[word]] = -1
+            whole = np.cumsum(turn, dtype=np.int8).view(bool)
+            begins &= ~whole
+            low = np.where(whole, data, low)
+
+        at = np.flatnonzero(begins)
+        out, kept = np.full(len(data) + len(at), ord(" "), np.uint8), np.ones(len(data) + len(at), bool)
+        kept[at + np.arange(len(at))] = False
+        out[kept] = low
+        stops = np.cumsum(np.fromiter(map(len, many), np.int64, len(many)) + 1)
+        stops += np.searchsorted(at, stops)
+        out = out.tobytes()
+        start = 0
+        for stop in stops.tolist():
+            yield out[start:stop].split()
+            start = stop
+
+
 class Bpe:
     """A parsed merge list with its transducer."""
 
@@ -188,8 +271,9 @@ class Bpe:
         self.word_split = bool(splits)
         if splits:
             self.pattern = regex.compile(splits[0]["pattern"]["Regex"])
-            self.line_pattern = regex.compile("\n|" + splits[0]["pattern"]["Regex"])
-            self.runs_of_letters = re.search(r"\\p\{L\}\]?\+", self.pattern.pattern)   # a word of letters alone is one piece
+        #: Other splitters, or special tokens that begin in another way: every word is split by itself.
+        self.cutter = Cutter(self.lower) if splits and self.pattern.pattern == SPLIT \
+            and all("<|" in t for t in self.special) else None
         size = max([*vocab.values(), *self.special.values()]) + 1
         strings = [""] * size
         for token, i in vocab.items():
@@ -208,7 +292,7 @@ class Bpe:
         self.table_of_pairs = PairTable(self.pairs)
         self.inner_ids, self.last_ids = np.array(self.inner), np.array(self.last)
         self.pieces = Known(self._piece, CACHED_WORDS // 2)
-        self.words = Known(lambda w: self.word(w) if len(w) <= LONG_WORD else b"".join(self.long_word(w, 0, len(w))))
+        self.words = Known(self._word)   # of whole words, and of the pieces that the cutter gives
 
     # ------------------------------------------------------------ one window
     def merge(self, ids: list[int]) -> list[int]:
@@ -377,16 +461,15 @@ class Bpe:
             yield self.last_ids[np.frombuffer(final, np.uint8)], np.ones(1, bool)
 
     # ------------------------------------------------------- pieces and words
-    def _piece(self, s: str) -> bytes:
-        b = s.encode()
+    def _piece(self, b: bytes) -> bytes:
         if len(b) > FEW:
             return self.merge_all([b])[0]
         ids = self.merge([self.inner[x] for x in b[:-1]] + [self.last[b[-1]]])   # its end stands in the window
         self.emitted["end of piece"] += len(ids)
         return np.array(ids, "<u4").tobytes()
 
-    def piece(self, s: str) -> bytes:
-        return self.pieces[s]
+    def piece(self, b: bytes) -> bytes:
+        return self.pieces[b]
 
     def merge_all(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of many pieces, streamed through the window one after another."""
@@ -402,39 +485,20 @@ class Bpe:
         stops = (4 * (np.flatnonzero(np.concatenate([x for _, x in got])) + 1)).tolist()
         return [data[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
 
+    def _word(self, w: bytes) -> bytes:
+        if self.cutter and self.cutter.pieces([w]):
+            return self._piece(w)
+        return self.word(w) if len(w) <= LONG_WORD else b"".join(self.long_word(w, 0, len(w)))
+
+    def cut(self, many: list[bytes]) -> Iterator[list[bytes]]:
+        """For each text, its pieces, and its words that have to be split by themselves."""
+        return self.cutter.cut(many) if self.cutter else map(bytes.split, many)
+
     def learn(self, words: Iterable[bytes]) -> None:
-        """Encode the new short plain words among ``words`` together (others wait for their turn)."""
-        new = [w for w in self.words.new(words) if len(w) <= SHORT and not (self.special_at and b"<|" in w)]
-        lines = b"\n".join(new).decode().split("\n") if new else []
-        plain = list(map(PLAIN.fullmatch, lines))
-        new, lines = list(itertools.compress(new, plain)), list(itertools.compress(lines, plain))
-        if not new:
-            return
-        if self.lower:
-            lines = "\n".join(lines).lower().split("\n")
-        whole = list(map(str.isalpha, lines)) if self.runs_of_letters else [False] * len(lines)
-        mixed = list(itertools.compress(zip(new, lines, strict=True), map(operator.not_, whole)))
-        split = self.line_pattern.findall("\n".join([s for _, s in mixed]))
-        wanted = set(itertools.compress(lines, whole)).union(split)
-        wanted.discard("\n")
-        unknown = self.pieces.new(wanted)
-        got = dict(zip(unknown, self.merge_all([s.encode() for s in unknown]), strict=True))
-        known, young, old = got.get, self.pieces.get, self.pieces.old.get
-
-        def ids(s: str) -> bytes:
-            return known(s) or young(s) or old(s)
-
-        made = dict(zip(itertools.compress(new, whole), map(ids, itertools.compress(lines, whole)), strict=True))
-        at = iter(mixed)
-        parts: list[bytes] = []
-        for s in [*split, "\n"] if mixed else []:
-            if s == "\n":
-                made[next(at)[0]] = b"".join(parts)
-                parts = []
-            else:
-                parts.append(ids(s))
-        self.words.put_all(made)
-        self.pieces.put_all(got)
+        """Encode the new short pieces among ``words`` together (others wait for their turn)."""
+        if self.cutter:
+            new = self.cutter.pieces([w for w in self.words.new(words) if len(w) <= SHORT])
+            self.words.put_all(dict(zip(new, self.merge_all(new), strict=True)))
 
     def word(self, w: bytes) -> bytes:
         """Ids (little-endian 32 bit) of a run without ASCII white space."""
@@ -443,12 +507,11 @@ class Bpe:
                             for i, x in enumerate(self.special_at.split(w)) if x)
         s = w.decode()
         if PLAIN.fullmatch(s):
-            return b"".join(map(self.piece, self.pattern.findall(s.lower() if self.lower else s)))
+            return b"".join(self.piece(p.encode()) for p in self.pattern.findall(s.lower() if self.lower else s))
         if self.library.normalizer:
             s = self.library.normalizer.normalize_str(s)
         back = self.symbol_byte
-        return b"".join(self.piece(bytes(back[c] for c in p).decode("utf-8", "surrogateescape"))
-                        for p, _ in self.library.pre_tokenizer.pre_tokenize_str(s))
+        return b"".join(self.piece(bytes(back[c] for c in p)) for p, _ in self.library.pre_tokenizer.pre_tokenize_str(s))
 
     def long_word(self, data: bytes, start: int, end: int) -> Iterator[bytes]:
         """The same for a run of any length, in bounded memory."""
@@ -509,24 +572,24 @@ class Bpe:
                 else:
                     while data[end - 1] not in b"\t\n\v\f\r ":
                         end -= 1
-            split = data[at:end].split()
+            split, = self.cut([data[at:end]])
             self.learn(set(split))
             yield b"".join(map(words.__getitem__, split))
             at = end
 
     def encode_many(self, many: list[bytes]) -> Iterator[Iterable[bytes]]:
-        """For each text, its ids in parts; the new words of neighbouring texts are learnt together."""
+        """For each text, its ids in parts; neighbouring texts are cut, and their new pieces learnt, together."""
         at = 0
         while at < len(many):
             if len(many[at]) > CHUNK:
                 yield self.encode_parts(many[at])
                 at += 1
                 continue
-            split, size = [], 0
+            start, size = at, 0
             while at < len(many) and size + len(many[at]) <= GROUP and len(many[at]) <= CHUNK:
-                split.append(many[at].split())
                 size += len(many[at])
                 at += 1
+            split = list(self.cut(many[start:at]))
             self.learn(set().union(*split))
             for i, words in enumerate(split):
                 split[i] = None

@@ -39,6 +39,30 @@ def test_matches_library_on_random_texts(library):
         assert model.encode(s.encode()) == g
 
 
+def test_pieces_are_cut_like_the_library_does(library):
+    """Every code point up to U+02FF, apostrophes, case, special tokens; many texts at once and one by one."""
+    model, rng = bpe.Bpe(WORD), random.Random(11)
+    many = [chr(c) + more + chr(c) for c in range(1, 0x300) for more in ("", "'s", "a'S1", "'")]
+    pools = ["'stremvld ab12!", "'stremvld STREMVLD<|>x", "İiIȺȾÉéß'sǅǆ²½ªº«»\xad\xa0\x85\x7f ɐʀa", "中文é́x'll 12 "]
+    many += ["".join(rng.choice(p) for _ in range(rng.randint(0, 60))) for p in pools for _ in range(300)]
+    many += ["'", "'s", "s'", " 's", "'l", "'r", "'v e", "''s", "x'll'd", "1's", "A'LL<|b", "<|", "a<|endoftext|", "é" * 3000 + "'re"]
+    got = [b"".join(x) for x in model.encode_many([s.encode() for s in many])]
+    for s, g in zip(many, got, strict=True):
+        assert ids(g) == library.encode(s, add_special_tokens=False).ids == ids(model.encode(s.encode())), s
+
+
+def test_spellings_of_a_word_share_its_pieces(library):
+    """The table holds pieces: case and marks around a word add no entries, and no word is split by itself."""
+    model, rng = bpe.Bpe(WORD), random.Random(13)
+    made = ["".join(rng.choice("aeinorstlhdué") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    texts = [" ".join(f(w) + end for w in made) for f in (str, str.title, str.upper) for end in ("", ",", "!", "'s")]
+    one_by_one = []
+    model.word = one_by_one.append
+    got = [b"".join(x) for x in model.encode_many([s.encode() for s in texts])]
+    assert [ids(g) for g in got] == [library.encode(s, add_special_tokens=False).ids for s in texts]
+    assert len(model.words) == len(set(made)) + 3 and not one_by_one
+
+
 @pytest.mark.parametrize("text", ["a" * 20000, "ab" * 9000 + "'s", "!" * 9000 + "'s" + "x" * 9000, "中文" * 5000, "é" * 9000,
                                   "thetion" * 3000, "a1b2" * 4000, "<|endoftext|>" * 300])
 def test_unbroken_texts_stream_through_the_window(library, text):
